@@ -22,6 +22,7 @@ from geolayers.functions.wkb import (
     to_wkt,
 )
 from geolayers.model import Field, LayerError
+from geolayers.operators.columns import as_layer
 from geolayers.operators.dml import (
     delete,
     delete_where,
@@ -45,6 +46,7 @@ from geolayers.sources.shapefile import ingest_shapefiles, read_shapefile
 __all__ = [
     "Field",
     "LayerError",
+    "as_layer",
     "assign_fid",
     "bbox_filter",
     "bbox_join",

@@ -17,7 +17,7 @@ ENCODING_NAMES = {
     "LATIN8": "ISO-8859-14",
     "LATIN9": "ISO-8859-15",
     "LATIN10": "ISO-8859-16",
-    "SQL_ASCII": "US-ASCII",
+    "SQL_ASCII": "UTF-8",
     "UTF8": "UTF-8",
     "UNICODE": "UTF-8",
     "WIN866": "cp866",
