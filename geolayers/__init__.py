@@ -38,7 +38,7 @@ from geolayers.operators.spatial import (
     encode_points,
     intersects_box,
 )
-from geolayers.sources.catalog import import_layers, layer_catalog, layer_columns
+from geolayers.sources.catalog import import_layers, layer_catalog
 from geolayers.sources.fids import assign_fid
 from geolayers.sources.layers import layer_count, read_layer, write_layer
 from geolayers.sources.shapefile import ingest_shapefiles, read_shapefile
@@ -67,7 +67,6 @@ __all__ = [
     "launder",
     "launder_name",
     "layer_catalog",
-    "layer_columns",
     "layer_count",
     "line_wkb",
     "make_box",

@@ -41,7 +41,7 @@ def _as_text(value: Column, kind: str) -> Column:
     if kind == "Boolean":
         return value.cast("int").cast("string")
     if kind == "Time":
-        return F.time_trunc("SECOND", value).cast("string")
+        return F.time_trunc(F.lit("SECOND"), value).cast("string")
     return value.cast("string")
 
 
@@ -84,7 +84,7 @@ def coerce_read(
     if kind == "String":
         return F.parse_json(F.nullif(value, F.lit("")))
     if kind == "Time":
-        return F.time_trunc("SECOND", value).cast(declared)
+        return F.time_trunc(F.lit("SECOND"), value).cast(declared)
     return value.cast(declared)
 
 
@@ -125,7 +125,7 @@ def coerce_write(value: Column, data_type: T.DataType, column: str = "?", table:
     if stored == "DateTime":
         return rounded_second(value)
     if stored == "Time":
-        return F.time_trunc("SECOND", value + F.expr("INTERVAL 500 MILLISECONDS"))
+        return F.time_trunc(F.lit("SECOND"), value + F.expr("INTERVAL 500 MILLISECONDS"))
     simple = {"Integer": "int", "Integer64": "bigint", "Real": "double", "String": "string"}
     return value.cast(simple[stored]) if stored in simple else value
 

@@ -7,7 +7,7 @@ new path.  Writing over the path that is being read destroys the input.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from geolayers.model import LayerError
-from geolayers.session import FIXED_WIDTH, broadcast_if_small, broadcast_limit, row_bytes
+from geolayers.session import broadcast_if_small, row_bytes
 from geolayers.sources.fids import FID, assign_fid
 
 
@@ -22,11 +22,8 @@ def _hinted(df: DataFrame) -> DataFrame:
 
     Otherwise both sides are shuffled by fid, which is unique and cannot skew.
     """
-    rows = df.count()
-    if rows * FIXED_WIDTH > broadcast_limit(df.sparkSession):
-        return df
-    size = df.agg(F.sum(row_bytes(df)).alias("bytes")).first()["bytes"] or 0
-    return broadcast_if_small(df, rows, size)
+    size = df.agg(F.count("*").alias("rows"), F.sum(row_bytes(df)).alias("bytes")).first()
+    return broadcast_if_small(df, size["rows"], size["bytes"] or 0)
 
 
 def insert(base: DataFrame, new: DataFrame, order_by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -75,16 +72,21 @@ def update(base: DataFrame, changes: DataFrame) -> DataFrame:
     if unknown:
         raise LayerError(f"layer has no columns {unknown}")
     changed = [c for c in changes.columns if c != FID]
-    keys = _hinted(changes.select(FID))
-    counts = changes.agg(F.count("*").alias("rows"), F.countDistinct(FID).alias("fids")).first()
-    if counts["rows"] != counts["fids"]:
+    size = changes.agg(
+        F.count("*").alias("rows"), F.countDistinct(FID).alias("fids"), F.sum(row_bytes(changes)).alias("bytes")
+    ).first()
+    if size["rows"] != size["fids"]:
         raise LayerError("a fid occurs twice (or is NULL) in the changes")
-    if base.select(FID).join(keys, FID, "left_semi").count() != counts["rows"]:
+
+    def hinted(df):
+        return broadcast_if_small(df, size["rows"], size["bytes"] or 0)
+
+    if base.select(FID).join(hinted(changes.select(FID)), FID, "left_semi").count() != size["rows"]:
         raise LayerError("the changes contain a fid that the layer lacks")
     marked = changes.select(
         FID, *[F.col(f"`{c}`").alias(f"_new_{c}") for c in changed], F.lit(True).alias("_changed")
     )
-    joined = base.join(_hinted(marked), FID, "left")
+    joined = base.join(hinted(marked), FID, "left")
     out = []
     for field in base.schema:
         old = F.col(f"`{field.name}`")
@@ -115,7 +117,7 @@ def update_where(base: DataFrame, condition: Column, values: dict[str, Column])
 def delete(base: DataFrame, keys: DataFrame) -> DataFrame:
     """Drop the features with the fids of ``keys``; unknown fids are no error."""
     _need_fid(base, keys)
-    return base.join(_hinted(keys.select(FID)), FID, "left_anti").select(base.columns)
+    return base.join(_hinted(keys.select(FID).distinct()), FID, "left_anti").select(base.columns)
 
 
 def delete_where(base: DataFrame, condition: Column) -> DataFrame:

@@ -3,22 +3,22 @@
 import csv
 import io
 import json
+import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from geolayers.functions.names import launder
 from geolayers.model import IMPORTED_AS, LayerError, box_name, geometry_metadata, is_geometry, source_type
 from geolayers.sources.files import list_files, open_file, read_range
 from geolayers.sources.layers import read_layer
-from geolayers.sources.shapefile import dbf_fields, read_shapefile, srid_of_wkt
+from geolayers.sources.shapefile import layer_schema, read_shapefile
 
 # Longest CSV header line that is read.
 HEADER_BYTES = 1 << 20
 
-COLUMN_SCHEMA = T.StructType.fromDDL(
-    "layer string, fmt string, path string, ordinal int, source_name string, data_type string"
-)
+COLUMN_SCHEMA = "layer string, fmt string, path string, ordinal int, source_name string, data_type string"
+COLUMN_NAMES = [part.split()[0] for part in COLUMN_SCHEMA.split(", ")]
 
 
 def layer_files(spark: SparkSession, source: str) -> DataFrame:
@@ -27,11 +27,11 @@ def layer_files(spark: SparkSession, source: str) -> DataFrame:
     A layer is a file ``name.parquet|csv|shp`` in the folder or a folder of
     Parquet part files; any one part file carries the schema.
     """
-    root = spark._jvm.org.apache.hadoop.fs.Path(source)
-    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString()
     files = list_files(spark, source, "*.{parquet,csv,shp}")
-    inner = F.substring("path", len(root.rstrip("/")) + 2, 1 << 20)
-    inner = F.when(F.col("path").startswith(root), inner)
+    # Path below the source, however Spark spells scheme and host.
+    folder = "/" + re.sub(r"^[a-z0-9]+:/*", "", source).strip("/") + "/"
+    plain = F.concat(F.lit("/"), F.regexp_replace("path", r"^[a-z0-9]+:/*", ""))
+    inner = F.substring(plain, F.instr(plain, folder) + len(folder), F.length(plain))
     head = F.substring_index(inner, "/", 1)
     nested = inner.contains("/")
     layer = F.when(nested, F.regexp_replace(head, r"\.parquet$", "")).otherwise(
@@ -92,10 +92,7 @@ def _csv_schema(path: str) -> T.StructType:
 
 
 def _shapefile_schema(path: str) -> T.StructType:
-    stem = path[: -len("shp")]
-    from geolayers.sources.shapefile import layer_schema
-
-    return layer_schema(stem)
+    return layer_schema(path[: -len("shp")])
 
 
 def _read_schemas(batches):
@@ -105,38 +102,38 @@ def _read_schemas(batches):
         for layer, fmt, path in zip(batch["layer"], batch["fmt"], batch["path"]):
             for ordinal, (name, data_type) in enumerate(columns_of(readers[fmt](path)), 1):
                 rows.append((layer, fmt, path, ordinal, name, data_type))
-        yield pd.DataFrame(rows, columns=COLUMN_SCHEMA.names)
+        yield pd.DataFrame(rows, columns=COLUMN_NAMES)
 
 
 def layer_columns(
-    spark: SparkSession, source: str, launder_table_names: bool = True, launder_column_names: bool = True
+    files: DataFrame, launder_table_names: bool = True, launder_column_names: bool = True
 ) -> DataFrame:
-    """Catalog of a source: one row per layer and column.
+    """Columns of the layers in ``files``: one row per layer and column.
 
     ``table_name`` and ``column_name`` are the laundered names; ``column_option``
     keeps the source name where laundering changed more than its case.  Footers
     and headers are read in parallel, one layer per row.
     """
-    files = layer_files(spark, source)
     found = files.repartition("layer").mapInPandas(_read_schemas, COLUMN_SCHEMA)
     raw, laundered = F.col("source_name"), launder(F.col("source_name"))
     changed = F.lower(laundered) != F.lower(raw)
-    column = laundered if launder_column_names else raw
-    option = F.when(changed, raw) if launder_column_names else F.lit(None).cast("string")
-    table = launder(F.col("layer")) if launder_table_names else F.col("layer")
     return found.select(
         "layer",
         "fmt",
         "path",
-        table.alias("table_name"),
+        _table_name(launder_table_names).alias("table_name"),
         "ordinal",
-        column.alias("column_name"),
+        (laundered if launder_column_names else raw).alias("column_name"),
         "data_type",
-        option.alias("column_option"),
+        (F.when(changed, raw) if launder_column_names else F.lit(None).cast("string")).alias("column_option"),
         "source_name",
     )
 
 
+def _table_name(launder_table_names: bool):
+    return launder(F.col("layer")) if launder_table_names else F.col("layer")
+
+
 def layer_catalog(
     spark: SparkSession,
     source: str,
@@ -146,21 +143,23 @@ def layer_catalog(
     launder_table_names: bool = True,
     launder_column_names: bool = True,
 ) -> DataFrame:
-    """The catalog restricted to the layers an import would take.
+    """The columns of all layers that an import would take.
 
     ``prefix`` is compared with the layer's own name, case-sensitively;
-    ``limit_to`` and ``except_`` with the name of the table it becomes.
+    ``limit_to`` and ``except_`` with the name of the table it becomes.  Layers
+    are chosen before any of their files is opened.
     """
     if limit_to is not None and except_ is not None:
         raise LayerError("limit_to and except_ exclude each other")
-    found = layer_columns(spark, source, launder_table_names, launder_column_names)
+    files = layer_files(spark, source)
+    table = _table_name(launder_table_names)
     if prefix is not None:
-        found = found.filter(F.col("layer").startswith(prefix))
+        files = files.filter(F.col("layer").startswith(prefix))
     if limit_to is not None:
-        found = found.filter(F.col("table_name").isin(list(limit_to)))
+        files = files.filter(table.isin(list(limit_to)))
     if except_ is not None:
-        found = found.filter(~F.col("table_name").isin(list(except_)))
-    return found
+        files = files.filter(~table.isin(list(except_)))
+    return layer_columns(files, launder_table_names, launder_column_names)
 
 
 def _check_clashes(catalog: DataFrame) -> None:

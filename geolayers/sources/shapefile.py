@@ -24,7 +24,9 @@ from geolayers.functions.wkb import (
     write_geometry,
 )
 from geolayers.model import LayerError, box_name, geometry_metadata
+from geolayers.session import staged
 from geolayers.sources.files import list_files, read_range
+from geolayers.sources.layers import write_layer
 
 RECORDS_PER_TASK = 100_000
 RECORDS_PER_BATCH = 5_000
@@ -266,13 +268,16 @@ def read_shapefile(
 
 
 def ingest_shapefiles(spark: SparkSession, folder: str, out: str, encoding: str | None = None) -> list[str]:
-    """Store every shapefile of a folder as a Parquet layer; returns their names."""
-    from geolayers.sources.layers import write_layer
+    """Store every shapefile of a folder as a Parquet layer; returns their names.
 
+    Ordering a layer takes several passes, so its records are decoded once into
+    the shared folder first.
+    """
     stems = list_files(spark, folder, "*.shp").select(
         F.regexp_extract("path", r"([^/]*)\.shp$", 1).alias("layer")
     )
     layers = [row["layer"] for row in stems.orderBy("layer").collect()]
     for layer in layers:
-        write_layer(read_shapefile(spark, folder, layer, encoding), f"{out}/{layer}.parquet")
+        decoded = staged(read_shapefile(spark, folder, layer, encoding), "shapes")
+        write_layer(decoded, f"{out}/{layer}.parquet")
     return layers

@@ -1,0 +1,197 @@
+"""Known results on small layers: scalar types, changes, arrays, boxes, CSV."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from geolayers import (
+    as_layer,
+    bbox_filter,
+    bbox_meets,
+    delete,
+    encode_points,
+    import_layers,
+    insert,
+    intersects_box,
+    make_box,
+    read_layer,
+    to_wkt,
+    update,
+    update_where,
+    write_layer,
+)
+from geolayers.functions.values import coerce_write, write_columns
+from geolayers.model import LayerError
+from geolayers.sources.layers import jdbc_options, typed_csv
+
+SCALARS = (
+    "fid bigint, geom binary, name string, age bigint, size int, value double, num decimal(6,2), "
+    "dt date, tm time, dttm timestamp_ntz, varch char(8), yn char(1)"
+)
+STORED = SCALARS.replace("char(8)", "string").replace("char(1)", "string")
+JIM = (1, bytearray(b"14232"), "Jim", 23, 1, 4.3, Decimal("5.50"), dt.date(2010, 10, 10), dt.time(13, 23, 21), dt.datetime(2010, 10, 10, 13, 23, 21), "this", "y")
+MARVIN = (2, bytearray(b"55555"), "Marvin", 34, 2, 5.4, Decimal("10.13"), dt.date(2011, 11, 11), dt.time(15, 21, 45), dt.datetime(2011, 11, 11, 15, 21, 45), "that", "n")
+NOBODY = (3,) + (None,) * 11
+MARGARET = (bytearray(b"2222"), "Margaret", 12, 5, 1.4, Decimal("19.13"), dt.date(2001, 11, 23), dt.time(9, 12, 34), dt.datetime(2001, 2, 11, 9, 23, 11), "them", "y")
+
+
+@pytest.fixture(scope="module")
+def people(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("people"))
+    spark.createDataFrame([JIM, MARVIN, NOBODY], STORED).coalesce(1).write.parquet(f"{root}/people.parquet")
+    return root
+
+
+def fids(df):
+    return sorted(r["fid"] for r in df.select("fid").collect())
+
+
+def test_every_scalar_type(spark, people):
+    rows = read_layer(spark, people, "people", SCALARS).orderBy("fid").collect()
+    assert tuple(rows[0])[2:] == JIM[2:10] + ("this    ", "y") and bytes(rows[0]["geom"]) == b"14232"
+    assert tuple(rows[2]) == NOBODY
+
+
+def test_filters(spark, people):
+    df = read_layer(spark, people, "people", SCALARS)
+    name, age = F.col("name"), F.col("age")
+    assert fids(df.filter("fid = 4")) == []
+    assert fids(df.filter(name.isNull())) == [3]
+    assert fids(df.filter((name == "Jim") & (age <= 30))) == [1]
+    assert fids(df.filter((name == "Jim") & (age <= 30) & (F.col("dt") > F.lit("2010-10-01").cast("date")))) == [1]
+    either = df.filter((name == "Jim") | name.isNull())
+    assert fids(either) == [1, 3]
+    assert either.agg(F.listagg("name", F.lit(",")).alias("names")).first()["names"] == "Jim"
+
+
+def test_join_by_fid(spark, people):
+    df = read_layer(spark, people, "people", SCALARS)
+    pairs = df.select("fid", "name").join(df.select("fid", F.col("name").alias("other")), "fid").orderBy("fid").collect()
+    assert [(r["name"], r["other"]) for r in pairs] == [("Jim", "Jim"), ("Marvin", "Marvin"), (None, None)]
+
+
+def test_insert_update_delete(spark, people, tmp_path):
+    base = read_layer(spark, people, "people")
+    new = spark.createDataFrame([MARGARET], STORED.replace("fid bigint, ", ""))
+    grown, returned = insert(base, write_columns(new))
+    row = returned.first()
+    assert tuple(row)[2:] == MARGARET[1:] and row["fid"] == 4 and bytes(row["geom"]) == b"2222"
+    assert fids(grown) == [1, 2, 3, 4]
+    named = update_where(grown, F.col("age") == 12, {"name": F.lit("Maggie"), "num": F.lit("45.34"), "yn": F.lit("n")})
+    found = named.filter("fid = 4").select("name", "num", "yn").first()
+    assert tuple(found) == ("Maggie", Decimal("45.34"), "n")
+    change = spark.createDataFrame([(4, dt.date(2089, 12, 13), dt.time(1, 23, 45))], "fid bigint, dt date, tm time")
+    dated = update(named, change)
+    found = dated.filter("fid = 4").select("dt", "tm", "name").first()
+    assert tuple(found) == (dt.date(2089, 12, 13), dt.time(1, 23, 45), "Maggie")
+    left = delete(dated, spark.createDataFrame([(4,), (99,)], "fid bigint"))
+    assert fids(left) == [1, 2, 3]
+    path = str(tmp_path / "next")
+    write_layer(left, path)
+    assert fids(spark.read.parquet(path)) == [1, 2, 3]
+
+
+ARRAYS = "fid bigint, txt array<string>, int array<int>, flt array<double>, b array<boolean>"
+
+
+def test_arrays(spark):
+    rows = [
+        (1, ["Jim"], [1, 2, 3], [3.4, 5.6, 7.8], [True, False]),
+        (2, ["Jim", None, "Joe"], [1, 3, None, 4], [4.5, None, 3.4], [False, None]),
+        (3, None, None, None, None),
+    ]
+    base = spark.createDataFrame(rows, ARRAYS)
+    assert [tuple(r) for r in as_layer(base, ARRAYS).orderBy("fid").collect()] == rows
+    filled = as_layer(base, ARRAYS, null_elements=False).orderBy("fid").collect()
+    assert tuple(filled[1]) == (2, ["Jim", "", "Joe"], [1, 3, 0, 4], [4.5, 0.0, 3.4], [False, False])
+    assert tuple(filled[2]) == rows[2]
+    change = spark.createDataFrame(
+        [(3, ["newJim", "newJoe"], [-2, -1, 0, 1, 2], [-0.1, 0.0, 0.1])],
+        "fid bigint, txt array<string>, int array<int>, flt array<double>",
+    )
+    changed = update(base, change).filter("fid = 3").select("txt", "int", "flt").first()
+    assert tuple(changed) == (["newJim", "newJoe"], [-2, -1, 0, 1, 2], [-0.1, 0.0, 0.1])
+    stored = write_columns(base).filter("fid = 2").first()
+    assert tuple(stored) == (2, ["Jim", "Joe"], [1, 3, 4], [4.5, 3.4], [0])
+
+
+def test_box_filters(spark):
+    rows = [(1, 0.0, 0.0, "Jim", 23), (2, 100.0, 0.0, "Marvin", 34), (3, None, None, None, None)]
+    base = spark.createDataFrame(rows, "fid bigint, x double, y double, name string, age bigint")
+    layer = encode_points(base, "x", "y", srid=4326)
+    world, small = (-180, -90, 180, 90), (-1, -1, 1, 1)
+    young = bbox_filter(layer, small).filter((F.col("name") == "Jim") & (F.col("age") <= 30))
+    assert [tuple(r) for r in young.select("name", "age", to_wkt(F.col("geom"))).collect()] == [("Jim", 23, "POINT(0 0)")]
+    assert fids(intersects_box(layer, small)) == [1]
+    assert fids(bbox_filter(layer, world)) == [1, 2]
+    assert fids(layer.filter(bbox_meets(make_box(*world), F.col("geom_bbox")))) == [1, 2]
+    assert fids(layer.filter(bbox_meets(make_box(*world), world))) == [1, 2, 3]
+
+
+@pytest.fixture(scope="module")
+def csv_folder(tmp_path_factory):
+    root = tmp_path_factory.mktemp("csv")
+    lines = ["Peter,34,10.2", "John,77,3.4", "Paul,45,19.2", "Matthew,35,18.2"]
+    (root / "no_geom.csv").write_text("\n".join(["name,age,value", *lines]) + "\n")
+    (root / "no_geom_apost.csv").write_text("\n".join(['name,age,"person\'s value"', *lines, '"",44,34.3']) + "\n")
+    return str(root)
+
+
+def test_csv_layer_joins_series(spark, csv_folder):
+    df = read_layer(spark, csv_folder, "no_geom", "fid bigint, name string, age string, value string", fmt="csv")
+    series = spark.range(1, 5).withColumnRenamed("id", "fid")
+    rows = df.join(series, "fid").orderBy("fid").collect()
+    assert [tuple(r) for r in rows] == [
+        (1, "Peter", "34", "10.2"),
+        (2, "John", "77", "3.4"),
+        (3, "Paul", "45", "19.2"),
+        (4, "Matthew", "35", "18.2"),
+    ]
+
+
+def test_csv_empty_text_and_apostrophe(spark, csv_folder):
+    assert import_layers(spark, csv_folder, limit_to=["no_geom_apost"]) == 1
+    view = spark.table("no_geom_apost")
+    assert view.columns == ["fid", "name", "age", "person_s_value"]
+    assert [tuple(r) for r in view.filter("name = 'Paul'").select("name", "age").collect()] == [("Paul", "45")]
+    assert view.filter("name is null").count() == 0
+    assert [r["age"] for r in view.filter("name = ''").collect()] == ["44"]
+    typed = typed_csv(view, "name string, age int, person_s_value double").filter("age = 44").first()
+    assert tuple(typed) == ("", 44, 34.3)
+
+
+def test_database_scan_options():
+    assert jdbc_options("fid", 1, 1000, 8) == {
+        "partitionColumn": "fid",
+        "lowerBound": "1",
+        "upperBound": "1000",
+        "numPartitions": "8",
+    }
+
+
+APOSTLES = "fid int, joined int, name string, height float, born date, clock time, ts timestamp_ntz"
+
+
+def test_documented_layer(spark, tmp_path):
+    rows = [
+        (1, 30.31, 59.93, 1, "Peter", 1.6, dt.date(1912, 1, 10), dt.time(10, 10, 1), dt.datetime(1912, 1, 10, 10, 10, 1)),
+        (10, 79.13, 10.78, 10, "Thaddaeus", 1.88, dt.date(1903, 10, 7), dt.time(10, 10, 10), dt.datetime(1903, 10, 7, 10, 10, 10)),
+    ]
+    base = spark.createDataFrame(rows, APOSTLES.replace("fid int,", "fid int, x double, y double,"))
+    write_layer(encode_points(base, "x", "y", srid=4326).drop("x", "y"), str(tmp_path / "apostles.parquet"))
+    partial = read_layer(spark, str(tmp_path), "apostles", "clock time, name varchar(20)")
+    assert sorted(tuple(r) for r in partial.collect())[0] == (dt.time(10, 10, 1), "Peter")
+    mapped = read_layer(
+        spark, str(tmp_path), "apostles", "fid bigint, supertime time, thebestnamething string",
+        column_names={"supertime": "clock", "thebestnamething": "name"},
+    )
+    assert tuple(mapped.filter("fid = 10").first()) == (10, dt.time(10, 10, 10), "Thaddaeus")
+
+
+def test_written_times_round_as_a_whole(spark):
+    rows = [(dt.datetime(2001, 2, 11, 9, 59, 59, 600000), dt.time(9, 59, 59, 600000))]
+    df = spark.createDataFrame(rows, "stamp timestamp_ntz, clock time")
+    stored = write_columns(df).first()
+    assert tuple(stored) == (dt.datetime(2001, 2, 11, 10, 0, 0), dt.time(10, 0, 0))

@@ -1,0 +1,30 @@
+"""Every registered query against its SQL."""
+
+import importlib
+
+import pytest
+
+import check
+
+SOURCE = "/root/testdata/sf0.001"
+entry = importlib.import_module("__spark_entry__")
+
+
+@pytest.fixture(scope="module")
+def db():
+    return check.connect(SOURCE)
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query(spark, db, name):
+    result, _ = check.compare(spark, name, SOURCE, entry, db)
+    assert result.startswith("ok"), result
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_entry(spark):
+    rows = entry.entry(spark).collect()
+    assert rows and all(r["acctbal"] < 5000 and len(r["geom"]) == 21 for r in rows)
