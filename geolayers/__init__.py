@@ -34,11 +34,13 @@ from geolayers.operators.dml import (
 from geolayers.operators.spatial import (
     bbox_filter,
     bbox_join,
+    common_kind,
     encode_boxes,
     encode_points,
+    geometry_column,
     intersects_box,
 )
-from geolayers.sources.catalog import import_layers, layer_catalog
+from geolayers.sources.catalog import import_layers, layer_catalog, list_layers
 from geolayers.sources.fids import assign_fid
 from geolayers.sources.layers import layer_count, read_layer, write_layer
 from geolayers.sources.shapefile import ingest_shapefiles, read_shapefile
@@ -54,11 +56,13 @@ __all__ = [
     "box_wkb",
     "coerce_read",
     "coerce_write",
+    "common_kind",
     "delete",
     "delete_where",
     "encode_boxes",
     "encode_points",
     "envelope",
+    "geometry_column",
     "geometry_kind",
     "import_layers",
     "ingest_shapefiles",
@@ -69,6 +73,7 @@ __all__ = [
     "layer_catalog",
     "layer_count",
     "line_wkb",
+    "list_layers",
     "make_box",
     "point_wkb",
     "read_layer",

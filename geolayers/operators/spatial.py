@@ -5,7 +5,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from geolayers.functions.boxes import bbox_meets, bbox_within, make_box
-from geolayers.functions.wkb import box_wkb, envelope, geometry_kind, geometry_meets_box, point_wkb
+from geolayers.functions.wkb import box_wkb, envelope, geometry_kind, geometry_meets_box, point_wkb, strip_ewkb
 from geolayers.model import LayerError, box_name, geometry_metadata
 from geolayers.session import FIXED_WIDTH, broadcast_if_small, broadcast_limit, row_bytes
 
@@ -14,7 +14,7 @@ FINEST_CELL = 1e-6
 # Cell sizes go up in steps of 2 ** LEVEL_STEP.
 LEVEL_STEP = 2
 # A long thin box may cover 2 ** LONG_BITS more cells along its long side.
-LONG_BITS = 3
+LONG_BITS = 2
 
 
 def encode_points(df: DataFrame, x, y, name: str = "geom", srid: int | None = None) -> DataFrame:
@@ -38,6 +38,19 @@ def encode_boxes(df: DataFrame, xmin, ymin, xmax, ymax, name: str = "geom", srid
     )
 
 
+def geometry_column(df: DataFrame, name: str, srid: int | None = None, kind: str = "Geometry") -> DataFrame:
+    """Declare a binary column of WKB or EWKB as a geometry and add its box."""
+    plain = df.withColumn(name, strip_ewkb(F.col(f"`{name}`"))).withMetadata(name, geometry_metadata(srid, kind))
+    return plain.withColumn(box_name(name), envelope(F.col(f"`{name}`")))
+
+
+def common_kind(df: DataFrame, geom: str = "geom") -> DataFrame:
+    """The one kind of a layer's geometries, else ``Geometry``."""
+    kind = geometry_kind(F.col(f"`{geom}`"))
+    found = df.agg(F.min(kind).alias("low"), F.max(kind).alias("high"))
+    return found.select(F.when(F.col("low") == F.col("high"), F.col("low")).otherwise("Geometry").alias("kind"))
+
+
 def covering(df: DataFrame, geom: str) -> Column:
     """The stored box of a geometry column; computed if the layer has none."""
     if box_name(geom) in df.columns:
@@ -83,29 +96,28 @@ def _shift(n: Column, level: Column) -> Column:
     return F.call_function("shiftright", n, level)
 
 
+def _finest(side: Column, cell: float) -> Column:
+    return F.floor(side / F.lit(cell)).cast("bigint")
+
+
 def _placed(df: DataFrame, geom: str, cell: float, side: str) -> DataFrame:
-    """Add the box (``_l``/``_r``), its finest cells and its level."""
-    box = f"_{side}"
-    df = df.withColumn(box, covering(df, geom)).filter(F.col(box).isNotNull())
-    cells = {
-        f"{box}{name}": F.floor(F.col(box)[leaf] / F.lit(cell)).cast("bigint")
-        for name, leaf in (("x0", "xmin"), ("x1", "xmax"), ("y0", "ymin"), ("y1", "ymax"))
-    }
-    df = df.withColumns(cells)
-    wide, high = F.col(f"{box}x1") - F.col(f"{box}x0"), F.col(f"{box}y1") - F.col(f"{box}y0")
+    """Add the box (``_l`` / ``_r``), its last finest cells and its level."""
+    box = F.col(f"_{side}")
+    df = df.withColumn(f"_{side}", covering(df, geom)).filter(box.isNotNull())
+    wide = _finest(box["xmax"], cell) - _finest(box["xmin"], cell)
+    high = _finest(box["ymax"], cell) - _finest(box["ymin"], cell)
     exact = F.greatest(_bits(F.greatest(wide, high)) - LONG_BITS, _bits(F.least(wide, high)), F.lit(0))
-    level = (F.ceil(exact / LEVEL_STEP) * LEVEL_STEP).cast("int")
-    return df.withColumn(f"{box}level", level)
+    return df.withColumn(f"_{side}level", (F.ceil(exact / LEVEL_STEP) * LEVEL_STEP).cast("int"))
 
 
-def _entered(df: DataFrame, side: str, others: list[int]) -> DataFrame:
+def _entered(df: DataFrame, side: str, others: list[int], cell: float) -> DataFrame:
     """One row per cell under which a box can meet one of the other side.
 
     Lane 0 joins left boxes in their own cells with equal or smaller right
     boxes, lane 1 joins smaller left boxes with right boxes in their own cells.
     """
-    box = f"_{side}"
-    own = F.col(f"{box}level")
+    box = F.col(f"_{side}")
+    own = F.col(f"_{side}level")
     levels = F.array(*[F.lit(m) for m in others])
     coarser = F.filter(levels, lambda m: m > own)
 
@@ -125,9 +137,9 @@ def _entered(df: DataFrame, side: str, others: list[int]) -> DataFrame:
     df = df.withColumn("_entry", F.explode(F.concat(*lanes)))
     df = df.withColumns({"_level": F.col("_entry.level"), "_lane": F.col("_entry.lane")}).drop("_entry")
     for axis in ("x", "y"):
-        ends = [_shift(F.col(f"{box}{axis}{end}"), F.col("_level")) for end in (0, 1)]
+        ends = [_shift(_finest(box[f"{axis}{end}"], cell), F.col("_level")) for end in ("min", "max")]
         df = df.withColumn(f"_c{axis}", F.explode(F.sequence(*ends)))
-    return df.drop(f"{box}x1", f"{box}y1", f"{box}level")
+    return df.drop(f"_{side}level")
 
 
 CELL_KEY = ["_level", "_lane", "_cx", "_cy"]
@@ -193,7 +205,7 @@ def bbox_join(
         return joined
     spark = left.sparkSession
     entered = {
-        s: _entered(df.drop(*drop), s, sorted(seen["r" if s == "l" else "l"]["levels"])) for s, df in sides.items()
+        s: _entered(df.drop(*drop), s, sorted(seen["r" if s == "l" else "l"]["levels"]), cell) for s, df in sides.items()
     }
     small = min("lr", key=lambda s: seen[s]["rows"])
     if seen[small]["rows"] * FIXED_WIDTH <= broadcast_limit(spark):
@@ -222,14 +234,15 @@ def bbox_join(
                     for s in "lr"
                 ],
             )
-            hot = broadcast_if_small(hot, count, count * 3 * FIXED_WIDTH)
+            # Fewer rows than shuffle partitions on each side, by construction.
+            hot = F.broadcast(hot)
         for s in "lr":
             unique = ["fid"] if "fid" in keep[s] else keep[s]
             entered[s] = _salted(entered[s], hot, s, unique)
         keys = CELL_KEY + ["_lsalt", "_rsalt"]
     joined = entered["l"].join(entered["r"], keys)
     corner = [
-        F.col(f"_c{axis}") == _shift(F.greatest(F.col(f"_l{axis}0"), F.col(f"_r{axis}0")), F.col("_level"))
+        F.col(f"_c{axis}") == _shift(_finest(F.greatest(F.col("_l")[f"{axis}min"], F.col("_r")[f"{axis}min"]), cell), F.col("_level"))
         for axis in ("x", "y")
     ]
     meets = bbox_meets(F.col("_l"), F.col("_r"))

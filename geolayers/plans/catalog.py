@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from geolayers.plans.registry import query
-from geolayers.sources.catalog import layer_catalog
+from geolayers.sources.catalog import layer_catalog, list_layers
 from geolayers.sources.fids import assign_fid
 from geolayers.sources.layers import layer_count, read_layer
 
@@ -23,6 +23,11 @@ COLUMNS = f"""
 SHOWN = ["layer", "table_name", "ordinal", "column_name", "data_type", "column_option"]
 
 
+@query("layer_list", f"select layer, 'parquet' as fmt from (values {LAYERS}) t(layer)")
+def layer_list(spark, source):
+    return list_layers(spark, source)
+
+
 @query("layer_import", COLUMNS)
 def layer_import(spark, source):
     return layer_catalog(spark, source).select(SHOWN)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from geolayers.functions.boxes import bbox_meets, make_box
 from geolayers.functions.wkb import box_wkb, envelope, geometry_kind, line_wkb, point_wkb, strip_ewkb, to_wkt
-from geolayers.operators.spatial import bbox_filter, bbox_join, encode_boxes, encode_points, intersects_box
+from geolayers.operators.spatial import bbox_filter, bbox_join, common_kind, encode_boxes, encode_points, intersects_box
 from geolayers.plans.layers import (
     BOX_SIDE,
     BOXES,
@@ -98,6 +98,11 @@ def kinds(spark, source):
     return mixed.groupBy(geometry_kind(F.col("geom")).alias("kind")).agg(F.count("*").alias("n"))
 
 
+@query("geom_kind_layer", "select 'Point' as kind from customer having count(*) > 0")
+def layer_kind(spark, source):
+    return common_kind(encode_points(points(spark, source).drop("geom_bbox"), "x", "y"))
+
+
 @query(
     "ewkb_strip",
     f"with {POINTS} select fid, x, y, 25 as stored, 21 as stripped from points",

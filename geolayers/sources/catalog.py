@@ -43,6 +43,11 @@ def layer_files(spark: SparkSession, source: str) -> DataFrame:
     return found.groupBy("layer", "fmt").agg(F.min("path").alias("path"))
 
 
+def list_layers(spark: SparkSession, source: str) -> DataFrame:
+    """(layer, fmt) of every layer of a source, without opening a file."""
+    return layer_files(spark, source).select("layer", "fmt")
+
+
 def _parquet_columns(path: str):
     import pyarrow.parquet as pq
 
@@ -162,18 +167,18 @@ def layer_catalog(
     return layer_columns(files, launder_table_names, launder_column_names)
 
 
-def _check_clashes(catalog: DataFrame) -> None:
+def _check_clashes(layers) -> None:
     """Laundering may make two names equal; such a table cannot be imported."""
-    columns = catalog.groupBy("table_name", "layer", "column_name").agg(
-        F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("source_name")), ", ").alias("names")
-    )
-    clash = columns.filter("n > 1").first()
-    if clash is not None:
-        raise LayerError(f'layer "{clash["layer"]}": columns {clash["names"]} have the same laundered name')
-    tables = catalog.select("table_name", "layer", "fmt").distinct().groupBy("table_name").count()
-    clash = tables.filter("count > 1").first()
-    if clash is not None:
-        raise LayerError(f'several layers have the table name "{clash["table_name"]}"')
+    tables = {}
+    for row in layers:
+        names = {}
+        for column in row["columns"]:
+            names.setdefault(column["column_name"], []).append(column["source_name"])
+        for same in names.values():
+            if len(same) > 1:
+                raise LayerError(f'layer "{row["layer"]}": columns {same} have the same laundered name')
+        if tables.setdefault(row["table_name"], row["path"]) != row["path"]:
+            raise LayerError(f'several layers have the table name "{row["table_name"]}"')
 
 
 def import_layers(spark: SparkSession, source: str, encoding: str | None = None, **rules) -> int:
@@ -183,11 +188,11 @@ def import_layers(spark: SparkSession, source: str, encoding: str | None = None,
     error.  Only the catalog (names and types) comes to the driver.
     """
     catalog = layer_catalog(spark, source, **rules)
-    _check_clashes(catalog)
-    columns = catalog.groupBy("layer", "fmt", "table_name").agg(
+    columns = catalog.groupBy("layer", "fmt", "path", "table_name").agg(
         F.array_sort(F.collect_list(F.struct("ordinal", "source_name", "column_name"))).alias("columns")
     )
     chosen = columns.collect()
+    _check_clashes(chosen)
     for row in chosen:
         if row["fmt"] == "shp":
             df = read_shapefile(spark, source, row["layer"], encoding=encoding)

@@ -8,6 +8,7 @@ from geolayers.functions.text import charset
 from geolayers.functions.values import parse_text, write_columns
 from geolayers.functions.wkb import envelope
 from geolayers.model import LayerError, box_name, declare, geometry_metadata, is_geometry
+from geolayers.operators.spatial import geometry_column
 from geolayers.operators.columns import FID, fid_of, is_fid, match_columns, plain_type
 from geolayers.sources.fids import csv_fids, file_fids
 
@@ -51,6 +52,7 @@ def read_layer(
     srid: int | None = None,
     encoding: str | None = None,
     null_elements: bool = True,
+    geometry: list[str] | None = None,
     **options,
 ) -> DataFrame:
     """One layer of a source as a DataFrame.
@@ -58,12 +60,15 @@ def read_layer(
     ``columns`` declares the wanted columns (DDL string, StructType or fields),
     ``column_names`` maps declared names to other source names.  The feature id
     is ``fid_column``, else the layer's own ``fid``, else the place of the row
-    in the file: from 0 in Parquet, from 1 in CSV.  ``srid`` is stamped on every
-    geometry column without reprojection.
+    in the file: from 0 in Parquet, from 1 in CSV.  ``geometry`` names binary
+    columns of WKB or EWKB, such as a database returns.  ``srid`` is stamped on
+    every geometry column without reprojection.
     """
     if fmt == "csv":
         options = {**CSV_OPTIONS, **({"encoding": charset(encoding)} if encoding else {}), **options}
     df = _load(spark, fmt, source, layer, options)
+    for name in geometry or []:
+        df = geometry_column(df, name)
     if srid is not None:
         df = stamp_srid(df, srid)
     own_fid = fid_of(df.schema, fid_column)

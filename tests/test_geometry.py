@@ -8,7 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
-from geolayers import bbox_filter, bbox_meets, encode_points, envelope, geometry_kind, intersects_box, make_box, strip_ewkb, to_wkt
+from geolayers import bbox_filter, bbox_meets, common_kind, encode_points, envelope, geometry_kind, intersects_box, read_layer, strip_ewkb, to_wkt
 from geolayers.functions import wkb
 from geolayers.operators.spatial import encode_boxes
 
@@ -172,3 +172,22 @@ def test_rectangles(spark):
     df = encode_boxes(spark.createDataFrame([(1, 0.0, 1.0, 2.0, 3.0)], "fid bigint, a double, b double, c double, d double"), "a", "b", "c", "d")
     row = df.select(to_wkt(F.col("geom")).alias("t"), envelope(F.col("geom")).alias("e"), "geom_bbox").first()
     assert row["t"] == "POLYGON((0 1,0 3,2 3,2 1,0 1))" and row["e"] == row["geom_bbox"]
+
+
+def test_database_geometry_column(spark, tmp_path):
+    """EWKB as a database returns it, declared on reading."""
+    stored = "0101000020E610000000000000000059400000000000000000"
+    frame(spark, [bytes.fromhex(stored), None], "shape").write.parquet(str(tmp_path / "places.parquet"))
+    df = read_layer(spark, str(tmp_path), "places", "fid bigint, shape binary", geometry=["shape"], srid=4326)
+    assert df.schema["shape"].metadata["geometry"]["srid"] == 4326
+    rows = bbox_filter(df, (99, -1, 101, 1), "shape").select("fid", to_wkt(F.col("shape"))).collect()
+    assert [tuple(r) for r in rows] == [(0, "POINT(100 0)")]
+
+
+def test_common_kind(spark):
+    def kind(values):
+        return common_kind(frame(spark, values)).first()["kind"]
+
+    assert kind([c[0] for c in CASES]) == "Geometry"
+    assert kind([CASES[2][0], None]) == "PointZ"
+    assert kind([None]) == "Geometry"
