@@ -12,7 +12,6 @@ from geolayers.model import (
     source_type,
 )
 
-TIME_FORMAT = "HH:mm:ss"
 # What a NULL list element reads as, if asked for.
 LIST_DEFAULTS = {"IntegerList": 0, "Integer64List": 0, "RealList": 0.0, "StringList": ""}
 
@@ -99,14 +98,20 @@ def parse_text(value: Column, declared: T.DataType) -> Column:
 
 
 def rounded_second(stamp: Column) -> Column:
-    """Timestamp rounded to the second as a whole, so 59.6 s carries over."""
+    """Timestamp rounded to the second as a whole, so 59.6 s carries over.
+
+    The zone-free type is kept throughout: date_trunc() would pass through the
+    session's zone and move times that a clock change skips.
+    """
     moved = stamp.cast("timestamp_ntz") + F.expr("INTERVAL 500 MILLISECONDS")
-    return F.date_trunc("second", moved).cast("timestamp_ntz")
+    fraction = F.extract(F.lit("SECOND"), moved) % 1
+    return moved - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), fraction)
 
 
 def time_text(stamp: Column) -> Column:
-    """Time of day in whole seconds."""
-    return F.date_format(rounded_second(stamp), TIME_FORMAT)
+    """Time of day in whole seconds, from the text of the timestamp."""
+    clock = F.substring_index(rounded_second(stamp).cast("string"), " ", -1)
+    return F.substring(clock, 1, 8)
 
 
 def coerce_write(value: Column, data_type: T.DataType, column: str = "?", table: str = "?", stored=None) -> Column:

@@ -96,7 +96,7 @@ def datetime_read(spark, source):
         ts.cast("date").alias("day"),
         ts.cast("date").alias("day_start"),
         ts.cast("date").alias("day_text"),
-        F.date_format(ts, "HH:mm:ss").alias("clock"),
+        F.substring(F.substring_index(ts.cast("string"), " ", -1), 1, 8).alias("clock"),
         ts,
         ts.alias("iso"),
     )

@@ -22,7 +22,7 @@ from geolayers import (
     update_where,
     write_layer,
 )
-from geolayers.functions.values import coerce_write, write_columns
+from geolayers.functions.values import rounded_second, time_text, write_columns
 from geolayers.model import LayerError
 from geolayers.sources.layers import jdbc_options, typed_csv
 
@@ -195,3 +195,15 @@ def test_written_times_round_as_a_whole(spark):
     df = spark.createDataFrame(rows, "stamp timestamp_ntz, clock time")
     stored = write_columns(df).first()
     assert tuple(stored) == (dt.datetime(2001, 2, 11, 10, 0, 0), dt.time(10, 0, 0))
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_times_ignore_the_session_zone(spark, conf, zone):
+    conf("spark.sql.session.timeZone", zone)
+    skipped = dt.datetime(2024, 3, 10, 2, 30, 15, 500000)
+    df = spark.createDataFrame([(skipped,), (dt.datetime(1969, 12, 31, 23, 59, 59, 499999),)], "stamp timestamp_ntz")
+    rows = df.select(rounded_second(F.col("stamp")), time_text(F.col("stamp"))).collect()
+    assert [tuple(r) for r in rows] == [
+        (dt.datetime(2024, 3, 10, 2, 30, 16), "02:30:16"),
+        (dt.datetime(1969, 12, 31, 23, 59, 59), "23:59:59"),
+    ]
