@@ -7,12 +7,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from geolayers.functions.boxes import bbox_meets, bbox_within, make_box
 from geolayers.functions.wkb import box_wkb, envelope, geometry_kind, geometry_meets_box, point_wkb, strip_ewkb
 from geolayers.model import LayerError, box_name, geometry_metadata
-from geolayers.session import FIXED_WIDTH, broadcast_if_small, broadcast_limit, row_bytes
+from geolayers.session import FIXED_WIDTH, broadcast_limit, has_fixed_width, row_bytes
 
 # Finest cell of the join grid, in the units of the coordinates.
 FINEST_CELL = 1e-6
 # Cell sizes go up in steps of 2 ** LEVEL_STEP.
 LEVEL_STEP = 2
+# Bytes of a box and a cell key in a broadcast row.
+BOX_BYTES = 128
+# Largest share of the smaller side that one task holds as a hash table.
+HASH_BYTES = 64 << 20
 # A long thin box may cover 2 ** LONG_BITS more cells along its long side.
 LONG_BITS = 2
 
@@ -110,67 +114,116 @@ def _placed(df: DataFrame, geom: str, cell: float, side: str) -> DataFrame:
     return df.withColumn(f"_{side}level", (F.ceil(exact / LEVEL_STEP) * LEVEL_STEP).cast("int"))
 
 
-def _entered(df: DataFrame, side: str, others: list[int], cell: float) -> DataFrame:
-    """One row per cell under which a box can meet one of the other side.
+def _lanes(side: str, level: int, others: list[int]) -> list[int]:
+    """Entries of a box of ``level``, each level * 2 + lane.
 
     Lane 0 joins left boxes in their own cells with equal or smaller right
     boxes, lane 1 joins smaller left boxes with right boxes in their own cells.
     """
-    box = F.col(f"_{side}")
-    own = F.col(f"_{side}level")
-    levels = F.array(*[F.lit(m) for m in others])
-    coarser = F.filter(levels, lambda m: m > own)
+    coarser = [m for m in others if m > level]
+    if side == "l":
+        return [level * 2] * (level >= others[0]) + [m * 2 + 1 for m in coarser]
+    return [level * 2] * (level in others) + [m * 2 for m in coarser] + [level * 2 + 1] * (level > others[0])
 
-    def entries(levels_of, lane):
-        return F.transform(levels_of, lambda m: F.struct(m.alias("level"), F.lit(lane).alias("lane")))
 
-    none = F.filter(F.array(own), lambda m: F.lit(False))
-    here = F.array(own)
-    if side == "l":
-        lanes = [entries(F.when(own >= min(others), here).otherwise(none), 0), entries(coarser, 1)]
-    else:
-        lanes = [
-            entries(F.when(own.isin(others), here).otherwise(none), 0),
-            entries(coarser, 0),
-            entries(F.when(own > min(others), here).otherwise(none), 1),
-        ]
-    df = df.withColumn("_entry", F.explode(F.concat(*lanes)))
-    df = df.withColumns({"_level": F.col("_entry.level"), "_lane": F.col("_entry.lane")}).drop("_entry")
+def _level_of(entry: Column) -> Column:
+    return F.shiftright(entry, 1)
+
+
+def _entered(df: DataFrame, side: str, own: list[int], others: list[int], cell: float) -> DataFrame:
+    """One row per cell under which a box can meet one of the other side."""
+    box, level = F.col(f"_{side}"), F.col(f"_{side}level")
+    lanes = F.array().cast("array<int>")
+    for m in own:
+        lanes = F.when(level == m, F.lit(_lanes(side, m, others)).cast("array<int>")).otherwise(lanes)
+    df = df.withColumn("_entry", F.explode(lanes))
     for axis in ("x", "y"):
-        ends = [_shift(_finest(box[f"{axis}{end}"], cell), F.col("_level")) for end in ("min", "max")]
+        ends = [_shift(_finest(box[f"{axis}{end}"], cell), _level_of(F.col("_entry"))) for end in ("min", "max")]
         df = df.withColumn(f"_c{axis}", F.explode(F.sequence(*ends)))
     return df.drop(f"_{side}level")
 
 
-CELL_KEY = ["_level", "_lane", "_cx", "_cy"]
+CELL_KEY = ["_entry", "_cx", "_cy"]
+
+
+def _levels(placed: dict[str, DataFrame], cell: float) -> dict[str, dict[int, int]]:
+    """Own cells per level of each side, in one job: {side: {level: cells}}."""
+    parts = []
+    for side, df in placed.items():
+        box, level = F.col(f"_{side}"), F.col(f"_{side}level")
+        cells = F.lit(1).cast("bigint")
+        for axis in ("x", "y"):
+            first, last = (_shift(_finest(box[f"{axis}{end}"], cell), level) for end in ("min", "max"))
+            cells = cells * (last - first + 1)
+        parts.append(df.select(F.lit(side).alias("side"), level.alias("level"), cells.alias("cells")))
+    found = parts[0].unionByName(parts[1]).groupBy("side", "level").agg(F.sum("cells").alias("cells")).collect()
+    return {s: {r["level"]: r["cells"] for r in found if r["side"] == s} for s in placed}
+
+
+def _entries_at_most(side: str, own: dict[int, int], others: list[int]) -> int:
+    """Bound on the rows of ``_entered``: a coarser level never has more cells."""
+    return sum(cells * len(_lanes(side, level, others)) for level, cells in own.items())
 
 
-def _hot_cells(entered: DataFrame, side: str, partitions: int) -> tuple[DataFrame, int]:
-    """Cells with more rows than a mean shuffle partition; fewer than ``partitions``.
+def _small_side(placed: dict[str, DataFrame], entries: dict[str, int]) -> tuple[str, int]:
+    """-> (side with fewer entries, bound on its bytes).
 
-    A frequent-items sketch finds them in one pass without a shuffle of keys.
-    It only steers how cells are split; the join itself sees every row.
+    The width of the rows is measured only where the number of entries alone
+    does not rule a broadcast out, and only if some column has no fixed width.
     """
-    tracked = min(max(16 * partitions, 1024), 1_000_000)
-    wanted = min(partitions, tracked)
-    keyed = entered.select(F.xxhash64(*CELL_KEY).alias("_key"))
-    sketch = keyed.agg(
-        F.count("*").alias("rows"), F.expr(f"approx_top_k(_key, {wanted}, {tracked})").alias("top")
-    ).first()
-    mean = max(1, sketch["rows"] // partitions)
-    hot = [(item["item"], math.ceil(item["count"] / mean)) for item in sketch["top"] if item["count"] > 2 * mean]
-    return entered.sparkSession.createDataFrame(hot, f"_key bigint, _{side}parts bigint"), len(hot)
-
-
-def _salted(entered: DataFrame, hot: DataFrame | None, side: str, unique: list[str]) -> DataFrame:
+    side = min("lr", key=entries.get)
+    df = placed[side]
+    limit = broadcast_limit(df.sparkSession)
+    widest = FIXED_WIDTH * (len(df.columns) + 8)
+    if entries[side] * FIXED_WIDTH <= limit and not all(has_fixed_width(f.dataType) for f in df.schema):
+        widest += df.agg(F.max(row_bytes(df)).alias("bytes")).first()["bytes"]
+    return side, entries[side] * (widest + BOX_BYTES)
+
+
+def _hot_cells(entered: dict[str, DataFrame], entries: dict[str, int], partitions: int) -> list[tuple[str, int, int]]:
+    """(side, cell key, parts) of cells with more rows than two mean partitions.
+
+    Frequent-items sketches, one per side and slice of the keys, find them in
+    one job that merges on many tasks.  The result only steers how cells are
+    split: the join sees every row.  There can be no more hot cells on a side
+    than half the shuffle partitions, so the list is small.
+    """
+    slices, tracked = min(64, partitions), max(1024, partitions // 4)
+    keyed = [df.select(F.lit(s).alias("side"), F.xxhash64(*CELL_KEY).alias("key")) for s, df in entered.items()]
+    sketch = (
+        keyed[0]
+        .unionByName(keyed[1])
+        .groupBy("side", F.pmod("key", F.lit(slices)))
+        .agg(F.expr(f"approx_top_k(key, {tracked}, {tracked})").alias("top"))
+    )
+    mean = F.when(F.col("side") == "l", max(1, entries["l"] // partitions)).otherwise(max(1, entries["r"] // partitions))
+    items = sketch.select("side", F.explode("top").alias("top")).select(
+        "side", F.col("top.item").alias("key"), F.ceil(F.col("top.count") / mean).alias("parts")
+    )
+    return [tuple(r) for r in items.filter("parts > 2").collect()]
+
+
+def _splits(spark, hot: list[tuple[str, int, int]], partitions: int) -> DataFrame:
+    """Cell key -> parts of each side.  Where both sides are hot, the grid of
+    their parts stays near the number of shuffle partitions."""
+    parts: dict[int, dict[str, int]] = {}
+    for side, key, count in hot:
+        parts.setdefault(key, {"l": 1, "r": 1})[side] = count
+    rows = []
+    for key, both in parts.items():
+        product = both["l"] * both["r"]
+        scale = min(1.0, math.sqrt(partitions / product)) if min(both.values()) > 1 else 1.0
+        rows.append((key, *[max(1, math.ceil(both[s] * scale)) for s in "lr"]))
+    return F.broadcast(spark.createDataFrame(rows, "_key bigint, _lparts int, _rparts int"))
+
+
+def _salted(entered: DataFrame, splits: DataFrame, side: str, unique: list[str]) -> DataFrame:
     """Split the rows of hot cells; the other side's splits see a copy of each."""
-    if hot is None:
-        return entered.withColumns({"_lsalt": F.lit(0), "_rsalt": F.lit(0)})
     other = "r" if side == "l" else "l"
     parts = {s: F.coalesce(F.col(f"_{s}parts"), F.lit(1)) for s in "lr"}
     own = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in unique]), parts[side]).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), (parts[other] - 1).cast("int")))
-    df = entered.withColumn("_key", F.xxhash64(*CELL_KEY)).join(hot, "_key", "left")
+    copies = F.explode(F.sequence(F.lit(0), parts[other] - 1))
+    df = entered.withColumn("_key", F.xxhash64(*CELL_KEY)).join(splits, "_key", "left")
     return df.withColumn(f"_{side}salt", own).withColumn(f"_{other}salt", copies).drop("_key", "_lparts", "_rparts")
 
 
@@ -191,59 +244,35 @@ def bbox_join(
     clash = (set(left.columns) & set(right.columns)) - drop
     if clash:
         raise LayerError(f"both sides of the join have columns {sorted(clash)}")
-    sides = {"l": _placed(left, left_geom, cell, "l"), "r": _placed(right, right_geom, cell, "r")}
-    seen = {
-        s: df.agg(F.count("*").alias("rows"), F.collect_set(f"_{s}level").alias("levels")).first()
-        for s, df in sides.items()
-    }
-    keep = {
-        "l": [c for c in left.columns if c not in drop],
-        "r": [c for c in right.columns if c not in drop],
+    keep = {s: [c for c in df.columns if c not in drop] for s, df in (("l", left), ("r", right))}
+    placed = {
+        "l": _placed(left, left_geom, cell, "l").drop(*drop),
+        "r": _placed(right, right_geom, cell, "r").drop(*drop),
     }
-    if not seen["l"]["rows"] or not seen["r"]["rows"]:
-        joined = left.select(keep["l"]).join(right.select(keep["r"]), F.lit(False))
-        return joined
+    own = _levels(placed, cell)
+    if not own["l"] or not own["r"]:
+        return left.select(keep["l"]).join(right.select(keep["r"]), F.lit(False))
+    others = {"l": sorted(own["r"]), "r": sorted(own["l"])}
+    entries = {s: _entries_at_most(s, own[s], others[s]) for s in "lr"}
+    entered = {s: _entered(df, s, sorted(own[s]), others[s], cell) for s, df in placed.items()}
+    keys = CELL_KEY
     spark = left.sparkSession
-    entered = {
-        s: _entered(df.drop(*drop), s, sorted(seen["r" if s == "l" else "l"]["levels"]), cell) for s, df in sides.items()
-    }
-    small = min("lr", key=lambda s: seen[s]["rows"])
-    if seen[small]["rows"] * FIXED_WIDTH <= broadcast_limit(spark):
-        size = entered[small].agg(F.count("*").alias("n"), F.sum(row_bytes(entered[small])).alias("bytes")).first()
-        hinted = broadcast_if_small(entered[small], size["n"], size["bytes"] or 0)
-    else:
-        hinted = entered[small]
-    if hinted is not entered[small]:
-        entered[small] = hinted
-        keys = CELL_KEY
+    small, size = _small_side(placed, entries)
+    if size <= broadcast_limit(spark):
+        entered[small] = F.broadcast(entered[small])
     else:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        found = {s: _hot_cells(df, s, partitions) for s, df in entered.items()}
-        hot, count = None, found["l"][1] + found["r"][1]
-        if count:
-            hot = found["l"][0].join(found["r"][0], "_key", "full")
-            parts = {s: F.coalesce(F.col(f"_{s}parts"), F.lit(1)) for s in "lr"}
-            # Where both sides are hot, the grid of splits stays near the
-            # number of shuffle partitions.
-            scale = F.least(F.lit(1.0), F.sqrt(F.lit(float(partitions)) / (parts["l"] * parts["r"])))
-            both = (parts["l"] > 1) & (parts["r"] > 1)
-            hot = hot.select(
-                "_key",
-                *[
-                    F.when(both, F.ceil(parts[s] * scale)).otherwise(parts[s]).cast("bigint").alias(f"_{s}parts")
-                    for s in "lr"
-                ],
-            )
-            # Fewer rows than shuffle partitions on each side, by construction.
-            hot = F.broadcast(hot)
-        for s in "lr":
-            unique = ["fid"] if "fid" in keep[s] else keep[s]
-            entered[s] = _salted(entered[s], hot, s, unique)
-        keys = CELL_KEY + ["_lsalt", "_rsalt"]
+        hot = _hot_cells(entered, entries, partitions)
+        if hot:
+            splits = _splits(spark, hot, partitions)
+            for s in "lr":
+                unique = ["fid"] if "fid" in keep[s] else keep[s]
+                entered[s] = _salted(entered[s], splits, s, unique)
+            keys = CELL_KEY + ["_lsalt", "_rsalt"]
+        if size <= partitions * HASH_BYTES:
+            entered[small] = entered[small].hint("shuffle_hash")
     joined = entered["l"].join(entered["r"], keys)
-    corner = [
-        F.col(f"_c{axis}") == _shift(_finest(F.greatest(F.col("_l")[f"{axis}min"], F.col("_r")[f"{axis}min"]), cell), F.col("_level"))
-        for axis in ("x", "y")
-    ]
+    lowest = {axis: F.greatest(F.col("_l")[f"{axis}min"], F.col("_r")[f"{axis}min"]) for axis in "xy"}
+    corner = [F.col(f"_c{axis}") == _shift(_finest(lowest[axis], cell), _level_of(F.col("_entry"))) for axis in "xy"]
     meets = bbox_meets(F.col("_l"), F.col("_r"))
     return joined.filter(corner[0] & corner[1] & meets).select(*keep["l"], *keep["r"])

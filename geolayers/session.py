@@ -28,6 +28,14 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def has_fixed_width(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return all(has_fixed_width(f.dataType) for f in data_type)
+    return not isinstance(
+        data_type, (T.StringType, T.VarcharType, T.CharType, T.BinaryType, T.ArrayType, T.MapType, T.VariantType)
+    )
+
+
 def row_bytes(df: DataFrame):
     """Column with the approximate width of each row in memory."""
     parts = []

@@ -1,5 +1,7 @@
 """Layers as DataFrames: Parquet, CSV and database tables in, Parquet out."""
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,7 +24,10 @@ def _load(spark: SparkSession, fmt: str, source: str, layer: str, options: dict)
     reader = spark.read.format(fmt).options(**options)
     if fmt == "jdbc":
         return reader.option("url", source).option("dbtable", layer).load()
-    for path in (f"{source}/{layer}.{fmt}", f"{source}/{layer}"):
+    # A layer's name is literal: characters that mean something in a path
+    # pattern are escaped.
+    name = re.sub(r"([*?\[\]{}\\])", r"\\\1", layer)
+    for path in (f"{source}/{name}.{fmt}", f"{source}/{name}"):
         try:
             return reader.load(path)
         except AnalysisException as error:

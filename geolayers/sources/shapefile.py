@@ -203,9 +203,9 @@ def _column(raw: np.ndarray, kind: str, data_type: T.DataType, encoding: str) ->
     return pa.array(present, arrow[type(data_type)])
 
 
-def _read_range(stem: str, first: int, count: int, schema: T.StructType, encoding: str):
+def _read_range(stem: str, table, first: int, count: int, schema: T.StructType, encoding: str):
     """Arrow batch of the records first .. first + count - 1; deleted ones skipped."""
-    _, header, size, fields = dbf_fields(stem)
+    _, header, size, fields = table
     layout = np.dtype([("_deleted", "S1")] + [(f"f{i}", f"V{f[2]}") for i, f in enumerate(fields)])
     rows = np.frombuffer(read_range(stem + "dbf", header + first * size, count * size), np.uint8)
     rows = rows.reshape(-1, size)[:, : layout.itemsize].copy().view(layout)[:, 0]
@@ -243,13 +243,14 @@ def read_shapefile(
     The encoding is the argument, else the ``.cpg`` file next to the layer, else
     ISO-8859-1.  Only headers are read on the driver.
     """
-    found = list_files(spark, folder, f"{layer}.shp").select("path").first()
+    found = list_files(spark, folder, "*.shp").filter(F.col("path").endswith(f"/{layer}.shp")).select("path").first()
     if found is None:
         raise LayerError(f'unable to find layer "{layer}" in "{folder}"')
     stem = found["path"][: -len("shp")]
     schema = layer_schema(stem)
     text = charset(encoding or _optional(stem, "cpg").strip() or "ISO-8859-1")
-    records = dbf_fields(stem)[0]
+    table = dbf_fields(stem)
+    records = table[0]
     tasks = max(1, -(-records // records_per_task))
 
     def read(batches):
@@ -257,7 +258,7 @@ def read_shapefile(
             for number in batch.column(0).to_pylist():
                 stop = min(records, (number + 1) * records_per_task)
                 for first in range(number * records_per_task, stop, RECORDS_PER_BATCH):
-                    yield _read_range(stem, first, min(RECORDS_PER_BATCH, stop - first), schema, text)
+                    yield _read_range(stem, table, first, min(RECORDS_PER_BATCH, stop - first), schema, text)
 
     ranges = spark.range(0, tasks, 1, tasks)
     df = ranges.mapInArrow(read, schema)

@@ -48,10 +48,12 @@ def random_boxes(rng, n):
     return out
 
 
-@pytest.fixture(params=["broadcast", "shuffle"])
-def strategy(request, conf):
-    if request.param == "shuffle":
+@pytest.fixture(params=["broadcast", "hash", "sort"])
+def strategy(request, conf, monkeypatch):
+    if request.param != "broadcast":
         conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    if request.param == "sort":
+        monkeypatch.setattr(spatial, "HASH_BYTES", 0)
     return request.param
 
 
@@ -74,7 +76,7 @@ box = st.tuples(number, number, st.integers(0, 60), st.integers(0, 60)).map(lamb
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(box, min_size=1, max_size=40), st.lists(box, min_size=1, max_size=40), st.sampled_from([1e-6, 0.25, 3.0]))
-def test_small_boxes(spark, left, right, cell):
+def test_small_boxes(spark, left, right, cell):  # strategies are covered above
     assert joined(spark, left, right, cell=cell) == brute(left, right)
 
 
@@ -90,19 +92,38 @@ def test_hot_place_is_split(spark, conf, monkeypatch):
     original = spatial._hot_cells
     monkeypatch.setattr(spatial, "_hot_cells", lambda *a: found.append(original(*a)) or found[-1])
     assert joined(spark, left, right) == brute(left, right)
-    assert sum(count for _, count in found) > 0
-    parts = [r for df, count in found if count for r in df.collect()]
-    assert max(r[1] for r in parts) > 1
+    assert {side for side, _, parts in found[0] if parts > 2} == {"l", "r"}
 
 
-def test_no_cross_join(spark, conf):
+def test_no_cross_join(spark, conf, monkeypatch):
     rng = random.Random(5)
     left, right = frame(spark, random_boxes(rng, 50), "l", "one"), frame(spark, random_boxes(rng, 50), "r", "two")
     assert "BroadcastHashJoin" in plan_of(bbox_join(left, right, "one", "two"))
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    plan = plan_of(bbox_join(left, right, "one", "two"))
-    assert "SortMergeJoin" in plan
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    for limit, strategy in ((spatial.HASH_BYTES, "ShuffledHashJoin"), (0, "SortMergeJoin")):
+        monkeypatch.setattr(spatial, "HASH_BYTES", limit)
+        plan = plan_of(bbox_join(left, right, "one", "two"))
+        assert strategy in plan
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_copies_without_id_are_kept(spark, conf):
+    """Equal rows without a fid: every copy pairs, however cells are split."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.shuffle.partitions", "100")
+    left = frame(spark, [(1.0, 1.0, 1.0, 1.0)] * 60, "l", "one").withColumn("l", F.lit(0))
+    right = frame(spark, [(0.0, 0.0, 2.0, 2.0)] * 50 + [(5.0, 5.0, 6.0, 6.0)] * 50, "r", "two")
+    assert bbox_join(left, right, "one", "two").count() == 3000
+
+
+def test_wide_rows_are_not_broadcast(spark):
+    rows = [(i, float(i), "x" * 40000) for i in range(300)]
+    left = spark.createDataFrame(rows, "l bigint, x double, text string")
+    left = left.select("l", "text", make_box(F.col("x"), F.col("x"), F.col("x"), F.col("x")).alias("one_bbox"))
+    right = frame(spark, [(float(i), float(i), i + 0.5, i + 0.5) for i in range(3000)], "r", "two")
+    df = bbox_join(left, right, "one", "two")
+    assert "text" not in plan_of(df).split("BroadcastExchange")[-1] if "BroadcastExchange" in plan_of(df) else True
+    assert df.count() == 300
 
 
 def test_empty_side_and_clash(spark):

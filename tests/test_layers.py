@@ -62,6 +62,13 @@ def test_unknown_layer(spark):
         read_layer(spark, SF, "nothing")
 
 
+def test_layer_names_are_literal(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "odd [x] *1.parquet"))
+    assert read_layer(spark, str(tmp_path), "odd [x] *1").count() == 3
+    with pytest.raises(LayerError):
+        read_layer(spark, str(tmp_path), "odd*")
+
+
 def test_fid_rules(spark):
     df = spark.createDataFrame([(7, "a", "x")], "fid bigint, name string, other string")
     assert as_layer(df, "FID int, name string").first()["FID"] == 7
