@@ -332,13 +332,25 @@ def box_wkb(box: Column) -> Column:
 
 @F.arrow_udf(T.BinaryType())
 def _line_wkb(xs: pa.Array, ys: pa.Array) -> pa.Array:
-    out = [
-        None if x is None or y is None else write_geometry(LINESTRING, np.column_stack([x, y]))
-        for x, y in zip(xs.to_pylist(), ys.to_pylist())
-    ]
+    out = np.full(len(xs), None, object)
+    starts, counts, values = zip(*map(_lists, (xs, ys)))
+    counts = np.where((counts[0] < 0) | (counts[1] < 0), -1, np.minimum(*counts))
+    for n in np.unique(counts[counts >= 0]):
+        rows = np.flatnonzero(counts == n)
+        x, y = (v[s[rows, None] + np.arange(n)] for v, s in zip(values, starts))
+        coords = np.stack([x, y], axis=2).reshape(len(rows), 2 * n)
+        header = struct.pack("<BII", 1, LINESTRING, n)
+        out[rows] = _with_header(header, coords, np.zeros(len(rows), bool)).to_pylist()
     return pa.array(out, pa.binary())
 
 
+def _lists(values: pa.Array):
+    """-> (start of each list, its length or -1 for NULL, all elements)."""
+    offsets = values.offsets.to_numpy()
+    counts = np.where(values.is_null().to_numpy(False), -1, np.diff(offsets))
+    return offsets[:-1], counts, values.values.to_numpy(False)
+
+
 def line_wkb(xs: Column, ys: Column) -> Column:
     """Line string through the points of two equally long arrays."""
     return _line_wkb(xs.cast("array<double>"), ys.cast("array<double>"))

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
-from geolayers import bbox_filter, bbox_meets, common_kind, encode_points, envelope, geometry_kind, intersects_box, read_layer, strip_ewkb, to_wkt
+from geolayers import bbox_filter, bbox_meets, common_kind, encode_points, envelope, geometry_kind, intersects_box, line_wkb, read_layer, strip_ewkb, to_wkt
 from geolayers.functions import wkb
 from geolayers.operators.spatial import encode_boxes
 
@@ -191,3 +191,12 @@ def test_common_kind(spark):
     assert kind([c[0] for c in CASES]) == "Geometry"
     assert kind([CASES[2][0], None]) == "PointZ"
     assert kind([None]) == "Geometry"
+
+
+def test_lines_from_arrays(spark):
+    rows = [(0, [0.0, 1.0], [2.0, 3.0]), (1, None, [1.0]), (2, [], []), (3, [1.0, 2.0, 3.0], [4.0, 5.0, 6.0]), (4, [9.0, 8.0], [7.0, 6.0])]
+    df = spark.createDataFrame(rows, "fid bigint, xs array<double>, ys array<double>").coalesce(1)
+    df = df.filter("fid >= 0").select("fid", line_wkb(F.col("xs"), F.col("ys")).alias("geom"))
+    assert results(df, to_wkt(F.col("geom"))) == [
+        "LINESTRING(0 2,1 3)", None, "LINESTRING EMPTY", "LINESTRING(1 4,2 5,3 6)", "LINESTRING(9 7,8 6)",
+    ]
