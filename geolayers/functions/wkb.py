@@ -45,33 +45,29 @@ def _little_endian(wkb: Column) -> Column:
     return F.hex(F.substring(wkb, 1, 1)) == "01"
 
 
-def _type_word(wkb: Column) -> Column:
-    octets = [F.hex(F.substring(wkb, i, 1)) for i in (2, 3, 4, 5)]
-    word = F.when(_little_endian(wkb), F.concat(*octets[::-1])).otherwise(F.concat(*octets))
-    return F.conv(word, 16, 10).cast("bigint")
+def _kind_words() -> dict[str, str]:
+    """Type word in hex -> kind name, for ISO codes and EWKB flags alike."""
+    words = {}
+    for has_z, has_m in ((0, 0), (1, 0), (0, 1), (1, 1)):
+        for code, name in enumerate(KINDS):
+            iso = code + 1000 * has_z + 2000 * has_m
+            flagged = code | EWKB_Z * has_z | EWKB_M * has_m
+            for word in (iso, flagged, iso | EWKB_SRID, flagged | EWKB_SRID):
+                words[f"{word:08X}"] = name + "Z" * has_z + "M" * has_m
+    return words
 
 
-def geometry_kind(wkb: Column) -> Column:
-    """Kind name with suffix Z / M, e.g. ``MultiPolygonZ``.
+KIND_WORDS = _kind_words()
 
-    Plain little-endian headers, the usual case, are settled by one comparison
-    each; only other headers have their type word taken apart.
-    """
+
+def geometry_kind(wkb: Column) -> Column:
+    """Kind name with suffix Z / M, e.g. ``MultiPolygonZ``; an error if unknown."""
     header = F.hex(F.substring(wkb, 1, 5))
-    usual = F.lit(None).cast("string")
-    for code in range(len(KINDS) - 1, 0, -1):
-        usual = F.when(header == struct.pack("<BI", 1, code).hex().upper(), KINDS[code]).otherwise(usual)
-    word = _type_word(wkb)
-    iso = word.bitwiseAND(F.lit(0x1FFFFFFF))
-    code, dims = iso % 1000, F.floor(iso / 1000)
-    has_z = (word.bitwiseAND(F.lit(EWKB_Z)) != 0) | dims.isin(1, 3)
-    has_m = (word.bitwiseAND(F.lit(EWKB_M)) != 0) | dims.isin(2, 3)
-    names = F.array(*[F.lit(k) for k in KINDS])
-    known = F.when(code < len(KINDS), F.get(names, code.cast("int"))).otherwise(
-        F.raise_error(F.concat(F.lit("cannot handle geometry type "), code.cast("string")))
-    )
-    marked = F.concat(known, F.when(has_z, "Z").otherwise(""), F.when(has_m, "M").otherwise(""))
-    return F.when(wkb.isNotNull(), F.coalesce(usual, marked))
+    swapped = F.concat(*[F.substring(header, at, 2) for at in (9, 7, 5, 3)])
+    word = F.when(header.startswith("01"), swapped).otherwise(F.substring(header, 3, 8))
+    names = F.create_map(*[F.lit(text) for item in KIND_WORDS.items() for text in item])
+    unknown = F.concat(F.lit("cannot handle geometry type "), F.conv(word, 16, 10))
+    return F.when(wkb.isNotNull(), F.coalesce(F.try_element_at(names, word), F.raise_error(unknown)))
 
 
 def strip_ewkb(wkb: Column) -> Column:

@@ -4,9 +4,11 @@ Each returns the changed layer as a new DataFrame that the caller writes to a
 new path.  Writing over the path that is being read destroys the input.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from geolayers.model import LayerError
+from geolayers.functions.values import coerce_write
+from geolayers.functions.wkb import envelope, strip_ewkb
+from geolayers.model import LayerError, STORED_AS, box_name, declared_name, is_geometry
 from geolayers.session import broadcast_if_small, row_bytes
 from geolayers.sources.fids import FID, assign_fid
 
@@ -26,14 +28,38 @@ def _hinted(df: DataFrame) -> DataFrame:
     return broadcast_if_small(df, size["rows"], size["bytes"] or 0)
 
 
+def _stored(value: Column, field: T.StructField) -> Column:
+    """A new value as the layer stores it, in the type of the layer's column.
+
+    Times are rounded to seconds, NULL list elements dropped, the SRID word of
+    EWKB removed.
+    """
+    if is_geometry(field):
+        return strip_ewkb(value)
+    value = value.cast(field.dataType)
+    if isinstance(field.dataType, T.VariantType) or declared_name(field.dataType) not in STORED_AS:
+        return value
+    return coerce_write(value, field.dataType, field.name).cast(field.dataType)
+
+
+def _with_boxes(base: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows with new geometries get new boxes, unless they bring them along."""
+    for field in base.schema:
+        box = box_name(field.name)
+        if is_geometry(field) and box in base.columns and field.name in new.columns and box not in new.columns:
+            new = new.withColumn(box, envelope(F.col(f"`{field.name}`")))
+    return new
+
+
 def insert(base: DataFrame, new: DataFrame, order_by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """-> (layer with the new rows, the new rows with their ids).
 
-    Rows without a fid get ids after the largest one, in partition order or in
+    New geometries get their boxes.  Rows without a fid get ids after the largest one, in partition order or in
     the order of ``order_by``; a given fid is kept and must be free.  Columns
     that the layer lacks are ignored, columns that the rows lack are NULL.
     """
     _need_fid(base)
+    new = _with_boxes(base, new)
     extra = [c for c in new.columns if c not in base.columns]
     missing = [c for c in base.columns if c not in new.columns and c != FID]
     last = base.agg(F.max(FID).alias("last")).first()["last"]
@@ -56,7 +82,7 @@ def insert(base: DataFrame, new: DataFrame, order_by: list[str] | None = None) -
     numbered = numbered.drop(*extra).withColumns({c: F.lit(None).cast(types[c]) for c in missing})
     fields = {f.name: f for f in base.schema}
     stored = numbered.select(
-        [F.col(f"`{c}`").cast(types[c]).alias(c, metadata=fields[c].metadata) for c in base.columns]
+        [_stored(F.col(f"`{c}`"), fields[c]).alias(c, metadata=fields[c].metadata) for c in base.columns]
     )
     return base.unionByName(stored), stored
 
@@ -64,13 +90,16 @@ def insert(base: DataFrame, new: DataFrame, order_by: list[str] | None = None) -
 def update(base: DataFrame, changes: DataFrame) -> DataFrame:
     """Overwrite the columns of ``changes`` in the features with its fids.
 
-    A NULL in ``changes`` becomes NULL in the layer.  An unknown or repeated fid
-    is an error, checked against the fid column alone before the join.
+    A NULL in ``changes`` becomes NULL in the layer; a changed geometry gets its
+    new box.  An unknown or repeated fid is an error, checked against the fid
+    column alone before the join.  ``changes`` is read three times, so store an
+    expensive one first.
     """
     _need_fid(base, changes)
     unknown = [c for c in changes.columns if c not in base.columns]
     if unknown:
         raise LayerError(f"layer has no columns {unknown}")
+    changes = _with_boxes(base, changes)
     changed = [c for c in changes.columns if c != FID]
     size = changes.agg(
         F.count("*").alias("rows"), F.countDistinct(FID).alias("fids"), F.sum(row_bytes(changes)).alias("bytes")
@@ -91,7 +120,7 @@ def update(base: DataFrame, changes: DataFrame) -> DataFrame:
     for field in base.schema:
         old = F.col(f"`{field.name}`")
         if field.name in changed:
-            new = F.col(f"`_new_{field.name}`").cast(field.dataType)
+            new = _stored(F.col(f"`_new_{field.name}`"), field)
             old = F.when(F.col("_changed"), new).otherwise(old)
         out.append(old.alias(field.name, metadata=field.metadata))
     return joined.select(out)
@@ -105,11 +134,15 @@ def update_where(base: DataFrame, condition: Column, values: dict[str, Column])
     unknown = [c for c in values if c not in base.columns]
     if unknown:
         raise LayerError(f"layer has no columns {unknown}")
+    values = dict(values)
+    for field in base.schema:
+        if is_geometry(field) and field.name in values and box_name(field.name) in base.columns:
+            values.setdefault(box_name(field.name), envelope(values[field.name]))
     out = []
     for field in base.schema:
         old = F.col(f"`{field.name}`")
         if field.name in values:
-            old = F.when(condition, values[field.name].cast(field.dataType)).otherwise(old)
+            old = F.when(condition, _stored(values[field.name], field)).otherwise(old)
         out.append(old.alias(field.name, metadata=field.metadata))
     return base.select(out)
 

@@ -75,7 +75,7 @@ def test_join_by_fid(spark, people):
 def test_insert_update_delete(spark, people, tmp_path):
     base = read_layer(spark, people, "people")
     new = spark.createDataFrame([MARGARET], STORED.replace("fid bigint, ", ""))
-    grown, returned = insert(base, write_columns(new))
+    grown, returned = insert(base, new)
     row = returned.first()
     assert tuple(row)[2:] == MARGARET[1:] and row["fid"] == 4 and bytes(row["geom"]) == b"2222"
     assert fids(grown) == [1, 2, 3, 4]

@@ -249,6 +249,34 @@ def test_delete_where_keeps_unknown(spark):
     assert [r["fid"] for r in delete_where(df, F.col("n") > 1).collect()] == [1]
 
 
+def test_changed_geometries_get_new_boxes(spark):
+    start = spark.createDataFrame([(1, 0.0, 0.0), (2, 5.0, 5.0)], "fid bigint, x double, y double")
+    layer = encode_points(start, "x", "y").drop("x", "y")
+    # Fixed value: EWKB of POINT(100 0) in SRID 4326.
+    ewkb = bytearray.fromhex("0101000020E610000000000000000059400000000000000000")
+    moved = spark.createDataFrame([(2, ewkb)], "fid bigint, geom binary")
+    there = (99, -1, 101, 1)
+    for changed in (
+        insert(layer, moved.drop("fid"))[0],
+        update(layer, moved),
+        update_where(layer, F.col("fid") == 2, {"geom": F.lit(bytes(ewkb))}),
+    ):
+        found = bbox_filter(changed, there).collect()
+        assert len(found) == 1 and len(found[0]["geom"]) == 21
+        assert changed.schema["geom"].metadata == layer.schema["geom"].metadata
+
+
+def test_written_values_follow_the_storage_rules(spark):
+    import datetime as dt
+
+    base = spark.createDataFrame([(1, None, None)], "fid bigint, stamp timestamp_ntz, nums array<int>")
+    late = dt.datetime(2001, 2, 11, 9, 59, 59, 600000)
+    new = spark.createDataFrame([(late, [1, None, 2])], "stamp timestamp_ntz, nums array<int>")
+    row = insert(base, new)[1].first()
+    assert (row["stamp"], row["nums"]) == (dt.datetime(2001, 2, 11, 10, 0), [1, 2])
+    assert update(base, new.withColumn("fid", F.lit(1))).first()["stamp"] == dt.datetime(2001, 2, 11, 10, 0)
+
+
 # --- catalog ----------------------------------------------------------------------
 
 

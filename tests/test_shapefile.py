@@ -138,6 +138,13 @@ def test_kinds_of_geometry(spark, tmp_path):
     assert texts("high") == ["POINT Z (1 2 3)", "POINT ZM (1 2 3 4)"]
 
 
+def test_length_of_two_polygons(spark, tmp_path):
+    ring = lambda x, n: [(x, 0)] + [(x + i, 9 + i % 2) for i in range(n - 2)] + [(x, 0)]
+    shapes.write(tmp_path, "poly", 5, [shapes.parts(5, [ring(0, 9), ring(50, 8)])], [("name", "C", 5, 0)], [("Three",)])
+    df = read_shapefile(spark, str(tmp_path), "poly").filter("name = 'Three'")
+    assert df.select(F.octet_length("geom")).first()[0] == 307
+
+
 def test_ingest_stores_prunable_layers(spark, folder, tmp_path):
     out = str(tmp_path / "out")
     assert ingest_shapefiles(spark, str(folder), out) == ["2launder", "enc", "natural", "pt_two"]
