@@ -186,9 +186,8 @@ def _leaves(geometry):
 
 def _octets(values: pa.Array):
     """-> (byte buffer, start of each value, size of each value; 0 for NULL)."""
-    if not pa.types.is_binary(values.type):
-        values = values.cast(pa.binary())
-    offsets = np.frombuffer(values.buffers()[1], np.int32, len(values) + 1, values.offset * 4)
+    width = np.dtype(np.int64 if pa.types.is_large_binary(values.type) else np.int32)
+    offsets = np.frombuffer(values.buffers()[1], width, len(values) + 1, values.offset * width.itemsize)
     buffer = values.buffers()[2]
     data = np.frombuffer(buffer, np.uint8) if buffer else np.empty(0, np.uint8)
     size = np.where(values.is_null().to_numpy(False), 0, np.diff(offsets))

@@ -63,7 +63,7 @@ def fid_scan(spark, source):
     "from (select row_number() over () + 99 as fid from orders)",
 )
 def fid_assign(spark, source):
-    return _facts(assign_fid(read_layer(spark, source, "orders").repartition("o_custkey"), 100))
+    return _facts(assign_fid(read_layer(spark, source, "orders").repartition("o_orderkey"), 100))
 
 
 @query(

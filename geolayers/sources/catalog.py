@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from geolayers.functions.names import launder
+from geolayers.functions.text import charset
 from geolayers.model import IMPORTED_AS, LayerError, box_name, geometry_metadata, is_geometry, source_type
 from geolayers.sources.files import list_files, open_file, read_range
 from geolayers.sources.layers import read_layer
@@ -52,9 +53,8 @@ def _parquet_columns(path: str):
     import pyarrow.parquet as pq
 
     with open_file(path) as handle:
-        metadata = pq.ParquetFile(handle).schema_arrow.metadata or {}
-        arrow = pq.ParquetFile(handle).schema_arrow
-    stored = metadata.get(b"org.apache.spark.sql.parquet.row.metadata")
+        arrow = pq.read_schema(handle)
+    stored = (arrow.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
     if stored:
         return T.StructType.fromJson(json.loads(stored))
     from pyspark.sql.pandas.types import from_arrow_schema
@@ -90,8 +90,8 @@ def imported_type(field: T.StructField) -> str:
     return f"{name}({width})" if name == "varchar" and width and width < 10 * 1024 * 1024 else name
 
 
-def _csv_schema(path: str) -> T.StructType:
-    head = read_range(path, 0, HEADER_BYTES).decode("utf-8")
+def _csv_schema(path: str, encoding: str) -> T.StructType:
+    head = read_range(path, 0, HEADER_BYTES).split(b"\n")[0].decode(encoding)
     names = next(csv.reader(io.StringIO(head)))
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -100,18 +100,25 @@ def _shapefile_schema(path: str) -> T.StructType:
     return layer_schema(path[: -len("shp")])
 
 
-def _read_schemas(batches):
-    readers = {"parquet": _parquet_columns, "csv": _csv_schema, "shp": _shapefile_schema}
-    for batch in batches:
-        rows = []
-        for layer, fmt, path in zip(batch["layer"], batch["fmt"], batch["path"]):
-            for ordinal, (name, data_type) in enumerate(columns_of(readers[fmt](path)), 1):
-                rows.append((layer, fmt, path, ordinal, name, data_type))
-        yield pd.DataFrame(rows, columns=COLUMN_NAMES)
+def _schema_reader(encoding: str):
+    readers = {"parquet": _parquet_columns, "csv": lambda path: _csv_schema(path, encoding), "shp": _shapefile_schema}
+
+    def read(batches):
+        for batch in batches:
+            rows = []
+            for layer, fmt, path in zip(batch["layer"], batch["fmt"], batch["path"]):
+                for ordinal, (name, data_type) in enumerate(columns_of(readers[fmt](path)), 1):
+                    rows.append((layer, fmt, path, ordinal, name, data_type))
+            yield pd.DataFrame(rows, columns=COLUMN_NAMES)
+
+    return read
 
 
 def layer_columns(
-    files: DataFrame, launder_table_names: bool = True, launder_column_names: bool = True
+    files: DataFrame,
+    launder_table_names: bool = True,
+    launder_column_names: bool = True,
+    encoding: str | None = None,
 ) -> DataFrame:
     """Columns of the layers in ``files``: one row per layer and column.
 
@@ -119,7 +126,7 @@ def layer_columns(
     keeps the source name where laundering changed more than its case.  Footers
     and headers are read in parallel, one layer per row.
     """
-    found = files.repartition("layer").mapInPandas(_read_schemas, COLUMN_SCHEMA)
+    found = files.repartition("layer").mapInPandas(_schema_reader(charset(encoding or "UTF-8")), COLUMN_SCHEMA)
     raw, laundered = F.col("source_name"), launder(F.col("source_name"))
     changed = F.lower(laundered) != F.lower(raw)
     return found.select(
@@ -147,6 +154,7 @@ def layer_catalog(
     except_: list[str] | None = None,
     launder_table_names: bool = True,
     launder_column_names: bool = True,
+    encoding: str | None = None,
 ) -> DataFrame:
     """The columns of all layers that an import would take.
 
@@ -164,7 +172,7 @@ def layer_catalog(
         files = files.filter(table.isin(list(limit_to)))
     if except_ is not None:
         files = files.filter(~table.isin(list(except_)))
-    return layer_columns(files, launder_table_names, launder_column_names)
+    return layer_columns(files, launder_table_names, launder_column_names, encoding)
 
 
 def _check_clashes(layers) -> None:
@@ -187,7 +195,7 @@ def import_layers(spark: SparkSession, source: str, encoding: str | None = None,
     ``rules`` are the arguments of ``layer_catalog``; an unknown one is an
     error.  Only the catalog (names and types) comes to the driver.
     """
-    catalog = layer_catalog(spark, source, **rules)
+    catalog = layer_catalog(spark, source, encoding=encoding, **rules)
     columns = catalog.groupBy("layer", "fmt", "path", "table_name").agg(
         F.array_sort(F.collect_list(F.struct("ordinal", "source_name", "column_name"))).alias("columns")
     )

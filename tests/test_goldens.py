@@ -162,6 +162,13 @@ def test_csv_empty_text_and_apostrophe(spark, csv_folder):
     assert tuple(typed) == ("", 44, 34.3)
 
 
+def test_csv_in_another_encoding(spark, tmp_path):
+    (tmp_path / "villes.csv").write_bytes("prénom,âge\nRené,34\n".encode("latin-1"))
+    assert import_layers(spark, str(tmp_path), encoding="LATIN1") == 1
+    assert tuple(spark.table("villes").first()) == (1, "René", "34")
+    assert spark.table("villes").columns == ["fid", "pr__nom", "__ge"]
+
+
 def test_database_scan_options():
     assert jdbc_options("fid", 1, 1000, 8) == {
         "partitionColumn": "fid",
