@@ -266,7 +266,7 @@ def bbox_join(
         if hot:
             splits = _splits(spark, hot, partitions)
             for s in "lr":
-                unique = ["fid"] if "fid" in keep[s] else keep[s]
+                unique = ["fid"] if "fid" in keep[s] else [*keep[s], f"_{s}"]
                 entered[s] = _salted(entered[s], splits, s, unique)
             keys = CELL_KEY + ["_lsalt", "_rsalt"]
         if size <= partitions * HASH_BYTES:

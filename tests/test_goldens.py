@@ -134,13 +134,13 @@ def test_box_filters(spark):
 def csv_folder(tmp_path_factory):
     root = tmp_path_factory.mktemp("csv")
     lines = ["Peter,34,10.2", "John,77,3.4", "Paul,45,19.2", "Matthew,35,18.2"]
-    (root / "no_geom.csv").write_text("\n".join(["name,age,value", *lines]) + "\n")
-    (root / "no_geom_apost.csv").write_text("\n".join(['name,age,"person\'s value"', *lines, '"",44,34.3']) + "\n")
+    (root / "plain.csv").write_text("\n".join(["name,age,value", *lines]) + "\n")
+    (root / "odd_header.csv").write_text("\n".join(['name,age,"person\'s value"', *lines, '"",44,34.3']) + "\n")
     return str(root)
 
 
 def test_csv_layer_joins_series(spark, csv_folder):
-    df = read_layer(spark, csv_folder, "no_geom", "fid bigint, name string, age string, value string", fmt="csv")
+    df = read_layer(spark, csv_folder, "plain", "fid bigint, name string, age string, value string", fmt="csv")
     series = spark.range(1, 5).withColumnRenamed("id", "fid")
     rows = df.join(series, "fid").orderBy("fid").collect()
     assert [tuple(r) for r in rows] == [
@@ -152,8 +152,8 @@ def test_csv_layer_joins_series(spark, csv_folder):
 
 
 def test_csv_empty_text_and_apostrophe(spark, csv_folder):
-    assert import_layers(spark, csv_folder, limit_to=["no_geom_apost"]) == 1
-    view = spark.table("no_geom_apost")
+    assert import_layers(spark, csv_folder, limit_to=["odd_header"]) == 1
+    view = spark.table("odd_header")
     assert view.columns == ["fid", "name", "age", "person_s_value"]
     assert [tuple(r) for r in view.filter("name = 'Paul'").select("name", "age").collect()] == [("Paul", "45")]
     assert view.filter("name is null").count() == 0

@@ -29,15 +29,15 @@ def content(wkb_hex):
 def folder(tmp_path_factory):
     root = tmp_path_factory.mktemp("data")
     records = [content(p) for p in POINTS]
-    shapes.write(root, "pt_two", 1, records, PEOPLE, ROWS, prj=WGS84)
-    shapes.write(root, "2launder", 1, records, LAUNDER, ROWS)
-    shapes.write(root, "enc", 1, records, [("name", "C", 20, 0)], [("Peter",), ("Pàul",)])
+    shapes.write(root, "two_points", 1, records, PEOPLE, ROWS, prj=WGS84)
+    shapes.write(root, "2people", 1, records, LAUNDER, ROWS)
+    shapes.write(root, "latin", 1, records, [("name", "C", 20, 0)], [("Peter",), ("Pàul",)])
     shapes.write(root, "natural", 0, [shapes.null()] * 2, [("id", "N", 10, 2), ("natural", "C", 10, 0)], [("1.00", "wood"), ("2.00", "land")])
     return root
 
 
 def test_point_layer(spark, folder):
-    df = read_shapefile(spark, str(folder), "pt_two")
+    df = read_shapefile(spark, str(folder), "two_points")
     assert df.schema["geom"].metadata == {"geometry": {"kind": "Point", "srid": 4326}}
     rows = df.orderBy("fid").collect()
     assert [r["geom"].hex() for r in rows] == POINTS
@@ -49,19 +49,19 @@ def test_point_layer(spark, folder):
 
 
 def test_attribute_and_box_filter(spark, folder):
-    df = read_shapefile(spark, str(folder), "pt_two")
+    df = read_shapefile(spark, str(folder), "two_points")
     found = bbox_filter(df, (0, 0, 1, 1)).filter("height < 5.7")
     assert [r["name"] for r in found.collect()] == ["Peter"]
 
 
 def test_latin1_text(spark, folder):
     for encoding in (None, "LATIN1", "ISO-8859-1", "WIN1252"):
-        rows = read_shapefile(spark, str(folder), "enc", encoding).filter("fid = 1").collect()
+        rows = read_shapefile(spark, str(folder), "latin", encoding).filter("fid = 1").collect()
         assert rows[0]["name"] == "Pàul"
 
 
 def test_catalog_and_import(spark, folder):
-    catalog = layer_catalog(spark, str(folder), limit_to=["n2launder"]).orderBy("ordinal").collect()
+    catalog = layer_catalog(spark, str(folder), limit_to=["n2people"]).orderBy("ordinal").collect()
     assert [(r["column_name"], r["data_type"], r["column_option"]) for r in catalog] == [
         ("fid", "bigint", None),
         ("geom", "Geometry(Point)", None),
@@ -70,13 +70,13 @@ def test_catalog_and_import(spark, folder):
         ("height", "double precision", None),
         ("b_rthdate", "date", "b-rthdate"),
     ]
-    assert import_layers(spark, str(folder), limit_to=["n2launder"]) == 1
-    row = spark.sql("select n2ame, age, height, b_rthdate, geom from n2launder where fid = 0").first()
+    assert import_layers(spark, str(folder), limit_to=["n2people"]) == 1
+    row = spark.sql("select n2ame, age, height, b_rthdate, geom from n2people where fid = 0").first()
     assert tuple(row)[:4] == ("Peter", 45, 5.6, dt.date(1965, 4, 12)) and row["geom"].hex() == POINTS[0]
 
 
 def test_geometry_type_carries_srid(spark, folder):
-    rows = layer_catalog(spark, str(folder), prefix="pt_").filter("column_name = 'geom'").collect()
+    rows = layer_catalog(spark, str(folder), prefix="two_").filter("column_name = 'geom'").collect()
     assert [r["data_type"] for r in rows] == ["Geometry(Point,4326)"]
 
 
@@ -93,7 +93,7 @@ def test_reserved_word_without_geometry(spark, folder):
 
 def test_import_all_counts(spark, folder):
     assert import_layers(spark, str(folder)) == 4
-    assert import_layers(spark, str(folder), except_=["enc", "natural"]) == 2
+    assert import_layers(spark, str(folder), except_=["latin", "natural"]) == 2
     with pytest.raises(TypeError):
         import_layers(spark, str(folder), unknown_option=True)
 
@@ -147,8 +147,8 @@ def test_length_of_two_polygons(spark, tmp_path):
 
 def test_ingest_stores_prunable_layers(spark, folder, tmp_path):
     out = str(tmp_path / "out")
-    assert ingest_shapefiles(spark, str(folder), out) == ["2launder", "enc", "natural", "pt_two"]
-    stored = read_layer(spark, out, "pt_two")
+    assert ingest_shapefiles(spark, str(folder), out) == ["2people", "latin", "natural", "two_points"]
+    stored = read_layer(spark, out, "two_points")
     assert stored.schema["geom"].metadata["geometry"]["srid"] == 4326
     found = bbox_filter(stored, (0, 0, 1, 1)).filter("height < 5.7").select("name")
     assert [r["name"] for r in found.collect()] == ["Peter"]
