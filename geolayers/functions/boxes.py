@@ -8,14 +8,16 @@ BOX_TYPE = T.StructType(
 
 
 def make_box(xmin, ymin, xmax, ymax) -> Column:
-    """Box struct from numbers or columns; NULL when any side is NULL."""
+    """Box struct from numbers or columns; NULL when any side is NULL or NaN."""
     sides = [
         (side if isinstance(side, Column) else F.lit(side)).cast("double")
         for side in (xmin, ymin, xmax, ymax)
     ]
-    missing = sides[0].isNull() | sides[1].isNull() | sides[2].isNull() | sides[3].isNull()
+    present = F.lit(True)
+    for side in sides:
+        present = present & side.isNotNull() & ~F.isnan(side)
     box = F.struct(*[s.alias(f.name) for s, f in zip(sides, BOX_TYPE.fields)])
-    return F.when(~missing, box)
+    return F.when(present, box)
 
 
 def bbox_meets(box: Column, other) -> Column:

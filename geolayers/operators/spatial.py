@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from geolayers.functions.boxes import bbox_meets, bbox_within, make_box
+from geolayers.functions.boxes import BOX_TYPE, bbox_meets, bbox_within, make_box
 from geolayers.functions.wkb import box_wkb, envelope, geometry_kind, geometry_meets_box, point_wkb, strip_ewkb
 from geolayers.model import LayerError, box_name, geometry_metadata
 from geolayers.session import FIXED_WIDTH, broadcast_limit, has_fixed_width, row_bytes
@@ -146,8 +146,8 @@ def _entered(df: DataFrame, side: str, own: list[int], others: list[int], cell:
 CELL_KEY = ["_entry", "_cx", "_cy"]
 
 
-def _levels(placed: dict[str, DataFrame], cell: float) -> dict[str, dict[int, int]]:
-    """Own cells per level of each side, in one job: {side: {level: cells}}."""
+def _measured(placed: dict[str, DataFrame], cell: float):
+    """-> own cells per level and the extent of each side, in one job."""
     parts = []
     for side, df in placed.items():
         box, level = F.col(f"_{side}"), F.col(f"_{side}level")
@@ -155,9 +155,19 @@ def _levels(placed: dict[str, DataFrame], cell: float) -> dict[str, dict[int, in
         for axis in ("x", "y"):
             first, last = (_shift(_finest(box[f"{axis}{end}"], cell), level) for end in ("min", "max"))
             cells = cells * (last - first + 1)
-        parts.append(df.select(F.lit(side).alias("side"), level.alias("level"), cells.alias("cells")))
-    found = parts[0].unionByName(parts[1]).groupBy("side", "level").agg(F.sum("cells").alias("cells")).collect()
-    return {s: {r["level"]: r["cells"] for r in found if r["side"] == s} for s in placed}
+        parts.append(df.select(F.lit(side).alias("side"), level.alias("level"), cells.alias("cells"), box.alias("box")))
+    ends = [fold(f"box.{f.name}").alias(f.name) for fold, f in zip((F.min, F.min, F.max, F.max), BOX_TYPE.fields)]
+    found = parts[0].unionByName(parts[1]).groupBy("side", "level").agg(F.sum("cells").alias("cells"), *ends).collect()
+    own = {s: {r["level"]: r["cells"] for r in found if r["side"] == s} for s in placed}
+    extents = {
+        s: [
+            fold(r[f.name] for r in found if r["side"] == s)
+            for fold, f in zip((min, min, max, max), BOX_TYPE.fields)
+        ]
+        for s in placed
+        if own[s]
+    }
+    return own, extents
 
 
 def _entries_at_most(side: str, own: dict[int, int], others: list[int]) -> int:
@@ -249,9 +259,13 @@ def bbox_join(
         "l": _placed(left, left_geom, cell, "l").drop(*drop),
         "r": _placed(right, right_geom, cell, "r").drop(*drop),
     }
-    own = _levels(placed, cell)
+    own, extents = _measured(placed, cell)
     if not own["l"] or not own["r"]:
         return left.select(keep["l"]).join(right.select(keep["r"]), F.lit(False))
+    # Boxes outside the other side's extent meet nothing; a stored layer skips
+    # their files and row groups.
+    placed["l"] = placed["l"].filter(bbox_meets(F.col("_l"), extents["r"]))
+    placed["r"] = placed["r"].filter(bbox_meets(F.col("_r"), extents["l"]))
     others = {"l": sorted(own["r"]), "r": sorted(own["l"])}
     entries = {s: _entries_at_most(s, own[s], others[s]) for s in "lr"}
     entered = {s: _entered(df, s, sorted(own[s]), others[s], cell) for s, df in placed.items()}

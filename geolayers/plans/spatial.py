@@ -55,6 +55,19 @@ def box_or_attr(spark, source):
     return layer.filter(bbox_meets(F.col("geom_bbox"), BOX) | ~(F.col("acctbal") < 9000)).select("fid", "acctbal", "x")
 
 
+@query(
+    "bbox_columns",
+    f"with {PARCELS} select pid from parcels where pxmin <= 5 and pxmax >= pymin and pymin <= pxmax and pymax >= pxmin "
+    "and pxmin <= pymax",
+)
+def box_columns(spark, source):
+    """A geometry against another column of its own row, and against a constant."""
+    side = F.col("parcel_bbox")
+    mirrored = make_box(side["ymin"], side["xmin"], side["ymax"], side["xmax"])
+    layer = parcels(spark, source).withColumn("mirror_bbox", mirrored)
+    return layer.filter(bbox_meets(side, F.col("mirror_bbox")) & (side["xmin"] <= 5)).select("pid")
+
+
 def nulled_points(spark, source):
     layer = points(spark, source)
     x = F.when(F.col("fid") % 7 != 0, F.col("x"))

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
-from geolayers import bbox_filter, bbox_meets, common_kind, encode_points, envelope, geometry_kind, intersects_box, line_wkb, read_layer, strip_ewkb, to_wkt
+from geolayers import bbox_filter, bbox_meets, common_kind, encode_points, envelope, geometry_kind, intersects_box, line_wkb, make_box, read_layer, strip_ewkb, to_wkt
 from geolayers.functions import wkb
 from geolayers.operators.spatial import encode_boxes
 
@@ -168,6 +168,12 @@ def test_filter_without_stored_box(spark):
     assert [r["fid"] for r in df.filter(~bbox_meets(F.col("geom_bbox"), (-1, -1, 1, 1))).collect()] == [2]
 
 
+def test_nan_makes_no_box(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (float("nan"), 2.0), (None, 2.0)], "x double, y double")
+    boxes = [r[0] for r in df.select(make_box(F.col("x"), F.col("y"), F.col("x"), F.col("y"))).collect()]
+    assert [b is None for b in boxes] == [False, True, True]
+
+
 def test_rectangles(spark):
     df = encode_boxes(spark.createDataFrame([(1, 0.0, 1.0, 2.0, 3.0)], "fid bigint, a double, b double, c double, d double"), "a", "b", "c", "d")
     row = df.select(to_wkt(F.col("geom")).alias("t"), envelope(F.col("geom")).alias("e"), "geom_bbox").first()

@@ -126,6 +126,18 @@ def test_wide_rows_are_not_broadcast(spark):
     assert df.count() == 300
 
 
+def test_extent_of_one_side_prunes_the_other(spark, tmp_path):
+    world = [(float(i), 0.0, i + 0.5, 1.0) for i in range(200)]
+    frame(spark, world, "l", "one").write.parquet(str(tmp_path / "world"))
+    left = spark.read.parquet(str(tmp_path / "world"))
+    right = frame(spark, [(150.25, 0.0, 153.0, 1.0)], "r", "two")
+    df = bbox_join(left, right, "one", "two")
+    assert "LessThanOrEqual(one_bbox.xmin,153.0)" in plan_of(df) and "GreaterThanOrEqual(one_bbox.xmax,150.25)" in plan_of(df)
+    assert sorted(r["l"] for r in df.collect()) == [150, 151, 152, 153]
+    far = frame(spark, [(900.0, 0.0, 901.0, 1.0)], "r", "two")
+    assert bbox_join(left, far, "one", "two").count() == 0
+
+
 def test_empty_side_and_clash(spark):
     left = frame(spark, [(0.0, 0.0, 1.0, 1.0)], "l", "one")
     right = frame(spark, [(0.0, 0.0, 1.0, 1.0)], "r", "two")
