@@ -25,10 +25,11 @@ COLUMN_NAMES = [part.split()[0] for part in COLUMN_SCHEMA.split(", ")]
 def layer_files(spark: SparkSession, source: str) -> DataFrame:
     """(layer, fmt, path): one file of each layer.
 
-    A layer is a file ``name.parquet|csv|shp`` in the folder or a folder of
-    Parquet part files; any one part file carries the schema.
+    A layer is a file ``name.parquet|csv`` in the folder, a shapefile (known by
+    its attribute table, which may stand alone) or a folder of Parquet part
+    files; any one part file carries the schema.
     """
-    files = list_files(spark, source, "*.{parquet,csv,shp}")
+    files = list_files(spark, source, "*.{parquet,csv,dbf}")
     # Path below the source, however Spark spells scheme and host.
     folder = "/" + re.sub(r"^[a-z0-9]+:/*", "", source).strip("/") + "/"
     plain = F.concat(F.lit("/"), F.regexp_replace("path", r"^[a-z0-9]+:/*", ""))
@@ -38,7 +39,7 @@ def layer_files(spark: SparkSession, source: str) -> DataFrame:
     layer = F.when(nested, F.regexp_replace(head, r"\.parquet$", "")).otherwise(
         F.regexp_replace(head, r"\.[^.]*$", "")
     )
-    fmt = F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1))
+    fmt = F.regexp_replace(F.regexp_extract("path", r"\.([^./]*)$", 1), "dbf", "shapefile")
     found = files.select(layer.alias("layer"), fmt.alias("fmt"), "path", nested.alias("nested"))
     found = found.filter(~F.col("nested") | (F.col("fmt") == "parquet"))
     return found.groupBy("layer", "fmt").agg(F.min("path").alias("path"))
@@ -97,11 +98,11 @@ def _csv_schema(path: str, encoding: str) -> T.StructType:
 
 
 def _shapefile_schema(path: str) -> T.StructType:
-    return layer_schema(path[: -len("shp")])
+    return layer_schema(path[: -len("dbf")])
 
 
 def _schema_reader(encoding: str):
-    readers = {"parquet": _parquet_columns, "csv": lambda path: _csv_schema(path, encoding), "shp": _shapefile_schema}
+    readers = {"parquet": _parquet_columns, "csv": lambda path: _csv_schema(path, encoding), "shapefile": _shapefile_schema}
 
     def read(batches):
         for batch in batches:
@@ -126,7 +127,10 @@ def layer_columns(
     keeps the source name where laundering changed more than its case.  Footers
     and headers are read in parallel, one layer per row.
     """
-    found = files.repartition("layer").mapInPandas(_schema_reader(charset(encoding or "UTF-8")), COLUMN_SCHEMA)
+    # A fixed number of partitions: adaptive execution would join so few bytes
+    # into one task, but each row costs a file access.
+    tasks = files.sparkSession.sparkContext.defaultParallelism
+    found = files.repartition(tasks, "layer").mapInPandas(_schema_reader(charset(encoding or "UTF-8")), COLUMN_SCHEMA)
     raw, laundered = F.col("source_name"), launder(F.col("source_name"))
     changed = F.lower(laundered) != F.lower(raw)
     return found.select(
@@ -202,7 +206,7 @@ def import_layers(spark: SparkSession, source: str, encoding: str | None = None,
     chosen = columns.collect()
     _check_clashes(chosen)
     for row in chosen:
-        if row["fmt"] == "shp":
+        if row["fmt"] == "shapefile":
             df = read_shapefile(spark, source, row["layer"], encoding=encoding)
         else:
             df = _whole_layer(spark, source, row["layer"], row["fmt"], encoding)

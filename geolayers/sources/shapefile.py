@@ -58,11 +58,16 @@ def srid_of_wkt(text: str) -> int | None:
     return int(found[-1]) if found and int(found[-1]) > 0 else None
 
 
-def _optional(stem: str, extension: str) -> str:
+def _optional(stem: str, extension: str) -> bytes:
+    """Start of a file that a layer may lack; enough for headers and texts."""
     try:
-        return read_range(stem + extension, 0, 1 << 16).decode("utf-8", "replace")
-    except (FileNotFoundError, OSError):
-        return ""
+        return read_range(stem + extension, 0, 1 << 16)
+    except FileNotFoundError:
+        return b""
+
+
+def _text(stem: str, extension: str) -> str:
+    return _optional(stem, extension).decode("utf-8", "replace")
 
 
 def dbf_fields(stem: str):
@@ -92,13 +97,17 @@ def _field_type(kind: str, width: int, decimals: int) -> T.DataType:
 
 
 def layer_schema(stem: str) -> T.StructType:
-    """Fields of a layer: fid, geometry with its box, attributes."""
-    (shape,) = struct.unpack_from("<i", read_range(stem + "shp", 0, 100), 32)
+    """Fields of a layer: fid, geometry with its box, attributes.
+
+    An attribute table without a geometry file is a layer without geometry.
+    """
+    head = _optional(stem, "shp")
+    shape = struct.unpack_from("<i", head, 32)[0] if head else 0
     fields = [T.StructField("fid", T.LongType())]
     if shape:
         if shape not in SHAPE_KINDS:
             raise LayerError(f"cannot handle shape type {shape}")
-        srid = srid_of_wkt(_optional(stem, "qpj")) or srid_of_wkt(_optional(stem, "prj"))
+        srid = srid_of_wkt(_text(stem, "qpj")) or srid_of_wkt(_text(stem, "prj"))
         fields.append(T.StructField("geom", T.BinaryType(), True, geometry_metadata(srid, SHAPE_KINDS[shape])))
         fields.append(T.StructField(box_name("geom"), BOX_TYPE))
     for name, kind, width, decimals in dbf_fields(stem)[3]:
@@ -243,12 +252,12 @@ def read_shapefile(
     The encoding is the argument, else the ``.cpg`` file next to the layer, else
     ISO-8859-1.  Only headers are read on the driver.
     """
-    found = list_files(spark, folder, "*.shp").filter(F.col("path").endswith(f"/{layer}.shp")).select("path").first()
+    found = list_files(spark, folder, "*.dbf").filter(F.col("path").endswith(f"/{layer}.dbf")).select("path").first()
     if found is None:
         raise LayerError(f'unable to find layer "{layer}" in "{folder}"')
-    stem = found["path"][: -len("shp")]
+    stem = found["path"][: -len("dbf")]
     schema = layer_schema(stem)
-    text = charset(encoding or _optional(stem, "cpg").strip() or "ISO-8859-1")
+    text = charset(encoding or _text(stem, "cpg").strip() or "ISO-8859-1")
     table = dbf_fields(stem)
     records = table[0]
     tasks = max(1, -(-records // records_per_task))
@@ -274,8 +283,8 @@ def ingest_shapefiles(spark: SparkSession, folder: str, out: str, encoding: str
     Ordering a layer takes several passes, so its records are decoded once into
     the shared folder first.
     """
-    stems = list_files(spark, folder, "*.shp").select(
-        F.regexp_extract("path", r"([^/]*)\.shp$", 1).alias("layer")
+    stems = list_files(spark, folder, "*.dbf").select(
+        F.regexp_extract("path", r"([^/]*)\.dbf$", 1).alias("layer")
     )
     layers = [row["layer"] for row in stems.orderBy("layer").collect()]
     for layer in layers:

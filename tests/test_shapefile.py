@@ -156,6 +156,15 @@ def test_ingest_stores_prunable_layers(spark, folder, tmp_path):
     assert "LessThanOrEqual(geom_bbox.xmin,1.0)" in plan and "geom:binary" not in plan
 
 
+def test_table_without_geometry_file(spark, tmp_path):
+    shapes.write(tmp_path, "table", None, [], [("id", "N", 5, 0)], [(1,), (2,)])
+    assert [tuple(r) for r in read_shapefile(spark, str(tmp_path), "table").orderBy("fid").collect()] == [(0, 1), (1, 2)]
+    rows = layer_catalog(spark, str(tmp_path)).orderBy("ordinal").collect()
+    assert [(r["fmt"], r["column_name"], r["data_type"]) for r in rows] == [
+        ("shapefile", "fid", "bigint"), ("shapefile", "id", "integer"),
+    ]
+
+
 def test_unknown_layer(spark, folder):
     with pytest.raises(LayerError):
         read_shapefile(spark, str(folder), "missing")
