@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from geolayers.operators.columns import as_layer
+from geolayers.operators.spatial import encode_points
+from geolayers.plans.layers import points
 from geolayers.plans.registry import query
-from geolayers.sources.layers import read_layer
+from geolayers.sources.layers import read_layer, srid_of, stamp_srid
 
 
 @query(
@@ -64,10 +66,6 @@ def column_unmatched(spark, source):
 
 @query("srid_stamp", "select c_custkey as fid, 4326 as srid from customer")
 def srid_stamp(spark, source):
-    from geolayers.operators.spatial import encode_points
-    from geolayers.plans.layers import points
-    from geolayers.sources.layers import srid_of, stamp_srid
-
     layer = encode_points(points(spark, source).drop("geom_bbox"), "x", "y")
     stamped = stamp_srid(layer, 4326)
     return stamped.select("fid", srid_of(stamped).alias("srid"))

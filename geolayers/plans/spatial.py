@@ -6,12 +6,7 @@ from geolayers.functions.boxes import bbox_meets, make_box
 from geolayers.functions.wkb import box_wkb, envelope, geometry_kind, line_wkb, point_wkb, strip_ewkb, to_wkt
 from geolayers.operators.spatial import bbox_filter, bbox_join, common_kind, encode_boxes, encode_points, intersects_box
 from geolayers.plans.layers import (
-    BOX_SIDE,
     BOXES,
-    PARCEL_HEIGHT,
-    PARCEL_WIDTH,
-    PARCEL_X,
-    PARCEL_Y,
     PARCELS,
     POINTS,
     boxes,
@@ -126,7 +121,12 @@ def ewkb_strip(spark, source):
     ewkb = F.concat(F.unhex(F.lit("0101000020E6100000")), F.substring(plain, 6, 16))
     layer = points(spark, source).select("fid", ewkb.alias("geom"))
     stripped = layer.select("fid", "geom", strip_ewkb(F.col("geom")).alias("plain"))
-    read = stripped.select("fid", F.length("geom").alias("stored"), F.length("plain").alias("stripped"), envelope(F.col("plain")).alias("e"))
+    read = stripped.select(
+        "fid",
+        F.length("geom").alias("stored"),
+        F.length("plain").alias("stripped"),
+        envelope(F.col("plain")).alias("e"),
+    )
     return read.select("fid", F.col("e.xmin").alias("x"), F.col("e.ymin").alias("y"), "stored", "stripped")
 
 
@@ -179,7 +179,8 @@ def intersects(spark, source):
     "where x <= xmax and x >= xmin and y <= ymax and y >= ymin",
 )
 def box_join(spark, source):
-    return bbox_join(points(spark, source).select("fid", "geom_bbox"), boxes(spark, source), "geom", "shape").select("fid", "bid")
+    places = points(spark, source).select("fid", "geom_bbox")
+    return bbox_join(places, boxes(spark, source), "geom", "shape").select("fid", "bid")
 
 
 @query(

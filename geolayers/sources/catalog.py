@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from geolayers.functions.names import launder
 from geolayers.functions.text import charset
-from geolayers.model import IMPORTED_AS, LayerError, box_name, geometry_metadata, is_geometry, source_type
+from geolayers.model import IMPORTED_AS, LayerError, box_name, is_geometry, source_type
 from geolayers.sources.files import list_files, open_file, read_range
 from geolayers.sources.layers import read_layer
 from geolayers.sources.shapefile import layer_schema, read_shapefile

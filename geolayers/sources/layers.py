@@ -10,11 +10,12 @@ from geolayers.functions.text import charset
 from geolayers.functions.values import parse_text, write_columns
 from geolayers.functions.wkb import envelope
 from geolayers.model import LayerError, box_name, declare, geometry_metadata, is_geometry
-from geolayers.operators.spatial import geometry_column
 from geolayers.operators.columns import FID, fid_of, is_fid, match_columns, plain_type
+from geolayers.operators.spatial import geometry_column
 from geolayers.sources.fids import csv_fids, file_fids
 
-# An unquoted empty CSV field reads NULL, a quoted one stays ''.
+# Spark reads an unquoted empty field as NULL; both kinds of empty field are ''
+# in a layer, see read_layer().
 CSV_OPTIONS = {"header": "true", "emptyValue": "", "nullValue": "\u0001"}
 # Cells per axis of the grid that orders a written layer.
 GRID_BITS = 16
@@ -72,6 +73,8 @@ def read_layer(
     if fmt == "csv":
         options = {**CSV_OPTIONS, **({"encoding": charset(encoding)} if encoding else {}), **options}
     df = _load(spark, fmt, source, layer, options)
+    if fmt == "csv":
+        df = df.select([F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
     for name in geometry or []:
         df = geometry_column(df, name)
     if srid is not None:

@@ -23,7 +23,6 @@ from geolayers import (
     write_layer,
 )
 from geolayers.functions.values import rounded_second, time_text, write_columns
-from geolayers.model import LayerError
 from geolayers.sources.layers import jdbc_options, typed_csv
 
 SCALARS = (
@@ -162,6 +161,12 @@ def test_csv_empty_text_and_apostrophe(spark, csv_folder):
     assert tuple(typed) == ("", 44, 34.3)
 
 
+def test_csv_empty_fields_are_text(spark, tmp_path):
+    (tmp_path / "gaps.csv").write_text('a,b,c\n1,,x\n"","",""\n')
+    df = read_layer(spark, str(tmp_path), "gaps", "fid bigint, a string, b string, c string", fmt="csv")
+    assert [tuple(r) for r in df.orderBy("fid").collect()] == [(1, "1", "", "x"), (2, "", "", "")]
+
+
 def test_csv_in_another_encoding(spark, tmp_path):
     (tmp_path / "villes.csv").write_bytes("prénom,âge\nRené,34\n".encode("latin-1"))
     assert import_layers(spark, str(tmp_path), encoding="LATIN1") == 1
