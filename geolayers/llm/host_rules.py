@@ -4,7 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 from geolayers.session import broadcast_if_small, row_bytes, staged
@@ -51,7 +51,7 @@ def text_features(text: bytes | None) -> tuple[int, int, int, int, int]:
     )
 
 
-@pandas_udf(", ".join(f"{name} bigint" for name in FEATURES))
+@pandas_udf(T.StructType([T.StructField(name, T.LongType()) for name in FEATURES]))
 def measured(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in texts:
         yield pd.DataFrame([text_features(t) for t in batch], columns=FEATURES, dtype="int64")

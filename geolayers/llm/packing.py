@@ -46,7 +46,7 @@ def pack_documents(
         encode = encoder(tokenizer, end_id)
         for batch in batches:
             for part in sliced(batch):
-                flat, sizes = encode.encode(part.column(1).to_pylist())
+                flat, sizes = encode.encode(part.column(1))
                 rows, lengths = decomposed(sizes, longest)
                 ends = np.cumsum(lengths)
                 begin = (np.cumsum(sizes) - sizes)[rows]
@@ -67,5 +67,5 @@ def pack_documents(
                     names=["doc_id", "start", "length", "bucket", "doc_tokens", "offset", "ids"],
                 )
 
-    rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
+    rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     return rows.mapInArrow(cut, PIECE).withColumn("sequence_id", F.monotonically_increasing_id())

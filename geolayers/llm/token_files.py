@@ -44,7 +44,7 @@ def write_token_files(
     spark = docs.sparkSession
     rows = docs.select(
         F.col(id_column).cast("bigint").alias("id"),
-        F.col(text_column).cast("binary").alias("text"),
+        F.col(text_column).cast("string").alias("text"),
         F.xxhash64(text_column).alias("hash"),
     )
     # The hash in the key keeps rows that share an id from meeting in one task.
@@ -63,7 +63,7 @@ def write_token_files(
                     if out is None:
                         out = files.open_output_stream(f"{root}/{name}.bin")
                         first = part.column(0)[0].as_py(), part.column(2)[0].as_py()
-                    flat, sizes = encode.encode(part.column(1).to_pylist())
+                    flat, sizes = encode.encode(part.column(1))
                     out.write(flat.astype(dtype).tobytes())
                     offsets.append(tokens + np.cumsum(sizes).astype("<i8"))
                     tokens += len(flat)
