@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
+from geolayers.llm.batches import small_batches
 from geolayers.session import broadcast_if_small, row_bytes, staged
 
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -91,6 +92,7 @@ def judge_documents(
     Only failed hosts are joined back: broadcast if measured to be small, else by a
     sort-merge join whose hot partitions Spark splits.
     """
+    small_batches(docs.sparkSession)
     fields = {name.lower(): name for name in docs.columns}
     text, host = (F.col(f"`{fields[c.lower()]}`") for c in (text_column, host_column))
     measures = docs.select(

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
+from geolayers.llm.batches import small_batches
+
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 # Never shown, whatever their style.
 UNSEEN = set("head title script style template noscript iframe object svg canvas audio video datalist".split())
@@ -326,4 +328,5 @@ def extract_text(pages: DataFrame, id_column: str = "page_id", html_column: str
     without visible text gives ''; broken markup is read to its end; columns besides
     id and html are not read.
     """
+    small_batches(pages.sparkSession)
     return pages.select(F.col(id_column).alias("page_id"), visible_text(F.col(html_column).cast("string")).alias("text"))

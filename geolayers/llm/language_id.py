@@ -7,6 +7,8 @@ import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
+from geolayers.llm.batches import small_batches
+
 LEVEL = 6
 BLOCK = 2048  # bytes; every block meets the dictionary, so long texts keep their margin
 LEARN = 4.0  # rows looked at for each slice that is wanted
@@ -73,6 +75,7 @@ def predict_languages(
     Equal sizes go to the language first in ``dictionaries``. Repeated rows are predicted
     each; ``row`` holds the input columns untouched, so no name can clash.
     """
+    small_batches(docs.sparkSession)
     languages = list(dictionaries)
     shared = docs.sparkSession.sparkContext.broadcast(list(dictionaries.values()))
 

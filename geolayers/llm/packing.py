@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from geolayers.llm.batches import small_batches
 from geolayers.llm.word_ids import encoder, sliced
 
 PIECE = "doc_id bigint, start bigint, length bigint, bucket int, doc_tokens bigint, offset bigint, ids binary"
@@ -42,6 +43,8 @@ def pack_documents(
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
 
+    small_batches(docs.sparkSession)
+
     def cut(batches):
         encode = encoder(tokenizer, end_id)
         for batch in batches:

@@ -4,16 +4,20 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from geolayers.llm.host_rules import FEATURES, judge_documents
+from geolayers.llm.html_text import extract_text
 from geolayers.llm.language_id import fold, learn_dictionaries, predict_languages
 from geolayers.llm.packing import pack_documents
+from geolayers.llm.pieces import decode_pieces, encode_sampled
 from geolayers.llm.registry import ORACLES, QUERIES, query, table
 from geolayers.llm.token_files import read_token_files, write_token_files
+from geolayers.llm.topk import top_k
 from geolayers.llm.url_trie import judge_urls, rule
 from geolayers.session import shared_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
 WORD_BPE, END = "word_bpe_49k.json", 2
+PIECES = "piece_bpe_32k.model"
 
 URL_RULES = [
     rule("allow", "com/"),
@@ -24,6 +28,11 @@ URL_RULES = [
 ]
 
 
+@query("op1_html_text")
+def html_text(spark, source):
+    return extract_text(table(spark, source, "pages"))
+
+
 @query("op2_token_files")
 def token_files(spark, source):
     path = shared_path(spark, "tokens")
@@ -85,6 +94,24 @@ def host_rules(spark, source):
     return judged.select("row.doc_id", *(f"measures.{c}" for c in FEATURES), "base_failed", "host_failed", "kept")
 
 
+TOP_K_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where embedding is not null and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+), s as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, vec_id, score
+from s qualify rank <= 20"""
+
+
+@query("op4_nra_top_k", TOP_K_SQL)
+def nra_top_k(spark, source):
+    return top_k(table(spark, source, "embeddings"), F.col("id") % 20 == 0)
+
+
 @query("op7_packing")
 def packing(spark, source):
     pieces = pack_documents(table(spark, source, "documents"), public_tokenizers.path(WORD_BPE), END)
@@ -93,6 +120,19 @@ def packing(spark, source):
     )
 
 
+@query("op8_sampled_pieces")
+def sampled_pieces(spark, source):
+    model = public_tokenizers.path(PIECES)
+    encoded = encode_sampled(table(spark, source, "documents").select("doc_id", "text"), model)
+    decoded = decode_pieces(encoded, model)
+    return decoded.select(
+        F.col("row.row.doc_id").alias("doc_id"),
+        F.expr("length(row.ids) div 4").alias("n_pieces"),
+        F.crc32("row.ids").alias("ids_crc32"),
+        F.col("text").eqNullSafe(F.col("row.row.text")).alias("lossless"),
+    )
+
+
 @query("op9_language_id")
 def language_id(spark, source):
     docs = table(spark, source, "documents").select("doc_id", "text", "lang")

@@ -16,6 +16,7 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from geolayers.llm.batches import small_batches
 from geolayers.llm.word_ids import encoder, sliced
 
 SHARD = "name string, first_id bigint, first_hash bigint, docs bigint, tokens bigint, width int"
@@ -42,6 +43,7 @@ def write_token_files(
     table gives no shard.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(
         F.col(id_column).cast("bigint").alias("id"),
         F.col(text_column).cast("string").alias("text"),

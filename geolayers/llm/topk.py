@@ -9,7 +9,7 @@ from geolayers.session import staged
 BLOCK_ROWS = 8192
 QUERY_ROWS = 1024
 # How far all lists are read before the bounds are taken, as shares of their length.
-DEPTHS = (0.5, 0.75, 1.0)
+DEPTHS = (0.9, 1.0)
 BLOCK = "dim int, block bigint, n int, ids binary, vectors binary"
 
 
@@ -81,7 +81,7 @@ def block_top(query_ids, queries, ids, vectors, k: int):
         kth = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(open_), lowest)
         # Outsiders: even their best score is below k lower bounds.
         inside = (upper >= kth[:, None]) & ~own
-        settled = inside.sum(axis=1) <= 4 * k if lists.depth < n else np.ones(len(open_), bool)
+        settled = inside.sum(axis=1) <= max(4 * k, n // 16) if lists.depth < n else np.ones(len(open_), bool)
         for row in np.flatnonzero(settled):
             query = open_[row]
             near = np.flatnonzero(inside[row])
@@ -177,8 +177,7 @@ def top_k(
     blocks = staged(_blocks(rows, BLOCK_ROWS), "vectors")
     queries = staged(_blocks(asked.repartition(spark.sparkContext.defaultParallelism // 4 + 1), QUERY_ROWS), "queries")
     lanes = max(1, min(blocks.count(), 4096))
-    lane = F.pmod(F.row_number().over(Window.orderBy("dim", F.xxhash64("ids"))), F.lit(lanes))
-    blocks = blocks.withColumn("lane", lane.cast("int"))
+    blocks = blocks.withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes)).cast("int"))
     queries = queries.select(
         "dim",
         F.col("n").alias("qn"),
