@@ -1,4 +1,8 @@
-"""Sizes of what goes to Python at once."""
+"""What goes to Python workers at once, and what they keep."""
+
+import sys
+from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import SparkSession
 
@@ -14,3 +18,16 @@ def small_batches(spark: SparkSession) -> None:
     rows = int(spark.conf.get(KEY))
     if rows <= 0 or rows > ROWS:
         spark.conf.set(KEY, str(ROWS))
+
+
+def kept_by_worker(kind: str, key, make: Callable):
+    """The object of this kind that the Python worker made for ``key``, one per kind.
+
+    The package's functions are sent by value, so their modules' globals end with
+    the task; a module of the worker's own outlives it.
+    """
+    held = sys.modules.setdefault("_geolayers_worker", ModuleType("_geolayers_worker")).__dict__
+    if held.get(kind, (None,))[0] != key:
+        held.pop(kind, None)
+        held[kind] = key, make()
+    return held[kind][1]

@@ -19,7 +19,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
 
-from geolayers.llm.batches import small_batches
+from geolayers.llm.batches import kept_by_worker, small_batches
 from geolayers.llm.word_ids import sliced
 
 MARK = "▁"
@@ -27,9 +27,6 @@ PARTS = re.compile(r" *[^ \n]+|\n| +")
 BYTE_WEIGHT = 1e-9  # of a character's bytes, used only where it is no piece itself
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
-_samplers: dict[tuple, "Sampler"] = {}
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """64 well-mixed bits of each counter (the splitmix64 finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -227,9 +224,7 @@ def decoded(vocabulary: Vocabulary, ids: np.ndarray, sizes: np.ndarray) -> pa.Ar
 
 
 def _sampler(path: str, alpha: float) -> Sampler:
-    if (path, alpha) not in _samplers:
-        _samplers[path, alpha] = Sampler(path, alpha)
-    return _samplers[path, alpha]
+    return kept_by_worker("sampler", (path, alpha), lambda: Sampler(path, alpha))
 
 
 def _field(df: DataFrame, name: str):
@@ -286,7 +281,7 @@ def decode_pieces(encoded: DataFrame, model: str, ids_column: str = "ids") -> Da
 
     @arrow_udf(T.StringType())
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocabulary = Vocabulary(model)
+        vocabulary = kept_by_worker("vocabulary", model, lambda: Vocabulary(model))
         for raw in batches:
             lists = pc.fill_null(raw, b"")
             sizes = pc.binary_length(lists).to_numpy(zero_copy_only=False).astype(np.int64) // 4

@@ -3,6 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from geolayers.llm.bilinear_lm import score_documents
 from geolayers.llm.host_rules import FEATURES, judge_documents
 from geolayers.llm.html_text import extract_text
 from geolayers.llm.language_id import fold, learn_dictionaries, predict_languages
@@ -112,6 +113,12 @@ def nra_top_k(spark, source):
     return top_k(table(spark, source, "embeddings"), F.col("id") % 20 == 0)
 
 
+@query("op5_bilinear_lm")
+def bilinear_lm(spark, source):
+    docs = table(spark, source, "documents")
+    return score_documents(docs, F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1)
+
+
 @query("op7_packing")
 def packing(spark, source):
     pieces = pack_documents(table(spark, source, "documents"), public_tokenizers.path(WORD_BPE), END)

@@ -47,6 +47,12 @@ class UrlTrie:
                 node = node[0].setdefault(segment, [{}, {}])
             node[1][beginning] = (r.host + r.path, r.verdict)
 
+    @classmethod
+    def of(cls, root: list) -> "UrlTrie":
+        trie = cls(())
+        trie.root = root
+        return trie
+
     def find(self, host: str, path: str) -> tuple[str, str] | None:
         """The longest rule that fits, as (rule, verdict): most characters, then most host."""
         best, segments = None, None
@@ -97,11 +103,11 @@ def judge_urls(
     rules = list(rules)
     if len(rules) > most_rules:
         raise ValueError(f"{len(rules)} rules; at most {most_rules} are broadcast")
-    trie = pages.sparkSession.sparkContext.broadcast(UrlTrie(rules))
+    trie = pages.sparkSession.sparkContext.broadcast(UrlTrie(rules).root)
 
     @pandas_udf("rule string, verdict string")
     def find(host: pd.Series, path: pd.Series) -> pd.DataFrame:
-        search, none = trie.value.find, (None, default)
+        search, none = UrlTrie.of(trie.value).find, (None, default)
         return pd.DataFrame([search(h, p) or none for h, p in zip(host, path)], columns=["rule", "verdict"])
 
     parts = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).cast("string").alias("url"))

@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
+from geolayers.llm.batches import kept_by_worker
+
 # The tokenizer drops ASCII white space and never joins what stands on its two
 # sides, so a text's ids are its words' ids in a row. ASCII case is folded by the
 # tokenizer as well; a text that holds a special token is encoded as a whole.
@@ -20,12 +22,6 @@ MARKS = ".,;:!?"
 SLICE_BYTES = 2 << 20
 CALL = 4_000
 
-# One thread per task; Spark spreads the work.
-os.environ["TOKENIZERS_PARALLELISM"] = "false"
-
-_encoders: dict[tuple, "WordEncoder"] = {}
-
-
 class _Words(dict):
     """Number of each word; new words are numbered and listed."""
 
@@ -42,6 +38,7 @@ class WordEncoder:
     """Encodes texts with a tokenizer file; keeps at most ``keep`` words' ids."""
 
     def __init__(self, path: str, end_id: int, keep: int = 250_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task; Spark spreads the work
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id, self.keep = end_id, keep
         bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -126,9 +123,7 @@ class WordEncoder:
 
 def encoder(path: str, end_id: int) -> WordEncoder:
     """The worker's own encoder, made once."""
-    if (path, end_id) not in _encoders:
-        _encoders[path, end_id] = WordEncoder(path, end_id)
-    return _encoders[path, end_id]
+    return kept_by_worker("encoder", (path, end_id), lambda: WordEncoder(path, end_id))
 
 
 def sliced(batch, bytes_at_most: int = SLICE_BYTES, text_at: int = 1):
