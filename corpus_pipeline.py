@@ -3,6 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from geolayers.llm.dart_minhash import without_near_copies
 from geolayers.llm.host_rules import kept_documents
 from geolayers.llm.language_id import fold, kept_languages, learn_dictionaries
 from geolayers.llm.packing import pack_documents
@@ -20,14 +21,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept_languages(docs, learn_dictionaries(docs.filter(fold("doc_id") != 2)))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return without_near_copies(docs)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of power-of-two lengths with their token ids."""
     return pack_documents(docs, public_tokenizers.path(WORD_BPE), END)
 
 
-STAGES = [("quality rules", quality), ("language ID", language), ("packing", packing)]
+STAGES = [("quality rules", quality), ("language ID", language), ("near-dedup", near_dedup), ("packing", packing)]
 
-# The tokenizer and the compression are beyond SQL.
+# The tokenizer, the compression and the signatures are beyond SQL.
 ORACLE_SQL = None
 
 

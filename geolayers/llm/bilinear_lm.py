@@ -110,7 +110,7 @@ class BilinearModel:
         at = (rows[:, None] * width + np.arange(width)).ravel()
         return np.bincount(at, values.ravel(), size * width).reshape(size, width).astype(np.float32)
 
-    def train(self, target, near, far, noise_words: int = 32, rate: float = 0.2):
+    def train(self, target, near, far, noise_words: int = 64, rate: float = 0.05):
         """One step of noise-contrastive estimation; the noise is shared by the batch."""
         n = len(target)
         k = noise_words

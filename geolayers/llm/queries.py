@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from geolayers.llm.bilinear_lm import score_documents
+from geolayers.llm.dart_minhash import duplicate_classes
 from geolayers.llm.host_rules import FEATURES, judge_documents
 from geolayers.llm.html_text import extract_text
 from geolayers.llm.language_id import fold, learn_dictionaries, predict_languages
@@ -119,6 +120,11 @@ def bilinear_lm(spark, source):
     return score_documents(docs, F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1)
 
 
+@query("op6_dart_minhash")
+def dart_minhash(spark, source):
+    return duplicate_classes(table(spark, source, "documents"))
+
+
 @query("op7_packing")
 def packing(spark, source):
     pieces = pack_documents(table(spark, source, "documents"), public_tokenizers.path(WORD_BPE), END)
