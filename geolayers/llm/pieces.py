@@ -76,10 +76,9 @@ class Sampler:
     """Lattices of parts as flat arrays; those of the first ``keep`` parts are kept.
 
     Part p has nodes ``node[p] .. node[p + 1] - 1`` (its characters' ends). The edges
-    into a node lie together; ``upto`` is the node's number plus the share of the
-    edges up to this one, so one search over ``upto`` draws an edge for every node.
-    An edge knows its piece (or minus one minus the character that goes by bytes)
-    and how many nodes it goes back.
+    into node n are ``edge[n] .. edge[n + 1] - 1``. An edge knows the share of the
+    node's edges up to itself, its piece (or minus one minus the character that goes
+    by bytes) and how many nodes it goes back.
     """
 
     def __init__(self, path: str, alpha: float, keep: int = 120_000):
@@ -89,6 +88,7 @@ class Sampler:
             self.weight[self.vocabulary.ids[text]] = -alpha * np.log(rank + 1)
         self.parts: dict[str, int] = {}
         self.node = np.zeros(1, np.int64)
+        self.edge = np.zeros(1, np.int64)
         self.upto, self.back = np.zeros(0), np.zeros(0, np.int32)
         self.piece = np.zeros(0, np.int32)
 
@@ -145,10 +145,10 @@ class Sampler:
         base = np.concatenate([[0.0], share[last[:-1]]])
         share = np.minimum(share - np.repeat(base, np.diff(np.concatenate([[-1], last]))), 1.0)
         share[last] = 1.0
-        offset = self.node[-1]
         self.parts.update(zip(new, range(len(self.parts), len(self.parts) + len(new))))
-        self.node = np.concatenate([self.node, offset + np.cumsum(lengths)])
-        self.upto = np.concatenate([self.upto, offset + end + share])
+        self.node = np.concatenate([self.node, self.node[-1] + np.cumsum(lengths)])
+        self.edge = np.concatenate([self.edge, self.edge[-1] + last + 1])
+        self.upto = np.concatenate([self.upto, share])
         self.back = np.concatenate([self.back, (end + 1 - start).astype(np.int32)])
         self.piece = np.concatenate([self.piece, piece])
 
@@ -158,7 +158,8 @@ class Sampler:
             for part in new[-over:]:
                 del self.parts[part]
             self.node = self.node[: self.keep + 1].copy()
-            edges = np.searchsorted(self.upto, self.node[-1], side="right")
+            self.edge = self.edge[: self.node[-1] + 1].copy()
+            edges = self.edge[-1]
             self.upto, self.back, self.piece = (a[:edges].copy() for a in (self.upto, self.back, self.piece))
 
     def sample(self, texts: list[str | None], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,7 +181,11 @@ class Sampler:
         while len(open_):
             with np.errstate(over="ignore"):
                 u = (mixed(seed[open_] + np.uint64(len(owners))) >> np.uint64(34)).astype(np.float64) / (1 << 30)
-            edge = np.searchsorted(self.upto, at + u, side="right")
+            edge = self.edge[at]
+            on = np.flatnonzero(u >= self.upto[edge])
+            while len(on):  # a node's last share is 1
+                edge[on] += 1
+                on = on[u[on] >= self.upto[edge[on]]]
             owners.append(open_)
             taken.append(self.piece[edge])
             at = at - self.back[edge]
