@@ -8,7 +8,11 @@ BOX_TYPE = T.StructType(
 
 
 def make_box(xmin, ymin, xmax, ymax) -> Column:
-    """Box struct from numbers or columns; NULL when any side is NULL or NaN."""
+    """Box struct from numbers or columns; NULL when any side is NULL or NaN.
+
+    So is a box whose sides are the wrong way round: it covers no point. Boxes that
+    cross the antimeridian are two boxes.
+    """
     sides = [
         (side if isinstance(side, Column) else F.lit(side)).cast("double")
         for side in (xmin, ymin, xmax, ymax)
@@ -16,6 +20,7 @@ def make_box(xmin, ymin, xmax, ymax) -> Column:
     present = F.lit(True)
     for side in sides:
         present = present & side.isNotNull() & ~F.isnan(side)
+    present = present & (sides[0] <= sides[2]) & (sides[1] <= sides[3])
     box = F.struct(*[s.alias(f.name) for s, f in zip(sides, BOX_TYPE.fields)])
     return F.when(present, box)
 

@@ -1,6 +1,7 @@
 """Text of a declared encoding to Spark strings."""
 
 import codecs
+import re
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
@@ -51,6 +52,11 @@ SPARK_CHARSETS = {"ISO-8859-1", "US-ASCII", "UTF-8", "UTF-16", "UTF-16BE", "UTF-
 def charset(encoding: str) -> str:
     """Standard name of an encoding; unknown names are an error."""
     key = encoding.strip().upper()
+    page = re.fullmatch(r"(?:ANSI|OEM|CP|WINDOWS|IBM)?[ _-]*(\d{3,5})", key)  # the spellings of .cpg files
+    if page:
+        number = int(page[1])
+        key = {65001: "UTF-8", 28591: "ISO-8859-1"}.get(number, f"CP{number}")
+        key = f"ISO-8859-{number - 88590}" if 88591 <= number <= 88599 else key
     name = ENCODING_NAMES.get(key, ENCODING_NAMES.get(key.replace("-", "").replace("_", ""), key))
     codecs.lookup(name)
     return name
@@ -64,6 +70,8 @@ def transcode(text: Column, encoding: str, utf8_layer: bool = False) -> Column:
 
     @F.arrow_udf(T.StringType())
     def decode(values: pa.Array) -> pa.Array:
-        return pa.array([None if v is None else v.decode(name) for v in values.to_pylist()], pa.string())
+        coded = values.dictionary_encode()  # each different text is decoded once
+        texts = pa.array([v.decode(name) for v in coded.dictionary.to_pylist()], pa.string())
+        return texts.take(coded.indices)
 
     return decode(text)

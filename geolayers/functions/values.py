@@ -130,7 +130,9 @@ def coerce_write(value: Column, data_type: T.DataType, column: str = "?", table:
     if stored == "DateTime":
         return rounded_second(value)
     if stored == "Time":
-        return F.time_trunc(F.lit("SECOND"), value + F.expr("INTERVAL 500 MILLISECONDS"))
+        # Rounded like other times, but the last half second of a day stays in it.
+        moved = F.time_trunc(F.lit("SECOND"), value + F.expr("INTERVAL 500 MILLISECONDS"))
+        return F.when(value >= F.expr("TIME '23:59:59.5'"), F.expr("TIME '23:59:59'")).otherwise(moved)
     simple = {"Integer": "int", "Integer64": "bigint", "Real": "double", "String": "string"}
     return value.cast(simple[stored]) if stored in simple else value
 

@@ -329,7 +329,10 @@ def box_wkb(box: Column) -> Column:
 def _line_wkb(xs: pa.Array, ys: pa.Array) -> pa.Array:
     out = np.full(len(xs), None, object)
     starts, counts, values = zip(*map(_lists, (xs, ys)))
-    counts = np.where((counts[0] < 0) | (counts[1] < 0), -1, np.minimum(*counts))
+    present = (counts[0] >= 0) & (counts[1] >= 0)
+    if (counts[0] != counts[1])[present].any():
+        raise ValueError("a line's lists of x and y differ in length")
+    counts = np.where(present, counts[0], -1)
     for n in np.unique(counts[counts >= 0]):
         rows = np.flatnonzero(counts == n)
         x, y = (v[s[rows, None] + np.arange(n)] for v, s in zip(values, starts))

@@ -159,7 +159,7 @@ def check_readable(source: T.DataType, declared: T.DataType, column: str, table:
     kind = source_type(source)
     if declared_name(declared) not in READABLE_AS[kind]:
         raise LayerError(
-            f'column "{column}" of layer "{table}" converts {kind} to {declared.simpleString()}'
+            f'"{table}"."{column}": a {kind} field cannot be read as {declared.simpleString()}'
         )
 
 
@@ -167,5 +167,5 @@ def check_storable(data_type: T.DataType, stored: str, column: str, table: str)
     found = STORED_AS.get(declared_name(data_type))
     if found is None or found != stored:
         raise LayerError(
-            f'column "{column}" of layer "{table}" converts {data_type.simpleString()} to {stored}'
+            f'"{table}"."{column}": {data_type.simpleString()} cannot be stored as {stored}'
         )

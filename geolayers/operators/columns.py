@@ -1,5 +1,7 @@
 """Matching of declared columns to the fields of a layer."""
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from geolayers.functions.names import launder_name
@@ -32,6 +34,9 @@ def _field_index(schema: T.StructType, hidden: set[str]) -> dict[str, T.StructFi
     for name_of in (lambda f: f.name.lower(), lambda f: launder_name(f.name)):
         for field in fields:
             index.setdefault(name_of(field), field)
+    clash = [n for n, k in Counter(f.name.lower() for f in fields).items() if k > 1]
+    if clash:
+        raise LayerError(f"fields {clash} are there more than once, in different case")
     return index
 
 

@@ -2,12 +2,12 @@
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from geolayers.functions.boxes import BOX_TYPE, bbox_meets, bbox_within, make_box
 from geolayers.functions.wkb import box_wkb, envelope, geometry_kind, geometry_meets_box, point_wkb, strip_ewkb
 from geolayers.model import LayerError, box_name, geometry_metadata
-from geolayers.session import FIXED_WIDTH, broadcast_limit, has_fixed_width, row_bytes
+from geolayers.session import FIXED_WIDTH, broadcast_limit, has_fixed_width, row_bytes, staged
 
 # Finest cell of the join grid, in the units of the coordinates.
 FINEST_CELL = 1e-6
@@ -104,10 +104,17 @@ def _finest(side: Column, cell: float) -> Column:
     return F.floor(side / F.lit(cell)).cast("bigint")
 
 
-def _placed(df: DataFrame, geom: str, cell: float, side: str) -> DataFrame:
-    """Add the box (``_l`` / ``_r``), its last finest cells and its level."""
+def _placed(df: DataFrame, geom: str, cell: float, side: str, drop: set[str]) -> DataFrame:
+    """Add the box (``_l`` / ``_r``) and its level; without what the join drops.
+
+    A box that has to be computed from the geometry is stored with its row, since
+    a join reads its sides several times.
+    """
     box = F.col(f"_{side}")
-    df = df.withColumn(f"_{side}", covering(df, geom)).filter(box.isNotNull())
+    computed = box_name(geom) not in df.columns
+    df = df.withColumn(f"_{side}", covering(df, geom)).filter(box.isNotNull()).drop(*drop)
+    if computed:
+        df = staged(df, "boxes")
     wide = _finest(box["xmax"], cell) - _finest(box["xmin"], cell)
     high = _finest(box["ymax"], cell) - _finest(box["ymin"], cell)
     exact = F.greatest(_bits(F.greatest(wide, high)) - LONG_BITS, _bits(F.least(wide, high)), F.lit(0))
@@ -146,8 +153,17 @@ def _entered(df: DataFrame, side: str, own: list[int], others: list[int], cell:
 CELL_KEY = ["_entry", "_cx", "_cy"]
 
 
-def _measured(placed: dict[str, DataFrame], cell: float):
-    """-> own cells per level and the extent of each side, in one job."""
+def _extents(placed: dict[str, DataFrame]) -> dict[str, list[float] | None]:
+    """The extent of each side, None for an empty one; a stored box is all that is read."""
+    folds = list(zip((F.min, F.min, F.max, F.max), BOX_TYPE.fields))
+    parts = [df.select(F.lit(s).alias("side"), F.col(f"_{s}").alias("box")) for s, df in placed.items()]
+    found = parts[0].unionByName(parts[1]).groupBy("side").agg(*[fold(f"box.{f.name}").alias(f.name) for fold, f in folds])
+    rows = {r["side"]: [r[f.name] for _, f in folds] for r in found.collect()}
+    return {s: rows.get(s) for s in placed}
+
+
+def _measured(placed: dict[str, DataFrame], cell: float) -> dict[str, dict[int, int]]:
+    """Own cells per level of each side, in one job."""
     parts = []
     for side, df in placed.items():
         box, level = F.col(f"_{side}"), F.col(f"_{side}level")
@@ -155,19 +171,9 @@ def _measured(placed: dict[str, DataFrame], cell: float):
         for axis in ("x", "y"):
             first, last = (_shift(_finest(box[f"{axis}{end}"], cell), level) for end in ("min", "max"))
             cells = cells * (last - first + 1)
-        parts.append(df.select(F.lit(side).alias("side"), level.alias("level"), cells.alias("cells"), box.alias("box")))
-    ends = [fold(f"box.{f.name}").alias(f.name) for fold, f in zip((F.min, F.min, F.max, F.max), BOX_TYPE.fields)]
-    found = parts[0].unionByName(parts[1]).groupBy("side", "level").agg(F.sum("cells").alias("cells"), *ends).collect()
-    own = {s: {r["level"]: r["cells"] for r in found if r["side"] == s} for s in placed}
-    extents = {
-        s: [
-            fold(r[f.name] for r in found if r["side"] == s)
-            for fold, f in zip((min, min, max, max), BOX_TYPE.fields)
-        ]
-        for s in placed
-        if own[s]
-    }
-    return own, extents
+        parts.append(df.select(F.lit(side).alias("side"), level.alias("level"), cells.alias("cells")))
+    found = parts[0].unionByName(parts[1]).groupBy("side", "level").agg(F.sum("cells").alias("cells")).collect()
+    return {s: {r["level"]: r["cells"] for r in found if r["side"] == s} for s in placed}
 
 
 def _entries_at_most(side: str, own: dict[int, int], others: list[int]) -> int:
@@ -186,7 +192,7 @@ def _small_side(placed: dict[str, DataFrame], entries: dict[str, int]) -> tuple[
     limit = broadcast_limit(df.sparkSession)
     widest = FIXED_WIDTH * (len(df.columns) + 8)
     if entries[side] * FIXED_WIDTH <= limit and not all(has_fixed_width(f.dataType) for f in df.schema):
-        widest += df.agg(F.max(row_bytes(df)).alias("bytes")).first()["bytes"]
+        widest += df.agg(F.max(row_bytes(df)).alias("bytes")).first()["bytes"] or 0
     return side, entries[side] * (widest + BOX_BYTES)
 
 
@@ -213,18 +219,23 @@ def _hot_cells(entered: dict[str, DataFrame], entries: dict[str, int], partition
     return [tuple(r) for r in items.filter("parts > 2").collect()]
 
 
-def _splits(spark, hot: list[tuple[str, int, int]], partitions: int) -> DataFrame:
-    """Cell key -> parts of each side.  Where both sides are hot, the grid of
-    their parts stays near the number of shuffle partitions."""
+def _splits(spark, hot: list[tuple[str, int, int]], partitions: int) -> tuple[DataFrame, dict[str, float]]:
+    """Cell key -> parts of each side, and each side's largest part in mean partitions.
+
+    Where both sides are hot, the grid of their parts stays near the number of
+    shuffle partitions, so their parts are larger than a mean one.
+    """
     parts: dict[int, dict[str, int]] = {}
     for side, key, count in hot:
         parts.setdefault(key, {"l": 1, "r": 1})[side] = count
-    rows = []
+    rows, largest = [], {"l": 2.0, "r": 2.0}  # a cell that is not hot has two mean partitions at most
     for key, both in parts.items():
         product = both["l"] * both["r"]
         scale = min(1.0, math.sqrt(partitions / product)) if min(both.values()) > 1 else 1.0
-        rows.append((key, *[max(1, math.ceil(both[s] * scale)) for s in "lr"]))
-    return F.broadcast(spark.createDataFrame(rows, "_key bigint, _lparts int, _rparts int"))
+        split = {s: max(1, math.ceil(both[s] * scale)) for s in "lr"}
+        rows.append((key, split["l"], split["r"]))
+        largest = {s: max(largest[s], both[s] / split[s]) for s in "lr"}
+    return F.broadcast(spark.createDataFrame(rows, "_key bigint, _lparts int, _rparts int")), largest
 
 
 def _salted(entered: DataFrame, splits: DataFrame, side: str, unique: list[str]) -> DataFrame:
@@ -255,17 +266,19 @@ def bbox_join(
     if clash:
         raise LayerError(f"both sides of the join have columns {sorted(clash)}")
     keep = {s: [c for c in df.columns if c not in drop] for s, df in (("l", left), ("r", right))}
-    placed = {
-        "l": _placed(left, left_geom, cell, "l").drop(*drop),
-        "r": _placed(right, right_geom, cell, "r").drop(*drop),
-    }
-    own, extents = _measured(placed, cell)
-    if not own["l"] or not own["r"]:
-        return left.select(keep["l"]).join(right.select(keep["r"]), F.lit(False))
+    placed = {"l": _placed(left, left_geom, cell, "l", drop), "r": _placed(right, right_geom, cell, "r", drop)}
+    fields = [df.schema[c] for s, df in (("l", left), ("r", right)) for c in keep[s]]
+    nothing = left.sparkSession.createDataFrame([], T.StructType(fields))
+    extents = _extents(placed)
+    if not extents["l"] or not extents["r"]:
+        return nothing
     # Boxes outside the other side's extent meet nothing; a stored layer skips
-    # their files and row groups.
+    # their files and row groups. Only what is left counts.
     placed["l"] = placed["l"].filter(bbox_meets(F.col("_l"), extents["r"]))
     placed["r"] = placed["r"].filter(bbox_meets(F.col("_r"), extents["l"]))
+    own = _measured(placed, cell)
+    if not own["l"] or not own["r"]:
+        return nothing
     others = {"l": sorted(own["r"]), "r": sorted(own["l"])}
     entries = {s: _entries_at_most(s, own[s], others[s]) for s in "lr"}
     entered = {s: _entered(df, s, sorted(own[s]), others[s], cell) for s, df in placed.items()}
@@ -277,13 +290,15 @@ def bbox_join(
     else:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         hot = _hot_cells(entered, entries, partitions)
+        largest = {"l": 2.0, "r": 2.0}
         if hot:
-            splits = _splits(spark, hot, partitions)
+            splits, largest = _splits(spark, hot, partitions)
             for s in "lr":
                 unique = ["fid"] if "fid" in keep[s] else [*keep[s], f"_{s}"]
                 entered[s] = _salted(entered[s], splits, s, unique)
             keys = CELL_KEY + ["_lsalt", "_rsalt"]
-        if size <= partitions * HASH_BYTES:
+        # A task's hash table: a mean share beside the largest part of a cell.
+        if size * (1 + largest[small]) <= partitions * HASH_BYTES:
             entered[small] = entered[small].hint("shuffle_hash")
     joined = entered["l"].join(entered["r"], keys)
     lowest = {axis: F.greatest(F.col("_l")[f"{axis}min"], F.col("_r")[f"{axis}min"]) for axis in "xy"}

@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from geolayers.plans.registry import query
-from geolayers.sources.catalog import layer_catalog, list_layers
-from geolayers.sources.fids import assign_fid
+from geolayers.sources.catalog import layer_catalog
+from geolayers.sources.fids import assign_fid, lookup_fids
 from geolayers.sources.layers import layer_count, read_layer
 
 LAYERS = """('region'), ('nation'), ('customer'), ('supplier'), ('part'), ('orders'), ('lineitem'), ('events'),
@@ -23,11 +23,6 @@ COLUMNS = f"""
 SHOWN = ["layer", "table_name", "ordinal", "column_name", "data_type", "column_option"]
 
 
-@query("layer_list", f"select layer, 'parquet' as fmt from (values {LAYERS}) t(layer)")
-def layer_list(spark, source):
-    return list_layers(spark, source)
-
-
 @query("layer_import", COLUMNS)
 def layer_import(spark, source):
     return layer_catalog(spark, source).select(SHOWN)
@@ -57,6 +52,16 @@ def fid_scan(spark, source):
     return _facts(read_layer(spark, source, "lineitem", "fid bigint, l_orderkey bigint"))
 
 
+@query(
+    "fid_lookup",
+    "select fid, l_orderkey, l_linenumber from "
+    "(select row_number() over () - 1 as fid, l_orderkey, l_linenumber from lineitem) where fid in (0, 77, 4999)",
+)
+def fid_lookup(spark, source):
+    found = lookup_fids(read_layer(spark, source, "lineitem"), [0, 77, 4999, -1, 1 << 40])
+    return found.select("fid", "l_orderkey", "l_linenumber")
+
+
 @query(
     "fid_assign",
     "select count(*) as n, min(fid) as low, max(fid) as high, count(distinct fid) as fids "

@@ -189,19 +189,20 @@ def box_join(spark, source):
     "where pxmin <= xmax and pxmax >= xmin and pymin <= ymax and pymax >= ymin",
 )
 def box_join_boxes(spark, source):
-    joined = bbox_join(parcels(spark, source), boxes(spark, source), "parcel", "shape")
-    return joined.select("pid", "bid", "bname")
+    named = boxes(spark, source)
+    joined = bbox_join(parcels(spark, source), named.drop("bname"), "parcel", "shape").select("pid", "bid")
+    return joined.join(named.select("bid", "bname"), "bid").select("pid", "bid", "bname")
 
 
 @query(
     "bbox_self_join",
     f"with {PARCELS} select a.pid as pid, b.pid as other from parcels a, parcels b "
-    "where a.pxmin <= b.pxmax and a.pxmax >= b.pxmin and a.pymin <= b.pymax and a.pymax >= b.pymin",
+    "where a.pid < b.pid and a.pxmin <= b.pxmax and a.pxmax >= b.pxmin and a.pymin <= b.pymax and a.pymax >= b.pymin",
 )
 def box_self_join(spark, source):
     left = parcels(spark, source)
     right = left.withColumnsRenamed({"pid": "other", "parcel_bbox": "plot_bbox"})
-    return bbox_join(left, right, "parcel", "plot").select("pid", "other")
+    return bbox_join(left, right, "parcel", "plot").filter("pid < other").select("pid", "other")
 
 
 @query("layer_store", f"with {PARCELS} select pid, pxmin as xmin, pymax as ymax, 93 as octets from parcels "

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F, types as T
 
 from geolayers.functions.names import launder
 from geolayers.functions.text import transcode
-from geolayers.functions.values import coerce_write, parse_text, rounded_second, time_text
+from geolayers.functions.values import coerce_read, coerce_write, parse_text, rounded_second, time_text
 from geolayers.operators.columns import as_layer
 from geolayers.plans.registry import query
 from geolayers.sources.layers import read_layer
@@ -107,6 +107,39 @@ def datetime_read(spark, source):
     )
 
 
+CLOCK = "cast(ts + to_milliseconds((event_id * 7919) % 86400000) as time)"
+
+
+def _clocks(spark, source):
+    """Events with a time of day to the millisecond, as a TIME column."""
+    spark.conf.set("spark.sql.timeType.enabled", "true")
+    moved = F.col("ts") + F.make_dt_interval(secs=((F.col("event_id") * 7919) % 86400000) / 1000)
+    return read_layer(spark, source, "events").select(F.col("event_id").alias("fid"), moved.cast("time(6)").alias("clock"))
+
+
+@query(
+    "time_read",
+    f"with t as (select event_id as fid, {CLOCK} as clock from events) "
+    "select fid, strftime(date_trunc('second', date '2000-01-01' + clock), '%H:%M:%S') as clock, "
+    "strftime(date_trunc('second', date '2000-01-01' + clock), '%H:%M:%S') as label from t",
+)
+def time_read(spark, source):
+    clocks = _clocks(spark, source)
+    seconds = coerce_read(F.col("clock"), T.TimeType(6), T.TimeType(0)).cast("string")
+    return clocks.select("fid", seconds.alias("clock"), coerce_read(F.col("clock"), T.TimeType(6), T.VarcharType(8)).alias("label"))
+
+
+@query(
+    "time_write",
+    f"with t as (select event_id as fid, date '2000-01-01' + {CLOCK} as clock from events) "
+    "select fid, case when strftime(clock, '%H:%M:%S.%f') >= '23:59:59.500000' then '23:59:59' "
+    "else strftime(clock + interval 500 milliseconds, '%H:%M:%S') end as clock from t",
+)
+def time_write(spark, source):
+    clocks = _clocks(spark, source)
+    return clocks.select("fid", coerce_write(F.col("clock"), T.TimeType(6), "clock").cast("string").alias("clock"))
+
+
 @query(
     "datetime_write",
     "select event_id as fid, date_trunc('second', ts + interval 500 milliseconds) as stamp, "

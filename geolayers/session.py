@@ -1,6 +1,5 @@
 """What the package needs to know about the Spark session it runs in."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -8,16 +7,34 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 # Sizes of fixed-width values in bytes, for measuring rows before a broadcast.
 FIXED_WIDTH = 16
 
+# Folders of intermediate tables by application.
+_made: dict[str, list[str]] = {}
+
 
 def shared_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh path in the shared folder that the cluster names for checkpoints."""
+    """A fresh path in the shared folder that the cluster names for checkpoints.
+
+    Without one, intermediate tables go below the session's warehouse, which all
+    executors see as well.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="geolayers-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    root = root or spark.conf.get("spark.sql.warehouse.dir") + "/geolayers"
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Remove all intermediate tables of this application; returns their number.
+
+    DataFrames that still read them end with it, so this belongs behind the last action.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(paths)
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:

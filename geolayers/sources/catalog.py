@@ -4,45 +4,53 @@ import csv
 import io
 import json
 import re
+import sys
+from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
-from geolayers.functions.names import launder
+from geolayers.functions.names import launder, launder_name
 from geolayers.functions.text import charset
 from geolayers.model import IMPORTED_AS, LayerError, box_name, is_geometry, source_type
-from geolayers.sources.files import list_files, open_file, read_range
-from geolayers.sources.layers import read_layer
-from geolayers.sources.shapefile import layer_schema, read_shapefile
-
-# Longest CSV header line that is read.
-HEADER_BYTES = 1 << 20
+from geolayers.sources.fids import csv_counts, csv_fids, file_fids
+from geolayers.sources.files import inner_path, list_files, open_file
+from geolayers.sources.layers import CSV_OPTIONS
+from geolayers.sources.shapefile import layer_schema, read_shape_files
 
 COLUMN_SCHEMA = "layer string, fmt string, path string, ordinal int, source_name string, data_type string"
-COLUMN_NAMES = [part.split()[0] for part in COLUMN_SCHEMA.split(", ")]
+FIELD_SCHEMA = "layer string, fmt string, path string, at int, field string, rows bigint"
+SHAPE_PARTS = ["shp", "shx", "dbf", "prj", "qpj", "cpg"]
 
 
 def layer_files(spark: SparkSession, source: str) -> DataFrame:
-    """(layer, fmt, path): one file of each layer.
+    """(layer, fmt, path, files): every layer with the paths of all its files.
 
-    A layer is a file ``name.parquet|csv`` in the folder, a shapefile (known by
-    its attribute table, which may stand alone) or a folder of Parquet part
-    files; any one part file carries the schema.
+    A layer is a file ``name.parquet|csv`` in the folder, a folder of Parquet or CSV
+    part files (at any depth, for partition columns), or a shapefile in the folder:
+    its geometry file, its attribute table or both. Extensions count in any case.
+    ``path`` is the file or folder that Spark reads.
     """
-    files = list_files(spark, source, "*.{parquet,csv,dbf}")
-    # Path below the source, however Spark spells scheme and host.
-    folder = "/" + re.sub(r"^[a-z0-9]+:/*", "", source).strip("/") + "/"
-    plain = F.concat(F.lit("/"), F.regexp_replace("path", r"^[a-z0-9]+:/*", ""))
-    inner = F.substring(plain, F.instr(plain, folder) + len(folder), F.length(plain))
+    files = list_files(spark, source, "*.*")
+    inner = inner_path(F.col("path"), source)
     head = F.substring_index(inner, "/", 1)
     nested = inner.contains("/")
-    layer = F.when(nested, F.regexp_replace(head, r"\.parquet$", "")).otherwise(
-        F.regexp_replace(head, r"\.[^.]*$", "")
+    extension = F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1))
+    fmt = F.when(extension.isin(SHAPE_PARTS), "shapefile").otherwise(extension)
+    found = files.select(
+        F.regexp_replace(head, r"(?i)\.(parquet|csv|shp|shx|dbf|prj|qpj|cpg)$", "").alias("layer"),
+        fmt.alias("fmt"),
+        F.when(nested, F.concat(F.substring("path", F.lit(1), F.length("path") - F.length(inner)), head)).otherwise(F.col("path")).alias("root"),
+        "path",
+        nested.alias("nested"),
+        extension.alias("extension"),
     )
-    fmt = F.regexp_replace(F.regexp_extract("path", r"\.([^./]*)$", 1), "dbf", "shapefile")
-    found = files.select(layer.alias("layer"), fmt.alias("fmt"), "path", nested.alias("nested"))
-    found = found.filter(~F.col("nested") | (F.col("fmt") == "parquet"))
-    return found.groupBy("layer", "fmt").agg(F.min("path").alias("path"))
+    found = found.filter(F.col("fmt").isin("parquet", "csv") | ((F.col("fmt") == "shapefile") & ~F.col("nested")))
+    found = found.groupBy("layer", "fmt").agg(
+        F.min("root").alias("path"), F.array_sort(F.collect_list("path")).alias("files"), F.collect_set("extension").alias("extensions")
+    )
+    shaped = F.array_contains("extensions", "shp") | F.array_contains("extensions", "dbf")
+    return found.filter((F.col("fmt") != "shapefile") | shaped).drop("extensions")
 
 
 def list_layers(spark: SparkSession, source: str) -> DataFrame:
@@ -54,13 +62,14 @@ def _parquet_columns(path: str):
     import pyarrow.parquet as pq
 
     with open_file(path) as handle:
-        arrow = pq.read_schema(handle)
+        footer = pq.read_metadata(handle)
+    arrow = footer.schema.to_arrow_schema()
     stored = (arrow.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
     if stored:
-        return T.StructType.fromJson(json.loads(stored))
+        return T.StructType.fromJson(json.loads(stored)), footer.num_rows
     from pyspark.sql.pandas.types import from_arrow_schema
 
-    return from_arrow_schema(arrow, prefer_timestamp_ntz=True)
+    return from_arrow_schema(arrow, prefer_timestamp_ntz=True), footer.num_rows
 
 
 def columns_of(schema: T.StructType):
@@ -91,46 +100,115 @@ def imported_type(field: T.StructField) -> str:
     return f"{name}({width})" if name == "varchar" and width and width < 10 * 1024 * 1024 else name
 
 
-def _csv_schema(path: str, encoding: str) -> T.StructType:
-    head = read_range(path, 0, HEADER_BYTES).split(b"\n")[0].decode(encoding)
-    names = next(csv.reader(io.StringIO(head)))
+def _csv_schema(path: str, encoding: str, options: dict) -> T.StructType:
+    """Names of a CSV header, read to its end under the reader's own options."""
+    csv.field_size_limit(sys.maxsize)
+    sep, quote = (options.get(k) for k in ("sep", "quote"))
+    with open_file(path) as handle:
+        text = io.TextIOWrapper(handle, "utf-8-sig" if encoding.upper() in ("UTF-8", "UTF8") else encoding, newline="")
+        rows = csv.reader(text, delimiter=sep or options.get("delimiter") or ",", quotechar=quote or '"')
+        names = next((row for row in rows if row), [])
+    whole = str(options.get("multiline", "")).lower() == "true"
+    if any("\n" in n for n in names) and not whole:
+        raise LayerError(f"{path}: a column name goes over a line break; read it with multiLine=true")
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _shapefile_schema(path: str) -> T.StructType:
-    return layer_schema(path[: -len("dbf")])
+def _schema_reader(encoding: str, options: dict):
+    """Fields of each file of each layer, as JSON, in their order."""
 
-
-def _schema_reader(encoding: str):
-    readers = {"parquet": _parquet_columns, "csv": lambda path: _csv_schema(path, encoding), "shapefile": _shapefile_schema}
+    def fields(fmt, files, path):
+        if fmt == "shapefile":
+            return layer_schema({p.rpartition(".")[2].lower(): p for p in files}), None
+        return _parquet_columns(path) if fmt == "parquet" else (_csv_schema(path, encoding, options), None)
 
     def read(batches):
         for batch in batches:
             rows = []
-            for layer, fmt, path in zip(batch["layer"], batch["fmt"], batch["path"]):
-                for ordinal, (name, data_type) in enumerate(columns_of(readers[fmt](path)), 1):
-                    rows.append((layer, fmt, path, ordinal, name, data_type))
-            yield pd.DataFrame(rows, columns=COLUMN_NAMES)
+            for layer, fmt, files, path in zip(batch["layer"], batch["fmt"], batch["files"], batch["file"]):
+                schema, count = fields(fmt, files, path)
+                for at, field in enumerate(schema):
+                    rows.append((layer, fmt, path, at, field.json(), count))
+            yield pd.DataFrame(rows, columns=["layer", "fmt", "path", "at", "field", "rows"])
 
     return read
 
 
+def _merged(found: list[T.StructField], files: list[str], root: str, layer: str) -> T.StructType:
+    """One schema of a layer's files: fields in order of appearance, then partition columns."""
+    merged: dict[str, T.StructField] = {}
+    for field in found:
+        known = merged.setdefault(field.name.lower(), field)
+        if known.dataType != field.dataType:
+            raise LayerError(f'layer "{layer}": files disagree on the type of "{field.name}"')
+    values: dict[str, list[str]] = {}
+    for path in files:
+        for step in path[len(root) :].strip("/").split("/")[:-1]:
+            name, equals, value = step.partition("=")
+            if equals:
+                values.setdefault(unquote(name), []).append(unquote(value))
+    for name, texts in values.items():
+        texts = [t for t in texts if t != "__HIVE_DEFAULT_PARTITION__"]
+        merged.setdefault(name.lower(), T.StructField(name, _partition_type(texts)))
+    return T.StructType(list(merged.values()))
+
+
+def _partition_type(texts: list[str]) -> T.DataType:
+    """Whole numbers are read as such, all else as text."""
+    if texts and all(re.fullmatch(r"-?\d{1,18}", t) for t in texts):
+        return T.IntegerType() if all(abs(int(t)) < 1 << 31 for t in texts) else T.LongType()
+    return T.StringType()
+
+
+def _layers(files: DataFrame, encoding: str | None, options: dict | None, counted: bool = False) -> list[tuple]:
+    """(layer, fmt, path, files, schema, rows of its Parquet files) of all layers in ``files``.
+
+    Every footer and header is read, each by one row of a parallel job, so columns
+    that only some part files have are found; equal fields of a layer's files come
+    to the driver once, and one number per file if ``counted``.
+    """
+    # A fixed number of partitions: adaptive execution would join so few bytes
+    # into one task, but each row costs a file access.
+    tasks = files.sparkSession.sparkContext.defaultParallelism
+    options = {k.lower(): v for k, v in (options or {}).items()}
+    each = F.when(F.col("fmt") == "shapefile", F.slice("files", 1, 1)).otherwise(F.col("files"))
+    opened = files.select("layer", "fmt", "files", F.explode(each).alias("file")).repartition(tasks, "file")
+    read = _schema_reader(charset(encoding or "UTF-8"), options)
+    found = opened.mapInPandas(read, FIELD_SCHEMA).groupBy("layer", "fmt", "field")
+    first = F.min(F.struct("path", "at")).alias("first")
+    sizes = F.collect_list(F.when(F.col("at") == 0, F.struct("path", "rows"))) if counted else F.lit(None)
+    fields: dict[tuple, list] = {}
+    rows: dict[tuple, list] = {}
+    for row in found.agg(first, sizes.alias("sizes")).orderBy("layer", "fmt", "first").collect():
+        rows.setdefault((row["layer"], row["fmt"]), []).extend(row["sizes"] or [])
+        fields.setdefault((row["layer"], row["fmt"]), []).append(T.StructField.fromJson(json.loads(row["field"])))
+    out = []
+    for row in files.orderBy("layer", "fmt").collect():
+        own = fields.get((row["layer"], row["fmt"]), [])
+        schema = _merged(own, row["files"], row["path"], row["layer"])
+        sizes = rows.get((row["layer"], row["fmt"]), [])
+        out.append((row["layer"], row["fmt"], row["path"], row["files"], schema, sizes))
+    return out
+
+
 def layer_columns(
     files: DataFrame,
     launder_table_names: bool = True,
     launder_column_names: bool = True,
     encoding: str | None = None,
+    options: dict | None = None,
 ) -> DataFrame:
     """Columns of the layers in ``files``: one row per layer and column.
 
     ``table_name`` and ``column_name`` are the laundered names; ``column_option``
-    keeps the source name where laundering changed more than its case.  Footers
-    and headers are read in parallel, one layer per row.
+    keeps the source name where laundering changed more than its case.
     """
-    # A fixed number of partitions: adaptive execution would join so few bytes
-    # into one task, but each row costs a file access.
-    tasks = files.sparkSession.sparkContext.defaultParallelism
-    found = files.repartition(tasks, "layer").mapInPandas(_schema_reader(charset(encoding or "UTF-8")), COLUMN_SCHEMA)
+    rows = [
+        (layer, fmt, path, ordinal, name, kind)
+        for layer, fmt, path, _, schema, _ in _layers(files, encoding, options)
+        for ordinal, (name, kind) in enumerate(columns_of(schema), 1)
+    ]
+    found = files.sparkSession.createDataFrame(rows, COLUMN_SCHEMA)
     raw, laundered = F.col("source_name"), launder(F.col("source_name"))
     changed = F.lower(laundered) != F.lower(raw)
     return found.select(
@@ -150,6 +228,21 @@ def _table_name(launder_table_names: bool):
     return launder(F.col("layer")) if launder_table_names else F.col("layer")
 
 
+def _chosen(spark, source, prefix=None, limit_to=None, except_=None, launder_table_names=True) -> DataFrame:
+    """The files of the chosen layers, before any of them is opened."""
+    if limit_to is not None and except_ is not None:
+        raise LayerError("limit_to and except_ exclude each other")
+    files = layer_files(spark, source)
+    table = _table_name(launder_table_names)
+    if prefix is not None:
+        files = files.filter(F.col("layer").startswith(prefix))
+    if limit_to is not None:
+        files = files.filter(table.isin(list(limit_to)))
+    if except_ is not None:
+        files = files.filter(~table.isin(list(except_)))
+    return files
+
+
 def layer_catalog(
     spark: SparkSession,
     source: str,
@@ -159,75 +252,90 @@ def layer_catalog(
     launder_table_names: bool = True,
     launder_column_names: bool = True,
     encoding: str | None = None,
+    options: dict | None = None,
 ) -> DataFrame:
     """The columns of all layers that an import would take.
 
     ``prefix`` is compared with the layer's own name, case-sensitively;
     ``limit_to`` and ``except_`` with the name of the table it becomes.  Layers
-    are chosen before any of their files is opened.
+    are chosen before any of their files is opened. ``options`` are those of the CSV
+    reader (``sep``, ``quote``, ``multiLine``).
     """
-    if limit_to is not None and except_ is not None:
-        raise LayerError("limit_to and except_ exclude each other")
-    files = layer_files(spark, source)
-    table = _table_name(launder_table_names)
-    if prefix is not None:
-        files = files.filter(F.col("layer").startswith(prefix))
-    if limit_to is not None:
-        files = files.filter(table.isin(list(limit_to)))
-    if except_ is not None:
-        files = files.filter(~table.isin(list(except_)))
-    return layer_columns(files, launder_table_names, launder_column_names, encoding)
+    files = _chosen(spark, source, prefix, limit_to, except_, launder_table_names)
+    return layer_columns(files, launder_table_names, launder_column_names, encoding, options)
 
 
-def _check_clashes(layers) -> None:
+def _check_clashes(names: dict[str, list[str]], what: str) -> None:
     """Laundering may make two names equal; such a table cannot be imported."""
-    tables = {}
-    for row in layers:
-        names = {}
-        for column in row["columns"]:
-            names.setdefault(column["column_name"], []).append(column["source_name"])
-        for same in names.values():
-            if len(same) > 1:
-                raise LayerError(f'layer "{row["layer"]}": columns {same} have the same laundered name')
-        if tables.setdefault(row["table_name"], row["path"]) != row["path"]:
-            raise LayerError(f'several layers have the table name "{row["table_name"]}"')
-
-
-def import_layers(spark: SparkSession, source: str, encoding: str | None = None, **rules) -> int:
+    for laundered, same in names.items():
+        if len(same) > 1:
+            raise LayerError(f'{what}: {same} all become "{laundered}"')
+
+
+def import_layers(
+    spark: SparkSession,
+    source: str,
+    prefix: str | None = None,
+    limit_to: list[str] | None = None,
+    except_: list[str] | None = None,
+    launder_table_names: bool = True,
+    launder_column_names: bool = True,
+    encoding: str | None = None,
+    options: dict | None = None,
+) -> int:
     """Register a temporary view for each chosen layer; returns their number.
 
-    ``rules`` are the arguments of ``layer_catalog``; an unknown one is an
-    error.  Only the catalog (names and types) comes to the driver.
+    The arguments are those of ``layer_catalog``. Files are listed and opened in a
+    fixed number of jobs; each view reads with the schema found there, and nothing
+    is stored.
     """
-    catalog = layer_catalog(spark, source, encoding=encoding, **rules)
-    columns = catalog.groupBy("layer", "fmt", "path", "table_name").agg(
-        F.array_sort(F.collect_list(F.struct("ordinal", "source_name", "column_name"))).alias("columns")
-    )
-    chosen = columns.collect()
-    _check_clashes(chosen)
-    for row in chosen:
-        if row["fmt"] == "shapefile":
-            df = read_shapefile(spark, source, row["layer"], encoding=encoding)
-        else:
-            df = _whole_layer(spark, source, row["layer"], row["fmt"], encoding)
+    files = _chosen(spark, source, prefix, limit_to, except_, launder_table_names)
+    layers = _layers(files, encoding, options, counted=True)
+    rename = launder_name if launder_column_names else str
+    tables: dict[str, list[str]] = {}
+    for layer, fmt, _, _, schema, _ in layers:
+        tables.setdefault(launder_name(layer) if launder_table_names else layer, []).append(f"{layer} ({fmt})")
+        columns: dict[str, list[str]] = {}
+        for name, _ in columns_of(schema):
+            columns.setdefault(rename(name), []).append(name)
+        _check_clashes(columns, f'columns of layer "{layer}"')
+    _check_clashes(tables, "layers")
+    scans = [_scan(spark, fmt, path, paths, schema, encoding, options) for _, fmt, path, paths, schema, _ in layers]
+    bare = [k for k, df in enumerate(scans) if not any(c.lower() == "fid" for c in df.columns)]
+    texts = [k for k in bare if layers[k][1] == "csv"]
+    for k, counts in zip(texts, csv_counts([scans[k] for k in texts])):
+        scans[k] = csv_fids(scans[k], counts=counts)
+    for k in set(bare) - set(texts):
+        counts = [Row(_file=_spelled(r["path"]), _rows=r["rows"], _first=0) for r in layers[k][5]]
+        scans[k] = file_fids(scans[k], counts=counts)
+    for (table, _), df, (_, _, _, _, schema, _) in zip(tables.items(), scans, layers):
         renamed = []
-        for column in row["columns"]:
-            field = df.schema[column["source_name"]]
-            name = F.col(f"`{field.name}`")
-            renamed.append(name.alias(column["column_name"], metadata=field.metadata))
-            if is_geometry(field) and box_name(field.name) in df.columns:
-                renamed.append(F.col(f"`{box_name(field.name)}`").alias(box_name(column["column_name"])))
-        df.select(renamed).createOrReplaceTempView(f"`{row['table_name']}`")
-    return len(chosen)
-
-
-def _whole_layer(spark, source, layer, fmt, encoding) -> DataFrame:
-    """All columns of a layer with its feature id."""
-    df = read_layer(spark, source, layer, fmt=fmt, encoding=encoding)
-    if "fid" in df.columns:
-        return df
-    fields = [T.StructField("fid", T.LongType())]
-    for f in df.schema:
-        if not (f.name.endswith("_bbox") and isinstance(f.dataType, T.StructType)):
-            fields.append(T.StructField(f.name, f.dataType))
-    return read_layer(spark, source, layer, T.StructType(fields), fmt=fmt, encoding=encoding)
+        for name, _ in columns_of(schema):
+            column = F.col(f"`{name}`")
+            field = schema[name] if name in schema.names else T.StructField(name, T.LongType())
+            renamed.append(column.alias(rename(name), metadata=field.metadata or {}))
+            if is_geometry(field) and box_name(name) in schema.names:
+                renamed.append(F.col(f"`{box_name(name)}`").alias(box_name(rename(name))))
+        df.select(renamed).createOrReplaceTempView(f"`{table}`")
+    return len(layers)
+
+
+def _spelled(path: str) -> str:
+    """A listed path as the scan's metadata spells it."""
+    return re.sub(r"^file:/+", "file:///", path)
+
+
+def _scan(spark, fmt, path, paths, schema, encoding, options) -> DataFrame:
+    """All columns of a layer; the schema is known, so no job runs for it."""
+    if fmt == "shapefile":
+        return read_shape_files(spark, {p.rpartition(".")[2].lower(): p for p in paths}, schema, encoding)
+    options = dict(options or {}) if fmt == "csv" else {}
+    if fmt == "csv":
+        options = {**CSV_OPTIONS, **({"encoding": charset(encoding)} if encoding else {}), **options}
+    df = spark.read.format(fmt).options(**options).schema(schema).load(path)
+    if fmt == "csv":
+        return df.select([F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
+    for field in schema:
+        if field.metadata:
+            df = df.withMetadata(field.name, field.metadata)
+    return df

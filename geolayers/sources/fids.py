@@ -1,49 +1,82 @@
 """Dense feature ids in row order, without a global sort or a single-task pass."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from bisect import bisect_right
+from functools import reduce
+from itertools import accumulate
 
-from geolayers.session import FIXED_WIDTH, broadcast_if_small, staged
+from pyspark.sql import Column, DataFrame, Row, functions as F
+
+from geolayers.session import staged
 
 FID = "fid"
 # monotonically_increasing_id() holds the partition above 33 bits of row number.
 ROW_BITS = 33
+# Files or splits whose offsets are broadcast: some 200 MB at most.
+BLOCKS_AT_MOST = 2_000_000
 
 
-def _with_offsets(rows: DataFrame, block: list[str], counts: DataFrame, start: int, place: Column) -> DataFrame:
+def _with_offsets(rows: DataFrame, block: list[str], counts: list[Row], start: int, place: Column) -> DataFrame:
     """fid = start + rows in earlier blocks + place inside the own block.
 
-    ``counts`` has one row per file or input split, so the running sum over it
-    and its broadcast are bounded by the number of files, not of features; the
-    broadcast is used only while that number is within the session's bound.
+    ``counts`` has one row per file or input split, so it is bounded by their
+    number, not by features: up to ``BLOCKS_AT_MOST`` of them the offsets are looked
+    up by a broadcast join of two numbers a block, and the rows stay where they
+    were read. A place beyond the block's rows is an error.
     """
     names = [c for c in rows.columns if c not in {*block, "_row"}]
-    blocks = counts.count()
-    if blocks < 2:
-        first = counts.select("_first").first()
-        own = rows.withColumns({"_offset": F.lit(start), "_first": F.lit(first["_first"] if first else 0)})
-        return own.select((F.col("_offset") + place).cast("bigint").alias(FID), *[F.col(f"`{c}`") for c in names])
-    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *block, "_first", (F.lit(start) + F.coalesce(F.sum("_rows").over(before), F.lit(0))).alias("_offset")
+    counts = sorted(counts, key=lambda r: tuple(r[c] for c in block))
+    before = accumulate((r["_rows"] for r in counts), initial=start)
+    table = [(*(r[c] for c in block), offset, r["_first"], r["_rows"]) for offset, r in zip(before, counts)]
+    schema = ", ".join([f"{c} {rows.schema[c].dataType.simpleString()}" for c in block]) + ", _offset bigint, _first bigint, _rows bigint"
+    offsets = rows.sparkSession.createDataFrame(table, schema)
+    if len(table) <= BLOCKS_AT_MOST:
+        offsets = F.broadcast(offsets)
+    joined = rows.join(offsets, block)
+    at = F.when((place >= 0) & (place < F.col("_rows")), place).otherwise(
+        F.raise_error(F.lit("the source changed while its rows were numbered"))
     )
-    size = blocks * FIXED_WIDTH * (len(block) + 8)
-    joined = rows.join(broadcast_if_small(offsets, blocks, size), block)
-    return joined.select((F.col("_offset") + place).cast("bigint").alias(FID), *[F.col(f"`{c}`") for c in names])
+    return joined.select((F.col("_offset") + at).cast("bigint").alias(FID), *[F.col(f"`{c}`") for c in names])
+
+
+def _file_rows(df: DataFrame) -> list[Row]:
+    """Rows of each Parquet file; the columns stay unread."""
+    files = df.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file")
+    return files.agg(F.count("*").alias("_rows"), F.lit(0).cast("bigint").alias("_first")).collect()
 
 
-def file_fids(df: DataFrame, start: int = 0) -> DataFrame:
+def file_fids(df: DataFrame, start: int = 0, counts: list[Row] | None = None) -> DataFrame:
     """Ids of a Parquet scan from each row's place in its file.
 
     The place is stored nowhere and does not depend on how a file was split, so
-    a lost task computes the same ids again.  Files count in path order.
+    a lost task computes the same ids again.  Files count in path order. ``counts``
+    (_file, _rows, _first) may be known from the footers.
     """
     rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    counts = (
-        df.select(F.col("_metadata.file_path").alias("_file"))
-        .groupBy("_file")
-        .agg(F.count("*").alias("_rows"), F.lit(0).cast("bigint").alias("_first"))
-    )
-    return _with_offsets(rows, ["_file"], counts, start, F.col("_row"))
+    return _with_offsets(rows, ["_file"], _file_rows(df) if counts is None else counts, start, F.col("_row"))
+
+
+def lookup_fids(df: DataFrame, fids: list[int], start: int = 0) -> DataFrame:
+    """The rows of a Parquet scan with these ids of ``file_fids``; only their files are read.
+
+    Row numbers come from the footers; a filter on path and place then leaves out
+    all other files.
+    """
+    counts = sorted(_file_rows(df), key=lambda r: r["_file"])
+    firsts = list(accumulate((r["_rows"] for r in counts), initial=start))
+    places: dict[str, list[int]] = {}
+    for fid in {f for f in fids if firsts[0] <= f < firsts[-1]}:
+        at = bisect_right(firsts, fid) - 1
+        places.setdefault(counts[at]["_file"], []).append(fid - firsts[at])
+    path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    wanted = F.lit(False)
+    for file, rows in places.items():
+        wanted = wanted | ((path == file) & row.isin(rows))
+    first_of = {r["_file"]: first for r, first in zip(counts, firsts) if r["_file"] in places}
+    offset = F.lit(start)
+    for file, first in first_of.items():
+        offset = F.when(path == file, F.lit(first)).otherwise(offset)
+    found = df.filter(path.isin(list(places)) & wanted)
+    return found.select((offset + row).cast("bigint").alias(FID), *[F.col(f"`{c}`") for c in df.columns])
 
 
 def assign_fid(df: DataFrame, start: int = 0, order_by: list[str] | None = None) -> DataFrame:
@@ -57,23 +90,38 @@ def assign_fid(df: DataFrame, start: int = 0, order_by: list[str] | None = None)
         df = df.orderBy(*order_by)
     marked = df.withColumn("_row", F.monotonically_increasing_id())
     fixed = staged(marked, "fids").withColumn("_block", F.shiftright("_row", ROW_BITS))
-    counts = fixed.groupBy("_block").agg(F.count("*").alias("_rows"), F.min("_row").alias("_first"))
+    counts = fixed.groupBy("_block").agg(F.count("*").alias("_rows"), F.min("_row").alias("_first")).collect()
     return _with_offsets(fixed, ["_block"], counts, start, F.col("_row") - F.col("_first"))
 
 
-def csv_fids(df: DataFrame, start: int = 1) -> DataFrame:
-    """Ids of a CSV scan in file order, from 1.
-
-    CSV rows carry no row number, only the path and start of their split.  The
-    rows are written once with the running number of their task; inside a split
-    that number is contiguous.
-    """
-    marked = df.select(
+def _csv_marked(df: DataFrame) -> DataFrame:
+    return df.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_at"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    fixed = staged(marked, "fids")
-    counts = fixed.groupBy("_file", "_at").agg(F.count("*").alias("_rows"), F.min("_row").alias("_first"))
-    return _with_offsets(fixed, ["_file", "_at"], counts, start, F.col("_row") - F.col("_first"))
+
+
+def csv_counts(scans: list[DataFrame]) -> list[list[Row]]:
+    """For each CSV scan (_file, _at, _rows, _first) of its splits, all in one job."""
+    if not scans:
+        return []
+    parts = [_csv_marked(df).select(F.lit(k).alias("_scan"), "_file", "_at", "_row") for k, df in enumerate(scans)]
+    found = reduce(DataFrame.union, parts).groupBy("_scan", "_file", "_at")
+    out: list[list[Row]] = [[] for _ in scans]
+    for row in found.agg(F.count("*").alias("_rows"), F.min("_row").alias("_first")).collect():
+        out[row["_scan"]].append(row)
+    return out
+
+
+def csv_fids(df: DataFrame, start: int = 1, counts: list[Row] | None = None) -> DataFrame:
+    """Ids of a CSV scan in file order, from 1.
+
+    CSV rows carry no row number, only the path and start of their split, and the
+    running number of their task, which is contiguous inside a split. One pass over
+    the scan (``csv_counts``) counts the rows of each split; the rows themselves are
+    numbered where they are read, and nothing is stored.
+    """
+    counts = csv_counts([df])[0] if counts is None else counts
+    return _with_offsets(_csv_marked(df), ["_file", "_at"], counts, start, F.col("_row") - F.col("_first"))

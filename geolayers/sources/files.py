@@ -1,5 +1,7 @@
 """Files of a source: listing by Spark, ranged reads inside tasks."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -31,10 +33,26 @@ def open_file(path: str):
 
 
 def read_range(path: str, start: int, size: int) -> bytes:
+    """``size`` bytes from ``start``; a file that ends before is an error."""
+    with open_file(path) as handle:
+        found = handle.read_at(size, start)
+    if len(found) != size:
+        raise OSError(f"{path} ends {size - len(found)} bytes before the end of a range that its headers promise")
+    return found
+
+
+def read_whole(path: str) -> bytes:
+    with open_file(path) as handle:
+        return handle.read()
+
+
+def file_size(path: str) -> int:
     with open_file(path) as handle:
-        return handle.read_at(size, start)
+        return handle.size()
 
 
-def sibling(extension: str):
-    """Column: path of the file next to ``path`` with another extension."""
-    return F.concat(F.regexp_replace("path", r"\.[^./]*$", "."), F.lit(extension))
+def inner_path(path, source: str):
+    """Columns: the path of a file below ``source``, however Spark spells scheme and host."""
+    folder = "/" + re.sub(r"^[a-z0-9]+:/*", "", source).strip("/") + "/"
+    plain = F.concat(F.lit("/"), F.regexp_replace(path, r"^[a-z0-9]+:/*", ""))
+    return F.substring(plain, F.instr(plain, folder) + len(folder), F.length(plain))

@@ -5,13 +5,13 @@ import re
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from geolayers.functions.boxes import BOX_TYPE
 from geolayers.functions.text import charset
 from geolayers.functions.values import parse_text, write_columns
 from geolayers.functions.wkb import envelope
 from geolayers.model import LayerError, box_name, declare, geometry_metadata, is_geometry
 from geolayers.operators.columns import FID, fid_of, is_fid, match_columns, plain_type
 from geolayers.operators.spatial import geometry_column
+from geolayers.session import staged
 from geolayers.sources.fids import csv_fids, file_fids
 
 # Spark reads an unquoted empty field as NULL; both kinds of empty field are ''
@@ -19,6 +19,8 @@ from geolayers.sources.fids import csv_fids, file_fids
 CSV_OPTIONS = {"header": "true", "emptyValue": "", "nullValue": "\u0001"}
 # Cells per axis of the grid that orders a written layer.
 GRID_BITS = 16
+# Shares of the box centres between which that grid lies.
+OUTER = (0.001, 0.999)
 
 
 def _load(spark: SparkSession, fmt: str, source: str, layer: str, options: dict) -> DataFrame:
@@ -124,12 +126,13 @@ def _spread(bits):
 
 
 def grid_order(box, extent):
-    """Place of a box's centre on a Z-shaped walk over the extent."""
+    """Place of a box's centre on a Z-shaped walk over the extent; edge cells hold what lies outside."""
 
     def cell(low, high, start, end):
         width = (end - start) or 1.0
-        place = ((low + high) / 2 - F.lit(start)) / F.lit(width) * ((1 << GRID_BITS) - 1)
-        return _spread(F.floor(place).cast("bigint"))
+        last = (1 << GRID_BITS) - 1
+        place = F.floor(((low + high) / 2 - F.lit(start)) / F.lit(width) * last).cast("bigint")
+        return _spread(F.least(F.greatest(place, F.lit(0)), F.lit(last)))
 
     xmin, ymin, xmax, ymax = extent
     along_x = cell(box["xmin"], box["xmax"], xmin, xmax)
@@ -144,17 +147,25 @@ def write_layer(df: DataFrame, path: str, partitions: int | None = None) -> None
     grid walk over the first geometry's boxes, so that files and row groups
     cover small areas and a box filter skips most of them.  The fid completes
     the range key: many features in one place still spread over partitions.
+    The grid covers all but the outermost thousandth of the box centres on each
+    side, so stray features do not coarsen it. A box that has to be computed from the geometry is stored once for that.
     """
     geometries = [f for f in df.schema if is_geometry(f)]
+    computed = False
     for field in geometries:
         if box_name(field.name) not in df.columns:
             df = df.withColumn(box_name(field.name), envelope(F.col(f"`{field.name}`")))
+            computed = True
     df = write_columns(df, path)
+    if computed:
+        df = staged(df, "layer")
     if geometries:
         box = F.col(f"`{box_name(geometries[0].name)}`")
-        sides = zip((F.min, F.min, F.max, F.max), BOX_TYPE.fields)
-        extent = df.agg(*[fold(box[f.name]).alias(f.name) for fold, f in sides]).first()
-        if extent["xmin"] is not None:
+        centres = [(box[f"{axis}min"] + box[f"{axis}max"]) / 2 for axis in "xy"]
+        shares = F.array(*map(F.lit, OUTER))
+        across = df.agg(*[F.percentile_approx(c, shares, 10000) for c in centres]).first()
+        if across[0]:
+            extent = (across[0][0], across[1][0], across[0][1], across[1][1])
             keys = [grid_order(box, extent).alias("_walk")]
             keys += [F.col(FID)] if FID in df.columns else [F.xxhash64(*[c for c in df.columns])]
             df = df.repartitionByRange(*([partitions] if partitions else []), *keys)

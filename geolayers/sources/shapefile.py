@@ -25,11 +25,12 @@ from geolayers.functions.wkb import (
 )
 from geolayers.model import LayerError, box_name, geometry_metadata
 from geolayers.session import staged
-from geolayers.sources.files import list_files, read_range
+from geolayers.sources.files import file_size, inner_path, list_files, read_range, read_whole
 from geolayers.sources.layers import write_layer
 
 RECORDS_PER_TASK = 100_000
 RECORDS_PER_BATCH = 5_000
+BYTES_PER_BATCH = 16 << 20  # of the geometry file, unless one record is longer
 
 # Shape types of the format and the kind each is read as.
 SHAPE_KINDS = {
@@ -58,29 +59,43 @@ def srid_of_wkt(text: str) -> int | None:
     return int(found[-1]) if found and int(found[-1]) > 0 else None
 
 
-def _optional(stem: str, extension: str) -> bytes:
-    """Start of a file that a layer may lack; enough for headers and texts."""
-    try:
-        return read_range(stem + extension, 0, 1 << 16)
-    except FileNotFoundError:
-        return b""
+def _text(parts: dict[str, str], extension: str) -> str:
+    """The whole of a text file that a layer may lack."""
+    return read_whole(parts[extension]).decode("utf-8", "replace") if extension in parts else ""
 
 
-def _text(stem: str, extension: str) -> str:
-    return _optional(stem, extension).decode("utf-8", "replace")
+def text_encoding(parts: dict[str, str], declared: str | None) -> str:
+    """The layer's own UTF-8 stands; then the declaration, the ``.cpg`` text, ISO-8859-1."""
+    own = _text(parts, "cpg").strip()
+    name = charset(own) if own else ""
+    if name.upper() in ("UTF-8", "UTF8"):
+        return name
+    return charset(declared) if declared else name or "ISO-8859-1"
 
 
-def dbf_fields(stem: str):
+def shape_records(parts: dict[str, str]) -> int:
+    """Number of records: the attribute table's, else that of the index."""
+    if "dbf" in parts:
+        return dbf_fields(parts)[0]
+    if "shx" not in parts:
+        raise LayerError(f"{parts['shp']} has no index file and no attribute table")
+    return (file_size(parts["shx"]) - 100) // 8
+
+
+def dbf_fields(parts: dict[str, str]):
     """-> (records, header size, record size, [(name, type, width, decimals)])."""
-    head = read_range(stem + "dbf", 0, 32)
-    records, header, size = struct.unpack_from("<IHH", head, 4)
-    block = read_range(stem + "dbf", 32, header - 32)
+    if "dbf" not in parts:
+        return shape_records(parts), 0, 0, []
+    records, header, size = struct.unpack_from("<IHH", read_range(parts["dbf"], 0, 32), 4)
+    block = read_range(parts["dbf"], 32, header - 32)
     fields = []
     for at in range(0, len(block) - 31, 32):
         if block[at] == 0x0D:
             break
         name = block[at : at + 11].split(b"\0")[0].decode("iso-8859-1")
         fields.append((name, chr(block[at + 11]), block[at + 16], block[at + 17]))
+    if file_size(parts["dbf"]) < header + records * size:
+        raise LayerError(f"{parts['dbf']} is shorter than its {records} records")
     return records, header, size, fields
 
 
@@ -96,21 +111,21 @@ def _field_type(kind: str, width: int, decimals: int) -> T.DataType:
     return T.StringType()
 
 
-def layer_schema(stem: str) -> T.StructType:
+def layer_schema(parts: dict[str, str]) -> T.StructType:
     """Fields of a layer: fid, geometry with its box, attributes.
 
-    An attribute table without a geometry file is a layer without geometry.
+    ``parts`` are the layer's files by lower-case extension. An attribute table
+    without a geometry file is a layer without geometry, and the reverse.
     """
-    head = _optional(stem, "shp")
-    shape = struct.unpack_from("<i", head, 32)[0] if head else 0
+    shape = struct.unpack_from("<i", read_range(parts["shp"], 0, 100), 32)[0] if "shp" in parts else 0
     fields = [T.StructField("fid", T.LongType())]
     if shape:
         if shape not in SHAPE_KINDS:
-            raise LayerError(f"cannot handle shape type {shape}")
-        srid = srid_of_wkt(_text(stem, "qpj")) or srid_of_wkt(_text(stem, "prj"))
+            raise LayerError(f"shapes of type {shape} are not known")
+        srid = srid_of_wkt(_text(parts, "qpj")) or srid_of_wkt(_text(parts, "prj"))
         fields.append(T.StructField("geom", T.BinaryType(), True, geometry_metadata(srid, SHAPE_KINDS[shape])))
         fields.append(T.StructField(box_name("geom"), BOX_TYPE))
-    for name, kind, width, decimals in dbf_fields(stem)[3]:
+    for name, kind, width, decimals in dbf_fields(parts)[3]:
         data_type = _field_type(kind, width, decimals)
         width_of_text = {"width": width} if isinstance(data_type, T.StringType) else {}
         fields.append(T.StructField(name, data_type, True, width_of_text))
@@ -212,20 +227,37 @@ def _column(raw: np.ndarray, kind: str, data_type: T.DataType, encoding: str) ->
     return pa.array(present, arrow[type(data_type)])
 
 
-def _read_range(stem: str, table, first: int, count: int, schema: T.StructType, encoding: str):
+def _shapes(parts: dict[str, str], first: int, count: int, live: np.ndarray):
+    """(WKB, box) of the live records of a range; nearby records are read together."""
+    index = np.frombuffer(read_range(parts["shx"], 100 + 8 * first, 8 * count), ">i4").reshape(-1, 2)
+    start, length = index[:, 0].astype("i8") * 2 + 8, index[:, 1].astype("i8") * 2
+    out: list = [None] * len(live)
+    order = np.argsort(start[live], kind="stable")
+    at = 0
+    while at < len(order):
+        base = int(start[live[order[at]]])
+        ends = np.maximum.accumulate((start + length)[live[order[at:]]])
+        together = max(1, int(np.searchsorted(ends, base + BYTES_PER_BATCH, side="right")))
+        block = read_range(parts["shp"], base, int(ends[together - 1]) - base)
+        for k in order[at : at + together]:
+            begin = int(start[live[k]]) - base
+            out[k] = shape_wkb(block[begin : begin + int(length[live[k]])])
+        at += together
+    return out
+
+
+def _read_records(parts: dict[str, str], table, first: int, count: int, schema: T.StructType, encoding: str):
     """Arrow batch of the records first .. first + count - 1; deleted ones skipped."""
     _, header, size, fields = table
-    layout = np.dtype([("_deleted", "S1")] + [(f"f{i}", f"V{f[2]}") for i, f in enumerate(fields)])
-    rows = np.frombuffer(read_range(stem + "dbf", header + first * size, count * size), np.uint8)
-    rows = rows.reshape(-1, size)[:, : layout.itemsize].copy().view(layout)[:, 0]
-    live = np.flatnonzero(rows["_deleted"] != b"*")
+    live = np.arange(count)
+    if "dbf" in parts:
+        layout = np.dtype([("_deleted", "S1")] + [(f"f{i}", f"V{f[2]}") for i, f in enumerate(fields)])
+        rows = np.frombuffer(read_range(parts["dbf"], header + first * size, count * size), np.uint8)
+        rows = rows.reshape(-1, size)[:, : layout.itemsize].copy().view(layout)[:, 0]
+        live = np.flatnonzero(rows["_deleted"] != b"*")
     columns = {"fid": pa.array(first + live, pa.int64())}
     if "geom" in schema.names:
-        index = np.frombuffer(read_range(stem + "shx", 100 + 8 * first, 8 * count), ">i4").reshape(-1, 2)
-        start, length = index[:, 0].astype("i8") * 2 + 8, index[:, 1].astype("i8") * 2
-        base, end = int(start.min()), int((start + length).max())
-        block = read_range(stem + "shp", base, end - base)
-        shapes = [shape_wkb(block[start[i] - base : start[i] - base + length[i]]) for i in live]
+        shapes = _shapes(parts, first, count, live)
         columns["geom"] = pa.array([wkb for wkb, _ in shapes], pa.binary())
         columns[box_name("geom")] = pa.array(
             [None if box is None else dict(zip(BOX_TYPE.names, box)) for _, box in shapes],
@@ -240,25 +272,34 @@ def _read_range(stem: str, table, first: int, count: int, schema: T.StructType,
 # --- Spark side -----------------------------------------------------------------
 
 
-def read_shapefile(
+def shape_parts(spark: SparkSession, folder: str) -> dict[str, dict[str, str]]:
+    """Files by lower-case extension of every shapefile at the top of a folder.
+
+    One listing for all; layers whose names differ in case only, or files that
+    differ so in their extension, are an error.
+    """
+    files = list_files(spark, folder, "*.*")
+    top = files.filter(~inner_path(F.col("path"), folder).contains("/")).select("path")
+    found: dict[str, dict[str, str]] = {}
+    for path in sorted(r["path"] for r in top.collect()):
+        stem, _, extension = path.rpartition("/")[2].rpartition(".")
+        if extension.lower() in ("shp", "shx", "dbf", "prj", "qpj", "cpg"):
+            parts = found.setdefault(stem, {})
+            if extension.lower() in parts:
+                raise LayerError(f'"{stem}" has two .{extension.lower()} files in "{folder}"')
+            parts[extension.lower()] = path
+    return {stem: parts for stem, parts in found.items() if "shp" in parts or "dbf" in parts}
+
+
+def read_shape_files(
     spark: SparkSession,
-    folder: str,
-    layer: str,
+    parts: dict[str, str],
+    schema: T.StructType,
     encoding: str | None = None,
     records_per_task: int = RECORDS_PER_TASK,
 ) -> DataFrame:
-    """One shapefile as a layer; the feature id is the record number from 0.
-
-    The encoding is the argument, else the ``.cpg`` file next to the layer, else
-    ISO-8859-1.  Only headers are read on the driver.
-    """
-    found = list_files(spark, folder, "*.dbf").filter(F.col("path").endswith(f"/{layer}.dbf")).select("path").first()
-    if found is None:
-        raise LayerError(f'unable to find layer "{layer}" in "{folder}"')
-    stem = found["path"][: -len("dbf")]
-    schema = layer_schema(stem)
-    text = charset(encoding or _text(stem, "cpg").strip() or "ISO-8859-1")
-    table = dbf_fields(stem)
+    """One shapefile of known files and schema; only its headers are read here."""
+    text, table = text_encoding(parts, encoding), dbf_fields(parts)
     records = table[0]
     tasks = max(1, -(-records // records_per_task))
 
@@ -267,27 +308,43 @@ def read_shapefile(
             for number in batch.column(0).to_pylist():
                 stop = min(records, (number + 1) * records_per_task)
                 for first in range(number * records_per_task, stop, RECORDS_PER_BATCH):
-                    yield _read_range(stem, table, first, min(RECORDS_PER_BATCH, stop - first), schema, text)
+                    yield _read_records(parts, table, first, min(RECORDS_PER_BATCH, stop - first), schema, text)
 
-    ranges = spark.range(0, tasks, 1, tasks)
-    df = ranges.mapInArrow(read, schema)
+    df = spark.range(0, tasks, 1, tasks).mapInArrow(read, schema)
     for field in schema:
         if field.metadata:
             df = df.withMetadata(field.name, field.metadata)
     return df
 
 
+def read_shapefile(
+    spark: SparkSession,
+    folder: str,
+    layer: str,
+    encoding: str | None = None,
+    records_per_task: int = RECORDS_PER_TASK,
+) -> DataFrame:
+    """One shapefile of a folder as a layer; the feature id is the record number from 0.
+
+    A layer whose ``.cpg`` file says UTF-8 is read so; else the encoding is the
+    argument, the ``.cpg`` file or ISO-8859-1. Files count in any case of their
+    extension, and only those at the top of the folder.
+    """
+    parts = shape_parts(spark, folder).get(layer)
+    if parts is None:
+        raise LayerError(f'unable to find layer "{layer}" in "{folder}"')
+    return read_shape_files(spark, parts, layer_schema(parts), encoding, records_per_task)
+
+
 def ingest_shapefiles(spark: SparkSession, folder: str, out: str, encoding: str | None = None) -> list[str]:
     """Store every shapefile of a folder as a Parquet layer; returns their names.
 
-    Ordering a layer takes several passes, so its records are decoded once into
-    the shared folder first.
+    Files are listed once. Ordering a layer takes several passes, so its records are
+    decoded once into the shared folder first.
     """
-    stems = list_files(spark, folder, "*.dbf").select(
-        F.regexp_extract("path", r"([^/]*)\.dbf$", 1).alias("layer")
-    )
-    layers = [row["layer"] for row in stems.orderBy("layer").collect()]
-    for layer in layers:
-        decoded = staged(read_shapefile(spark, folder, layer, encoding), "shapes")
+    found = shape_parts(spark, folder)
+    for layer in sorted(found):
+        parts = found[layer]
+        decoded = staged(read_shape_files(spark, parts, layer_schema(parts), encoding), "shapes")
         write_layer(decoded, f"{out}/{layer}.parquet")
-    return layers
+    return sorted(found)

@@ -89,7 +89,7 @@ def test_geometries_bind_by_position(spark):
 
 def test_type_errors_name_the_column(spark):
     df = spark.createDataFrame([("1", 2)], "text string, num int")
-    with pytest.raises(LayerError, match='column "text" of layer "t" converts String to int'):
+    with pytest.raises(LayerError, match='"t"."text": a String field cannot be read as int'):
         as_layer(df, "text int", table="t")
     with pytest.raises(LayerError):
         as_layer(df, "num smallint")
