@@ -197,7 +197,10 @@ def _linked(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 
 def _close(groups: DataFrame, least: float) -> DataFrame:
-    """Pairs of nodes in different components whose darts agree often enough, within blocks."""
+    """Pairs of nodes in different components whose darts agree often enough, within blocks.
+
+    Two nodes may meet in many bands; their pair is given by the first of them alone.
+    """
 
     rough = least - DEVIATIONS * math.sqrt(least * (1 - least) / FINE)
 
@@ -206,30 +209,34 @@ def _close(groups: DataFrame, least: float) -> DataFrame:
         held, key = [], None
 
         def pairs():
-            left = [r for r in held if r[1]]
-            right = [r for r in held if not r[1]] or left
-            a, b = (np.stack([np.frombuffer(r[4], np.uint8) for r in side]) for side in (left, right))
-            ca, cb = (np.array([r[3] for r in side]) for side in (left, right))
-            na, nb = (np.array([r[2] for r in side]) for side in (left, right))
+            left = [r for r in held if r[2]]
+            right = [r for r in held if not r[2]] or left
+            a, b = (np.stack([np.frombuffer(r[5], np.uint8) for r in side]) for side in (left, right))
+            na, nb = (np.array([r[3] for r in side]) for side in (left, right))
+            ca, cb = (np.array([r[4] for r in side]) for side in (left, right))
+            ka, kb = (np.array([r[6] for r in side]) for side in (left, right))
+            band = held[0][1]
             for at in range(len(a)):
                 agree = (a[at] == b).mean(axis=1)
                 hit = np.flatnonzero((agree >= rough) & (cb != ca[at]))
+                first = (kb[hit] == ka[at]).argmax(axis=1)
+                hit = hit[ka[at][first] == band]
                 if len(hit):
                     yield np.minimum(na[at], nb[hit]), np.maximum(na[at], nb[hit])
 
         def out():
-            found = list(pairs()) if any(r[1] for r in held) else []
+            found = list(pairs()) if any(r[2] for r in held) else []
             if found:
                 a, b = (np.concatenate(x) for x in zip(*found))
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
-            for block, left, node, component, darts in zip(*columns):
-                if block != key:
+            for row in zip(*columns):
+                if row[0] != key:
                     yield from out()
-                    held, key = [], block
-                held.append((block, left, node, component, darts))
+                    held, key = [], row[0]
+                held.append(row)
         yield from out()
 
     return groups.mapInArrow(compare, "a bigint, b bigint").distinct()
@@ -284,7 +291,8 @@ def near_duplicates(
     apart = held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
     held = staged(held.join(apart.select("key"), "key", "left_semi"), "apart")
     texts = _texts(held.select("node"), nodes, plain)
-    held = held.join(staged(texts.select("node", fine_signature("text").alias("darts")), "signatures"), "node")
+    signed = texts.select("node", fine_signature("text").alias("darts")).join(nodes.select("node", "bands"), "node")
+    held = held.join(staged(signed, "signatures"), "node")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("node", "key"), blocks).cast("int")
     held = held.withColumn("blocks", blocks).withColumn("block", block)
@@ -293,7 +301,7 @@ def near_duplicates(
     met = held.select("*", other.alias("j"))
     group = F.struct("key", F.least("block", "j").alias("i"), F.greatest("block", "j").alias("j"))
     met = met.select(
-        F.xxhash64(group).alias("group"), (F.col("block") <= F.col("j")).alias("left"), "node", "component", "darts"
+        F.xxhash64(group).alias("group"), "key", (F.col("block") <= F.col("j")).alias("left"), "node", "component", "darts", "bands"
     )
     met = met.repartition("group").sortWithinPartitions("group")
     pairs = staged(_close(met, least), "pairs")
