@@ -1,9 +1,11 @@
 """What goes to Python workers at once, and what they keep."""
 
+import ctypes
 import sys
 from collections.abc import Callable
 from types import ModuleType
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -31,3 +33,11 @@ def kept_by_worker(kind: str, key, make: Callable):
         held.pop(kind, None)
         held[kind] = key, make()
     return held[kind][1]
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system, where the C library can do so."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

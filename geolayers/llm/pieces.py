@@ -19,7 +19,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
 
-from geolayers.llm.batches import kept_by_worker, small_batches
+from geolayers.llm.batches import give_back, kept_by_worker, small_batches
 from geolayers.llm.word_ids import sliced
 
 MARK = "▁"
@@ -161,6 +161,7 @@ class Sampler:
             self.edge = self.edge[: self.node[-1] + 1].copy()
             edges = self.edge[-1]
             self.upto, self.back, self.piece = (a[:edges].copy() for a in (self.upto, self.back, self.piece))
+        give_back()
 
     def sample(self, texts: list[str | None], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts in a row, and their counts."""

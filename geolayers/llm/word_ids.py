@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
-from geolayers.llm.batches import kept_by_worker
+from geolayers.llm.batches import give_back, kept_by_worker
 
 # The tokenizer drops ASCII white space and never joins what stands on its two
 # sides, so a text's ids are its words' ids in a row. ASCII case is folded by the
@@ -19,7 +19,7 @@ SPECIAL = "oftext|>"
 # the merges alone then give the ids. All other words go through its whole chain.
 PLAIN = re.compile(r"([a-zÀ-ÖØ-öø-įı-ž]+)([.,;:!?]?)")
 MARKS = ".,;:!?"
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 CALL = 4_000
 
 class _Words(dict):
@@ -37,7 +37,7 @@ class _Words(dict):
 class WordEncoder:
     """Encodes texts with a tokenizer file; keeps at most ``keep`` words' ids."""
 
-    def __init__(self, path: str, end_id: int, keep: int = 250_000):
+    def __init__(self, path: str, end_id: int, keep: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task; Spark spreads the work
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id, self.keep = end_id, keep
@@ -80,6 +80,7 @@ class WordEncoder:
             self.starts = self.starts[: self.keep + 1].copy()
             self.ids = self.ids[: self.starts[-1]].copy()
         self.words.new = []
+        give_back()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each text closed by the end id, and their counts."""

@@ -54,8 +54,8 @@ def test_hosts_are_shrunk_and_joined_back(spark):
 
 def test_odd_documents_and_names(odd, none):
     rows = judge_documents(odd).collect()
-    assert {r["row"]["doc_id"] for r in rows if not r["base_failed"]} == {5, 6, 7}
-    assert kept_documents(odd).columns == odd.columns and kept_documents(odd).count() <= 3
+    assert {r["row"]["doc_id"] for r in rows if not r["base_failed"]} == {6, 7}  # 5 repeats its windows
+    assert kept_documents(odd).columns == odd.columns and kept_documents(odd).count() <= 2
     assert kept_documents(none).count() == 0
 
 
