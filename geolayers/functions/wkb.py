@@ -45,29 +45,27 @@ def _little_endian(wkb: Column) -> Column:
     return F.hex(F.substring(wkb, 1, 1)) == "01"
 
 
-def _kind_words() -> dict[str, str]:
-    """Type word in hex -> kind name, for ISO codes and EWKB flags alike."""
-    words = {}
-    for has_z, has_m in ((0, 0), (1, 0), (0, 1), (1, 1)):
-        for code, name in enumerate(KINDS):
-            iso = code + 1000 * has_z + 2000 * has_m
-            flagged = code | EWKB_Z * has_z | EWKB_M * has_m
-            for word in (iso, flagged, iso | EWKB_SRID, flagged | EWKB_SRID):
-                words[f"{word:08X}"] = name + "Z" * has_z + "M" * has_m
-    return words
-
-
-KIND_WORDS = _kind_words()
+KIND_NAMES = [name + mark for mark in ("", "Z", "M", "ZM") for name in KINDS]
 
 
 def geometry_kind(wkb: Column) -> Column:
-    """Kind name with suffix Z / M, e.g. ``MultiPolygonZ``; an error if unknown."""
+    """Kind name with suffix Z / M, e.g. ``MultiPolygonZ``; an error if unknown.
+
+    The name's place follows from the type word: its code, and Z and M by the
+    thousands or by flags.
+    """
     header = F.hex(F.substring(wkb, 1, 5))
     swapped = F.concat(*[F.substring(header, at, 2) for at in (9, 7, 5, 3)])
-    word = F.when(header.startswith("01"), swapped).otherwise(F.substring(header, 3, 8))
-    names = F.create_map(*[F.lit(text) for item in KIND_WORDS.items() for text in item])
-    unknown = F.concat(F.lit("cannot handle geometry type "), F.conv(word, 16, 10))
-    return F.when(wkb.isNotNull(), F.coalesce(F.try_element_at(names, word), F.raise_error(unknown)))
+    word = F.conv(F.when(header.startswith("01"), swapped).otherwise(F.substring(header, 3, 8)), 16, 10).cast("bigint")
+    base = word.bitwiseAND(F.lit(0x1FFFFFFF))
+    code, dims = base % 1000, F.floor(base / 1000).cast("int")
+    has_z = ((word.bitwiseAND(F.lit(EWKB_Z)) != 0) | dims.isin(1, 3)).cast("int")
+    has_m = ((word.bitwiseAND(F.lit(EWKB_M)) != 0) | dims.isin(2, 3)).cast("int")
+    place = ((has_z + 2 * has_m) * len(KINDS) + code + 1).cast("int")
+    names = F.array(*map(F.lit, KIND_NAMES))
+    known = (code < len(KINDS)) & (dims <= 3)
+    unknown = F.raise_error(F.concat(F.lit("no geometry has the type number "), word.cast("string")))
+    return F.when(wkb.isNotNull(), F.when(known, F.element_at(names, place)).otherwise(unknown))
 
 
 def strip_ewkb(wkb: Column) -> Column:
@@ -128,7 +126,7 @@ def read_geometry(data: bytes, pos: int = 0):
             part, pos = read_geometry(data, pos)
             body.append(part)
     else:
-        raise ValueError(f"cannot handle geometry type {code}")
+        raise ValueError(f"no geometry has the type number {code}")
     return (code, has_z, has_m, body), pos
 
 
@@ -206,10 +204,27 @@ def _plain_points(values: pa.Array):
     return rows, np.ascontiguousarray(block).view("<f8")
 
 
-def _others(values: pa.Array, rows: np.ndarray):
-    """Rows that are neither NULL nor in ``rows``."""
+def _plain_chains(values: pa.Array):
+    """(rows, coordinates by row, is it a ring) of 2-D little-endian line strings and
+    polygons of one ring, a block for each kind and length."""
+    data, start, size = _octets(values)
+    for is_area, head, least in ((False, (1, 2, 0, 0, 0), 9), (True, (1, 3, 0, 0, 0, 1, 0, 0, 0), 13)):
+        rows = np.flatnonzero((size > least) & ((size - least) % 16 == 0))
+        header = data[start[rows, None] + np.arange(least)] if len(rows) else np.empty((0, least), np.uint8)
+        n = np.ascontiguousarray(header[:, -4:]).view("<u4")[:, 0]
+        fits = (header[:, : len(head)] == head).all(axis=1) & (n == (size[rows] - least) // 16)
+        rows = rows[fits]
+        for octets in np.unique(size[rows]):
+            same = rows[size[rows] == octets]
+            block = data[start[same, None] + np.arange(least, octets)]
+            yield same, np.ascontiguousarray(block).view("<f8").reshape(len(same), -1, 2), is_area
+
+
+def _others(values: pa.Array, *done: np.ndarray):
+    """Rows that are neither NULL nor in one of ``done``."""
     left = ~values.is_null().to_numpy(False)
-    left[rows] = False
+    for rows in done:
+        left[rows] = False
     return np.flatnonzero(left)
 
 
@@ -218,7 +233,11 @@ def _envelope(values: pa.Array) -> pa.Array:
     sides = np.full((len(values), 4), np.nan)
     rows, xy = _plain_points(values)
     sides[rows] = np.hstack([xy, xy])
-    for i in _others(values, rows):
+    done = [rows]
+    for rows, coords, _ in _plain_chains(values):
+        sides[rows] = np.hstack([coords.min(axis=1), coords.max(axis=1)])
+        done.append(rows)
+    for i in _others(values, *done):
         geometry, _ = read_geometry(values[int(i)].as_py())
         parts = [c for _, cs in _leaves(geometry) for c in cs if len(c)]
         if parts:
@@ -400,6 +419,30 @@ def _inside(x: float, y: float, rings) -> bool:
     return crossings % 2 == 1
 
 
+def _chains_meet(coords: np.ndarray, is_area: bool, box) -> np.ndarray:
+    """For each chain of a block: does it, or the area in it, share a point with the box?"""
+    low, high = np.array(box[:2]), np.array(box[2:])
+    if coords.shape[1] == 1:
+        return ((coords >= low) & (coords <= high)).all(axis=(1, 2))
+    if is_area:
+        coords = np.concatenate([coords, coords[:, :1]], axis=1)
+    start, step = coords[:, :-1], np.diff(coords, axis=1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        enter, leave = (low - start) / step, (high - start) / step
+        flat = step == 0
+        outside = flat & ((start < low) | (start > high))
+        near = np.where(flat, 0.0, np.minimum(enter, leave)).max(axis=2)
+        far = np.where(flat, 1.0, np.maximum(enter, leave)).min(axis=2)
+        hit = ((np.maximum(near, 0) <= np.minimum(far, 1)) & ~outside.any(axis=2)).any(axis=1)
+        if is_area:
+            x, y = low
+            a, b = start, coords[:, 1:]
+            spans = (a[..., 1] > y) != (b[..., 1] > y)
+            at = a[..., 0] + (y - a[..., 1]) * (b[..., 0] - a[..., 0]) / (b[..., 1] - a[..., 1])
+            hit |= (spans & (at > x)).sum(axis=1) % 2 == 1
+    return hit
+
+
 def _geometry_meets(geometry, box) -> bool:
     for is_area, arrays in _leaves(geometry):
         arrays = [c for c in arrays if len(c)]
@@ -420,9 +463,14 @@ def geometry_meets_box(wkb: Column, box) -> Column:
         out = [None] * len(values)
         rows, xy = _plain_points(values)
         hit = (xy >= box[:2]).all(axis=1) & (xy <= box[2:]).all(axis=1)
-        for i, h in zip(rows, hit):
-            out[i] = bool(h)
-        for i in _others(values, rows):
+        for i, h in zip(rows.tolist(), hit.tolist()):
+            out[i] = h
+        done = [rows]
+        for rows, coords, is_area in _plain_chains(values):
+            for i, h in zip(rows.tolist(), _chains_meet(coords, is_area, box).tolist()):
+                out[i] = h
+            done.append(rows)
+        for i in _others(values, *done):
             out[i] = _geometry_meets(read_geometry(values[int(i)].as_py())[0], box)
         return pa.array(out, pa.bool_())
 

@@ -269,7 +269,7 @@ def _check_clashes(names: dict[str, list[str]], what: str) -> None:
     """Laundering may make two names equal; such a table cannot be imported."""
     for laundered, same in names.items():
         if len(same) > 1:
-            raise LayerError(f'{what}: {same} all become "{laundered}"')
+            raise LayerError(f'{what}: {same} have the same laundered name "{laundered}"')
 
 
 def import_layers(
@@ -306,7 +306,7 @@ def import_layers(
     for k, counts in zip(texts, csv_counts([scans[k] for k in texts])):
         scans[k] = csv_fids(scans[k], counts=counts)
     for k in set(bare) - set(texts):
-        counts = [Row(_file=_spelled(r["path"]), _rows=r["rows"], _first=0) for r in layers[k][5]]
+        counts = [Row(_file=re.sub("^([a-z0-9]+):/+", r"\1:/", r["path"]), _rows=r["rows"], _first=0) for r in layers[k][5]]
         scans[k] = file_fids(scans[k], counts=counts)
     for (table, _), df, (_, _, _, _, schema, _) in zip(tables.items(), scans, layers):
         renamed = []
@@ -320,11 +320,6 @@ def import_layers(
     return len(layers)
 
 
-def _spelled(path: str) -> str:
-    """A listed path as the scan's metadata spells it."""
-    return re.sub(r"^file:/+", "file:///", path)
-
-
 def _scan(spark, fmt, path, paths, schema, encoding, options) -> DataFrame:
     """All columns of a layer; the schema is known, so no job runs for it."""
     if fmt == "shapefile":

@@ -21,7 +21,7 @@ def _with_offsets(rows: DataFrame, block: list[str], counts: list[Row], start: i
     ``counts`` has one row per file or input split, so it is bounded by their
     number, not by features: up to ``BLOCKS_AT_MOST`` of them the offsets are looked
     up by a broadcast join of two numbers a block, and the rows stay where they
-    were read. A place beyond the block's rows is an error.
+    were read. A row of no block, or beyond its block's rows, is an error.
     """
     names = [c for c in rows.columns if c not in {*block, "_row"}]
     counts = sorted(counts, key=lambda r: tuple(r[c] for c in block))
@@ -31,16 +31,21 @@ def _with_offsets(rows: DataFrame, block: list[str], counts: list[Row], start: i
     offsets = rows.sparkSession.createDataFrame(table, schema)
     if len(table) <= BLOCKS_AT_MOST:
         offsets = F.broadcast(offsets)
-    joined = rows.join(offsets, block)
+    joined = rows.join(offsets, block, "left")
     at = F.when((place >= 0) & (place < F.col("_rows")), place).otherwise(
         F.raise_error(F.lit("the source changed while its rows were numbered"))
     )
     return joined.select((F.col("_offset") + at).cast("bigint").alias(FID), *[F.col(f"`{c}`") for c in names])
 
 
+def spelled(path: Column) -> Column:
+    """A path with one slash behind its scheme, however it was listed."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
 def _file_rows(df: DataFrame) -> list[Row]:
     """Rows of each Parquet file; the columns stay unread."""
-    files = df.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file")
+    files = df.select(spelled(F.col("_metadata.file_path")).alias("_file")).groupBy("_file")
     return files.agg(F.count("*").alias("_rows"), F.lit(0).cast("bigint").alias("_first")).collect()
 
 
@@ -51,7 +56,7 @@ def file_fids(df: DataFrame, start: int = 0, counts: list[Row] | None = None) ->
     a lost task computes the same ids again.  Files count in path order. ``counts``
     (_file, _rows, _first) may be known from the footers.
     """
-    rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    rows = df.select("*", spelled(F.col("_metadata.file_path")).alias("_file"), F.col("_metadata.row_index").alias("_row"))
     return _with_offsets(rows, ["_file"], _file_rows(df) if counts is None else counts, start, F.col("_row"))
 
 
@@ -67,7 +72,7 @@ def lookup_fids(df: DataFrame, fids: list[int], start: int = 0) -> DataFrame:
     for fid in {f for f in fids if firsts[0] <= f < firsts[-1]}:
         at = bisect_right(firsts, fid) - 1
         places.setdefault(counts[at]["_file"], []).append(fid - firsts[at])
-    path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    path, row = spelled(F.col("_metadata.file_path")), F.col("_metadata.row_index")
     wanted = F.lit(False)
     for file, rows in places.items():
         wanted = wanted | ((path == file) & row.isin(rows))
