@@ -328,6 +328,8 @@ def score_documents(
     counts = staged(word_counts(learned), "words")
     total, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     known = frequent(counts, shared_words)
+    ends = counts.filter(F.col("word") == F.lit(bytearray(END))).first()
+    known += [(END, ends["n"])] if ends and END not in dict(known) else []
     symbols = Symbols([w for w, _ in known if w != END][:model_words], classes)
     tokens, totals = class_totals(counts, symbols)
     model = train_model(learned, symbols, tokens, width, batch_tokens)

@@ -39,6 +39,7 @@ HEAD = set("head title base link meta style script template noscript".split())
 CELL_BOUNDS = {"td", "th", "table", "caption"}
 PAD_AT_MOST = 60  # a wider cell moves only what follows it in its own row
 BLANK = re.compile(r"[ \t\n\r\f]+")
+OPEN_TAG = re.compile(r"<[a-zA-Z/!?]")
 HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 
@@ -307,6 +308,8 @@ def render(root: Node) -> str:
 def page_text(html: str) -> str:
     builder = TreeBuilder()
     builder.feed(html)
+    if OPEN_TAG.match(builder.rawdata):  # a tag that the page ends in is no text
+        builder.rawdata = ""
     builder.close()
     return render(builder.root)
 
