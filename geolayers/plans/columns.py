@@ -31,16 +31,16 @@ def column_subset(spark, source):
 
 @query(
     "column_map",
-    "select l_orderkey as fid, l_quantity as amount, l_linestatus as state, l_shipdate as leaves from lineitem",
+    "select o_orderkey as fid, o_totalprice as amount, o_orderstatus as state, o_orderdate as leaves from orders",
 )
 def column_map(spark, source):
     return read_layer(
         spark,
         source,
-        "lineitem",
+        "orders",
         "fid bigint, amount double, state string, leaves timestamp_ntz",
-        column_names={"amount": "l_quantity", "state": "l_linestatus", "leaves": "l_shipdate"},
-        fid_column="l_orderkey",
+        column_names={"amount": "o_totalprice", "state": "o_orderstatus", "leaves": "o_orderdate"},
+        fid_column="o_orderkey",
     )
 
 

@@ -1,4 +1,7 @@
-"""Known results on small layers: scalar types, changes, arrays, boxes, CSV."""
+"""Known results on small layers: scalar types, changes, arrays, boxes, CSV.
+
+Fixed values: the rows of these layers and their results are given and must match.
+"""
 
 import datetime as dt
 from decimal import Decimal
