@@ -57,15 +57,19 @@ def geometry_kind(wkb: Column) -> Column:
     header = F.hex(F.substring(wkb, 1, 5))
     swapped = F.concat(*[F.substring(header, at, 2) for at in (9, 7, 5, 3)])
     word = F.conv(F.when(header.startswith("01"), swapped).otherwise(F.substring(header, 3, 8)), 16, 10).cast("bigint")
-    base = word.bitwiseAND(F.lit(0x1FFFFFFF))
-    code, dims = base % 1000, F.floor(base / 1000).cast("int")
-    has_z = ((word.bitwiseAND(F.lit(EWKB_Z)) != 0) | dims.isin(1, 3)).cast("int")
-    has_m = ((word.bitwiseAND(F.lit(EWKB_M)) != 0) | dims.isin(2, 3)).cast("int")
-    place = ((has_z + 2 * has_m) * len(KINDS) + code + 1).cast("int")
-    names = F.array(*map(F.lit, KIND_NAMES))
-    known = (code < len(KINDS)) & (dims <= 3)
-    unknown = F.raise_error(F.concat(F.lit("no geometry has the type number "), word.cast("string")))
-    return F.when(wkb.isNotNull(), F.when(known, F.element_at(names, place)).otherwise(unknown))
+
+    def name(word: Column) -> Column:
+        base = word.bitwiseAND(F.lit(0x1FFFFFFF))
+        code, dims = base % 1000, F.floor(base / 1000).cast("int")
+        has_z = ((word.bitwiseAND(F.lit(EWKB_Z)) != 0) | dims.isin(1, 3)).cast("int")
+        has_m = ((word.bitwiseAND(F.lit(EWKB_M)) != 0) | dims.isin(2, 3)).cast("int")
+        place = ((has_z + 2 * has_m) * len(KINDS) + code + 1).cast("int")
+        unknown = F.raise_error(F.concat(F.lit("no geometry has the type number "), word.cast("string")))
+        known = (code < len(KINDS)) & (dims <= 3)
+        return F.when(known, F.element_at(F.array(*map(F.lit, KIND_NAMES)), place)).otherwise(unknown)
+
+    # The array of one holds the word, so that it is taken apart once.
+    return F.when(wkb.isNotNull(), F.transform(F.array(word), name)[0])
 
 
 def strip_ewkb(wkb: Column) -> Column:
