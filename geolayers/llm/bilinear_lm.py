@@ -1,13 +1,16 @@
 """Log-bilinear language model, trained with noise-contrastive estimation.
 
-Tokens are white-space words and an end. The model knows the most frequent words;
-every other word belongs to a class given by its last letters, and within its class
-it has its add-half share of the training counts. So a token's probability is the
-model's for its symbol (word, class or end) times that share, and all tokens'
-probabilities sum to one, one unseen word in each class included.
+Tokens are white-space words and an end. The words that make up most of the training
+tokens have vectors of their own, as targets and as contexts: how many they are
+follows the counts. The most frequent ones, the end and the classes are told apart
+first, then the words of a class; a class holds words that end alike, and about as
+many as there are classes, so both sums are short. Each class has one symbol for all
+its rarer words, which share its probability by their add-half training counts. So all
+tokens' probabilities sum to one, one unseen word in each class included.
 """
 
 import uuid
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,24 +30,31 @@ TREE = 16  # models that one task adds up
 
 
 class Symbols:
-    """Numbers of words: 0 for before the text, 1 for its end, then words, then classes."""
+    """Numbers: 0 before the text, 1 its end, the first words, the classes, then each class's symbols.
 
-    def __init__(self, words: list[bytes], classes: int):
-        self.words, self.classes = words, classes
-        self.first_class = 2 + len(words)
-        self.size = self.first_class + classes
-        self.number = {w: i + 2 for i, w in enumerate(words)} | {END: 1}
-
-    def class_of(self, word: bytes) -> int:
-        tail = word[-3:]
-        code = 0
-        for byte in tail:
-            code = (code * 31 + byte) & 0xFFFF
-        return code % self.classes
+    The words behind the ``head`` first ones are put in the order of their letters
+    read backwards and cut into ``classes`` parts of the same size, which take in all other
+    words as well. The first symbol of a class is for those without a symbol of their own.
+    """
 
+    def __init__(self, words: list[bytes], head: int | None = None, classes: int | None = None):
+        root = round(len(words) ** 0.5)
+        self.words = words
+        self.head = min(len(words), max(16, root) if head is None else head)
+        tail = sorted(w[::-1] for w in words[self.head :])
+        classes = max(1, min(len(tail), root if classes is None else classes))
+        cuts = [len(tail) * g // classes for g in range(classes + 1)]
+        self.least = [tail[at] for at in cuts[1:-1]]  # of every class but the first, read backwards
+        self.top = 2 + self.head + classes
+        self.bounds = self.top + np.array(cuts, np.int64) + np.arange(classes + 1)
+        self.size = int(self.bounds[-1])
+        self.rest = self.bounds[:-1].tolist()
+        self.number = {w: i + 2 for i, w in enumerate(words[: self.head])} | {END: 1}
+        for g, (first, last) in enumerate(zip(cuts, cuts[1:])):
+            self.number.update((w[::-1], self.rest[g] + 1 + i) for i, w in enumerate(tail[first:last]))
 
     def of(self, word: bytes) -> int:
-        return self.number.get(word) or self.first_class + self.class_of(word)
+        return self.number.get(word) or self.rest[bisect_right(self.least, word[::-1])]
 
 
 def coded(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -82,62 +92,116 @@ def contexts(target: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 class BilinearModel:
-    """Scores of a next symbol: (c1 * R[near] + c2 * R[far]) . Q[symbol] + b[symbol]."""
+    """Scores of a next symbol: (c1 * R[near] + c2 * R[far]) . Q[symbol] + b[symbol].
+
+    The symbols from ``bounds[0]`` on lie in classes: class g holds ``bounds[g]`` to
+    ``bounds[g + 1]``, and those before ``bounds[0]`` end with a symbol for each class.
+    """
 
     NAMES = ("R", "Q", "b", "c")
 
-    def __init__(self, size: int, width: int, counts: np.ndarray, seed: int = 0):
+    def __init__(self, size: int, width: int, counts: np.ndarray, seed: int = 0, bounds: np.ndarray | None = None):
         draw = np.random.default_rng(seed)
         self.R = draw.normal(0, 0.1, (size, width)).astype(np.float32)
         self.Q = draw.normal(0, 0.1, (size, width)).astype(np.float32)
         self.c = np.ones((CONTEXT, width), np.float32)
-        self.noise = (counts + 1.0) / (counts + 1.0).sum()
+        self.bounds, self.parent = parents(size, bounds)
+        self.top = int(self.bounds[0])
+        self.noise = np.bincount(self.parent, counts, self.top) + 1.0
         self.noise[0] = 0  # nothing is before a text but the text's beginning
         self.noise /= self.noise.sum()
+        self.cumulated = np.cumsum(self.noise)
+        # Within a class, a symbol's share of the class's counts.
+        self.within = np.concatenate([[0.0], np.cumsum(counts[self.top :] + 1.0)])
+        whole = np.diff(self.within[self.bounds - self.top])
+        share = np.diff(self.within) / np.repeat(whole, np.diff(self.bounds))
         with np.errstate(divide="ignore"):
-            self.b = np.maximum(np.log(self.noise), -60).astype(np.float32)
+            self.b = np.maximum(np.log(np.concatenate([self.noise, share])), -60).astype(np.float32)
         self.prior = self.b.copy()
         self.sums = {name: np.full_like(getattr(self, name), 1e-6) for name in self.NAMES}
+        self.place = np.zeros(size, np.int64)
         self.draw = draw
 
-    def step(self, name: str, gradient: np.ndarray, rate: float):
-        """AdaGrad ascent."""
-        self.sums[name] += gradient * gradient
-        setattr(self, name, getattr(self, name) + rate * gradient / np.sqrt(self.sums[name]))
+    def step(self, name: str, rows, gradient: np.ndarray, rate: float):
+        """AdaGrad ascent of some rows, each given once."""
+        sums = self.sums[name][rows] + gradient * gradient
+        self.sums[name][rows] = sums
+        getattr(self, name)[rows] += rate * gradient / np.sqrt(sums)
 
-    def scattered(self, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
-        size, width = self.R.shape
+    def scattered(self, rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+        width = values.shape[1]
         at = (rows[:, None] * width + np.arange(width)).ravel()
         return np.bincount(at, values.ravel(), size * width).reshape(size, width).astype(np.float32)
 
+    def gathered(self, rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Different rows and the sums of their values; only these rows are touched."""
+        n = np.arange(len(rows))
+        self.place[rows] = n
+        first = self.place[rows]
+        kept = first == n
+        return rows[kept], self.scattered(np.cumsum(kept)[first] - 1, values, int(kept.sum()))
+
     def train(self, target, near, far, noise_words: int = 64, rate: float = 0.05):
         """One step of noise-contrastive estimation; the noise is shared by the batch."""
         n = len(target)
         k = noise_words
-        other = np.searchsorted(np.cumsum(self.noise), self.draw.random(k)).clip(1, len(self.b) - 1)
+        upper = self.parent[target]
+        other = np.searchsorted(self.cumulated, self.draw.random(k)).clip(1, self.top - 1)
         near_v, far_v = self.R[near], self.R[far]
         hidden = near_v * self.c[0] + far_v * self.c[1]
         # Each target against k noise words: odds are model over k times noise.
         log_k = np.float32(np.log(k))
-        to_target = np.einsum("ij,ij->i", hidden, self.Q[target]) + self.b[target] - self.prior[target] - log_k
+        to_target = np.einsum("ij,ij->i", hidden, self.Q[upper]) + self.b[upper] - self.prior[upper] - log_k
         to_noise = hidden @ self.Q[other].T + (self.b[other] - self.prior[other] - log_k)
         g_target = 1 / (1 + np.exp(to_target.clip(-30, 30)))
         g_noise = -1 / (1 + np.exp(-to_noise.clip(-30, 30)))
-        g_hidden = g_target[:, None] * self.Q[target] + g_noise @ self.Q[other]
-        g_q = self.scattered(target, g_target[:, None] * hidden)
+        g_hidden = g_target[:, None] * self.Q[upper] + g_noise @ self.Q[other]
+        g_q = self.scattered(upper, g_target[:, None] * hidden, self.top)
         np.add.at(g_q, other, g_noise.T @ hidden)
-        g_b = np.bincount(target, g_target, len(self.b)).astype(np.float32)
+        g_b = np.bincount(upper, g_target, self.top).astype(np.float32)
         np.add.at(g_b, other, g_noise.sum(axis=0))
-        g_r = self.scattered(near, g_hidden * self.c[0]) + self.scattered(far, g_hidden * self.c[1])
+        below = np.flatnonzero(target >= self.top)
+        if len(below):
+            below = below[np.argsort(target[below], kind="stable")]
+            g_hidden[below] += self.train_classes(target[below], hidden[below], n, rate)
+        context = np.concatenate([near, far])
+        rows, g_r = self.gathered(context, np.concatenate([g_hidden * self.c[0], g_hidden * self.c[1]]))
         g_c = np.stack([(g_hidden * near_v).sum(axis=0), (g_hidden * far_v).sum(axis=0)])
-        for name, gradient in zip(self.NAMES, (g_r, g_q, g_b, g_c)):
-            self.step(name, gradient / n, rate)
+        upper = slice(0, self.top)
+        for name, at, gradient in zip(self.NAMES, (rows, upper, upper, slice(None)), (g_r, g_q, g_b, g_c)):
+            self.step(name, at, gradient / n, rate)
+
+    def train_classes(self, target, hidden, n: int, rate: float, noise_words: int = 8) -> np.ndarray:
+        """The same within classes: ascending targets against noise of their own class; the gradient of ``hidden``."""
+        k = noise_words
+        inner = self.parent[target] - (self.top - len(self.bounds) + 1)
+        starts = np.flatnonzero(np.diff(inner, prepend=-1))
+        lo, hi = self.bounds[inner[starts]], self.bounds[inner[starts] + 1]
+        least, most = self.within[lo - self.top][:, None], self.within[hi - self.top][:, None]
+        drawn = least + (most - least) * self.draw.random((len(starts), k))
+        other = np.searchsorted(self.within, drawn, side="right") - 1 + self.top
+        other = other.clip(lo[:, None], hi[:, None] - 1)
+        row = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(target)))
+        log_k = np.float32(np.log(k))
+        to_target = np.einsum("ij,ij->i", hidden, self.Q[target]) + self.b[target] - self.prior[target] - log_k
+        noise_q = self.Q[other][row]
+        to_noise = (noise_q @ hidden[:, :, None])[:, :, 0] + (self.b[other] - self.prior[other] - log_k)[row]
+        g_target = 1 / (1 + np.exp(to_target.clip(-30, 30)))
+        g_noise = -1 / (1 + np.exp(-to_noise.clip(-30, 30)))
+        g_q = np.add.reduceat(g_noise[:, :, None] * hidden[:, None, :], starts).reshape(-1, hidden.shape[1])
+        rows = np.concatenate([target, other.ravel()])
+        values = np.concatenate([g_target[:, None] * hidden, g_q])
+        offsets = np.concatenate([g_target, np.add.reduceat(g_noise, starts).ravel()])
+        rows, found = self.gathered(rows, np.concatenate([values, offsets[:, None]], axis=1))
+        self.step("Q", rows, found[:, :-1] / n, rate)
+        self.step("b", rows, found[:, -1] / n, rate)
+        return g_target[:, None] * self.Q[target] + (g_noise[:, None, :] @ noise_q)[:, 0]
 
     def parts(self) -> dict[str, np.ndarray]:
         return {name: getattr(self, name) for name in self.NAMES}
 
     def packed(self) -> np.ndarray:
-        return np.concatenate([getattr(self, name).ravel() for name in self.NAMES]).astype(np.float64)
+        return np.concatenate([getattr(self, name).ravel() for name in self.NAMES]).astype("<f4")
 
     def unpack(self, flat: np.ndarray):
         at = 0
@@ -147,29 +211,52 @@ class BilinearModel:
             at += old.size
 
 
+def parents(size: int, bounds: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the classes (without classes, the end of the symbols), and the class's symbol of each symbol in one, else its own."""
+    bounds = np.array([size]) if bounds is None else bounds
+    top = int(bounds[0])
+    classes = np.arange(top - len(bounds) + 1, top)
+    return bounds, np.concatenate([np.arange(top), np.repeat(classes, np.diff(bounds))])
+
+
+def normaliser(scores: np.ndarray) -> np.ndarray:
+    most = scores.max(axis=1)
+    scores -= most[:, None]
+    return most + np.log(np.exp(scores, out=scores).sum(axis=1))
+
+
 class Scorer:
-    """Normalised log10 probabilities; the normaliser of each context is computed once."""
+    """Normalised log10 probabilities; the normaliser of each context is computed once a call."""
 
-    def __init__(self, parts: dict[str, np.ndarray]):
+    def __init__(self, parts: dict[str, np.ndarray], bounds: np.ndarray | None = None):
         self.R, self.Q, self.b, self.c = (parts[name] for name in BilinearModel.NAMES)
         self.size = len(self.b)
-        self.norm = np.full(self.size * self.size, np.nan, np.float32)
+        self.bounds, self.parent = parents(self.size, bounds)
+        self.top = int(self.bounds[0])
 
     def log10(self, target, near, far) -> np.ndarray:
-        key = near.astype(np.int64) * self.size + far
-        fresh = np.unique(key[np.isnan(self.norm[key])])
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at : at + 4096]
-            hidden = self.R[part // self.size] * self.c[0] + self.R[part % self.size] * self.c[1]
-            scores = hidden @ self.Q[1:].T + self.b[1:]  # the beginning is never a next symbol
-            top = scores.max(axis=1)
-            self.norm[part] = top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
+        found, at = np.unique(near.astype(np.int64) * self.size + far, return_inverse=True)
+        hidden = self.R[found // self.size] * self.c[0] + self.R[found % self.size] * self.c[1]
+        norm = np.empty(len(found), np.float32)
+        for first in range(0, len(found), 1024):
+            s = slice(first, first + 1024)
+            # The beginning is never a next symbol.
+            norm[s] = normaliser(hidden[s] @ self.Q[1 : self.top].T + self.b[1 : self.top])
         out = np.empty(len(target))
-        for at in range(0, len(target), 1 << 16):
-            s = slice(at, at + (1 << 16))
-            hidden = self.R[near[s]] * self.c[0] + self.R[far[s]] * self.c[1]
-            out[s] = np.einsum("ij,ij->i", hidden, self.Q[target[s]]) + self.b[target[s]]
-        return (out - self.norm[key]) / np.log(10)
+        for first in range(0, len(target), 1 << 16):
+            s = slice(first, first + (1 << 16))
+            upper = self.parent[target[s]]
+            out[s] = np.einsum("ij,ij->i", hidden[at[s]], self.Q[upper]) + self.b[upper] - norm[at[s]]
+        below = np.flatnonzero(target >= self.top)
+        below = below[np.argsort(target[below], kind="stable")]
+        cuts = np.searchsorted(target[below], self.bounds)
+        for lo, hi, first, last in zip(self.bounds, self.bounds[1:], cuts, cuts[1:]):
+            for begin in range(first, last, 1024):
+                places = below[begin : min(begin + 1024, last)]
+                scores = hidden[at[places]] @ self.Q[lo:hi].T + self.b[lo:hi]
+                own = scores[np.arange(len(places)), target[places] - lo]
+                out[places] += own - normaliser(scores)
+        return out / np.log(10)
 
 
 def _slices(batches) -> Iterator[pa.Array]:
@@ -206,45 +293,54 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
-    """The most frequent words, ``most`` at most: all whose count is in high enough a range.
+def frequent(counts: DataFrame, most: int, coverage: float) -> tuple[list[tuple[bytes, int]], int]:
+    """The most frequent words, and how many of them make up ``coverage`` of all tokens.
 
-    Ranges are eighths of powers of two, so what reaches the driver is bounded by
-    their number and by ``most``, whatever the vocabulary.
+    Given are all words whose count is in high enough a range: as long as they are
+    ``most`` at most, and all that the coverage needs. Ranges are eighths of powers of
+    two. Words seen once are not needed by the coverage: they stand for the unseen ones. How many words
+    a share of the tokens needs is a trait of the languages, not of the number of texts.
     """
     scale = F.floor(F.log2("n") * 8).cast("int")
-    sizes = counts.groupBy(scale.alias("range")).count().orderBy(F.desc("range")).collect()
-    total, least = 0, None
+    sizes = counts.groupBy(scale.alias("range")).agg(F.count("*").alias("words"), F.sum("n").alias("n"))
+    sizes = sizes.orderBy(F.desc("range")).collect()
+    goal = coverage * sum(r["n"] for r in sizes)
+    words = tokens = needed = 0
+    least = None
     for r in sizes:
-        total += r["count"]
-        if total > most:
+        wanted = tokens < goal and r["range"] > 0
+        if not wanted and words + r["words"] > most:
             break
-        least = r["range"]
+        words, tokens, least = words + r["words"], tokens + r["n"], r["range"]
+        needed = words if wanted else needed
     if least is None:
-        return []
+        return [], 0
     rows = counts.filter(scale >= least).collect()
-    return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda r: (-r[1], r[0]))
+    return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda r: (-r[1], r[0])), needed
 
 
-def class_totals(counts: DataFrame, symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
-    """Training tokens of each symbol that is a class, and the add-half totals of the classes."""
-    shared = counts.sparkSession.sparkContext.broadcast((symbols.words, symbols.classes))
+def rest_totals(counts: DataFrame, symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
+    """Of each class's words without a symbol: their training tokens, and their add-half total."""
+    name = uuid.uuid4().hex
+    shared = counts.sparkSession.sparkContext.broadcast((symbols.words, symbols.head, len(symbols.rest)))
 
     def add(batches):
-        symbols = Symbols(*shared.value)
-        n, words = np.zeros(symbols.size, np.int64), np.zeros(symbols.size, np.int64)
+        symbols = kept_by_worker("symbols", name, lambda: Symbols(*shared.value))
+        place = {number: g for g, number in enumerate(symbols.rest)}
+        n, words = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
         for batch in batches:
-            at = np.fromiter(map(symbols.of, batch.column(0).to_pylist()), np.int64, batch.num_rows)
-            n += np.bincount(at, batch.column(1).to_numpy(), symbols.size).astype(np.int64)
-            words += np.bincount(at, minlength=symbols.size)
+            at = (place.get(symbols.of(w), -1) for w in batch.column(0).to_pylist())
+            at = np.fromiter(at, np.int64, batch.num_rows)
+            np.add.at(n, at[at >= 0], batch.column(1).to_numpy()[at >= 0])
+            np.add.at(words, at[at >= 0], 1)
         at = np.flatnonzero(words)
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (at, n[at], words[at])], names=["symbol", "n", "words"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (at, n[at], words[at])], names=["class", "n", "words"])
 
-    found = counts.mapInArrow(add, "symbol bigint, n bigint, words bigint")
-    tokens, totals = np.zeros(symbols.size), np.full(symbols.size, 0.5)
-    for r in found.groupBy("symbol").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect():
-        tokens[r["symbol"]] = r["n"]
-        totals[r["symbol"]] += r["n"] + 0.5 * r["words"]
+    found = counts.mapInArrow(add, "class bigint, n bigint, words bigint")
+    tokens, totals = np.zeros(len(symbols.rest)), np.full(len(symbols.rest), 0.5)
+    for r in found.groupBy("class").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect():
+        tokens[r["class"]] = r["n"]
+        totals[r["class"]] += r["n"] + 0.5 * r["words"]
     return tokens, totals
 
 
@@ -252,17 +348,19 @@ def train_model(texts: DataFrame, symbols: Symbols, counts: np.ndarray, width: i
     """Every task trains on all its texts from one beginning; the mean of their models is kept.
 
     A task's weight is its number of tokens. The tasks' models (their size is the
-    model's, not the data's) are stored once and added up in a tree.
+    model's, not the data's) are stored once and averaged in a tree.
     """
     spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast((symbols.words, symbols.classes, counts))
+    name = uuid.uuid4().hex
+    shared = spark.sparkContext.broadcast((symbols.words, symbols.head, len(symbols.rest), counts))
 
     def train(batches):
-        words, classes, counts = shared.value
-        symbols = Symbols(words, classes)
-        model = BilinearModel(symbols.size, width, counts)
+        *made, counts = shared.value
+        symbols = kept_by_worker("symbols", name, lambda: Symbols(*made))
+        model = None
         seen = 0
         for part in _slices(batches):
+            model = model or BilinearModel(symbols.size, width, counts, bounds=symbols.bounds)
             words, index, sizes = coded(part)
             number = np.fromiter(map(symbols.of, words), np.int32, len(words))
             target, starts = sequences(number[index], sizes, np.int32(1))
@@ -272,29 +370,32 @@ def train_model(texts: DataFrame, symbols: Symbols, counts: np.ndarray, width: i
                 s = slice(at, at + batch_tokens)
                 model.train(target[s], near[s], far[s])
         if seen:
-            flat = (model.packed() * seen).astype("<f8").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([flat], pa.binary())], names=["n", "sum"])
+            flat = model.packed().tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([flat], pa.binary())], names=["n", "mean"])
 
-    def add(batches):
+    def averaged(rows):
         n, total = 0, 0.0
-        for batch in batches:
-            for seen, flat in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                n, total = n + seen, total + np.frombuffer(flat, "<f8")
+        for seen, flat in rows:
+            n, total = n + seen, total + np.frombuffer(flat, "<f4") * float(seen)
+        return n, total / max(n, 1)
+
+    def average(batches):
+        rows = ((b.column(0)[k].as_py(), b.column(1)[k].as_py()) for b in batches for k in range(b.num_rows))
+        n, mean = averaged(rows)
         if n:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["n", "sum"]
-            )
+            flat = mean.astype("<f4").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([flat], pa.binary())], names=["n", "mean"])
 
-    kind = "n bigint, sum binary"
+    kind = "n bigint, mean binary"
     parts = staged(texts.mapInArrow(train, kind), "models")
     left = parts.count()
     while left > TREE:
         left = -(-left // TREE)
-        parts = parts.repartition(left).mapInArrow(add, kind)
-    model = BilinearModel(symbols.size, width, counts)
-    rows = parts.collect()
-    if rows:
-        model.unpack(sum(np.frombuffer(r["sum"], "<f8") for r in rows) / sum(r["n"] for r in rows))
+        parts = parts.repartition(left).mapInArrow(average, kind)
+    model = BilinearModel(symbols.size, width, counts, bounds=symbols.bounds)
+    n, mean = averaged((r["n"], r["mean"]) for r in parts.toLocalIterator())
+    if n:
+        model.unpack(mean)
     return model
 
 
@@ -303,11 +404,12 @@ def score_documents(
     held_out,
     id_column: str = "doc_id",
     text_column: str = "text",
-    model_words: int = 1000,
-    classes: int = 64,
+    model_words: int | None = None,
+    classes: int | None = None,
     width: int = 16,
     batch_tokens: int = 4096,
     shared_words: int = 150_000,
+    coverage: float = 0.9,
 ) -> DataFrame:
     """Base and model score of every whole text, learned from those not ``held_out``.
 
@@ -317,9 +419,11 @@ def score_documents(
     learned from and scored each. Without training texts every word is unseen. An
     empty table gives no rows; other columns are not read.
 
-    Counts and training cover all training texts. ``model_words`` and ``shared_words``
-    bound what is broadcast; the counts of all rarer words are joined to the
-    documents' rare words by a shuffle, where no word is frequent.
+    Counts and training cover all training texts. The words seen most often, up to
+    ``coverage`` of the training tokens, have vectors of their own, and the number of
+    classes is the root of theirs; ``model_words`` and ``classes`` set other numbers. At least
+    these words and up to ``shared_words`` are broadcast with their counts; the counts of all
+    rarer words are joined to the documents' rare words by a shuffle, where no word is frequent.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -327,20 +431,27 @@ def score_documents(
     learned = docs.filter(~held_out).select(text)
     counts = staged(word_counts(learned), "words")
     total, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    known = frequent(counts, shared_words)
+    known, needed = frequent(counts, shared_words, coverage)
     ends = counts.filter(F.col("word") == F.lit(bytearray(END))).first()
-    known += [(END, ends["n"])] if ends and END not in dict(known) else []
-    symbols = Symbols([w for w, _ in known if w != END][:model_words], classes)
-    tokens, totals = class_totals(counts, symbols)
+    count_of = dict(known) | ({END: ends["n"]} if ends else {})
+    own = [w for w, _ in known[: needed if model_words is None else None] if w != END]
+    symbols = Symbols(own[:model_words], classes=classes)
+    rest_tokens, totals = rest_totals(counts, symbols)
+    tokens = np.zeros(symbols.size)
+    tokens[symbols.rest] = rest_tokens
+    for word, number in symbols.number.items():
+        tokens[number] = count_of.get(word, 0)
     model = train_model(learned, symbols, tokens, width, batch_tokens)
     name = uuid.uuid4().hex
-    shared = spark.sparkContext.broadcast((name, (symbols.words, classes), totals, model.parts(), dict(known)))
+    made = symbols.words, symbols.head, len(symbols.rest)
+    shared = spark.sparkContext.broadcast((name, made, totals, model.parts(), count_of))
 
     def score(batches):
-        name, symbols, totals, model, known = shared.value
-        symbols = Symbols(*symbols)
-        scorer = kept_by_worker("scorer", name, lambda: Scorer(model))
-        log_total = np.log10(totals)
+        name, made, totals, model, known = shared.value
+        symbols = kept_by_worker("symbols", name, lambda: Symbols(*made))
+        scorer = kept_by_worker("scorer", name, lambda: Scorer(model, symbols.bounds))
+        log_total = np.full(symbols.size, np.nan)
+        log_total[symbols.rest] = np.log10(totals)
         end = known.get(END, 0)
         for batch in batches:
             for part in sliced(batch, text_at=2):
@@ -348,8 +459,7 @@ def score_documents(
                 number = np.fromiter(map(symbols.of, words), np.int32, len(words))
                 n = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
                 log_n = np.where(n < 0, 0.0, np.log10(n.clip(0) + 0.5))
-                in_class = number >= symbols.first_class
-                share = np.where(in_class, log_n - log_total[number], 0.0)
+                share = np.where(np.isnan(log_total[number]), 0.0, log_n - log_total[number])
                 target, starts = sequences(number[index], sizes, np.int32(1))
                 own = scorer.log10(target, *contexts(target, starts))
                 base, _ = sequences(log_n[index], sizes, np.log10(end + 0.5))

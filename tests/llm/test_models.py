@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from llm_texts import ODD, documents, none, odd, prose, shared  # noqa: F401
 from geolayers.llm import dart_minhash
-from geolayers.llm.bilinear_lm import END, BilinearModel, Scorer, coded, score_documents
+from geolayers.llm.bilinear_lm import END, BilinearModel, Scorer, Symbols, coded, frequent, score_documents
 from geolayers.llm.dart_minhash import duplicate_classes, near_duplicates, without_near_copies
 from geolayers.llm.html_text import extract_text, page_text
 from geolayers.llm.pieces import Sampler, decode_pieces, encode_sampled
@@ -71,6 +71,32 @@ def test_probabilities_sum_to_one():
     assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_vocabulary_follows_the_counts(spark):
+    counts = [(f"w{i}".encode(), 8 if i < 4000 else 3) for i in range(6000)] + [(f"once{i}".encode(), 1) for i in range(3000)]
+    df = spark.createDataFrame(counts, "word binary, n bigint")
+    known, needed = frequent(df, 10, 0.9)
+    assert needed == len(known) == 6000 and min(n for _, n in known) == 3
+    assert frequent(df, 10, 0.5)[1] == 4000 and frequent(df, 20_000, 0.5)[0] == sorted(counts, key=lambda r: (-r[1], r[0]))
+    symbols = Symbols([w for w, _ in known])
+    assert len({symbols.of(w) for w, _ in known}) == 6000 and all(symbols.of(w) not in symbols.rest for w, _ in known)
+    assert symbols.of(b"unseen") in symbols.rest and len(symbols.rest) == 77
+    assert max(np.diff(symbols.bounds)) <= 6000 / 77 + 2
+
+
+def test_probabilities_within_classes_sum_to_one():
+    symbols = Symbols([f"w{i}".encode() for i in range(60)], head=10)
+    model = BilinearModel(symbols.size, 8, np.arange(float(symbols.size)), bounds=symbols.bounds)
+    draw = np.random.default_rng(0)
+    targets = np.setdiff1d(np.arange(1, symbols.size), np.arange(12, symbols.top))
+    untrained = model.Q.copy()
+    for _ in range(5):
+        model.train(draw.choice(targets, 500), draw.choice(targets, 500), draw.choice(targets, 500))
+    assert (model.Q[targets] != untrained[targets]).any(axis=1).all()
+    near, far = np.full(len(targets), 3), np.full(len(targets), symbols.top + 1)
+    found = Scorer(model.parts(), symbols.bounds).log10(targets, near, far)
+    assert (10**found).sum() == pytest.approx(1, abs=1e-4)
+
+
 def test_words_of_a_batch():
     words, index, counts = coded(pa.array([" A b\x0ba ", None, "", "\x85x é"]))
     assert [words[i] for i in index] == [b"a", b"b", b"a", b"\xc2\x85x", "é".encode()] and counts.tolist() == [3, 0, 0, 2]
