@@ -37,11 +37,13 @@ class Symbols:
     words as well. The first symbol of a class is for those without a symbol of their own.
     """
 
-    def __init__(self, words: list[bytes], head: int | None = None, classes: int | None = None):
+    def __init__(self, words: pa.Array, head: int | None = None, classes: int | None = None):
+        self.words = words  # compact; what is sent to the workers
+        words = words.to_pylist()
         root = round(len(words) ** 0.5)
-        self.words = words
         self.head = min(len(words), max(16, root) if head is None else head)
         tail = sorted(w[::-1] for w in words[self.head :])
+        del words[self.head :]
         classes = max(1, min(len(tail), root if classes is None else classes))
         cuts = [len(tail) * g // classes for g in range(classes + 1)]
         self.least = [tail[at] for at in cuts[1:-1]]  # of every class but the first, read backwards
@@ -49,7 +51,7 @@ class Symbols:
         self.bounds = self.top + np.array(cuts, np.int64) + np.arange(classes + 1)
         self.size = int(self.bounds[-1])
         self.rest = self.bounds[:-1].tolist()
-        self.number = {w: i + 2 for i, w in enumerate(words[: self.head])} | {END: 1}
+        self.number = {w: i + 2 for i, w in enumerate(words)} | {END: 1}
         for g, (first, last) in enumerate(zip(cuts, cuts[1:])):
             self.number.update((w[::-1], self.rest[g] + 1 + i) for i, w in enumerate(tail[first:last]))
 
@@ -203,12 +205,12 @@ class BilinearModel:
     def packed(self) -> np.ndarray:
         return np.concatenate([getattr(self, name).ravel() for name in self.NAMES]).astype("<f4")
 
-    def unpack(self, flat: np.ndarray):
-        at = 0
-        for name in self.NAMES:
-            old = getattr(self, name)
-            setattr(self, name, flat[at : at + old.size].reshape(old.shape).astype(np.float32))
-            at += old.size
+
+def unpacked(flat: np.ndarray, size: int, width: int) -> dict[str, np.ndarray]:
+    """The parts of a model that was packed."""
+    shapes = (size, width), (size, width), (size,), (CONTEXT, width)
+    cuts = np.cumsum([np.prod(shape) for shape in shapes])[:-1]
+    return {name: part.reshape(shape) for name, part, shape in zip(BilinearModel.NAMES, np.split(flat, cuts), shapes)}
 
 
 def parents(size: int, bounds: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -293,14 +295,15 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent(counts: DataFrame, most: int, coverage: float) -> tuple[list[tuple[bytes, int]], int]:
-    """The most frequent words, and how many of them make up ``coverage`` of all tokens.
+def frequent(counts: DataFrame, most: int, coverage: float) -> tuple[pa.Table, int]:
+    """The most frequent words (word, n), the end left out, and how many of them make up ``coverage`` of all tokens.
 
     Given are all words whose count is in high enough a range: as long as they are
     ``most`` at most, and all that the coverage needs. Ranges are eighths of powers of
     two. Words seen once are not needed by the coverage: they stand for the unseen ones. How many words
     a share of the tokens needs is a trait of the languages, not of the number of texts.
     """
+    counts = counts.filter(F.col("word") != F.lit(bytearray(END)))
     scale = F.floor(F.log2("n") * 8).cast("int")
     sizes = counts.groupBy(scale.alias("range")).agg(F.count("*").alias("words"), F.sum("n").alias("n"))
     sizes = sizes.orderBy(F.desc("range")).collect()
@@ -313,10 +316,8 @@ def frequent(counts: DataFrame, most: int, coverage: float) -> tuple[list[tuple[
             break
         words, tokens, least = words + r["words"], tokens + r["n"], r["range"]
         needed = words if wanted else needed
-    if least is None:
-        return [], 0
-    rows = counts.filter(scale >= least).collect()
-    return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda r: (-r[1], r[0])), needed
+    rows = counts.filter(scale >= least if least is not None else F.lit(False)).toArrow()
+    return rows.sort_by([("n", "descending"), ("word", "ascending")]).combine_chunks(), needed
 
 
 def rest_totals(counts: DataFrame, symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
@@ -344,7 +345,7 @@ def rest_totals(counts: DataFrame, symbols: Symbols) -> tuple[np.ndarray, np.nda
     return tokens, totals
 
 
-def train_model(texts: DataFrame, symbols: Symbols, counts: np.ndarray, width: int, batch_tokens: int) -> BilinearModel:
+def train_model(texts: DataFrame, symbols: Symbols, counts: np.ndarray, width: int, batch_tokens: int) -> dict[str, np.ndarray]:
     """Every task trains on all its texts from one beginning; the mean of their models is kept.
 
     A task's weight is its number of tokens. The tasks' models (their size is the
@@ -392,11 +393,10 @@ def train_model(texts: DataFrame, symbols: Symbols, counts: np.ndarray, width: i
     while left > TREE:
         left = -(-left // TREE)
         parts = parts.repartition(left).mapInArrow(average, kind)
-    model = BilinearModel(symbols.size, width, counts, bounds=symbols.bounds)
     n, mean = averaged((r["n"], r["mean"]) for r in parts.toLocalIterator())
-    if n:
-        model.unpack(mean)
-    return model
+    if not n:
+        return BilinearModel(symbols.size, width, counts, bounds=symbols.bounds).parts()
+    return unpacked(mean.astype(np.float32), symbols.size, width)
 
 
 def score_documents(
@@ -433,33 +433,37 @@ def score_documents(
     total, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     known, needed = frequent(counts, shared_words, coverage)
     ends = counts.filter(F.col("word") == F.lit(bytearray(END))).first()
-    count_of = dict(known) | ({END: ends["n"]} if ends else {})
-    own = [w for w, _ in known[: needed if model_words is None else None] if w != END]
-    symbols = Symbols(own[:model_words], classes=classes)
+    own = min(needed if model_words is None else model_words, known.num_rows)
+    words, known_n = known["word"].combine_chunks(), known["n"].to_numpy()
+    symbols = Symbols(words[:own], classes=classes)
     rest_tokens, totals = rest_totals(counts, symbols)
     tokens = np.zeros(symbols.size)
     tokens[symbols.rest] = rest_tokens
-    for word, number in symbols.number.items():
-        tokens[number] = count_of.get(word, 0)
-    model = train_model(learned, symbols, tokens, width, batch_tokens)
+    tokens[[symbols.number[w] for w in words[:own].to_pylist()]] = known_n[:own]
+    tokens[1] = ends["n"] if ends else 0
+    parts = train_model(learned, symbols, tokens, width, batch_tokens)
     name = uuid.uuid4().hex
     made = symbols.words, symbols.head, len(symbols.rest)
-    shared = spark.sparkContext.broadcast((name, made, totals, model.parts(), count_of))
+    others = words[own:], known_n[own:]
+    shared = spark.sparkContext.broadcast((name, made, tokens, totals, parts, others))
 
     def score(batches):
-        name, made, totals, model, known = shared.value
+        name, made, tokens, totals, model, others = shared.value
         symbols = kept_by_worker("symbols", name, lambda: Symbols(*made))
         scorer = kept_by_worker("scorer", name, lambda: Scorer(model, symbols.bounds))
+        others = kept_by_worker("others", name, lambda: dict(zip(others[0].to_pylist(), others[1].tolist())))
         log_total = np.full(symbols.size, np.nan)
         log_total[symbols.rest] = np.log10(totals)
-        end = known.get(END, 0)
+        end = int(tokens[1])
         for batch in batches:
             for part in sliced(batch, text_at=2):
                 words, index, sizes = coded(part.column(2))
                 number = np.fromiter(map(symbols.of, words), np.int32, len(words))
-                n = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+                in_rest = ~np.isnan(log_total[number])
+                n = tokens[number].astype(np.int64)
+                n[in_rest] = [others.get(words[k], -1) for k in np.flatnonzero(in_rest)]
                 log_n = np.where(n < 0, 0.0, np.log10(n.clip(0) + 0.5))
-                share = np.where(np.isnan(log_total[number]), 0.0, log_n - log_total[number])
+                share = np.where(in_rest, log_n - log_total[number], 0.0)
                 target, starts = sequences(number[index], sizes, np.int32(1))
                 own = scorer.log10(target, *contexts(target, starts))
                 base, _ = sequences(log_n[index], sizes, np.log10(end + 0.5))

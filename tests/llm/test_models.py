@@ -75,16 +75,21 @@ def test_vocabulary_follows_the_counts(spark):
     counts = [(f"w{i}".encode(), 8 if i < 4000 else 3) for i in range(6000)] + [(f"once{i}".encode(), 1) for i in range(3000)]
     df = spark.createDataFrame(counts, "word binary, n bigint")
     known, needed = frequent(df, 10, 0.9)
-    assert needed == len(known) == 6000 and min(n for _, n in known) == 3
-    assert frequent(df, 10, 0.5)[1] == 4000 and frequent(df, 20_000, 0.5)[0] == sorted(counts, key=lambda r: (-r[1], r[0]))
-    symbols = Symbols([w for w, _ in known])
-    assert len({symbols.of(w) for w, _ in known}) == 6000 and all(symbols.of(w) not in symbols.rest for w, _ in known)
+    assert needed == known.num_rows == 6000 and min(known["n"].to_pylist()) == 3
+    assert frequent(df, 10, 0.5)[1] == 4000
+    whole = frequent(df, 20_000, 0.5)[0]
+    order = sorted(counts, key=lambda r: (-r[1], r[0]))
+    assert list(zip(whole["word"].to_pylist(), whole["n"].to_pylist())) == order
+    known = known["word"].combine_chunks()
+    symbols = Symbols(known)
+    known = known.to_pylist()
+    assert len({symbols.of(w) for w in known}) == 6000 and all(symbols.of(w) not in symbols.rest for w in known)
     assert symbols.of(b"unseen") in symbols.rest and len(symbols.rest) == 77
     assert max(np.diff(symbols.bounds)) <= 6000 / 77 + 2
 
 
 def test_probabilities_within_classes_sum_to_one():
-    symbols = Symbols([f"w{i}".encode() for i in range(60)], head=10)
+    symbols = Symbols(pa.array([f"w{i}".encode() for i in range(60)]), head=10)
     model = BilinearModel(symbols.size, 8, np.arange(float(symbols.size)), bounds=symbols.bounds)
     draw = np.random.default_rng(0)
     targets = np.setdiff1d(np.arange(1, symbols.size), np.arange(12, symbols.top))
