@@ -11,7 +11,7 @@ from geolayers.llm.batches import small_batches
 
 LEVEL = 6
 BLOCK = 2048  # bytes; every block meets the dictionary, so long texts keep their margin
-LEARN = 4.0  # rows looked at for each slice that is wanted
+LEARN = 4.0  # different texts looked at for each slice that is wanted
 MOST_LANGUAGES = 200
 
 
@@ -27,24 +27,29 @@ def learn_dictionaries(
 
     The sample is bounded by these parameters whatever the input's size. Texts are
     chosen by the smallest hash, each different text once, after a filter on the hash
-    leaves a few times as many as wanted; so no group grows with the input. Rows
-    with a null text or language are not learned from. The most frequent language
+    leaves a few times as many as wanted and one at least, however often texts are
+    repeated; so no group grows with the input and no language is left out. Rows with a null
+    text or language are not learned from. The most frequent language
     comes first. More than ``MOST_LANGUAGES`` languages raise.
     """
     rows = labelled.select(F.col(lang_column).cast("string").alias("lang"), F.col(text_column).cast("string").alias("text"))
     rows = rows.filter("lang is not null and text is not null and text <> ''")
-    counts = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    key = F.xxhash64("text")
+    draw = F.pmod(F.xxhash64("key"), F.lit(1 << 30))
+    texts = rows.groupBy("lang", key.alias("key")).agg(F.count("*").alias("n"))
+    counts = texts.groupBy("lang").agg(F.sum("n").alias("count"), F.count("*").alias("texts"), F.min(draw).alias("least"))
+    counts = counts.limit(MOST_LANGUAGES + 1).collect()
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if not counts:
         return {}
     share = rows.sparkSession.createDataFrame(
-        [(r["lang"], min(1.0, LEARN * slices / r["count"])) for r in counts], "lang string, share double"
+        [(r["lang"], min(1.0, LEARN * slices / r["texts"]), r["least"]) for r in counts],
+        "lang string, share double, least bigint",
     )
-    key = F.xxhash64("text")
     begin = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - slice_chars, F.lit(1))) + 1
-    near = rows.join(F.broadcast(share), "lang").select("lang", "text", "share", key.alias("key"))
-    near = near.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    near = rows.join(F.broadcast(share), "lang").select("lang", "text", "share", "least", key.alias("key"))
+    near = near.filter((draw < F.col("share") * (1 << 30)) | (draw == F.col("least")))
     near = near.select("lang", "key", F.substring("text", begin.cast("int"), F.lit(slice_chars)).alias("slice"))
     near = near.groupBy("lang", "key").agg(F.min("slice").alias("slice"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("key", "slice"))

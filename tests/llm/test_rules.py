@@ -122,6 +122,15 @@ def test_languages(spark, odd, none):
     assert {r["lang_pred"] for r in predict_languages(odd, {}).collect()} == {"und"}
 
 
+def test_languages_of_few_texts_copied_often_are_learned(spark):
+    texts = {f"l{i}": prose(i, 40) for i in range(8)}
+    rows = [(lang, text) for lang, text in texts.items() for _ in range(2000)] + [("many", prose(i, 40)) for i in range(100, 2000)]
+    learned = spark.createDataFrame(rows, "lang string, text string").repartition(8)
+    found = learn_dictionaries(learned)
+    assert sorted(found) == sorted([*texts, "many"])
+    assert all(found[lang] == text.encode() for lang, text in texts.items()) and found["many"].count(b"\n") == 127
+
+
 def test_held_out_accuracy(spark):
     rows = QUERIES["op9_language_id"](spark, "/root/testdata/sf0.01").filter("held_out").collect()
     langs = dict(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang").collect())
