@@ -13,8 +13,11 @@ from geolayers.llm.batches import give_back, kept_by_worker
 
 # The tokenizer drops ASCII white space and never joins what stands on its two
 # sides, so a text's ids are its words' ids in a row. ASCII case is folded by the
-# tokenizer as well; a text that holds a special token is encoded as a whole.
+# tokenizer as well, but behind NFC, which joins some capitals with a mark behind them
+# and not the small letters: a text with such a mark keeps its case. A text that holds a
+# special token is encoded as a whole.
 SPECIAL = "oftext|>"
+JOINED = "[\u0300-\u036f]"
 # A run of Latin letters is one unit to the tokenizer, and so is a mark behind it:
 # the merges alone then give the ids. All other words go through its whole chain.
 PLAIN = re.compile(r"([a-zÀ-ÖØ-öø-įı-ž]+)([.,;:!?]?)")
@@ -91,6 +94,7 @@ class WordEncoder:
             k: self.tokenizer.encode(texts[k].as_py(), add_special_tokens=False).ids
             for k in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist()
         }
+        low = pc.if_else(pc.match_substring_regex(texts, JOINED), texts, low)
         if whole:
             low = pc.if_else(special, "", low)
         split = pc.ascii_split_whitespace(low)  # with empty strings at the ends, which have no ids

@@ -28,6 +28,9 @@ def test_words_alone_give_the_ids_of_the_text():
     draw = random.Random(3)
     letters = list("abzZéÉßÄñçÇİıŉſŁĲ.,;:!?'st12 \t\n\x0b\x1c\x85 k-–|<>ς漢가ㄱfiﬁ") + ["<|endoftext|>", "<|ENDOFTEXT|>", "don't", "ǅ", "ä"]
     texts = ["".join(draw.choices(letters, k=draw.randint(0, 40))) for _ in range(4000)] + ODD
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    texts += [letter + mark for letter in "AHJTWYhjtwy" for mark in marks]
+    texts += ["The W\u030a H\u0323\u0331ouse <|endoftext|> J\u030c.", "PLAIN W\u030aORDS, T\u0344."]
     for keep in (10, 100_000):
         encoder = WordEncoder(PATH, 2, keep)
         for _ in range(2):
