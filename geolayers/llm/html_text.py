@@ -12,7 +12,15 @@ from geolayers.llm.batches import small_batches
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 # Never shown, whatever their style.
-UNSEEN = set("head title script style template noscript iframe object svg canvas audio video datalist".split())
+UNSEEN = set("head title script style template noscript iframe object canvas audio video datalist".split())
+# Within svg the text elements are shown, but not what is kept for use elsewhere.
+SVG_UNSEEN = set("desc metadata defs symbol clippath mask marker pattern".split())
+# Elements of svg and math that hold HTML again, and tags that end svg and math.
+HOLDS_HTML = {"svg": {"foreignobject", "desc", "title"}, "math": {"mi", "mo", "mn", "ms", "mtext", "annotation-xml"}}
+BREAKS_OUT = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 # Blocks that keep a blank line around them, and blocks that only begin a new line.
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr menu fieldset".split())
 PLAIN = set(
@@ -58,15 +66,19 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html")
         self.stack = [self.root]
+        self.foreign = [""]  # of each open element: the svg or math whose rules hold in it
         self.open = Counter(html=1)
 
     def pop(self):
         self.open[self.stack.pop().tag] -= 1
+        self.foreign.pop()
 
     def push(self, tag, attrs=()):
         node = Node(tag, attrs)
         self.stack[-1].children.append(node)
         self.stack.append(node)
+        kind = self.foreign[-1]
+        self.foreign.append(tag if tag in HOLDS_HTML else "" if kind and tag in HOLDS_HTML[kind] else kind)
         self.open[tag] += 1
 
     def close_within(self, tags, bounds):
@@ -85,6 +97,11 @@ class TreeBuilder(HTMLParser):
         if tag == "html":
             self.root.attrs.update(attrs)
             return
+        while self.foreign[-1] and tag in BREAKS_OUT:
+            self.pop()
+        if self.foreign[-1]:
+            self.push(tag, attrs)
+            return
         if tag == "body":
             self.close_within({"head"}, ())
             if self.open["body"]:
@@ -103,7 +120,11 @@ class TreeBuilder(HTMLParser):
             self.push(tag, attrs)
 
     def handle_startendtag(self, tag, attrs):
+        # The slash means something in svg and math only.
+        closed = tag in HOLDS_HTML or (self.foreign[-1] and tag not in BREAKS_OUT and tag != "html")
         self.handle_starttag(tag, attrs)
+        if closed:
+            self.pop()
 
     def handle_endtag(self, tag):
         if tag == "br":
@@ -234,20 +255,26 @@ def _number(text, default, most):
 def render(root: Node) -> str:
     """Lay the tree out. A stack of steps, so depth is no limit."""
     canvases, grids, lists = [Canvas()], [], []
-    # A step is (node, shown, pre, None) on the way in, or (None, ..., what to do) on the way out.
-    steps = [(root, True, False, None)]
+    # A step is (node, shown, pre, svg, None) on the way in, or (None, ..., what to do) on the way out.
+    # svg is 0 in HTML, 1 in svg, where bare text is not drawn, and 2 in a text element of svg.
+    steps = [(root, True, False, 0, None)]
     while steps:
-        node, shown, pre, after = steps.pop()
+        node, shown, pre, svg, after = steps.pop()
         canvas = canvases[-1]
         if after is not None:
             after()
             continue
         if isinstance(node, str):
-            if shown:
+            if shown and svg != 1:
                 canvas.text(node, pre)
             continue
         tag, attrs = node.tag, node.attrs
         style = attrs.get("style") or ""
+        if svg or tag == "svg":
+            style += f";display:{attrs.get('display') or ''};visibility:{attrs.get('visibility') or ''}"
+            if svg and tag in SVG_UNSEEN:
+                continue
+            svg = 1 if tag == "svg" else 0 if tag == "foreignobject" else 2 if tag == "text" else svg
         if tag in UNSEEN or "hidden" in attrs or HIDDEN.search(style) or (tag == "dialog" and "open" not in attrs):
             continue
         seen = VISIBILITY.search(style)
@@ -263,6 +290,9 @@ def render(root: Node) -> str:
             children = [c for c in children if isinstance(c, Node) and c.tag == "summary"]
         pre = pre or tag in ("pre", "textarea")
         leave = []
+        if svg == 2 and (tag == "text" or {"x", "y", "dy"} & attrs.keys()):  # drawn at a place of its own
+            canvas.space = True
+            leave.append(lambda c=canvas: setattr(c, "space", True))
         if tag in BLOCKS:
             spaced = tag in SPACED and not (tag in ("ul", "ol", "menu") and lists)
             canvas.block(spaced)
@@ -300,8 +330,8 @@ def render(root: Node) -> str:
             leave = [filled]
         # On the way out the last step added comes first: the gap is set behind all else.
         for step in leave:
-            steps.append((None, shown, pre, step))
-        steps.extend((child, shown, pre, None) for child in reversed(children))
+            steps.append((None, shown, pre, svg, step))
+        steps.extend((child, shown, pre, svg, None) for child in reversed(children))
     return "\n".join(canvases[0].finish())
 
 
@@ -322,7 +352,7 @@ def visible_text(html: pd.Series) -> pd.Series:
 def extract_text(pages: DataFrame, id_column: str = "page_id", html_column: str = "html") -> DataFrame:
     """page_id and the page's visible text; one row per row, in no exchange.
 
-    Hidden: head, scripts, styles and embedded content, ``hidden`` attributes,
+    Of svg, its text elements and embedded HTML are shown, each text apart. Hidden: head, scripts, styles and embedded content, ``hidden`` attributes,
     ``display:none`` and ``visibility:hidden`` in style attributes (style sheets are
     not applied), closed ``details`` and ``dialog``. Paragraphs, headings, lists,
     tables and the like have a blank line around them, other blocks a new line.

@@ -296,6 +296,11 @@ PAGES = {
     "x<span hidden>no</span><p style='display: none'>no</p><i style='visibility:hidden'>no<b style='visibility:visible'>yes</b></i>": "xyes",
     "<script>if (a < b) '</p>'</script><style>p{}</style>ok<!-- no --><noscript>no</noscript>": "ok",
     "<pre> a\n   b</pre>": " a\n   b",
+    "<div><svg/>hello</div>": "hello",
+    "<p>a<svg><title>no</title><defs><text>no</text></defs><style>no</style><g/>no<text>one <tspan>t</tspan>wo</text><text x=1>three</text></svg>b": "a one two three b",
+    "<svg><desc/><text/><foreignObject><div/>in</foreignObject><path d=''/></svg>out": "in\nout",
+    "<svg><text display=none>no</text><text visibility=hidden>no</text><g><p>after</svg>x": "afterx",
+    "<math><mspace/><mi>x</mi></math><svg/>y<b/>z": "xyz",
     "<dl><dt>t<dd>d1<dd>d2</dl><details><summary>s</summary>no</details>": "t\n    d1\n    d2\n\ns",
     "a &amp; &lt;b&gt; &eacute; &#x41; <![foo[ x ]]> </p> </b>": "a & <b> é A",
     "<p>unclosed <a href='x": "unclosed",
