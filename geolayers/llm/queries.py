@@ -11,6 +11,7 @@ from geolayers.llm.language_id import fold, learn_dictionaries, predict_language
 from geolayers.llm.packing import pack_documents
 from geolayers.llm.pieces import decode_pieces, encode_sampled
 from geolayers.llm.registry import ORACLES, QUERIES, query, table
+from geolayers.llm.resampling import resample
 from geolayers.llm.token_files import read_token_files, write_token_files
 from geolayers.llm.topk import top_k
 from geolayers.llm.url_trie import judge_urls, rule
@@ -183,3 +184,53 @@ from v"""
 @query("op10_url_trie", URL_TRIE_SQL)
 def url_trie(spark, source):
     return judge_urls(table(spark, source, "pages"), URL_RULES)
+
+
+RESAMPLING_SQL = r"""
+with bits as (
+  select list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i:
+    case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, cast(b as bigint))) as crc
+), texts as (
+  select true as is_doc, doc_id as id, text from documents union all select false, item_id, text from benchmark
+), numbered as (
+  select row_number() over () as row, * from texts
+), words as (
+  select row, is_doc, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word
+  from numbered where text is not null
+), hexed as (
+  select word, hex(encode(word)) as h from (select distinct word from words)
+), hashed as (
+  select word, xor(list_reduce(list_transform(range(length(h) // 2), lambda i: cast('0x' || h[2 * i + 1 : 2 * i + 2] as bigint)),
+    lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295) % 10000 as bucket
+  from hexed, bits
+), found as (
+  select row, is_doc, bucket from words join hashed using (word)
+), counts as (
+  select bucket, count(*) filter (is_doc) as s, count(*) filter (not is_doc) as t from found group by bucket
+), sums as (
+  select cast(sum(s) as double) as all_s, cast(sum(t) as double) as all_t from counts
+), gains as (
+  select bucket, cast(floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000)))) as bigint) as gain from counts, sums
+), weights as (
+  select row, count(*) as n_features, cast(floor(sum(gain) / count(*)) as bigint) as weight
+  from found join gains using (bucket) where is_doc group by row
+), scores as (
+  select id as doc_id, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+    cast('0x' || substr(sha256('2024:' || id), 1, 8) as bigint) as h
+  from numbered left join weights using (row) where is_doc
+), scored as (
+  select doc_id, n_features, weight,
+    weight + cast(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) as bigint) as score from scores
+), ranked as (
+  select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as place,
+    count(*) filter (n_features >= 20) over () as able from scored
+)
+select doc_id, n_features, weight, score, case when n_features >= 20 and place <= able * 10 // 100 then place end as rank
+from ranked"""
+
+
+@query("op13_resampling", RESAMPLING_SQL)
+def resampling(spark, source):
+    found = resample(table(spark, source, "documents"), table(spark, source, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
