@@ -15,6 +15,7 @@ from geolayers.llm.resampling import resample
 from geolayers.llm.token_files import read_token_files, write_token_files
 from geolayers.llm.topk import top_k
 from geolayers.llm.url_trie import judge_urls, rule
+from geolayers.llm.warc import read_captures, write_archives
 from geolayers.session import shared_path
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -186,6 +187,34 @@ def url_trie(spark, source):
     return judge_urls(table(spark, source, "pages"), URL_RULES)
 
 
+WARC_SQL = r"""
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest,
+    max(page_id) over (partition by coalesce(html, '')) as last, coalesce(url, '') as url from pages
+), u as (
+  select *, instr(url, '://') > 0 as has,
+    regexp_extract(case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else url end, '^[^#]*') as whole from p
+), h as (
+  select *, case when has then regexp_extract(whole, '^[^/?]*') else '' end as host from u
+), k as (
+  select *, payload_bytes >= 1000 and page_id <> last as again,
+    array_to_string(list_reverse(string_split(translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.')), ',')
+      || ')' || substr(whole, length(host) + 1) as urlkey from h
+)
+select page_id, payload_bytes, payload_digest, case when again then 'revisit' else 'response' end as record_type,
+  case when again then last end as refers_to, urlkey, row_number() over (partition by urlkey order by page_id) as capture
+from k"""
+FIRST_SECOND = 1_704_067_200  # pages have no times: their numbers count seconds from here
+
+
+@query("op11_warc", WARC_SQL)
+def warc(spark, source):
+    path = shared_path(spark, "archives")
+    index = write_archives(table(spark, source, "pages"), path, F.col("page_id") + FIRST_SECOND)
+    found = read_captures(index, path)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "capture")
+
+
 RESAMPLING_SQL = r"""
 with bits as (
   select list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i:
