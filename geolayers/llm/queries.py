@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from geolayers.llm.bilinear_lm import score_documents
 from geolayers.llm.dart_minhash import duplicate_classes
+from geolayers.llm.hard_negatives import mine_hard_negatives
 from geolayers.llm.host_rules import FEATURES, judge_documents
 from geolayers.llm.html_text import extract_text
 from geolayers.llm.language_id import fold, learn_dictionaries, predict_languages
@@ -215,6 +216,33 @@ def warc(spark, source):
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "capture")
 
 
+HARD_NEGATIVES_SQL = """
+with v as (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+), s as (
+  select a.id as anchor_id, c.id, a.label = c.label as same, cast(list_inner_product(a.v, c.v) as bigint) as score
+  from v a join v c on a.id <> c.id where a.id % 100 = 0
+), p as (
+  select anchor_id, id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+)
+select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, id) as rank,
+  id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify rank <= 5"""
+
+
+@query("op12_hard_negatives", HARD_NEGATIVES_SQL)
+def hard_negatives(spark, source):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(table(spark, source, "embeddings"), F.col("id") % 100 == 0, label)
+
+
 RESAMPLING_SQL = r"""
 with bits as (
   select list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i:
