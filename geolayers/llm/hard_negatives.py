@@ -82,7 +82,7 @@ def _curve(rows: DataFrame) -> DataFrame:
     def place(batches):
         for batch in batches:
             for dim, at, matrix in _by_dimension(batch):
-                order, mean, deviation = spread[dim]
+                order, mean, deviation = spread.get(dim, (np.zeros(0, np.int64), *np.zeros((2, dim))))
                 z = (matrix - mean) / np.where(deviation > 0, deviation, 1)
                 levels = np.searchsorted([-QUARTILE, 0.0, QUARTILE], z[:, order].ravel()).reshape(z.shape)
                 keys = hilbert_keys(levels, BITS) if dim else np.zeros((len(at), 0), np.uint8)

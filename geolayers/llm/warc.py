@@ -78,7 +78,7 @@ def _headers(data: bytes, at: int) -> tuple[bytes, dict[str, str], int]:
         raise OSError("a record's head has no end")
     first, *lines = data[at:end].split(b"\r\n")
     pairs = (line.decode("utf-8", "surrogatepass").partition(":") for line in lines)
-    return first, {name.strip().lower(): value.strip() for name, _, value in pairs}, end + 4
+    return first, {name.strip(" \t").lower(): value.strip(" \t") for name, _, value in pairs}, end + 4
 
 
 def parsed(data: bytes) -> tuple | None:
