@@ -16,11 +16,18 @@ def is_fid(field: Field) -> bool:
     return field.name.lower() == FID and isinstance(field.type, (T.IntegerType, T.LongType))
 
 
+WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
 def fid_of(schema: T.StructType, fid_column: str | None = None) -> str | None:
-    """Name of the layer's own id column, if it has one."""
+    """Name of the layer's own id column, if it has one.
+
+    It is the named one, else a column fid of whole numbers; a column fid of another
+    type, as every CSV column is, is an ordinary field.
+    """
     wanted = (fid_column or FID).lower()
     for field in schema:
-        if field.name.lower() == wanted:
+        if field.name.lower() == wanted and (fid_column or isinstance(field.dataType, WHOLE_NUMBERS)):
             return field.name
     if fid_column:
         raise LayerError(f'layer has no column "{fid_column}" to serve as feature id')
@@ -55,7 +62,7 @@ def match_columns(
     """
     geometries = [f for f in schema if is_geometry(f)]
     hidden = {f.name for f in geometries} | {box_name(f.name) for f in geometries}
-    if fid_column is None and FID in schema.names:
+    if fid_column is None and fid_of(schema) == FID:
         hidden.add(FID)
     index = _field_index(schema, hidden)
     waiting = list(geometries)

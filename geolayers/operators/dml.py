@@ -164,3 +164,61 @@ def returning(base: DataFrame, keys: DataFrame) -> DataFrame:
     _need_fid(base, keys)
     return base.join(_hinted(keys.select(FID).distinct()), FID, "left_semi").select(base.columns)
 
+
+
+# Operations of a change log.
+PUT, DROP = ("insert", "update"), "delete"
+
+
+def apply_log(base: DataFrame, log: DataFrame, op: str = "op", sequence: str = "seq") -> DataFrame:
+    """The layer after a log of mixed inserts, updates and deletes, in one pass over both.
+
+    A row of the log has an operation (``insert``, ``update`` or ``delete``), a number in the
+    ``sequence``, a fid and new values of all other columns of the log. For each fid the last operation decides. An
+    update of a fid that the layer lacks, and that the log has not inserted, has no effect; an insert replaces a feature that is there. A
+    feature that the log has inserted or deleted before its last update starts anew: columns that the log
+    lacks are NULL, else they stay as they were. Inserts without a fid get ids after the largest one of layer and log, in the
+    order of the sequence. A sequence number that occurs twice for a fid, an unknown operation, and an update or delete without a fid are errors.
+
+    Each fid's last row is found by partial aggregates, so a feature with most of the changes is no hot group;
+    one outer join with the layer follows. The log is read several times: store an expensive one first.
+    """
+    _need_fid(base, log)
+    own = [c for c in log.columns if c not in (FID, op, sequence)]
+    unknown = [c for c in own if c not in base.columns]
+    if unknown:
+        raise LayerError(f"layer has no columns {unknown}")
+    wrong = ~F.coalesce(F.col(op).isin(*PUT, DROP), F.lit(False)) | (F.col(FID).isNull() & (F.col(op) != PUT[0])) | F.col(sequence).isNull()
+    faulty = log.filter(wrong).select(op, FID).first()
+    if faulty is not None:
+        raise LayerError(f"the log holds an operation that cannot be done: {faulty[0]} of fid {faulty[1]}")
+    given = log.filter(F.col(FID).isNotNull())
+    twice = given.groupBy(FID, sequence).count().filter("count > 1").first()
+    if twice is not None:
+        raise LayerError(f"sequence number {twice[1]} occurs twice for fid {twice[0]}")
+    new = log.filter(F.col(FID).isNull())
+    if new.first() is not None:
+        last = base.select(FID).unionByName(given.select(FID)).agg(F.max(FID)).first()[0]
+        numbered = assign_fid(new.drop(FID), 0 if last is None else last + 1, [sequence])
+        given = given.unionByName(numbered.select(given.columns))
+    given = _with_boxes(base, given)
+    own = [c for c in given.columns if c not in (FID, op, sequence)]
+    values = F.struct(F.col(op).alias("_op"), *[F.col(f"`{c}`") for c in own])
+    anew = F.max(F.when(F.col(op) != PUT[1], F.col(sequence))).isNotNull()
+    inserted = F.max_by(F.col(op), F.when(F.col(op) != PUT[1], F.col(sequence)))
+    last = given.groupBy(FID).agg(F.max_by(values, F.col(sequence)).alias("_last"), anew.alias("_anew"), inserted.alias("_base"))
+    size = last.agg(F.count("*").alias("rows"), F.sum(row_bytes(last)).alias("bytes")).first()
+    joined = base.withColumn("_known", F.lit(True)).join(broadcast_if_small(last, size["rows"], size["bytes"] or 0), FID, "full_outer")
+    code = F.col("_last._op")
+    # An update needs a feature: one of the layer that the log has not deleted, or one that it has inserted.
+    there = F.when(F.col("_anew"), F.col("_base") == PUT[0]).otherwise(F.col("_known"))
+    kept = code.isNull() | (code == PUT[0]) | ((code == PUT[1]) & F.coalesce(there, F.lit(False)))
+    out = []
+    for field in base.schema:
+        old = F.col(f"`{field.name}`")
+        if field.name in own:
+            old = F.when(code.isNotNull(), _stored(F.col(f"_last.`{field.name}`"), field)).otherwise(old)
+        elif field.name != FID:
+            old = F.when(code.isNotNull() & F.col("_anew"), F.lit(None)).otherwise(old)
+        out.append(old.alias(field.name, metadata=field.metadata))
+    return joined.filter(kept).select(out)

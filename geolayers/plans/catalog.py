@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from geolayers.plans.registry import query
-from geolayers.sources.catalog import layer_catalog
+from geolayers.session import shared_path
+from geolayers.sources.catalog import import_layers, layer_catalog
 from geolayers.sources.fids import assign_fid, lookup_fids
 from geolayers.sources.layers import layer_count, read_layer
 
@@ -92,3 +93,61 @@ def _facts(layer):
 @query("layer_count", "select count(*) as features from lineitem")
 def count_layer(spark, source):
     return layer_count(spark, source, "lineitem")
+
+
+@query(
+    "csv_import",
+    """with parts as (
+      select c_custkey, c_custkey % 3 as part from customer
+    )
+    select row_number() over (order by part, c_custkey) as fid, cast(c_custkey as varchar) as key,
+      case when part < 2 then c_name end as name, case when part > 0 then cast(c_nationkey as varchar) end as nation
+    from customer join parts using (c_custkey)""",
+)
+def csv_import(spark, source):
+    """Part files with swapped, late and missing columns, read through the view of an import."""
+    layer = read_layer(spark, source, "customer", "c_custkey bigint, c_name string, c_nationkey int")
+    layer = layer.select(F.col("c_custkey").alias("Key"), F.col("c_name").alias("Name"), F.col("c_nationkey").alias("Nation"))
+    root = shared_path(spark, "csv")
+    for part, columns in enumerate((["Key", "Name"], ["Nation", "Name", "Key"], ["Key", "Nation"])):
+        rows = layer.filter(F.col("Key") % 3 == part).select(columns)
+        ordered = rows.repartitionByRange("Key").sortWithinPartitions("Key")
+        ordered.write.option("header", "true").option("compression", "gzip" if part == 1 else "none").csv(f"{root}/buyers/{part}")
+    import_layers(spark, root)
+    return spark.table("buyers").select("fid", "key", "name", "nation")
+
+
+@query(
+    "view_scan",
+    """with o as (select row_number() over () - 1 as fid, * from orders), c as (select row_number() over () - 1 as fid, * from customer)
+    select o.fid, o_orderkey, c.fid as customer, c_name from o join c on o_custkey = c_custkey where o_totalprice > 100000""",
+)
+def view_scan(spark, source):
+    """Imported views with the ids of their rows."""
+    import_layers(spark, source, limit_to=["orders", "customer"])
+    orders, customers = spark.table("orders"), spark.table("customer").withColumnRenamed("fid", "customer")
+    found = orders.filter("o_totalprice > 100000").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    return found.select("fid", "o_orderkey", "customer", "c_name")
+
+
+@query(
+    "layer_widened",
+    """select o_orderkey as key, case when o_orderkey % 3 = 0 then floor(o_totalprice) else o_totalprice end as price,
+      case when o_orderkey % 3 = 0 then cast(cast(o_orderdate as date) as timestamp) else cast(o_orderdate as timestamp) end as day,
+      case when o_orderkey % 3 = 2 then o_orderstatus else cast(o_custkey as varchar) end as mark,
+      case when o_orderkey % 3 = 2 then o_orderpriority end as late
+    from orders""",
+)
+def layer_widened(spark, source):
+    """Part files of three schemas: whole and broken numbers, days and times, numbers and text, a late column."""
+    orders = read_layer(spark, source, "orders")
+    key, price, day = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_orderdate")
+    path = f"{shared_path(spark, 'widened')}/orders.parquet"
+    kinds = [
+        [key.cast("int").alias("key"), F.floor(price).cast("bigint").alias("price"), day.cast("date").alias("day"), F.col("o_custkey").alias("mark")],
+        [key.alias("key"), price.alias("price"), day.cast("timestamp_ntz").alias("day"), F.col("o_custkey").cast("int").alias("mark")],
+        [key.alias("key"), price.alias("price"), day.cast("timestamp_ntz").alias("day"), F.col("o_orderstatus").alias("mark"), F.col("o_orderpriority").alias("late")],
+    ]
+    for part, columns in enumerate(kinds):
+        orders.filter(key % 3 == part).select(columns).write.mode("append").parquet(path)
+    return read_layer(spark, path.rpartition("/")[0], "orders", "key bigint, price double, day timestamp_ntz, mark string, late string", widened=True)

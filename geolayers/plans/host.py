@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from geolayers.plans.registry import query
 from geolayers.sources.layers import read_layer
+from geolayers.sources.stored import store_bucketed
 
 
 def customers(spark, source):
@@ -21,6 +22,20 @@ def join_fid(spark, source):
     return customers(spark, source).join(local, "fid").select("fid", "c_name", "o_orderkey")
 
 
+@query(
+    "join_fid_bucketed",
+    "select c_custkey as fid, c_name, count(*) as orders, max(o_totalprice) as dearest "
+    "from customer join orders on c_custkey = o_custkey group by 1, 2",
+)
+def join_fid_bucketed(spark, source):
+    """Both layers stored in buckets of the id: joined and grouped without a shuffle."""
+    orders = read_layer(spark, source, "orders", "o_custkey bigint, o_totalprice double")
+    local = store_bucketed(orders.withColumnRenamed("o_custkey", "fid"))
+    layer = store_bucketed(customers(spark, source))
+    joined = layer.hint("merge").join(local, "fid").groupBy("fid", "c_name")
+    return joined.agg(F.count("*").alias("orders"), F.max("o_totalprice").alias("dearest"))
+
+
 @query(
     "join_series",
     "select c_custkey as fid, c_name from generate_series(1, (select max(c_custkey) from customer)) g(g) "

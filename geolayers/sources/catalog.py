@@ -1,81 +1,63 @@
 """Discovery: the layers of a source, their columns, and bulk import as views."""
 
-import csv
-import io
-import json
-import re
-import sys
-from urllib.parse import unquote
-
-import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from geolayers.functions.names import launder, launder_name
 from geolayers.functions.text import charset
 from geolayers.model import IMPORTED_AS, LayerError, box_name, is_geometry, source_type
-from geolayers.sources.fids import csv_counts, csv_fids, file_fids
-from geolayers.sources.files import inner_path, list_files, open_file
-from geolayers.sources.layers import CSV_OPTIONS
-from geolayers.sources.shapefile import layer_schema, read_shape_files
+from geolayers.operators.columns import fid_of
+from geolayers.sources.fids import csv_fids, csv_marked, csv_offsets, layer_offsets, marked_fids, parquet_marked
+from geolayers.sources.files import COMPRESSED, inner_path, list_files
+from geolayers.sources.parts import CSV_OPTIONS, LAYER, Layer, in_layer_types, layers_of, mixed_paths, read_parts, scans, united
+from geolayers.sources.shapefile import read_shape_files
 
 COLUMN_SCHEMA = "layer string, fmt string, path string, ordinal int, source_name string, data_type string"
-FIELD_SCHEMA = "layer string, fmt string, path string, at int, field string, rows bigint"
 SHAPE_PARTS = ["shp", "shx", "dbf", "prj", "qpj", "cpg"]
+ENDING = rf"(?i)\.(parquet|csv(?=\.({'|'.join(COMPRESSED)})$)|csv(?=$)|{'|'.join(SHAPE_PARTS)})(\.[a-z0-9]+)?$"
+PLACE = "_fid"
 
 
 def layer_files(spark: SparkSession, source: str) -> DataFrame:
-    """(layer, fmt, path, files): every layer with the paths of all its files.
+    """(layer, fmt, root, uri, files): the files of every layer, one to a row; a shapefile's files are one row.
 
     A layer is a file ``name.parquet|csv`` in the folder, a folder of Parquet or CSV
     part files (at any depth, for partition columns), or a shapefile in the folder:
-    its geometry file, its attribute table or both. Extensions count in any case.
-    ``path`` is the file or folder that Spark reads.
+    its geometry file, its attribute table or both. Extensions count in any case; CSV files
+    may be packed (``.csv.gz``, ``.csv.bz2``). ``root`` is the file or folder that Spark reads.
     """
     files = list_files(spark, source, "*.*")
     inner = inner_path(F.col("path"), source)
     head = F.substring_index(inner, "/", 1)
     nested = inner.contains("/")
-    extension = F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1))
+    extension = F.lower(F.regexp_extract("path", ENDING, 1))
     fmt = F.when(extension.isin(SHAPE_PARTS), "shapefile").otherwise(extension)
     found = files.select(
-        F.regexp_replace(head, r"(?i)\.(parquet|csv|shp|shx|dbf|prj|qpj|cpg)$", "").alias("layer"),
+        F.regexp_replace(head, ENDING, "").alias("layer"),
         fmt.alias("fmt"),
         F.when(nested, F.concat(F.substring("path", F.lit(1), F.length("path") - F.length(inner)), head)).otherwise(F.col("path")).alias("root"),
         "path",
+        "uri",
         nested.alias("nested"),
         extension.alias("extension"),
     )
-    found = found.filter(F.col("fmt").isin("parquet", "csv") | ((F.col("fmt") == "shapefile") & ~F.col("nested")))
-    found = found.groupBy("layer", "fmt").agg(
-        F.min("root").alias("path"), F.array_sort(F.collect_list("path")).alias("files"), F.collect_set("extension").alias("extensions")
-    )
+    each = found.filter(F.col("fmt").isin("parquet", "csv")).select(*LAYER, "uri", F.array("path").alias("files"))
+    # A shapefile has a handful of files.
+    shapes = found.filter((F.col("fmt") == "shapefile") & ~F.col("nested")).groupBy("layer", "fmt")
+    shapes = shapes.agg(F.min("root").alias("root"), F.array_sort(F.collect_list("path")).alias("files"), F.collect_set("extension").alias("extensions"))
     shaped = F.array_contains("extensions", "shp") | F.array_contains("extensions", "dbf")
-    return found.filter((F.col("fmt") != "shapefile") | shaped).drop("extensions")
+    return each.unionByName(shapes.filter(shaped).select(*LAYER, F.lit(None).cast("string").alias("uri"), "files"))
 
 
 def list_layers(spark: SparkSession, source: str) -> DataFrame:
     """(layer, fmt) of every layer of a source, without opening a file."""
-    return layer_files(spark, source).select("layer", "fmt")
-
-
-def _parquet_columns(path: str):
-    import pyarrow.parquet as pq
-
-    with open_file(path) as handle:
-        footer = pq.read_metadata(handle)
-    arrow = footer.schema.to_arrow_schema()
-    stored = (arrow.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
-    if stored:
-        return T.StructType.fromJson(json.loads(stored)), footer.num_rows
-    from pyspark.sql.pandas.types import from_arrow_schema
-
-    return from_arrow_schema(arrow, prefer_timestamp_ntz=True), footer.num_rows
+    return layer_files(spark, source).select("layer", "fmt").distinct()
 
 
 def columns_of(schema: T.StructType):
     """(source name, imported type) of a layer's columns: fid, geometries, fields.
 
-    Boxes that only cover a geometry are not columns of the layer.
+    The id comes first: the layer's own whole-number ``fid``, else its rows' places. Boxes
+    that only cover a geometry are not columns of the layer.
     """
     geometries = [f for f in schema if is_geometry(f)]
     hidden = {box_name(f.name) for f in geometries} | {f.name for f in geometries}
@@ -85,8 +67,9 @@ def columns_of(schema: T.StructType):
         generic = "geom" if len(geometries) == 1 else f"geom{i}"
         srid = f",{facts['srid']}" if facts.get("srid") else ""
         out.append((field.name or generic, f"Geometry({facts['kind']}{srid})"))
+    own = fid_of(schema)
     for field in schema:
-        if field.name not in hidden and field.name != "fid":
+        if field.name not in hidden and field.name != own:
             out.append((field.name, imported_type(field)))
     return out
 
@@ -100,97 +83,6 @@ def imported_type(field: T.StructField) -> str:
     return f"{name}({width})" if name == "varchar" and width and width < 10 * 1024 * 1024 else name
 
 
-def _csv_schema(path: str, encoding: str, options: dict) -> T.StructType:
-    """Names of a CSV header, read to its end under the reader's own options."""
-    csv.field_size_limit(sys.maxsize)
-    sep, quote = (options.get(k) for k in ("sep", "quote"))
-    with open_file(path) as handle:
-        text = io.TextIOWrapper(handle, "utf-8-sig" if encoding.upper() in ("UTF-8", "UTF8") else encoding, newline="")
-        rows = csv.reader(text, delimiter=sep or options.get("delimiter") or ",", quotechar=quote or '"')
-        names = next((row for row in rows if row), [])
-    whole = str(options.get("multiline", "")).lower() == "true"
-    if any("\n" in n for n in names) and not whole:
-        raise LayerError(f"{path}: a column name goes over a line break; read it with multiLine=true")
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
-
-
-def _schema_reader(encoding: str, options: dict):
-    """Fields of each file of each layer, as JSON, in their order."""
-
-    def fields(fmt, files, path):
-        if fmt == "shapefile":
-            return layer_schema({p.rpartition(".")[2].lower(): p for p in files}), None
-        return _parquet_columns(path) if fmt == "parquet" else (_csv_schema(path, encoding, options), None)
-
-    def read(batches):
-        for batch in batches:
-            rows = []
-            for layer, fmt, files, path in zip(batch["layer"], batch["fmt"], batch["files"], batch["file"]):
-                schema, count = fields(fmt, files, path)
-                for at, field in enumerate(schema):
-                    rows.append((layer, fmt, path, at, field.json(), count))
-            yield pd.DataFrame(rows, columns=["layer", "fmt", "path", "at", "field", "rows"])
-
-    return read
-
-
-def _merged(found: list[T.StructField], files: list[str], root: str, layer: str) -> T.StructType:
-    """One schema of a layer's files: fields in order of appearance, then partition columns."""
-    merged: dict[str, T.StructField] = {}
-    for field in found:
-        known = merged.setdefault(field.name.lower(), field)
-        if known.dataType != field.dataType:
-            raise LayerError(f'layer "{layer}": files disagree on the type of "{field.name}"')
-    values: dict[str, list[str]] = {}
-    for path in files:
-        for step in path[len(root) :].strip("/").split("/")[:-1]:
-            name, equals, value = step.partition("=")
-            if equals:
-                values.setdefault(unquote(name), []).append(unquote(value))
-    for name, texts in values.items():
-        texts = [t for t in texts if t != "__HIVE_DEFAULT_PARTITION__"]
-        merged.setdefault(name.lower(), T.StructField(name, _partition_type(texts)))
-    return T.StructType(list(merged.values()))
-
-
-def _partition_type(texts: list[str]) -> T.DataType:
-    """Whole numbers are read as such, all else as text."""
-    if texts and all(re.fullmatch(r"-?\d{1,18}", t) for t in texts):
-        return T.IntegerType() if all(abs(int(t)) < 1 << 31 for t in texts) else T.LongType()
-    return T.StringType()
-
-
-def _layers(files: DataFrame, encoding: str | None, options: dict | None, counted: bool = False) -> list[tuple]:
-    """(layer, fmt, path, files, schema, rows of its Parquet files) of all layers in ``files``.
-
-    Every footer and header is read, each by one row of a parallel job, so columns
-    that only some part files have are found; equal fields of a layer's files come
-    to the driver once, and one number per file if ``counted``.
-    """
-    # A fixed number of partitions: adaptive execution would join so few bytes
-    # into one task, but each row costs a file access.
-    tasks = files.sparkSession.sparkContext.defaultParallelism
-    options = {k.lower(): v for k, v in (options or {}).items()}
-    each = F.when(F.col("fmt") == "shapefile", F.slice("files", 1, 1)).otherwise(F.col("files"))
-    opened = files.select("layer", "fmt", "files", F.explode(each).alias("file")).repartition(tasks, "file")
-    read = _schema_reader(charset(encoding or "UTF-8"), options)
-    found = opened.mapInPandas(read, FIELD_SCHEMA).groupBy("layer", "fmt", "field")
-    first = F.min(F.struct("path", "at")).alias("first")
-    sizes = F.collect_list(F.when(F.col("at") == 0, F.struct("path", "rows"))) if counted else F.lit(None)
-    fields: dict[tuple, list] = {}
-    rows: dict[tuple, list] = {}
-    for row in found.agg(first, sizes.alias("sizes")).orderBy("layer", "fmt", "first").collect():
-        rows.setdefault((row["layer"], row["fmt"]), []).extend(row["sizes"] or [])
-        fields.setdefault((row["layer"], row["fmt"]), []).append(T.StructField.fromJson(json.loads(row["field"])))
-    out = []
-    for row in files.orderBy("layer", "fmt").collect():
-        own = fields.get((row["layer"], row["fmt"]), [])
-        schema = _merged(own, row["files"], row["path"], row["layer"])
-        sizes = rows.get((row["layer"], row["fmt"]), [])
-        out.append((row["layer"], row["fmt"], row["path"], row["files"], schema, sizes))
-    return out
-
-
 def layer_columns(
     files: DataFrame,
     launder_table_names: bool = True,
@@ -201,29 +93,39 @@ def layer_columns(
     """Columns of the layers in ``files``: one row per layer and column.
 
     ``table_name`` and ``column_name`` are the laundered names; ``column_option``
-    keeps the source name where laundering changed more than its case.
+    keeps the source name where laundering changed more than its case. An ordinary field that would
+    be called fid beside the id becomes fid_1.
     """
     rows = [
-        (layer, fmt, path, ordinal, name, kind)
-        for layer, fmt, path, _, schema, _ in _layers(files, encoding, options)
-        for ordinal, (name, kind) in enumerate(columns_of(schema), 1)
+        (layer.name, layer.fmt, layer.root, ordinal, name, kind)
+        for layer in layers_of(read_parts(files, encoding, options))
+        for ordinal, (name, kind) in enumerate(columns_of(layer.schema), 1)
     ]
     found = files.sparkSession.createDataFrame(rows, COLUMN_SCHEMA)
     raw, laundered = F.col("source_name"), launder(F.col("source_name"))
-    changed = F.lower(laundered) != F.lower(raw)
+    name = laundered if launder_column_names else raw
+    second = (F.col("ordinal") > 1) & (F.lower(name) == "fid")
+    changed = (F.lower(laundered) != F.lower(raw)) | second
     return found.select(
         "layer",
         "fmt",
         "path",
         _table_name(launder_table_names).alias("table_name"),
         "ordinal",
-        (laundered if launder_column_names else raw).alias("column_name"),
+        F.when(second, F.concat(name, F.lit("_1"))).otherwise(name).alias("column_name"),
         "data_type",
-        (F.when(changed, raw) if launder_column_names else F.lit(None).cast("string")).alias("column_option"),
+        F.when(changed if launder_column_names else second, raw).alias("column_option"),
         "source_name",
     )
 
 
+def column_names(schema: T.StructType, launder_column_names: bool = True) -> list[tuple[str, str]]:
+    """(source name, column name) of an imported layer, the id first."""
+    rename = launder_name if launder_column_names else str
+    named = [(name, rename(name)) for name, _ in columns_of(schema)]
+    return named[:1] + [(name, f"{new}_1" if new.lower() == "fid" else new) for name, new in named[1:]]
+
+
 def _table_name(launder_table_names: bool):
     return launder(F.col("layer")) if launder_table_names else F.col("layer")
 
@@ -272,6 +174,48 @@ def _check_clashes(names: dict[str, list[str]], what: str) -> None:
             raise LayerError(f'{what}: {same} have the same laundered name "{laundered}"')
 
 
+def _check_clashes(names: dict[str, list[str]], what: str) -> None:
+    """Laundering may make two names equal; such a table cannot be imported."""
+    for laundered, same in names.items():
+        if len(same) > 1:
+            raise LayerError(f'{what}: {same} have the same laundered name "{laundered}"')
+
+
+def _read(spark: SparkSession, layers: list[Layer], parts: DataFrame, encoding: str | None, options: dict) -> list[DataFrame]:
+    """All columns of each layer, with the id of its rows as ``PLACE`` if it has none of its own."""
+    paths = mixed_paths(parts, layers)
+    rows: list[DataFrame] = []
+    bare: dict[str, list[int]] = {"csv": [], "parquet": []}
+    for k, layer in enumerate(layers):
+        if layer.fmt == "shapefile":
+            rows.append(read_shape_files(spark, {p.rpartition(".")[2].lower(): p for p in layer.files}, layer.schema, encoding))
+            continue
+        found = scans(spark, layer, paths.get((layer.name, layer.fmt, layer.root)), options if layer.fmt == "csv" else {})
+        if not found:
+            rows.append(spark.createDataFrame([], T.StructType([T.StructField(PLACE, T.LongType()), *layer.schema])))
+            continue
+        mark, places = (csv_marked, ["_file", "_at", "_row"]) if layer.fmt == "csv" else (parquet_marked, ["_file", "_row"])
+        if fid_of(layer.schema) is None:
+            bare[layer.fmt].append(k)
+        else:
+            mark, places = (lambda df: df), []
+        rows.append(united([mark(df).select(*in_layer_types(df, layer), *places) for df in found], layer, places))
+    if bare["csv"]:
+        offsets, sizes = csv_offsets([rows[k] for k in bare["csv"]])
+        for at, k in enumerate(bare["csv"]):
+            rows[k] = csv_fids(rows[k], offsets.filter(F.col("_layer") == at), PLACE, sizes.get(at, 0))
+    if bare["parquet"]:
+        roots = [layers[k].root for k in bare["parquet"]]
+        # The footers hold the rows of each file.
+        counts = parts.filter(F.col("root").isin(roots)).select(
+            F.col("root").alias("_layer"), F.col("uri").alias("_file"), F.col("rows").alias("_rows"), F.lit(0).cast("bigint").alias("_first")
+        )
+        offsets, sizes = layer_offsets(counts, ["_file"], 0)
+        for k, root in zip(bare["parquet"], roots):
+            rows[k] = marked_fids(rows[k], offsets=offsets.filter(F.col("_layer") == root), name=PLACE, size=sizes.get(root, 0))
+    return rows
+
+
 def import_layers(
     spark: SparkSession,
     source: str,
@@ -286,51 +230,29 @@ def import_layers(
     """Register a temporary view for each chosen layer; returns their number.
 
     The arguments are those of ``layer_catalog``. Files are listed and opened in a
-    fixed number of jobs; each view reads with the schema found there, and nothing
-    is stored.
+    fixed number of jobs; each view reads with the schema found there, CSV files by their
+    headers and Parquet files by their types, and nothing of the data is stored.
     """
     files = _chosen(spark, source, prefix, limit_to, except_, launder_table_names)
-    layers = _layers(files, encoding, options, counted=True)
-    rename = launder_name if launder_column_names else str
+    parts = read_parts(files, encoding, options)
+    layers = layers_of(parts)
     tables: dict[str, list[str]] = {}
-    for layer, fmt, _, _, schema, _ in layers:
-        tables.setdefault(launder_name(layer) if launder_table_names else layer, []).append(f"{layer} ({fmt})")
+    for layer in layers:
+        tables.setdefault(launder_name(layer.name) if launder_table_names else layer.name, []).append(f"{layer.name} ({layer.fmt})")
         columns: dict[str, list[str]] = {}
-        for name, _ in columns_of(schema):
-            columns.setdefault(rename(name), []).append(name)
-        _check_clashes(columns, f'columns of layer "{layer}"')
+        for name, new in column_names(layer.schema, launder_column_names):
+            columns.setdefault(new, []).append(name)
+        _check_clashes(columns, f'columns of layer "{layer.name}"')
     _check_clashes(tables, "layers")
-    scans = [_scan(spark, fmt, path, paths, schema, encoding, options) for _, fmt, path, paths, schema, _ in layers]
-    bare = [k for k, df in enumerate(scans) if not any(c.lower() == "fid" for c in df.columns)]
-    texts = [k for k in bare if layers[k][1] == "csv"]
-    for k, counts in zip(texts, csv_counts([scans[k] for k in texts])):
-        scans[k] = csv_fids(scans[k], counts=counts)
-    for k in set(bare) - set(texts):
-        counts = [Row(_file=re.sub("^([a-z0-9]+):/+", r"\1:/", r["path"]), _rows=r["rows"], _first=0) for r in layers[k][5]]
-        scans[k] = file_fids(scans[k], counts=counts)
-    for (table, _), df, (_, _, _, _, schema, _) in zip(tables.items(), scans, layers):
+    read = {**CSV_OPTIONS, **({"encoding": charset(encoding)} if encoding else {}), **(options or {})}
+    for table, layer, df in zip(tables, layers, _read(spark, layers, parts, encoding, read)):
         renamed = []
-        for name, _ in columns_of(schema):
-            column = F.col(f"`{name}`")
-            field = schema[name] if name in schema.names else T.StructField(name, T.LongType())
-            renamed.append(column.alias(rename(name), metadata=field.metadata or {}))
-            if is_geometry(field) and box_name(name) in schema.names:
-                renamed.append(F.col(f"`{box_name(name)}`").alias(box_name(rename(name))))
+        own = fid_of(df.schema)
+        for k, (name, new) in enumerate(column_names(layer.schema, launder_column_names)):
+            column = F.col(f"`{name}`") if k else F.col(f"`{own or PLACE}`").cast("bigint")
+            field = layer.schema[name] if name in layer.schema.names else T.StructField(name, T.LongType())
+            renamed.append(column.alias(new, metadata=field.metadata or {}))
+            if is_geometry(field) and box_name(name) in layer.schema.names:
+                renamed.append(F.col(f"`{box_name(name)}`").alias(box_name(new)))
         df.select(renamed).createOrReplaceTempView(f"`{table}`")
     return len(layers)
-
-
-def _scan(spark, fmt, path, paths, schema, encoding, options) -> DataFrame:
-    """All columns of a layer; the schema is known, so no job runs for it."""
-    if fmt == "shapefile":
-        return read_shape_files(spark, {p.rpartition(".")[2].lower(): p for p in paths}, schema, encoding)
-    options = dict(options or {}) if fmt == "csv" else {}
-    if fmt == "csv":
-        options = {**CSV_OPTIONS, **({"encoding": charset(encoding)} if encoding else {}), **options}
-    df = spark.read.format(fmt).options(**options).schema(schema).load(path)
-    if fmt == "csv":
-        return df.select([F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
-    for field in schema:
-        if field.metadata:
-            df = df.withMetadata(field.name, field.metadata)
-    return df

@@ -5,17 +5,31 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+# Endings of compressed text files and the names of their formats.
+COMPRESSED = {"gz": "gzip", "bz2": "bz2"}
+
+
 def list_files(spark: SparkSession, source: str, pattern: str) -> DataFrame:
-    """(path, length) of the matching files at any depth; contents stay unread."""
+    """(path, length, uri) of the matching files at any depth; contents stay unread.
+
+    ``uri`` is the path as ``_metadata.file_path`` spells it in a scan, with percent signs for special characters.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(source)
-        .select("path", "length")
+        .select("path", "length", F.col("_metadata.file_path").alias("uri"))
     )
 
 
+def is_folder(spark: SparkSession, path: str) -> bool | None:
+    """Is there a folder at ``path``? None if there is nothing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getFileStatus(place).isDirectory() if files.exists(place) else None
+
+
 def open_file(path: str):
     """Random-access handle on a path as Spark spells it, on any shared store."""
     from pyarrow import fs
@@ -32,6 +46,22 @@ def open_file(path: str):
     return system.open_input_file(inner)
 
 
+def open_text(path: str):
+    """A stream of a file's bytes; gzip and bzip2 files are unpacked as Spark does, by their names."""
+    packed = next((kind for end, kind in COMPRESSED.items() if path.lower().endswith(f".{end}")), None)
+    handle = open_file(path)
+    if packed is None:
+        return handle
+    import pyarrow as pa
+
+    return pa.CompressedInputStream(handle, packed)
+
+
+def literal_path(path: str) -> str:
+    """A path in which characters that mean something in a pattern stand for themselves."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
+
+
 def read_range(path: str, start: int, size: int) -> bytes:
     """``size`` bytes from ``start``; a file that ends before is an error."""
     with open_file(path) as handle:

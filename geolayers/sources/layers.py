@@ -1,7 +1,5 @@
 """Layers as DataFrames: Parquet, CSV and database tables in, Parquet out."""
 
-import re
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,11 +10,12 @@ from geolayers.model import LayerError, box_name, declare, geometry_metadata, is
 from geolayers.operators.columns import FID, fid_of, is_fid, match_columns, plain_type
 from geolayers.operators.spatial import geometry_column
 from geolayers.session import staged
-from geolayers.sources.fids import csv_fids, file_fids
+from geolayers.sources.fids import csv_fids, csv_marked, file_fids, marked_fids, parquet_marked
+from geolayers.sources.files import COMPRESSED, is_folder, literal_path
+from geolayers.sources.parts import CSV_OPTIONS, folder_layer, in_layer_types, united
 
-# Spark reads an unquoted empty field as NULL; both kinds of empty field are ''
-# in a layer, see read_layer().
-CSV_OPTIONS = {"header": "true", "emptyValue": "", "nullValue": "\u0001"}
+# The computed id of a row, whatever the layer's own columns are called.
+PLACE = "_fid"
 # Cells per axis of the grid that orders a written layer.
 GRID_BITS = 16
 # Shares of the box centres between which that grid lies.
@@ -27,18 +26,27 @@ def _load(spark: SparkSession, fmt: str, source: str, layer: str, options: dict)
     reader = spark.read.format(fmt).options(**options)
     if fmt == "jdbc":
         return reader.option("url", source).option("dbtable", layer).load()
-    # A layer's name is literal: characters that mean something in a path
-    # pattern are escaped.
-    name = re.sub(r"([*?\[\]{}\\])", r"\\\1", layer)
-    for path in (f"{source}/{name}.{fmt}", f"{source}/{name}"):
+    for path in _places(source, layer, fmt):
         try:
-            return reader.load(path)
+            return reader.load(literal_path(path))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
     raise LayerError(f'unable to find layer "{layer}" in "{source}"')
 
 
+def _places(source: str, layer: str, fmt: str) -> list[str]:
+    """Where a layer may be; its name is literal."""
+    packed = [f"{source}/{layer}.{fmt}.{end}" for end in COMPRESSED] if fmt == "csv" else []
+    return [f"{source}/{layer}.{fmt}", f"{source}/{layer}", *packed]
+
+
+def _folder(spark: SparkSession, fmt: str, source: str, layer: str) -> str | None:
+    """The folder of a layer of part files, None if it is a file or is not there."""
+    found = next(((path, there) for path in _places(source, layer, fmt) if (there := is_folder(spark, path)) is not None), None)
+    return found[0] if found and found[1] else None
+
+
 def jdbc_options(fid_column: str, lower: int, upper: int, partitions: int) -> dict:
     """Reader options that split a table scan by ranges of its id column."""
     return {
@@ -61,26 +69,50 @@ def read_layer(
     encoding: str | None = None,
     null_elements: bool = True,
     geometry: list[str] | None = None,
+    widened: bool = False,
     **options,
 ) -> DataFrame:
     """One layer of a source as a DataFrame.
 
     ``columns`` declares the wanted columns (DDL string, StructType or fields),
     ``column_names`` maps declared names to other source names.  The feature id
-    is ``fid_column``, else the layer's own ``fid``, else the place of the row
+    is ``fid_column``, else the layer's own whole-number ``fid``, else the place of the row
     in the file: from 0 in Parquet, from 1 in CSV.  ``geometry`` names binary
     columns of WKB or EWKB, such as a database returns.  ``srid`` is stamped on
     every geometry column without reprojection.
+
+    The part files of a CSV folder are matched by their headers: files with the same
+    header are one scan, and a column that a file lacks is NULL in its rows. ``widened`` does
+    the same for Parquet files whose types differ, each column as wide as its files need.
     """
+    marked = None
+    folder = None
     if fmt == "csv":
         options = {**CSV_OPTIONS, **({"encoding": charset(encoding)} if encoding else {}), **options}
-    df = _load(spark, fmt, source, layer, options)
-    if fmt == "csv":
-        df = df.select([F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
+        header = str({k.lower(): v for k, v in options.items()}["header"]).lower() == "true"
+        folder = _folder(spark, fmt, source, layer) if header else None
+    elif fmt == "parquet" and widened:
+        folder = _folder(spark, fmt, source, layer)
+    if folder is not None:
+        whole, scans = folder_layer(spark, folder, fmt, encoding, options)
+        if not scans:
+            raise LayerError(f'layer "{layer}" in "{source}" has no files')
+        mark, places = (csv_marked, ["_file", "_at", "_row"]) if fmt == "csv" else (parquet_marked, ["_file", "_row"])
+        marked = united([mark(scan).select(*in_layer_types(scan, whole), *places) for scan in scans], whole, places)
+        df = marked.drop(*places)
+    else:
+        df = _load(spark, fmt, source, layer, options)
+        if fmt == "csv":
+            marked = csv_marked(df)
+            names = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns]
+            marked = marked.select(*names, "_file", "_at", "_row")
+            df = df.select(names)
     for name in geometry or []:
         df = geometry_column(df, name)
+        marked = geometry_column(marked, name) if marked is not None else None
     if srid is not None:
         df = stamp_srid(df, srid)
+        marked = stamp_srid(marked, srid) if marked is not None else None
     own_fid = fid_of(df.schema, fid_column)
     if columns is None:
         return df if own_fid == FID or own_fid is None else df.withColumnRenamed(own_fid, FID)
@@ -88,10 +120,11 @@ def read_layer(
     schema = df.schema
     fid = F.col(f"`{own_fid}`") if own_fid else None
     if fid is None and any(is_fid(f) for f in declared):
-        if fmt == "parquet":
-            df, fid = file_fids(df), F.col(FID)
-        elif fmt == "csv":
-            df, fid = csv_fids(df), F.col(FID)
+        fid = F.col(PLACE)
+        if fmt == "csv":
+            df = csv_fids(marked, name=PLACE)
+        elif fmt == "parquet":
+            df = file_fids(df, name=PLACE) if marked is None else marked_fids(marked, name=PLACE)
         else:
             raise LayerError(f'layer "{layer}" needs fid_column for format {fmt}')
     return df.select(match_columns(schema, declared, layer, fid, fid_column, null_elements))
