@@ -1,5 +1,6 @@
 """Bounding-box filters, the exact box test and the bounding-box join."""
 
+import heapq
 import math
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -19,6 +20,14 @@ BOX_BYTES = 128
 HASH_BYTES = 64 << 20
 # A long thin box may cover 2 ** LONG_BITS more cells along its long side.
 LONG_BITS = 2
+# Cells are counted up to 2 ** SPAN_BITS on each side of zero; what lies beyond is in the last one.
+SPAN_BITS = 50
+# Rectangles that cover the smaller side, and the grid from which they are made.
+COVER_PARTS = 16
+COVER_BITS = 6
+# The cover is worth a job of its own if the larger side has so many rows, and that many times those of the smaller one.
+COVER_ROWS = 1_000_000
+COVER_TIMES = 4
 
 
 def encode_points(df: DataFrame, x, y, name: str = "geom", srid: int | None = None) -> DataFrame:
@@ -101,20 +110,28 @@ def _shift(n: Column, level: Column) -> Column:
 
 
 def _finest(side: Column, cell: float) -> Column:
-    return F.floor(side / F.lit(cell)).cast("bigint")
+    """The number of the finest cell; sides beyond the last cells, and infinite ones, are in those.
+
+    That keeps the order of sides, so boxes that meet still share a cell.
+    """
+    last = F.lit(float(1 << SPAN_BITS))
+    return F.floor(F.least(F.greatest(side / F.lit(cell), -last), last)).cast("bigint")
 
 
-def _placed(df: DataFrame, geom: str, cell: float, side: str, drop: set[str]) -> DataFrame:
-    """Add the box (``_l`` / ``_r``) and its level; without what the join drops.
+def _boxed(df: DataFrame, geom: str, side: str, drop: set[str]) -> DataFrame:
+    """Add the box (``_l`` / ``_r``); without what the join drops.
 
     A box that has to be computed from the geometry is stored with its row, since
     a join reads its sides several times.
     """
-    box = F.col(f"_{side}")
     computed = box_name(geom) not in df.columns
-    df = df.withColumn(f"_{side}", covering(df, geom)).filter(box.isNotNull()).drop(*drop)
-    if computed:
-        df = staged(df, "boxes")
+    df = df.withColumn(f"_{side}", covering(df, geom)).filter(F.col(f"_{side}").isNotNull()).drop(*drop)
+    return staged(df, "boxes") if computed else df
+
+
+def _placed(df: DataFrame, cell: float, side: str) -> DataFrame:
+    """Add the level of the box."""
+    box = F.col(f"_{side}")
     wide = _finest(box["xmax"], cell) - _finest(box["xmin"], cell)
     high = _finest(box["ymax"], cell) - _finest(box["ymin"], cell)
     exact = F.greatest(_bits(F.greatest(wide, high)) - LONG_BITS, _bits(F.least(wide, high)), F.lit(0))
@@ -153,27 +170,139 @@ def _entered(df: DataFrame, side: str, own: list[int], others: list[int], cell:
 CELL_KEY = ["_entry", "_cx", "_cy"]
 
 
-def _extents(placed: dict[str, DataFrame]) -> dict[str, list[float] | None]:
-    """The extent of each side, None for an empty one; a stored box is all that is read."""
-    folds = list(zip((F.min, F.min, F.max, F.max), BOX_TYPE.fields))
-    parts = [df.select(F.lit(s).alias("side"), F.col(f"_{s}").alias("box")) for s, df in placed.items()]
-    found = parts[0].unionByName(parts[1]).groupBy("side").agg(*[fold(f"box.{f.name}").alias(f.name) for fold, f in folds])
-    rows = {r["side"]: [r[f.name] for _, f in folds] for r in found.collect()}
-    return {s: rows.get(s) for s in placed}
+class _Side:
+    """What a side's stored boxes say of it: rows, extent and own cells per level."""
 
+    def __init__(self, rows):
+        self.cells = {r["level"]: r["cells"] for r in rows}
+        self.rows = sum(r["rows"] for r in rows)
+        folds = zip((min, min, max, max), BOX_TYPE.fields)
+        self.extent = [fold(r[f.name] for r in rows) for fold, f in folds] if rows else None
 
-def _measured(placed: dict[str, DataFrame], cell: float) -> dict[str, dict[int, int]]:
-    """Own cells per level of each side, in one job."""
+
+def _measured(boxed: dict[str, DataFrame], cell: float) -> dict[str, _Side]:
+    """Both sides in one job; a stored box is all that is read."""
+    folds = list(zip((F.min, F.min, F.max, F.max), BOX_TYPE.fields))
     parts = []
-    for side, df in placed.items():
+    for side, df in boxed.items():
         box, level = F.col(f"_{side}"), F.col(f"_{side}level")
         cells = F.lit(1).cast("bigint")
         for axis in ("x", "y"):
             first, last = (_shift(_finest(box[f"{axis}{end}"], cell), level) for end in ("min", "max"))
             cells = cells * (last - first + 1)
-        parts.append(df.select(F.lit(side).alias("side"), level.alias("level"), cells.alias("cells")))
-    found = parts[0].unionByName(parts[1]).groupBy("side", "level").agg(F.sum("cells").alias("cells")).collect()
-    return {s: {r["level"]: r["cells"] for r in found if r["side"] == s} for s in placed}
+        parts.append(_placed(df, cell, side).select(F.lit(side).alias("side"), level.alias("level"), cells.alias("cells"), box.alias("box")))
+    grouped = parts[0].unionByName(parts[1]).groupBy("side", "level")
+    sums = F.count("*").alias("rows"), F.sum("cells").alias("cells")
+    found = grouped.agg(*sums, *[fold(f"box.{f.name}").alias(f.name) for fold, f in folds]).collect()
+    return {s: _Side([r for r in found if r["side"] == s]) for s in boxed}
+
+
+def _within(inner: list[float], outer: list[float]) -> bool:
+    return outer[0] <= inner[0] and outer[1] <= inner[1] and inner[2] <= outer[2] and inner[3] <= outer[3]
+
+
+def _common(a: list[float], b: list[float]) -> list[float]:
+    return [max(a[0], b[0]), max(a[1], b[1]), min(a[2], b[2]), min(a[3], b[3])]
+
+
+def _cell_size(boxed: dict[str, DataFrame], cell: float, common: list[float]) -> float:
+    """The finest cell, made larger where the coordinates would lie beyond the last one.
+
+    Then nearly all boxes decide it, so stray ones do not coarsen the grid.
+    """
+    if max(map(abs, common)) <= cell * (1 << SPAN_BITS):
+        return cell
+    centres = []
+    for side, df in boxed.items():
+        box = F.col(f"_{side}")
+        middle = [F.abs(box[f"{axis}min"] / 2 + box[f"{axis}max"] / 2) for axis in "xy"]
+        centres.append(df.select(F.greatest(*middle).alias("far")).filter(F.col("far") < float("inf")))
+    far = centres[0].unionByName(centres[1]).agg(F.percentile_approx("far", 0.999, 10000)).first()[0]
+    return max(cell, (far or 0.0) / (1 << (SPAN_BITS - 1)))
+
+
+def _area(box: list[float]) -> float:
+    return (box[2] - box[0]) * (box[3] - box[1])
+
+
+def _hull(boxes: list[list[float]]) -> list[float]:
+    return [fold(b[k] for b in boxes) for k, fold in enumerate((min, min, max, max))]
+
+
+def quadtree_cover(cells: dict[tuple[int, int], list[float]], bits: int, parts: int) -> list[list[float]]:
+    """At most ``parts`` boxes that cover the hulls of all cells of a grid of 2 ** bits a side.
+
+    From the root on, the node whose children leave out most area takes their place.
+    """
+    levels = [{place: list(box) for place, box in cells.items()}]
+    for _ in range(bits):
+        above: dict[tuple[int, int], list] = {}
+        for (x, y), box in levels[-1].items():
+            above.setdefault((x >> 1, y >> 1), []).append(box)
+        levels.append({place: _hull(boxes) for place, boxes in above.items()})
+
+    def children(level, place):
+        return [(x, y) for x in (2 * place[0], 2 * place[0] + 1) for y in (2 * place[1], 2 * place[1] + 1) if (x, y) in levels[level - 1]]
+
+    def entry(level, place):
+        gain = 0.0
+        if level:
+            gain = _area(levels[level][place]) - sum(_area(levels[level - 1][c]) for c in children(level, place))
+        return -gain, level, place
+
+    nodes = [entry(bits, place) for place in levels[bits]]
+    done = []
+    heapq.heapify(nodes)
+    while nodes:
+        gain, level, place = heapq.heappop(nodes)
+        below = children(level, place) if level else []
+        # One child is the same hull: go down; several must leave something out and find room.
+        if len(below) == 1 or (below and gain < 0 and len(nodes) + len(done) + len(below) <= parts):
+            for child in below:
+                heapq.heappush(nodes, entry(level - 1, child))
+        else:
+            done.append(levels[level][place])
+    return done
+
+
+def _cover(df: DataFrame, side: str, common: list[float]) -> list[list[float]]:
+    """A few boxes that cover all boxes of a side; its boxes are counted into a grid of fixed size first."""
+    box = F.col(f"_{side}")
+    last = (1 << COVER_BITS) - 1
+    places = []
+    for axis, low, high in (("x", common[0], common[2]), ("y", common[1], common[3])):
+        share = ((box[f"{axis}min"] / 2 + box[f"{axis}max"] / 2) - F.lit(low)) / F.lit((high - low) or 1.0)
+        places.append(F.floor(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)) * last).cast("int").alias(axis))
+    folds = zip((F.min, F.min, F.max, F.max), BOX_TYPE.fields)
+    found = df.select(box.alias("box"), *places).groupBy("x", "y").agg(*[fold(f"box.{f.name}").alias(f.name) for fold, f in folds])
+    hulls = {(r["x"], r["y"]): _common([r[f.name] for f in BOX_TYPE.fields], common) for r in found.collect()}
+    return quadtree_cover(hulls, COVER_BITS, COVER_PARTS)
+
+
+def _narrowed(boxed: dict[str, DataFrame], sides: dict[str, _Side], cover_rows: int) -> tuple[dict[str, DataFrame], bool]:
+    """Each side without boxes that lie beyond all of the other's, and whether anything may have gone.
+
+    First the other side's extent, then, for a side that is much the larger one, a cover of the other. Both are
+    comparisons with literals, by which a stored layer skips files and row groups.
+    """
+    out, fewer = dict(boxed), False
+    for side, other in (("l", "r"), ("r", "l")):
+        if not _within(sides[side].extent, sides[other].extent):
+            out[side], fewer = out[side].filter(bbox_meets(F.col(f"_{side}"), sides[other].extent)), True
+    small = min("lr", key=lambda s: sides[s].rows)
+    large = "r" if small == "l" else "l"
+    common = _common(sides["l"].extent, sides["r"].extent)
+    worth = sides[large].rows >= max(cover_rows, COVER_TIMES * sides[small].rows)
+    if worth and all(map(math.isfinite, common)) and common[0] <= common[2] and common[1] <= common[3]:
+        cover = _cover(out[small], small, common)
+        if not cover:
+            return {s: df.limit(0) for s, df in out.items()}, True
+        if sum(map(_area, cover)) <= 0.7 * _area(common):
+            meets = [bbox_meets(F.col(f"_{large}"), box) for box in cover]
+            while len(meets) > 1:  # balanced, so the filter is no deep chain
+                meets = [a | b for a, b in zip(meets[::2], meets[1::2])] + meets[len(meets) & ~1 :]
+            out[large], fewer = out[large].filter(meets[0]), True
+    return out, fewer
 
 
 def _entries_at_most(side: str, own: dict[int, int], others: list[int]) -> int:
@@ -254,9 +383,13 @@ def bbox_join(
     left_geom: str = "geom",
     right_geom: str = "geom",
     cell: float = FINEST_CELL,
+    cover_rows: int = COVER_ROWS,
 ) -> DataFrame:
     """All pairs of features whose boxes meet, each once.
 
+    Boxes may be of any size, infinite ones included. A side with ``cover_rows`` rows or more that is much the larger one
+    is first filtered by a few boxes that cover the other, so a stored layer skips what lies between them.
+
     Column names of the sides must differ (a shared geometry column and its box
     are kept from neither side).  Pass ids and boxes only and join wide columns
     back by id, since a row travels once per cell.
@@ -266,19 +399,21 @@ def bbox_join(
     if clash:
         raise LayerError(f"both sides of the join have columns {sorted(clash)}")
     keep = {s: [c for c in df.columns if c not in drop] for s, df in (("l", left), ("r", right))}
-    placed = {"l": _placed(left, left_geom, cell, "l", drop), "r": _placed(right, right_geom, cell, "r", drop)}
+    boxed = {"l": _boxed(left, left_geom, "l", drop), "r": _boxed(right, right_geom, "r", drop)}
     fields = [df.schema[c] for s, df in (("l", left), ("r", right)) for c in keep[s]]
     nothing = left.sparkSession.createDataFrame([], T.StructType(fields))
-    extents = _extents(placed)
-    if not extents["l"] or not extents["r"]:
+    sides = _measured(boxed, cell)
+    if not sides["l"].rows or not sides["r"].rows:
         return nothing
-    # Boxes outside the other side's extent meet nothing; a stored layer skips
-    # their files and row groups. Only what is left counts.
-    placed["l"] = placed["l"].filter(bbox_meets(F.col("_l"), extents["r"]))
-    placed["r"] = placed["r"].filter(bbox_meets(F.col("_r"), extents["l"]))
-    own = _measured(placed, cell)
-    if not own["l"] or not own["r"]:
+    coarser = _cell_size(boxed, cell, _common(sides["l"].extent, sides["r"].extent))
+    # Boxes far from all of the other side meet nothing; only what is left counts.
+    boxed, fewer = _narrowed(boxed, sides, cover_rows)
+    if fewer or coarser != cell:
+        cell, sides = coarser, _measured(boxed, coarser)
+    if not sides["l"].rows or not sides["r"].rows:
         return nothing
+    placed = {s: _placed(df, cell, s) for s, df in boxed.items()}
+    own = {s: side.cells for s, side in sides.items()}
     others = {"l": sorted(own["r"]), "r": sorted(own["l"])}
     entries = {s: _entries_at_most(s, own[s], others[s]) for s in "lr"}
     entered = {s: _entered(df, s, sorted(own[s]), others[s], cell) for s, df in placed.items()}

@@ -13,6 +13,7 @@ from geolayers.plans.layers import (
     parcels,
     points,
 )
+from geolayers.model import geometry_metadata
 from geolayers.plans.registry import query
 from geolayers.session import shared_path
 from geolayers.sources.layers import read_layer, write_layer
@@ -205,6 +206,25 @@ def box_self_join(spark, source):
     return bbox_join(left, right, "parcel", "plot").filter("pid < other").select("pid", "other")
 
 
+CORNER_X = "(case when s_suppkey % 2 = 0 then -175 else 150 end) + cast((s_suppkey * 7919) % 1500 as double) / 100"
+CORNER_Y = "(case when s_suppkey % 2 = 0 then -85 else 60 end) + cast((s_suppkey * 104729) % 1500 as double) / 100"
+
+
+@query(
+    "bbox_join_clustered",
+    f"with {PARCELS}, c as (select s_suppkey as bid, {CORNER_X} as x, {CORNER_Y} as y from supplier) "
+    "select pid, bid from parcels, c where pxmin <= x + 0.5 and pxmax >= x and pymin <= y + 0.5 and pymax >= y",
+)
+def box_join_clustered(spark, source):
+    """Boxes in two corners against a stored layer: of its files only those near the corners are read."""
+    root = shared_path(spark, "layers")
+    write_layer(parcels(spark, source).select("pid", box_wkb(F.col("parcel_bbox")).alias("parcel", metadata=geometry_metadata(4326, "Polygon")), "parcel_bbox"), f"{root}/parcels.parquet")
+    x, y = F.expr(CORNER_X), F.expr(CORNER_Y)
+    corners = read_layer(spark, source, "supplier").select(F.col("s_suppkey").alias("bid"), make_box(x, y, x + 0.5, y + 0.5).alias("shape_bbox"))
+    stored = read_layer(spark, root, "parcels").select("pid", "parcel_bbox")
+    return bbox_join(stored, corners, "parcel", "shape", cover_rows=0).select("pid", "bid")
+
+
 @query("layer_store", f"with {PARCELS} select pid, pxmin as xmin, pymax as ymax, 93 as octets from parcels "
        "where pxmin <= 25.5 and pxmax >= -40 and pymin <= 40 and pymax >= -30")
 def layer_store(spark, source):

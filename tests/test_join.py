@@ -1,5 +1,6 @@
 """The bounding-box join against a nested loop: sizes, skew, both strategies."""
 
+import math
 import random
 
 import pytest
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from geolayers import LayerError, bbox_join, make_box
 from geolayers.operators import spatial
+from geolayers.operators.spatial import encode_boxes, quadtree_cover
+from geolayers.sources.layers import write_layer
 
 SIDES = "a double, b double, c double, d double"
 
@@ -144,3 +147,103 @@ def test_empty_side_and_clash(spark):
     assert bbox_join(left, right.limit(0), "one", "two").count() == 0
     with pytest.raises(LayerError):
         bbox_join(left, left, "one", "one")
+
+
+# --- sides that are narrowed first ------------------------------------------------
+
+
+def shapes_of(spark, rows, name):
+    df = spark.createDataFrame(rows, f"{name} bigint, x0 double, y0 double, x1 double, y1 double")
+    return df.select(name, make_box(*(F.col(c) for c in ("x0", "y0", "x1", "y1"))).alias(f"g{name}_bbox"))
+
+
+def plain_join(left, right):
+    return sorted((a[0], b[0]) for a in left for b in right if a[1] <= b[3] and b[1] <= a[3] and a[2] <= b[4] and b[2] <= a[4])
+
+
+HUGE = [
+    (1, -math.inf, -math.inf, math.inf, math.inf), (2, -1e300, -1e300, 1e300, 1e300), (3, 0.0, 0.0, 1.0, 1.0), (4, 1e300, 1e300, math.inf, 1e301),
+    (5, -1e308, 0.5, -1e307, 0.5), (6, 5e15, 5e15, 5e15, 5e15), (7, 0.5, -math.inf, 0.5, math.inf), (8, -1e12, 2.0, 1e12, 3.0),
+]
+
+
+@pytest.mark.parametrize("limit", ["-1", "10485760"])
+def test_boxes_without_bounds(spark, conf, limit):
+    conf("spark.sql.autoBroadcastJoinThreshold", limit)
+    draw = random.Random(1)
+    others = [(10 + i, x, y, x + 1, y + 1) for i in range(30) for x, y in [(draw.uniform(-2, 2) * 10 ** draw.choice([0, 9, 16, 200, 308]), draw.uniform(-3, 3))]]
+    for left, right in ((HUGE, HUGE), (HUGE, others), (others, HUGE), (others, others)):
+        found = bbox_join(shapes_of(spark, left, "p"), shapes_of(spark, right, "q"), "gp", "gq").select("p", "q").collect()
+        assert sorted(map(tuple, found)) == plain_join(left, right)
+
+
+def test_cover_holds_all_cells():
+    draw = random.Random(2)
+    for _ in range(50):
+        cells = {}
+        for _ in range(draw.randint(1, 40)):
+            x, y = draw.randint(0, 63), draw.randint(0, 63)
+            cells[x, y] = [x - draw.random(), y - draw.random(), x + draw.random() * 3, y + 1.0]
+        parts = draw.randint(1, 20)
+        cover = quadtree_cover(cells, 6, parts)
+        assert 1 <= len(cover) <= max(parts, 1)
+        assert all(any(c[0] <= b[0] and c[1] <= b[1] and b[2] <= c[2] and b[3] <= c[3] for c in cover) for b in cells.values())
+    corners = {(0, 0): [0.0, 0.0, 1.0, 1.0], (63, 63): [63.0, 63.0, 64.0, 64.0]}
+    assert sorted(quadtree_cover(corners, 6, 4)) == sorted(corners.values())
+    assert quadtree_cover({}, 6, 4) == []
+
+
+@pytest.mark.parametrize("limit", ["-1", "10485760"])
+def test_stored_layer_is_read_near_the_other_side_only(spark, conf, tmp_path, limit):
+    conf("spark.sql.autoBroadcastJoinThreshold", limit)
+    # Row groups of some hundred rows: 40,000 boxes are few for a file.
+    conf("spark.sql.parquet.columnarReaderBatchSize", "512")
+    grid = spark.range(0, 40000).select(F.col("id").alias("p"), (F.col("id") % 200).cast("double").alias("x"), F.floor(F.col("id") / 200).cast("double").alias("y"))
+    layer = encode_boxes(grid, "x", "y", F.col("x") + 0.5, F.col("y") + 0.5, "gp").drop("x", "y", "gp")
+    write_layer(encode_boxes(grid, "x", "y", F.col("x") + 0.5, F.col("y") + 0.5, "gp").drop("x", "y"), str(tmp_path / "grid.parquet"), partitions=32)
+    stored = spark.read.parquet(str(tmp_path / "grid.parquet")).select("p", "gp_bbox")
+    corners = [(i, x + i % 7, y + i % 5, x + i % 7 + 0.2, y + i % 5 + 0.2) for i in range(60) for x, y in [((1.0, 190.0)[i % 2], (1.0, 190.0)[i % 2])]]
+    right = shapes_of(spark, corners, "q")
+    joined = bbox_join(stored, right, "gp", "gq", cover_rows=0).select("p", "q")
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, bbox_join(layer, right, "gp", "gq").select("p", "q").collect()))
+    assert joined.count() > 50
+    plan = plan_of(joined)
+    assert "PushedFilters: [Or(" in plan or "Or(And" in plan
+    read = stored.filter(" or ".join(f"(gp_bbox.xmin <= {c[2]} and gp_bbox.xmax >= {c[0]} and gp_bbox.ymin <= {c[3]} and gp_bbox.ymax >= {c[1]})"
+                                     for c in ([1, 1, 8, 6], [190, 190, 197, 195])))
+    files = read.select(F.col("_metadata.file_path")).distinct().count()
+    assert files <= 8 < spark.read.parquet(str(tmp_path / "grid.parquet")).select(F.col("_metadata.file_path")).distinct().count()
+    # Row groups beyond the cover are not read.
+    scanned = scanned_rows(joined)
+    assert 0 < scanned < 40000 / 4
+
+
+def scanned_rows(df):
+    """Rows that the scan of the stored layer gave in the last run."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan()
+    found = []
+
+    def walk(node):
+        if node.nodeName().startswith("Scan parquet"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        if node.nodeName() == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        elif hasattr(node, "plan") and node.nodeName().endswith("QueryStage"):
+            walk(node.plan())
+        children = node.children()
+        for k in range(children.size()):
+            walk(children.apply(k))
+
+    walk(text)
+    return sum(found)
+
+
+def test_sides_are_measured_once_where_nothing_is_narrowed(spark):
+    left = shapes_of(spark, [(i, float(i), 0.0, i + 1.5, 1.0) for i in range(50)], "p")
+    right = left.withColumnsRenamed({"p": "q", "gp_bbox": "gq_bbox"})
+    spark.sparkContext.setJobGroup("self", "")
+    joined = bbox_join(left, right, "gp", "gq")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("self")) <= 2  # one measure; adaptive stages count
+    assert joined.count() == 50 + 2 * 49
