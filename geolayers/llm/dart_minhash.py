@@ -19,6 +19,8 @@ ROWS, BANDS = 4, 32  # a pair of similarity 0.8 meets in no band once in 20 mill
 DARTS = ROWS * BANDS
 FINE = 1024  # darts of the signatures by which crowded bands are compared
 BLOCK = 2048  # members of a crowded band that meet in one comparison
+# Keys that make up so small a share of the rows are broadcast; there are as many at most (32 times, for bands).
+SHARE = 1000
 DEVIATIONS = 5  # of an estimate: pairs that look less similar by more are not compared exactly
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LOW44 = np.uint64((1 << 44) - 1)
@@ -179,12 +181,50 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _often(found: DataFrame, count: str, total: int):
+    """Is a key one of those that make up a ``SHARE``-th of ``total`` rows? There are ``SHARE`` at most."""
+    return F.col(count) * SHARE >= F.lit(max(total, 1))
+
+
+def _joined(rows: DataFrame, found: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """Inner join with a table of one row per key that counts the key's rows among ``total``.
+
+    The few keys of many rows are broadcast; the others, none of which is much of a task, meet by shuffle.
+    """
+    often = _often(found, count, total)
+    hot, cold = F.broadcast(found.filter(often)), found.filter(~often)
+    spread = rows.join(F.broadcast(found.filter(often).select(*keys)), keys, "left_anti").join(cold, keys)
+    return rows.join(hot, keys).unionByName(spread)
+
+
+def _left_by_text(rows: DataFrame, found: DataFrame, total: int) -> DataFrame:
+    """Left join of rows (h1, h2) with a table of one row per text that counts its ``docs`` among ``total``.
+
+    Frequent texts are broadcast. The others are broadcast by their measured size or meet by a shuffle, in which
+    rows that have met already get a key of their own.
+    """
+    often = _often(found, "docs", total)
+    named = [c for c in found.columns if c not in ("h1", "h2")]
+    cold = found.filter(~often).select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), *(F.col(c).alias(f"_{c}") for c in named))
+    size = cold.agg(F.count("*"), F.coalesce(F.sum(row_bytes(cold)), F.lit(0))).first()
+    rows = rows.join(F.broadcast(found.filter(often).withColumn("_met", F.lit(True))), ["h1", "h2"], "left")
+    if size[0]:
+        met = F.col("_met").isNotNull()
+        # No text has two different hashes by chance: a row that has met gets the first one twice, salted by its id.
+        probe = F.when(met, F.xxhash64(F.lit("met"), "own_id")).otherwise(F.col("h1"))
+        on = (probe == F.col("_h1")) & (F.col("h2") == F.col("_h2")) & ~met
+        rows = rows.join(broadcast_if_small(cold, *size), on, "left")
+        rows = rows.withColumns({c: F.coalesce(c, f"_{c}") for c in named}).drop("_h1", "_h2", *(f"_{c}" for c in named))
+    return rows.drop("_met")
+
+
 def _texts(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """node and text of the wanted nodes, stored."""
     wanted = wanted.distinct().join(nodes.select("node", "h1", "h2", F.col("doc_id").alias("first_id")), "node")
-    found = texts.join(wanted, ["h1", "h2"])
-    # One row of all that hold the text; equal rows with an equal id are equal in all that counts.
-    found = found.filter(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("node", "text").dropDuplicates(["node"])
+    # The id belongs to the key, so of many copies of a text one row alone goes to the text's task; equal
+    # rows with an equal id are equal in all that counts.
+    same = (texts["h1"] == wanted["h1"]) & (texts["h2"] == wanted["h2"]) & texts["doc_id"].eqNullSafe(wanted["first_id"])
+    found = texts.join(wanted, same).select("node", "text").dropDuplicates(["node"])
     return staged(found, "texts")
 
 
@@ -276,10 +316,12 @@ def near_duplicates(
 
     bands = nodes.select("node", F.explode("bands").alias("key"))
     crowded = bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    near = staged(bands.join(crowded, "key"), "bands")
+    crowded, different = staged(crowded, "crowded"), nodes.count()
+    near = staged(_joined(bands, crowded, ["key"], "n", different), "bands")
     score = near.groupBy("node").agg(F.sum("n").alias("score"))
     leaders = near.join(score, "node").groupBy("key").agg(F.max(F.struct("score", "node"))["node"].alias("leader"))
-    stars = near.join(leaders, "key").filter("node <> leader")
+    leaders = staged(leaders.join(crowded, "key"), "leaders")
+    stars = _joined(near.drop("n"), leaders, ["key"], "n", different).filter("node <> leader")
     stars = stars.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     stars = staged(stars, "pairs")
     ends = stars.select(F.col("a").alias("node")).union(stars.select(F.col("b").alias("node")))
@@ -322,7 +364,8 @@ def near_duplicates(
 def duplicate_classes(docs: DataFrame, **options) -> DataFrame:
     """doc_id, class_id and class_docs of every document."""
     rows, nodes = near_duplicates(docs, **options)
-    return rows.join(nodes.drop("doc_id"), ["h1", "h2"]).select("doc_id", "class_id", "class_docs")
+    found = _joined(rows, nodes.drop("doc_id"), ["h1", "h2"], "docs", rows.count())
+    return found.select("doc_id", "class_id", "class_docs")
 
 
 def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
@@ -332,9 +375,8 @@ def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column:
     joined to the documents. Rows that repeat with id and text are one document.
     """
     rows, nodes = near_duplicates(docs, id_column, text_column, **options)
-    listed = nodes.filter("docs > 1 or not first").select("h1", "h2", F.col("doc_id").alias("first_id"), "first")
-    size = listed.agg(F.count("*"), F.coalesce(F.sum(row_bytes(listed)), F.lit(0))).first()
-    listed = broadcast_if_small(listed, *size)
+    listed = nodes.filter("docs > 1 or not first").select("h1", "h2", F.col("doc_id").alias("first_id"), "first", "docs")
+    total = rows.count()
     stays = F.col("first").isNull() | (F.col("first") & F.col("own_id").eqNullSafe(F.col("first_id")))
     text = F.col(f"`{text_column}`").cast("string")
     held = docs.select(
@@ -343,8 +385,8 @@ def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column:
         F.xxhash64(text).alias("h1"),
         F.xxhash64(F.lit(1), text).alias("h2"),
     )
-    kept = held.join(listed, ["h1", "h2"], "left").filter(stays)
-    light = rows.withColumnRenamed("doc_id", "own_id").join(listed, ["h1", "h2"], "left").filter(stays)
+    kept = _left_by_text(held, listed, total).filter(stays)
+    light = _left_by_text(rows.withColumnRenamed("doc_id", "own_id"), listed, total).filter(stays)
     twice = staged(light.groupBy("h1", "h2").count().filter("count > 1").select("h1", "h2"), "repeated")
     if twice.isEmpty():
         return kept.select("row.*")

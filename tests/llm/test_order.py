@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from geolayers.llm import captures, hard_negatives, radix, warc
+from geolayers.llm import captures, dart_minhash, hard_negatives, radix, warc
 from geolayers.llm.captures import LoserTree, merge_runs, url_key
 from geolayers.llm.hard_negatives import Group, candidate_blocks, mine_hard_negatives, needs
 from geolayers.llm.hilbert import hilbert_keys
@@ -299,3 +299,37 @@ def test_resampling_of_nothing(spark, odd, none):
     assert drawn.columns == odd.columns and drawn.count() == 2
     with pytest.raises(ValueError):
         resample(odd, bench, buckets=1 << 17)
+
+
+# --- copies that make up a large share of all rows
+
+
+@pytest.mark.parametrize("limit", ["-1", "10485760"])
+def test_frequent_keys_are_joined_like_all_others(spark, conf, limit):
+    conf("spark.sql.autoBroadcastJoinThreshold", limit)
+    draw = random.Random(8)
+    keys = [1] * 3000 + [2] * 900 + [draw.randint(10, 2500) for _ in range(3000)]
+    rows = spark.createDataFrame([(i, k, -k) for i, k in enumerate(keys)], "own_id bigint, h1 bigint, h2 bigint").repartition(5)
+    counts = Counter(keys)
+    listed = [(k, -k, k * 10, k % 2 == 0, n) for k, n in counts.items() if n > 1]
+    found = spark.createDataFrame(listed, "h1 bigint, h2 bigint, first_id bigint, first boolean, docs bigint")
+    left = dart_minhash._left_by_text(rows, found, len(keys)).select("own_id", "h1", "h2", "first_id", "first").collect()
+    plain = rows.join(found, ["h1", "h2"], "left").select("own_id", "h1", "h2", "first_id", "first").collect()
+    assert sorted(map(str, left)) == sorted(map(str, plain))
+    inner = dart_minhash._joined(rows, found, ["h1", "h2"], "docs", len(keys))
+    assert sorted(map(str, inner.select("own_id", "first_id").collect())) == sorted(map(str, rows.join(found, ["h1", "h2"]).select("own_id", "first_id").collect()))
+    assert found.filter(dart_minhash._often(found, "docs", len(keys))).count() <= dart_minhash.SHARE
+
+
+def test_a_text_with_most_of_all_copies(spark, conf):
+    """Its copies stay where they are: no task of a shuffle gets them."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    hot, other = prose(1, 40), [prose(i, 40) for i in range(2, 60)]
+    texts = [hot] * 5000 + other + [hot + " end"] * 3
+    docs = documents(spark, texts).select("doc_id", "text").repartition(4)
+    classes = {r["doc_id"]: (r["class_id"], r["class_docs"]) for r in dart_minhash.duplicate_classes(docs).collect()}
+    assert len(classes) == len(texts) and all(classes[i] == (0, 5003) for i in [*range(5000), *range(5058, 5061)])
+    assert all(classes[5000 + i] == (5000 + i, 1) for i in range(58))
+    kept = dart_minhash.without_near_copies(docs).collect()
+    assert sorted(r["doc_id"] for r in kept) == [0, *range(5000, 5058)]
