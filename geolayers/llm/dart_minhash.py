@@ -19,8 +19,8 @@ ROWS, BANDS = 4, 32  # a pair of similarity 0.8 meets in no band once in 20 mill
 DARTS = ROWS * BANDS
 FINE = 1024  # darts of the signatures by which crowded bands are compared
 BLOCK = 2048  # members of a crowded band that meet in one comparison
-# Keys that make up so small a share of the rows are broadcast; there are as many at most (32 times, for bands).
-SHARE = 1000
+# A key with a SHARE-th of the rows or more is broadcast; there are SHARE of them at most (32 times as many bands).
+SHARE = 100
 DEVIATIONS = 5  # of an estimate: pairs that look less similar by more are not compared exactly
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LOW44 = np.uint64((1 << 44) - 1)
