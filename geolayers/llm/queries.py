@@ -88,15 +88,15 @@ with w as (
   select source from h, k where (f + m * k) / (n + k) > 0.5
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       source is not null and source in (select source from bad) as host_failed,
-       not base_failed and not (source is not null and source in (select source from bad)) as kept
+       not base_failed and not (source is not null and source in (select source from bad)) as kept,
+       source is not null and source in (select source from bad) as host_failed
 from b"""
 
 
 @query("op3_host_rules", HOST_RULES_SQL)
 def host_rules(spark, source):
     judged = judge_documents(table(spark, source, "documents").select("doc_id", "source", "text"))
-    return judged.select("row.doc_id", *(f"measures.{c}" for c in FEATURES), "base_failed", "host_failed", "kept")
+    return judged.select("row.doc_id", *(f"measures.{c}" for c in FEATURES), "base_failed", "kept", "host_failed")
 
 
 TOP_K_SQL = """
