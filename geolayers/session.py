@@ -14,11 +14,14 @@ _made: dict[str, list[str]] = {}
 def shared_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder that the cluster names for checkpoints.
 
-    Without one, intermediate tables go below the session's warehouse, which all
-    executors see as well.
+    Without one, intermediate tables go below the session's warehouse, unless that is a
+    folder of one machine and the executors are others.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    root = root or spark.conf.get("spark.sql.warehouse.dir") + "/geolayers"
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir") + "/geolayers"
+        if not spark.sparkContext.master.startswith("local") and (root.startswith("file:") or ":" not in root):
+            raise RuntimeError("executors need a shared folder: set spark.checkpoint.dir")
     path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
     _made.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
