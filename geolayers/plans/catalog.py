@@ -1,5 +1,7 @@
 """Queries: layer discovery, schema import, feature ids and counts."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from geolayers.plans.registry import query
@@ -151,3 +153,17 @@ def layer_widened(spark, source):
     for part, columns in enumerate(kinds):
         orders.filter(key % 3 == part).select(columns).write.mode("append").parquet(path)
     return read_layer(spark, path.rpartition("/")[0], "orders", "key bigint, price double, day timestamp_ntz, mark string, late string", widened=True)
+
+
+@query(
+    "import_tables",
+    """with o as (select row_number() over () - 1 as fid, * from orders)
+    select o.fid, o_orderkey, l_linenumber, l_quantity from o join lineitem on l_orderkey = o_orderkey where o_orderkey <= 100""",
+)
+def import_tables(spark, source):
+    """Views over external tables, whose statistics let the optimiser choose the side of a join that is broadcast."""
+    database = f"layers_{uuid.uuid4().hex}"
+    import_layers(spark, source, limit_to=["orders", "lineitem"], database=database, analysed=["o_orderkey", "l_orderkey"])
+    orders, lines = spark.table("orders"), spark.table("lineitem").drop("fid")
+    found = orders.filter("o_orderkey <= 100").join(lines, F.col("l_orderkey") == F.col("o_orderkey"))
+    return found.select("fid", "o_orderkey", "l_linenumber", "l_quantity")

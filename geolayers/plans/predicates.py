@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from geolayers.operators.spatial import encode_points
+from geolayers.plans.layers import POINTS, points
 from geolayers.plans.registry import query
-from geolayers.sources.layers import read_layer
+from geolayers.session import shared_path
+from geolayers.sources.layers import read_layer, write_layer
 
 ORDER_COLUMNS = "fid bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 ORDERS = "select o_orderkey as fid, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from orders"
@@ -112,3 +115,13 @@ def filter_quote(spark, source):
 @query("filter_fid", f"{ORDERS} where o_orderkey = 77 or o_orderkey >= 400")
 def filter_fid(spark, source):
     return orders(spark, source).filter((F.col("fid") == 77) | (F.col("fid") >= 400))
+
+
+@query("filter_fid_stored", f"with {POINTS} select fid, name, x, y from points where fid in (7, 77, 149, 1000000000000)")
+def filter_fid_stored(spark, source):
+    """Features by id from a layer that is stored by place: Bloom filters leave out row groups without the ids."""
+    root = shared_path(spark, "lookups")
+    layer = encode_points(points(spark, source).drop("geom_bbox"), "x", "y", srid=4326)
+    write_layer(layer, f"{root}/points.parquet", lookups=["fid", "name"])
+    found = read_layer(spark, root, "points").filter(F.col("fid").isin(7, 77, 149, 10**12))
+    return found.select("fid", "name", "x", "y")

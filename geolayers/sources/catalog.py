@@ -10,6 +10,7 @@ from geolayers.sources.fids import csv_fids, csv_marked, csv_offsets, layer_offs
 from geolayers.sources.files import COMPRESSED, inner_path, list_files
 from geolayers.sources.parts import CSV_OPTIONS, LAYER, Layer, in_layer_types, layers_of, mixed_paths, read_parts, scans, united
 from geolayers.sources.shapefile import read_shape_files
+from geolayers.sources.tables import can_be_table, register_table
 
 COLUMN_SCHEMA = "layer string, fmt string, path string, ordinal int, source_name string, data_type string"
 SHAPE_PARTS = ["shp", "shx", "dbf", "prj", "qpj", "cpg"]
@@ -174,15 +175,8 @@ def _check_clashes(names: dict[str, list[str]], what: str) -> None:
             raise LayerError(f'{what}: {same} have the same laundered name "{laundered}"')
 
 
-def _check_clashes(names: dict[str, list[str]], what: str) -> None:
-    """Laundering may make two names equal; such a table cannot be imported."""
-    for laundered, same in names.items():
-        if len(same) > 1:
-            raise LayerError(f'{what}: {same} have the same laundered name "{laundered}"')
-
-
-def _read(spark: SparkSession, layers: list[Layer], parts: DataFrame, encoding: str | None, options: dict) -> list[DataFrame]:
-    """All columns of each layer, with the id of its rows as ``PLACE`` if it has none of its own."""
+def _read(spark: SparkSession, layers: list[Layer], parts: DataFrame, encoding: str | None, options: dict, stored: dict[int, str]) -> list[DataFrame]:
+    """All columns of each layer, with the id of its rows as ``PLACE`` if it has none of its own; ``stored`` names layers' tables."""
     paths = mixed_paths(parts, layers)
     rows: list[DataFrame] = []
     bare: dict[str, list[int]] = {"csv": [], "parquet": []}
@@ -190,7 +184,7 @@ def _read(spark: SparkSession, layers: list[Layer], parts: DataFrame, encoding:
         if layer.fmt == "shapefile":
             rows.append(read_shape_files(spark, {p.rpartition(".")[2].lower(): p for p in layer.files}, layer.schema, encoding))
             continue
-        found = scans(spark, layer, paths.get((layer.name, layer.fmt, layer.root)), options if layer.fmt == "csv" else {})
+        found = [spark.table(stored[k])] if k in stored else scans(spark, layer, paths.get((layer.name, layer.fmt, layer.root)), options if layer.fmt == "csv" else {})
         if not found:
             rows.append(spark.createDataFrame([], T.StructType([T.StructField(PLACE, T.LongType()), *layer.schema])))
             continue
@@ -226,12 +220,19 @@ def import_layers(
     launder_column_names: bool = True,
     encoding: str | None = None,
     options: dict | None = None,
+    database: str | None = None,
+    analysed: list[str] | None = None,
 ) -> int:
     """Register a temporary view for each chosen layer; returns their number.
 
     The arguments are those of ``layer_catalog``. Files are listed and opened in a
     fixed number of jobs; each view reads with the schema found there, CSV files by their
     headers and Parquet files by their types, and nothing of the data is stored.
+
+    With ``database``, each Parquet layer whose files agree, and whose name is of letters, digits and underscores, also becomes an external table there, under the
+    name of its view and with the columns as its files call them, and its view reads that table. The table has statistics of its
+    columns (``analysed`` names some, an empty list none), so that with ``spark.sql.cbo.enabled`` joins of the views are planned
+    by their estimated rows. Other layers are views only.
     """
     files = _chosen(spark, source, prefix, limit_to, except_, launder_table_names)
     parts = read_parts(files, encoding, options)
@@ -245,7 +246,12 @@ def import_layers(
         _check_clashes(columns, f'columns of layer "{layer.name}"')
     _check_clashes(tables, "layers")
     read = {**CSV_OPTIONS, **({"encoding": charset(encoding)} if encoding else {}), **(options or {})}
-    for table, layer, df in zip(tables, layers, _read(spark, layers, parts, encoding, read)):
+    stored = {}
+    if database is not None:
+        for k, (table, layer) in enumerate(zip(tables, layers)):
+            if can_be_table(layer, table):
+                stored[k] = register_table(spark, layer, database, table, analysed)
+    for table, layer, df in zip(tables, layers, _read(spark, layers, parts, encoding, read, stored)):
         renamed = []
         own = fid_of(df.schema)
         for k, (name, new) in enumerate(column_names(layer.schema, launder_column_names)):

@@ -173,7 +173,9 @@ def grid_order(box, extent):
     return along_x.bitwiseOR(F.shiftleft(along_y, 1))
 
 
-def write_layer(df: DataFrame, path: str, partitions: int | None = None) -> None:
+def write_layer(
+    df: DataFrame, path: str, partitions: int | None = None, lookups: list[str] | None = None, false_positives: float = 0.01
+) -> None:
     """Store a layer as Parquet.
 
     Each geometry gets its covering box.  Rows are range-partitioned along a
@@ -182,7 +184,15 @@ def write_layer(df: DataFrame, path: str, partitions: int | None = None) -> None
     the range key: many features in one place still spread over partitions.
     The grid covers all but the outermost thousandth of the box centres on each
     side, so stray features do not coarsen it. A box that has to be computed from the geometry is stored once for that.
+
+    ``lookups`` names columns that are asked for by value, such as the fid: rows are ordered by place, so every
+    file's extremes of them span nearly all values. Each row group gets a Bloom filter of them, no larger than
+    its different values need for that share of ``false_positives``; a comparison with up to
+    ``spark.sql.parquet.pushdown.inFilterThreshold`` values then reads only row groups that may hold one.
     """
+    missing = [name for name in lookups or [] if name not in df.columns]
+    if missing:
+        raise LayerError(f"no columns {missing} for lookups")
     geometries = [f for f in df.schema if is_geometry(f)]
     computed = False
     for field in geometries:
@@ -203,7 +213,13 @@ def write_layer(df: DataFrame, path: str, partitions: int | None = None) -> None
             keys += [F.col(FID)] if FID in df.columns else [F.xxhash64(*[c for c in df.columns])]
             df = df.repartitionByRange(*([partitions] if partitions else []), *keys)
             df = df.sortWithinPartitions(*keys)
-    df.write.parquet(path)
+    writer = df.write
+    for name in lookups or []:
+        for option, value in (("enabled", "true"), ("adaptive.enabled", "true"), ("fpp", str(false_positives))):
+            writer = writer.option(f"parquet.bloom.filter.{option}#{name}", value)
+    if lookups:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    writer.parquet(path)
 
 
 def layer_count(spark: SparkSession, source: str, layer: str) -> DataFrame:

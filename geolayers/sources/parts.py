@@ -24,6 +24,17 @@ LAYER = ["layer", "fmt", "root"]
 # --- one file -----------------------------------------------------------------
 
 
+def nullable(kind: T.DataType) -> T.DataType:
+    """The type as a reader gives it: any element, value or field may be NULL."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(nullable(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(nullable(kind.keyType), nullable(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType), True, f.metadata) for f in kind])
+    return kind
+
+
 def _parquet_part(path: str) -> tuple[T.StructType, int]:
     import pyarrow.parquet as pq
 
@@ -32,10 +43,10 @@ def _parquet_part(path: str) -> tuple[T.StructType, int]:
     arrow = footer.schema.to_arrow_schema()
     stored = (arrow.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
     if stored:
-        return T.StructType.fromJson(json.loads(stored)), footer.num_rows
+        return nullable(T.StructType.fromJson(json.loads(stored))), footer.num_rows
     from pyspark.sql.pandas.types import from_arrow_schema
 
-    return from_arrow_schema(arrow, prefer_timestamp_ntz=True), footer.num_rows
+    return nullable(from_arrow_schema(arrow, prefer_timestamp_ntz=True)), footer.num_rows
 
 
 def _csv_part(path: str, encoding: str, options: dict) -> T.StructType:
