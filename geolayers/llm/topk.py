@@ -9,7 +9,9 @@ from geolayers.session import staged
 BLOCK_ROWS = 8192
 QUERY_ROWS = 1024
 # How far all lists are read before the bounds are taken, as shares of their length.
-DEPTHS = (0.9, 1.0)
+DEPTHS = (0.05, 0.1, 0.2, 0.4, 0.6, 0.8, 0.9, 1.0)
+# Queries whose bounds tell whether a look at all queries can settle any.
+PROBES = 16
 BLOCK = "dim int, block bigint, n int, ids binary, vectors binary"
 
 
@@ -62,35 +64,58 @@ class SortedLists:
         return mask
 
 
-def block_top(query_ids, queries, ids, vectors, k: int):
-    """(query, id, score) of each query's k best vectors of a block, ties to the smaller id."""
+def _inside(lists, signed, own, k: int):
+    """For each query, which vectors may be among its k best by the bounds at this depth."""
+    upper = signed @ lists.best.T
+    lower = upper if lists.depth == len(lists.order) else signed @ lists.worst.T
+    lower = np.where(own, np.iinfo(np.int64).min if lower.dtype == np.int64 else -np.inf, lower)
+    n = lower.shape[1]
+    if n <= k:
+        return ~own
+    kth = np.partition(lower, n - k, axis=1)[:, n - k]
+    # Outsiders: even their best score is below k lower bounds.
+    return (upper >= kth[:, None]) & ~own
+
+
+def block_top(query_ids, queries, ids, vectors, k: int, depths: list | None = None):
+    """(query, id, score) of each query's k best vectors of a block, ties to the smaller id.
+
+    All lists are read in growing rounds. A query is settled in the first round in which few vectors can still be
+    among its best; only their scores are resolved. A round in which none of a few open queries, evenly spread, comes near
+    that is read on without bounds for the others, which a later round settles. ``depths`` receives the share of the lists at which each query was settled.
+    """
     dtype = exact_type(queries, vectors)
     lists = SortedLists(vectors, dtype)
     signed = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1).astype(dtype)
     plain = vectors.astype(dtype)
     n = len(ids)
+    few = max(4 * k, n // 16)
     out = [], [], []
     open_ = np.arange(len(queries))
     for share in DEPTHS:
         lists.read(n if share == 1 else int(n * share))
-        upper = signed[open_] @ lists.best.T
-        lower = upper if lists.depth == n else signed[open_] @ lists.worst.T
-        own = query_ids[open_][:, None] == ids[None, :]
-        lowest = np.iinfo(np.int64).min if dtype is np.int64 else -np.inf
-        lower = np.where(own, lowest, lower)
-        kth = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(open_), lowest)
-        # Outsiders: even their best score is below k lower bounds.
-        inside = (upper >= kth[:, None]) & ~own
-        settled = inside.sum(axis=1) <= max(4 * k, n // 16) if lists.depth < n else np.ones(len(open_), bool)
+        whole = lists.depth == n
+
+        def near(rows):
+            return _inside(lists, signed[rows], query_ids[rows][:, None] == ids[None, :], k)
+
+        if not whole and len(open_) > PROBES:
+            probes = open_[:: len(open_) // PROBES]
+            if (near(probes).sum(axis=1) > few).all():
+                continue
+        inside = near(open_)
+        settled = inside.sum(axis=1) <= few if not whole else np.ones(len(open_), bool)
         for row in np.flatnonzero(settled):
             query = open_[row]
-            near = np.flatnonzero(inside[row])
+            found = np.flatnonzero(inside[row])
             # The rest of these vectors' entries resolves their scores.
-            score = plain[near] @ queries[query].astype(dtype)
-            best = np.lexsort((ids[near], -score))[:k]
+            score = plain[found] @ queries[query].astype(dtype)
+            best = np.lexsort((ids[found], -score))[:k]
             out[0].append(np.full(len(best), query_ids[query]))
-            out[1].append(ids[near[best]])
+            out[1].append(ids[found[best]])
             out[2].append(score[best].astype(np.int64))
+            if depths is not None:
+                depths.append(share)
         open_ = open_[~settled]
         if not len(open_):
             break
