@@ -1,6 +1,7 @@
 """Visible text of HTML pages, laid out: blocks, lists and aligned tables."""
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from html.parser import HTMLParser
 
@@ -12,7 +13,7 @@ from geolayers.llm.batches import small_batches
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 # Never shown, whatever their style.
-UNSEEN = set("head title script style template noscript iframe object canvas audio video datalist".split())
+UNSEEN = set("head title script style template noscript iframe noframes object canvas audio video datalist".split())
 # Within svg the text elements are shown, but not what is kept for use elsewhere.
 SVG_UNSEEN = set("desc metadata defs symbol clippath mask marker pattern".split())
 # Elements of svg and math that hold HTML again, and tags that end svg and math.
@@ -45,7 +46,9 @@ IMPLIED = {
 }
 HEAD = set("head title base link meta style script template noscript".split())
 CELL_BOUNDS = {"td", "th", "table", "caption"}
-PAD_AT_MOST = 60  # a wider cell moves only what follows it in its own row
+GAP = "  "
+# A line wider than that does not widen its column: the cells right of it begin in the line below, in their columns.
+WIDE = 200
 BLANK = re.compile(r"[ \t\n\r\f]+")
 OPEN_TAG = re.compile(r"<[a-zA-Z/!?]")
 HIDDEN = re.compile(r"display\s*:\s*none", re.I)
@@ -215,37 +218,64 @@ class Grid:
     """Cells of a table with their spans."""
 
     def __init__(self):
-        self.rows, self.taken = [], {}
+        self.rows, self.taken, self.column = [], {}, 0
+
+    def row(self):
+        self.rows.append([])
+        self.column = 0
 
     def add(self, lines, colspan, rowspan):
         if not self.rows:
-            self.rows.append([])
-        column = sum(c[1] for c in self.rows[-1])
-        while self.taken.get(column, 0) >= len(self.rows):
-            self.rows[-1].append(([], 1))
-            column += 1
-        self.rows[-1].append((lines, colspan))
+            self.row()
+        while self.taken.get(self.column, 0) >= len(self.rows):
+            self.column += 1
+        column = self.column
+        self.rows[-1].append((column, lines, colspan))
+        self.column += colspan
         if rowspan > 1:
             for c in range(column, column + colspan):
                 self.taken[c] = len(self.rows) + rowspan - 1
 
-    def lines(self):
-        widths = Counter()
+    def offsets(self):
+        """Where each column begins in which a cell begins. Cells over several columns widen them evenly."""
+        starts = sorted({column for row in self.rows for column, _, _ in row})
+        widths, spanning = [0] * len(starts), []
         for row in self.rows:
-            column = 0
-            for lines, span in row:
-                if span == 1:
-                    widths[column] = max(widths[column], min(PAD_AT_MOST, max(map(len, lines), default=0)))
-                column += span
+            for column, lines, span in row:
+                first, last = bisect_left(starts, column), bisect_left(starts, column + span)
+                need = max((len(line) for line in lines if len(line) <= WIDE * (last - first)), default=0)
+                if last - first == 1:
+                    widths[first] = max(widths[first], need)
+                else:
+                    spanning.append((last - first, first, need))
+        for span, first, need in sorted(spanning):
+            surplus = need - sum(widths[first : first + span]) - len(GAP) * (span - 1)
+            for k in range(span if surplus > 0 else 0):
+                widths[first + k] += surplus // span + (k < surplus % span)
+        places, at = {}, 0
+        for column, width in zip(starts, widths):
+            places[column] = at
+            at += width + len(GAP)
+        return places
+
+    def lines(self):
+        offsets = self.offsets()
         for row in self.rows:
-            heights = max((len(lines) for lines, _ in row), default=0)
-            for k in range(heights):
-                out, column = [], 0
-                for lines, span in row:
-                    width = sum(widths[c] for c in range(column, column + span)) + 2 * (span - 1)
-                    out.append((lines[k] if k < len(lines) else "").ljust(width))
-                    column += span
-                yield "  ".join(out).rstrip(" ")
+            drawn, widest, below = [], 0, 0  # [length, parts] of each line; where the widest line ends, and the line after the wide ones
+            for column, lines, _ in row:
+                at = offsets[column]
+                # Beside a line that reaches into this column there is no room: the cell begins below it.
+                first = below if widest + len(GAP) > at else 0
+                for k, line in enumerate(lines, first):
+                    while len(drawn) <= k:
+                        drawn.append([0, []])
+                    if line:
+                        drawn[k][1] += [" " * (at - drawn[k][0]), line]
+                        drawn[k][0] = at + len(line)
+                        if len(line) > WIDE:
+                            widest, below = max(widest, drawn[k][0]), max(below, k + 1)
+            for _, parts in drawn:
+                yield "".join(parts)
 
 
 def _number(text, default, most):
@@ -319,7 +349,7 @@ def render(root: Node) -> str:
 
             leave.append(drawn)
         elif tag == "tr" and grids:
-            grids[-1].rows.append([])
+            grids[-1].row()
         elif tag in ("td", "th") and grids:
             canvases.append(Canvas())
             spans = _number(attrs.get("colspan"), 1, 1000) or 1, _number(attrs.get("rowspan"), 1, 65534) or 1
@@ -356,8 +386,9 @@ def extract_text(pages: DataFrame, id_column: str = "page_id", html_column: str
     ``display:none`` and ``visibility:hidden`` in style attributes (style sheets are
     not applied), closed ``details`` and ``dialog``. Paragraphs, headings, lists,
     tables and the like have a blank line around them, other blocks a new line.
-    List items have a marker and hang below it; cells are padded to their column,
-    up to ``PAD_AT_MOST`` characters. A null page gives null; an empty page or one
+    List items have a marker and hang below it; every cell begins
+    at its column's place, and cells over several columns widen them; right of a line of over ``WIDE`` characters
+    a row goes on in the next line. Texts and tables of any length are laid out whole; a page is held by one task. A null page gives null; an empty page or one
     without visible text gives ''; broken markup is read to its end; columns besides
     id and html are not read.
     """

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -226,15 +227,20 @@ def test_mixed_dimensions_and_repeats(spark):
     assert found == [(0, 1, 1, 64 * 192), (0, 2, 1, 64 * 192), (20, 1, 2, 64 * 64 * 3)]
 
 
-def test_bounds_settle_queries_before_the_lists_end():
+@pytest.mark.parametrize("widths, latest", [([60, *[1] * 15], 0.2), ([20] * 16, 1.0)])
+def test_bounds_settle_queries_before_the_lists_end(widths, latest):
+    """With one dominant component outsiders fall out early; the result is that of all scores in any case."""
     draw = np.random.default_rng(4)
-    vectors = draw.integers(-20, 20, (3000, 16))
-    ids = np.arange(3000)
-    found = block_top(ids[:40], vectors[:40], ids, vectors, 5)
+    vectors = np.stack([draw.integers(-w, w + 1, 3000) for w in widths], axis=1)
+    vectors[2000:2100] = vectors[:100]
+    ids, depths = np.arange(3000), []
+    found = block_top(ids[:40], vectors[:40], ids, vectors, 5, depths)
     scores = vectors[:40] @ vectors.T
     for q in range(40):
         order = [i for i in np.lexsort((ids, -scores[q])) if i != q][:5]
         assert found[1][found[0] == q].tolist() == order
+        assert found[2][found[0] == q].tolist() == scores[q][order].tolist()
+    assert len(depths) == 40 and sum(d <= latest for d in depths) >= 20
 
 
 # --- pieces
@@ -295,6 +301,11 @@ PAGES = {
     "<table><td>a<table><td>b<td>c</table><td>d</table>": "a     d\n\nb  c",
     "x<span hidden>no</span><p style='display: none'>no</p><i style='visibility:hidden'>no<b style='visibility:visible'>yes</b></i>": "xyes",
     "<script>if (a < b) '</p>'</script><style>p{}</style>ok<!-- no --><noscript>no</noscript>": "ok",
+    f"<table><tr><td>{'w' * 70}<td>z<tr><td>a<td>b</table>": f"{'w' * 70}  z\na{' ' * 71}b",
+    f"<table><tr><td>{'w' * 201}<td>z<br>y<tr><td>a<td>b</table>": f"{'w' * 201}\n   z\n   y\na  b",
+    "<table><tr><td colspan=2>twelve chars<td>z<tr><td>a<td>b<td>c</table>": "twelve chars  z\na      b      c",
+    "<table><tr><td colspan=1000>x<td>y<tr><td>long<td>z</table>": "x        y\nlong  z",
+    "<frameset><noframes>no</noframes></frameset>yes": "yes",
     "<pre> a\n   b</pre>": " a\n   b",
     "<div><svg/>hello</div>": "hello",
     "<p>a<svg><title>no</title><defs><text>no</text></defs><style>no</style><g/>no<text>one <tspan>t</tspan>wo</text><text x=1>three</text></svg>b": "a one two three b",
@@ -312,7 +323,34 @@ def test_page(html):
     assert page_text(html) == PAGES[html]
 
 
+def test_columns_of_generated_tables():
+    """Every cell of a column begins at the same place, with two blanks before it at least, and is whole."""
+    draw = random.Random(11)
+    for _ in range(300):
+        places, html, cells = {}, [], 0
+        for _ in range(draw.randint(1, 5)):
+            column, row = 0, []
+            while column < 6 and draw.random() < 0.9:
+                span = draw.choice([1, 1, 1, 2, 3])
+                name = f"c{cells}" + "x" * draw.choice([0, 1, 5, 30, 90, 250])
+                cells += 1
+                row.append(f"<td colspan={span}>{name}<br>{name}")
+                places[name] = column
+                column += span
+            html.append("<tr>" + "".join(row))
+        lines = page_text("<table>" + "".join(html) + "</table>").split("\n")
+        at = {}
+        for line in lines:
+            for found in re.finditer(r"\S+", line):
+                at.setdefault(places[found[0]], set()).add(found.start())
+                assert found.start() == 0 or line[max(0, found.start() - 2) : found.start()] == "  "
+        assert all(len(starts) == 1 for starts in at.values())
+        assert sorted(" ".join(lines).split()) == sorted([*places] * 2)
+
+
 def test_deep_and_long_pages():
+    assert page_text("<table><tr>" + "<td>x" * 50_000 + "</table>") == "  ".join("x" * 50_000)
+    assert page_text("<table>" + "<tr><td colspan=1000>x<td>y" * 1000 + "</table>") == "\n".join(["x  y"] * 1000)
     assert page_text("<div>" * 30_000 + "x") == "x"
     assert page_text("<table><td>" * 2000 + "x") == "x"
     assert page_text("<p>a</p>" * 20_000).count("a") == 20_000
