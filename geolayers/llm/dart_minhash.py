@@ -325,15 +325,17 @@ def near_duplicates(
     stars = stars.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     stars = staged(stars, "pairs")
     ends = stars.select(F.col("a").alias("node")).union(stars.select(F.col("b").alias("node")))
-    links = _linked(stars, _texts(ends, nodes, plain), least)
+    texts = _texts(ends, nodes, plain)
+    links = _linked(stars, texts, least)
     found = components(links)
 
     # What is still apart within a band.
     held = near.join(found, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     apart = held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
     held = staged(held.join(apart.select("key"), "key", "left_semi"), "apart")
-    texts = _texts(held.select("node"), nodes, plain)
-    signed = texts.select("node", fine_signature("text").alias("darts")).join(nodes.select("node", "bands"), "node")
+    # Every node of a crowded band is an end of a star, so its text is stored already.
+    again = staged(texts.join(held.select("node").distinct(), "node", "left_semi"), "texts")
+    signed = again.select("node", fine_signature("text").alias("darts")).join(nodes.select("node", "bands"), "node")
     held = held.join(staged(signed, "signatures"), "node")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("node", "key"), blocks).cast("int")
@@ -347,7 +349,7 @@ def near_duplicates(
     )
     met = met.repartition("group").sortWithinPartitions("group")
     pairs = staged(_close(met, least), "pairs")
-    links = links.union(_linked(pairs, texts, least))
+    links = links.union(_linked(pairs, again, least))
     found = components(links)
 
     named = nodes.drop("bands").join(found, "node", "left")
