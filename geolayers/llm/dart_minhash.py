@@ -201,7 +201,8 @@ def _left_by_text(rows: DataFrame, found: DataFrame, total: int) -> DataFrame:
     """Left join of rows (h1, h2) with a table of one row per text that counts its ``docs`` among ``total``.
 
     Frequent texts are broadcast. The others are broadcast by their measured size or meet by a shuffle, in which
-    rows that have met already get a key of their own.
+    rows that have met already get a key of their own. Adaptive execution is not asked again: it weighs packed
+    bytes, of which a table in memory takes several times as much.
     """
     often = _often(found, "docs", total)
     named = [c for c in found.columns if c not in ("h1", "h2")]
@@ -213,7 +214,8 @@ def _left_by_text(rows: DataFrame, found: DataFrame, total: int) -> DataFrame:
         # No text has two different hashes by chance: a row that has met gets the first one twice, salted by its id.
         probe = F.when(met, F.xxhash64(F.lit("met"), "own_id")).otherwise(F.col("h1"))
         on = (probe == F.col("_h1")) & (F.col("h2") == F.col("_h2")) & ~met
-        rows = rows.join(broadcast_if_small(cold, *size), on, "left")
+        small = broadcast_if_small(cold, *size)
+        rows = rows.join(small if small is not cold else cold.hint("merge"), on, "left")
         rows = rows.withColumns({c: F.coalesce(c, f"_{c}") for c in named}).drop("_h1", "_h2", *(f"_{c}" for c in named))
     return rows.drop("_met")
 
