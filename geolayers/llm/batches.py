@@ -35,6 +35,22 @@ def kept_by_worker(kind: str, key, make: Callable):
     return held[kind][1]
 
 
+def one_thread() -> None:
+    """Matrix products of this worker run on its task's own core.
+
+    Spark gives a worker as many BLAS threads as its executor has cores. For small products the others spin
+    and take the cores of other tasks. Where the library is another than numpy's own, nothing changes.
+    """
+    with open("/proc/self/maps") as maps:
+        paths = {line.split()[-1] for line in maps if "openblas" in line}
+    for path in paths:
+        library = ctypes.CDLL(path)
+        for name in ("openblas_set_num_threads", "openblas_set_num_threads64_"):
+            put = getattr(library, name, None) or getattr(library, f"scipy_{name}", None)
+            if put:
+                put(ctypes.c_int(1))
+
+
 def give_back() -> None:
     """Hand freed memory back to the system, where the C library can do so."""
     pa.default_memory_pool().release_unused()

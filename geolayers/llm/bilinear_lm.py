@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from geolayers.llm.batches import kept_by_worker, small_batches
+from geolayers.llm.batches import kept_by_worker, one_thread, small_batches
 from geolayers.llm.word_ids import sliced
 from geolayers.session import staged
 
@@ -93,6 +93,14 @@ def contexts(target: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return near, far
 
 
+def logistic(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)), in place."""
+    np.clip(x, -30, 30, out=x)
+    np.exp(np.negative(x, out=x), out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
 class BilinearModel:
     """Scores of a next symbol: (c1 * R[near] + c2 * R[far]) . Q[symbol] + b[symbol].
 
@@ -155,8 +163,8 @@ class BilinearModel:
         log_k = np.float32(np.log(k))
         to_target = np.einsum("ij,ij->i", hidden, self.Q[upper]) + self.b[upper] - self.prior[upper] - log_k
         to_noise = hidden @ self.Q[other].T + (self.b[other] - self.prior[other] - log_k)
-        g_target = 1 / (1 + np.exp(to_target.clip(-30, 30)))
-        g_noise = -1 / (1 + np.exp(-to_noise.clip(-30, 30)))
+        g_target = logistic(-to_target)
+        g_noise = -logistic(to_noise)
         g_hidden = g_target[:, None] * self.Q[upper] + g_noise @ self.Q[other]
         g_q = self.scattered(upper, g_target[:, None] * hidden, self.top)
         np.add.at(g_q, other, g_noise.T @ hidden)
@@ -188,9 +196,12 @@ class BilinearModel:
         to_target = np.einsum("ij,ij->i", hidden, self.Q[target]) + self.b[target] - self.prior[target] - log_k
         noise_q = self.Q[other][row]
         to_noise = (noise_q @ hidden[:, :, None])[:, :, 0] + (self.b[other] - self.prior[other] - log_k)[row]
-        g_target = 1 / (1 + np.exp(to_target.clip(-30, 30)))
-        g_noise = -1 / (1 + np.exp(-to_noise.clip(-30, 30)))
-        g_q = np.add.reduceat(g_noise[:, :, None] * hidden[:, None, :], starts).reshape(-1, hidden.shape[1])
+        g_target = logistic(-to_target)
+        g_noise = -logistic(to_noise)
+        g_q = np.empty((len(starts), k, hidden.shape[1]), np.float32)
+        for at, (first, last) in enumerate(zip(starts.tolist(), [*starts[1:].tolist(), len(target)])):
+            np.matmul(g_noise[first:last].T, hidden[first:last], out=g_q[at])
+        g_q = g_q.reshape(-1, hidden.shape[1])
         rows = np.concatenate([target, other.ravel()])
         values = np.concatenate([g_target[:, None] * hidden, g_q])
         offsets = np.concatenate([g_target, np.add.reduceat(g_noise, starts).ravel()])
@@ -221,43 +232,66 @@ def parents(size: int, bounds: np.ndarray | None) -> tuple[np.ndarray, np.ndarra
     return bounds, np.concatenate([np.arange(top), np.repeat(classes, np.diff(bounds))])
 
 
-def normaliser(scores: np.ndarray) -> np.ndarray:
-    most = scores.max(axis=1)
-    scores -= most[:, None]
-    return most + np.log(np.exp(scores, out=scores).sum(axis=1))
+class Sums:
+    """Scores of some symbols after each hidden vector, and the logarithms of their exponentials' sums."""
+
+    FAR = 80.0  # exp() of 32-bit floats holds on both sides of it
+
+    def __init__(self, Q: np.ndarray, b: np.ndarray):
+        self.weights = np.ascontiguousarray(np.concatenate([Q, b[:, None]], axis=1).T)
+        self.ones = np.ones(len(b), np.float32)
+        self.reach = float(np.sqrt((Q * Q).sum(axis=1).max()))
+        self.most = float(b.max())
+
+    def of(self, hidden: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+        """Of each row (a hidden vector and a one behind it): the logarithm, and the score of its ``own`` symbol."""
+        scores = hidden @ self.weights
+        picked = None if own is None else scores[np.arange(len(own)), own]
+        vectors = hidden[:, :-1]
+        reach = self.reach * float(np.sqrt(np.einsum("ij,ij->i", vectors, vectors).max()))
+        if self.most + reach < self.FAR and self.most - reach > -self.FAR:
+            # No exponential is too large, and the largest of each row is not too small.
+            return np.log(np.exp(scores, out=scores) @ self.ones), picked
+        most = scores.max(axis=1)
+        scores -= most[:, None]
+        return most + np.log(np.exp(scores, out=scores) @ self.ones), picked
 
 
 class Scorer:
     """Normalised log10 probabilities; the normaliser of each context is computed once a call."""
 
+    ROWS = 512  # hidden vectors in one product
+
     def __init__(self, parts: dict[str, np.ndarray], bounds: np.ndarray | None = None):
         self.R, self.Q, self.b, self.c = (parts[name] for name in BilinearModel.NAMES)
         self.size = len(self.b)
         self.bounds, self.parent = parents(self.size, bounds)
         self.top = int(self.bounds[0])
+        # The beginning is never a next symbol.
+        self.upper = Sums(self.Q[1 : self.top], self.b[1 : self.top])
+        self.classes = [Sums(self.Q[lo:hi], self.b[lo:hi]) for lo, hi in zip(self.bounds, self.bounds[1:])]
 
     def log10(self, target, near, far) -> np.ndarray:
         found, at = np.unique(near.astype(np.int64) * self.size + far, return_inverse=True)
-        hidden = self.R[found // self.size] * self.c[0] + self.R[found % self.size] * self.c[1]
+        hidden = np.ones((len(found), self.R.shape[1] + 1), np.float32)
+        hidden[:, :-1] = self.R[found // self.size] * self.c[0] + self.R[found % self.size] * self.c[1]
         norm = np.empty(len(found), np.float32)
-        for first in range(0, len(found), 1024):
-            s = slice(first, first + 1024)
-            # The beginning is never a next symbol.
-            norm[s] = normaliser(hidden[s] @ self.Q[1 : self.top].T + self.b[1 : self.top])
+        for first in range(0, len(found), self.ROWS):
+            s = slice(first, first + self.ROWS)
+            norm[s] = self.upper.of(hidden[s])[0]
         out = np.empty(len(target))
         for first in range(0, len(target), 1 << 16):
             s = slice(first, first + (1 << 16))
             upper = self.parent[target[s]]
-            out[s] = np.einsum("ij,ij->i", hidden[at[s]], self.Q[upper]) + self.b[upper] - norm[at[s]]
+            out[s] = np.einsum("ij,ij->i", hidden[at[s], :-1], self.Q[upper]) + self.b[upper] - norm[at[s]]
         below = np.flatnonzero(target >= self.top)
         below = below[np.argsort(target[below], kind="stable")]
         cuts = np.searchsorted(target[below], self.bounds)
-        for lo, hi, first, last in zip(self.bounds, self.bounds[1:], cuts, cuts[1:]):
-            for begin in range(first, last, 1024):
-                places = below[begin : min(begin + 1024, last)]
-                scores = hidden[at[places]] @ self.Q[lo:hi].T + self.b[lo:hi]
-                own = scores[np.arange(len(places)), target[places] - lo]
-                out[places] += own - normaliser(scores)
+        for sums, lo, first, last in zip(self.classes, self.bounds, cuts, cuts[1:]):
+            for begin in range(first, last, self.ROWS):
+                places = below[begin : min(begin + self.ROWS, last)]
+                norms, own = sums.of(hidden[at[places]], target[places] - lo)
+                out[places] += own - norms
         return out / np.log(10)
 
 
@@ -357,6 +391,7 @@ def train_model(texts: DataFrame, symbols: Symbols, counts: np.ndarray, width: i
 
     def train(batches):
         *made, counts = shared.value
+        one_thread()
         symbols = kept_by_worker("symbols", name, lambda: Symbols(*made))
         model = None
         seen = 0
@@ -449,6 +484,7 @@ def score_documents(
 
     def score(batches):
         name, made, tokens, totals, model, others = shared.value
+        one_thread()
         symbols = kept_by_worker("symbols", name, lambda: Symbols(*made))
         scorer = kept_by_worker("scorer", name, lambda: Scorer(model, symbols.bounds))
         others = kept_by_worker("others", name, lambda: dict(zip(others[0].to_pylist(), others[1].tolist())))
