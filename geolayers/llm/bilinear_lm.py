@@ -11,8 +11,8 @@ tokens' probabilities sum to one, one unseen word in each class included.
 
 import uuid
 from bisect import bisect_right
-from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,11 @@ from geolayers.session import staged
 END = b"\n"  # no word holds white space, so this stands for the end of a text
 CONTEXT = 2
 FLUSH = 300_000  # different words that a task holds before it hands their counts on
-TREE = 16  # models that one task adds up
+PARTS = 16  # parts of a model that are averaged apart, at least
+SLICE_BYTES = 5 << 19  # texts whose words are numbered at once
+OFTEN = 2048  # symbols whose pairs' normalisers are kept
+BLOCK = 8  # targets of a class in one small product
+LOG2E = np.float32(np.log2(np.e))
 
 
 class Symbols:
@@ -58,6 +62,13 @@ class Symbols:
     def of(self, word: bytes) -> int:
         return self.number.get(word) or self.rest[bisect_right(self.least, word[::-1])]
 
+    def of_all(self, words: list[bytes]) -> np.ndarray:
+        found = np.fromiter(map(self.number.get, words, repeat(0)), np.int32, len(words))
+        rest, least = self.rest, self.least
+        rare = np.flatnonzero(found == 0)
+        found[rare] = [rest[bisect_right(least, words[k][::-1])] for k in rare.tolist()]
+        return found
+
 
 def coded(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Different words (ASCII lower-cased), each word's number among them, words per text."""
@@ -65,7 +76,7 @@ def coded(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     split = pc.ascii_split_whitespace(low)
     counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
     found = split.flatten().dictionary_encode()
-    words = found.dictionary.cast(pa.binary()).to_pylist()
+    words = found.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
     index = found.indices.to_numpy()
     if b"" in words:  # white space at the ends of a text
         filled = index != words.index(b"")
@@ -95,12 +106,28 @@ def contexts(target: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def logistic(x: np.ndarray) -> np.ndarray:
     """1 / (1 + exp(-x)), in place."""
-    np.clip(x, -30, 30, out=x)
-    np.exp(np.negative(x, out=x), out=x)
+    np.multiply(x, -LOG2E, out=x)
+    with np.errstate(over="ignore"):  # one over infinity is the right zero
+        np.exp2(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
 
 
+def added(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the rows from each start on; two columns at once, as the parts of a complex number."""
+    if values.shape[1] % 2:
+        return np.add.reduceat(values, starts, axis=0)
+    return np.add.reduceat(values.view(np.complex64), starts, axis=0).view(np.float32)
+
+
+def summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different rows, ascending, and the sums of their values."""
+    order = np.argsort(rows)
+    rows = rows.take(order)
+    starts = np.flatnonzero(np.diff(rows, prepend=-1))
+    return rows.take(starts), added(values.take(order, axis=0), starts)
+
+
 class BilinearModel:
     """Scores of a next symbol: (c1 * R[near] + c2 * R[far]) . Q[symbol] + b[symbol].
 
@@ -129,86 +156,106 @@ class BilinearModel:
             self.b = np.maximum(np.log(np.concatenate([self.noise, share])), -60).astype(np.float32)
         self.prior = self.b.copy()
         self.sums = {name: np.full_like(getattr(self, name), 1e-6) for name in self.NAMES}
-        self.place = np.zeros(size, np.int64)
         self.draw = draw
 
     def step(self, name: str, rows, gradient: np.ndarray, rate: float):
-        """AdaGrad ascent of some rows, each given once."""
-        sums = self.sums[name][rows] + gradient * gradient
-        self.sums[name][rows] = sums
-        getattr(self, name)[rows] += rate * gradient / np.sqrt(sums)
-
-    def scattered(self, rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-        width = values.shape[1]
-        at = (rows[:, None] * width + np.arange(width)).ravel()
-        return np.bincount(at, values.ravel(), size * width).reshape(size, width).astype(np.float32)
-
-    def gathered(self, rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Different rows and the sums of their values; only these rows are touched."""
-        n = np.arange(len(rows))
-        self.place[rows] = n
-        first = self.place[rows]
-        kept = first == n
-        return rows[kept], self.scattered(np.cumsum(kept)[first] - 1, values, int(kept.sum()))
+        """AdaGrad ascent of some rows, each given once; all rows if ``rows`` is None."""
+        part, sums = getattr(self, name), self.sums[name]
+        found = gradient * gradient
+        found += sums[: len(gradient)] if rows is None else sums.take(rows, axis=0)
+        change = rate * gradient
+        if rows is None:
+            sums[: len(gradient)] = found
+            part[: len(gradient)] += np.divide(change, np.sqrt(found, out=found), out=change)
+        else:
+            sums[rows] = found
+            change = np.divide(change, np.sqrt(found, out=found), out=change)
+            part[rows] = np.add(change, part.take(rows, axis=0), out=change)
 
     def train(self, target, near, far, noise_words: int = 64, rate: float = 0.05):
         """One step of noise-contrastive estimation; the noise is shared by the batch."""
         n = len(target)
         k = noise_words
-        upper = self.parent[target]
+        order = np.argsort(target)  # so the targets of a class lie together
+        target, near, far = target.take(order), near.take(order), far.take(order)
+        upper = self.parent.take(target)
         other = np.searchsorted(self.cumulated, self.draw.random(k)).clip(1, self.top - 1)
-        near_v, far_v = self.R[near], self.R[far]
-        hidden = near_v * self.c[0] + far_v * self.c[1]
+        near_v, far_v = self.R.take(near, axis=0), self.R.take(far, axis=0)
+        hidden = near_v * self.c[0]
+        hidden += far_v * self.c[1]
         # Each target against k noise words: odds are model over k times noise.
-        log_k = np.float32(np.log(k))
-        to_target = np.einsum("ij,ij->i", hidden, self.Q[upper]) + self.b[upper] - self.prior[upper] - log_k
-        to_noise = hidden @ self.Q[other].T + (self.b[other] - self.prior[other] - log_k)
-        g_target = logistic(-to_target)
-        g_noise = -logistic(to_noise)
-        g_hidden = g_target[:, None] * self.Q[upper] + g_noise @ self.Q[other]
-        g_q = self.scattered(upper, g_target[:, None] * hidden, self.top)
-        np.add.at(g_q, other, g_noise.T @ hidden)
-        g_b = np.bincount(upper, g_target, self.top).astype(np.float32)
-        np.add.at(g_b, other, g_noise.sum(axis=0))
-        below = np.flatnonzero(target >= self.top)
-        if len(below):
-            below = below[np.argsort(target[below], kind="stable")]
-            g_hidden[below] += self.train_classes(target[below], hidden[below], n, rate)
-        context = np.concatenate([near, far])
-        rows, g_r = self.gathered(context, np.concatenate([g_hidden * self.c[0], g_hidden * self.c[1]]))
-        g_c = np.stack([(g_hidden * near_v).sum(axis=0), (g_hidden * far_v).sum(axis=0)])
-        upper = slice(0, self.top)
-        for name, at, gradient in zip(self.NAMES, (rows, upper, upper, slice(None)), (g_r, g_q, g_b, g_c)):
-            self.step(name, at, gradient / n, rate)
+        shift = self.b[: self.top] - self.prior[: self.top] - np.float32(np.log(k))
+        target_q, noise_q = self.Q.take(upper, axis=0), self.Q.take(other, axis=0)
+        g_target = logistic(-(np.einsum("ij,ij->i", hidden, target_q) + shift.take(upper)))
+        against = hidden @ noise_q.T
+        against += shift.take(other)
+        against = logistic(against)
+        g_hidden = np.multiply(target_q, g_target[:, None], out=target_q)
+        g_hidden -= against @ noise_q
+        starts = np.flatnonzero(np.diff(upper, prepend=-1))  # no class's symbol is a target, so these ascend as well
+        g_q = np.zeros((self.top, hidden.shape[1]), np.float32)
+        g_q[upper.take(starts)] = added(hidden * g_target[:, None], starts)
+        rows, found = summed(other, against.T @ hidden)
+        g_q[rows] -= found
+        ones = np.ones(n, np.float32)
+        g_b = np.bincount(upper, g_target, self.top) - np.bincount(other, ones @ against, self.top)
+        g_b = g_b.astype(np.float32)
+        first = int(np.searchsorted(target, self.top))
+        if first < n:
+            g_hidden[first:] += self.train_classes(target[first:], hidden[first:], n, rate)
+        g_c = np.stack([ones @ np.multiply(g_hidden, side, out=side) for side in (near_v, far_v)])
+        values = np.empty((2 * n, hidden.shape[1]), np.float32)
+        for part, weights in zip((values[:n], values[n:]), self.c):
+            np.multiply(g_hidden, weights, out=part)
+        rows, g_r = summed(np.concatenate([near, far]), values)
+        for name, at, gradient in zip(self.NAMES, (rows, None, None, None), (g_r, g_q, g_b, g_c)):
+            self.step(name, at, np.divide(gradient, np.float32(n), out=gradient), rate)
 
     def train_classes(self, target, hidden, n: int, rate: float, noise_words: int = 8) -> np.ndarray:
-        """The same within classes: ascending targets against noise of their own class; the gradient of ``hidden``."""
-        k = noise_words
-        inner = self.parent[target] - (self.top - len(self.bounds) + 1)
+        """The same within classes: ascending targets against noise of their own class; the gradient of ``hidden``.
+
+        The targets of a class are cut into blocks, the last one filled up, so all classes are multiplied at once.
+        """
+        k, width = noise_words, hidden.shape[1]
+        inner = self.parent.take(target) - (self.top - len(self.bounds) + 1)
         starts = np.flatnonzero(np.diff(inner, prepend=-1))
+        sizes = np.diff(starts, append=len(target))
         lo, hi = self.bounds[inner[starts]], self.bounds[inner[starts] + 1]
         least, most = self.within[lo - self.top][:, None], self.within[hi - self.top][:, None]
-        drawn = least + (most - least) * self.draw.random((len(starts), k))
+        drawn = least + (most - least) * np.sort(self.draw.random((len(starts), k)), axis=1)
         other = np.searchsorted(self.within, drawn, side="right") - 1 + self.top
         other = other.clip(lo[:, None], hi[:, None] - 1)
-        row = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(target)))
-        log_k = np.float32(np.log(k))
-        to_target = np.einsum("ij,ij->i", hidden, self.Q[target]) + self.b[target] - self.prior[target] - log_k
-        noise_q = self.Q[other][row]
-        to_noise = (noise_q @ hidden[:, :, None])[:, :, 0] + (self.b[other] - self.prior[other] - log_k)[row]
-        g_target = logistic(-to_target)
-        g_noise = -logistic(to_noise)
-        g_q = np.empty((len(starts), k, hidden.shape[1]), np.float32)
-        for at, (first, last) in enumerate(zip(starts.tolist(), [*starts[1:].tolist(), len(target)])):
-            np.matmul(g_noise[first:last].T, hidden[first:last], out=g_q[at])
-        g_q = g_q.reshape(-1, hidden.shape[1])
-        rows = np.concatenate([target, other.ravel()])
-        values = np.concatenate([g_target[:, None] * hidden, g_q])
-        offsets = np.concatenate([g_target, np.add.reduceat(g_noise, starts).ravel()])
-        rows, found = self.gathered(rows, np.concatenate([values, offsets[:, None]], axis=1))
-        self.step("Q", rows, found[:, :-1] / n, rate)
-        self.step("b", rows, found[:, -1] / n, rate)
-        return g_target[:, None] * self.Q[target] + (g_noise[:, None, :] @ noise_q)[:, 0]
+        blocks = -(-sizes // BLOCK)
+        first = np.cumsum(blocks) - blocks
+        place = np.arange(len(target)) + np.repeat(first * BLOCK - starts, sizes)
+        blocked = np.zeros((int(blocks.sum()) * BLOCK, width), np.float32)
+        blocked[place] = hidden
+        blocked = blocked.reshape(-1, BLOCK, width)
+        shift = np.float32(-np.log(k)) - self.prior
+        shift += self.b
+        g_target = logistic(-(np.einsum("ij,ij->i", hidden, self.Q.take(target, axis=0)) + shift.take(target)))
+        noise_q = np.repeat(self.Q.take(other, axis=0), blocks, axis=0)
+        against = blocked @ noise_q.transpose(0, 2, 1)
+        against += np.repeat(shift.take(other), blocks, axis=0)[:, None, :]
+        against = logistic(against)
+        filled = np.zeros(len(blocked) * BLOCK, np.float32)
+        filled[place] = 1
+        against *= filled.reshape(-1, BLOCK, 1)
+        g_q = added((against.transpose(0, 2, 1) @ blocked).reshape(len(blocked), -1), first)
+        g_b = added(against.sum(axis=1), first)
+        values = np.zeros((len(target) + other.size, width + 2), np.float32)
+        np.multiply(hidden, g_target[:, None], out=values[: len(target), :width])
+        values[: len(target), width] = g_target
+        np.negative(g_q.reshape(-1, width), out=values[len(target) :, :width])
+        np.negative(g_b.ravel(), out=values[len(target) :, width])
+        rows, found = summed(np.concatenate([target, other.ravel()]), values)
+        found /= np.float32(n)
+        self.step("Q", rows, found[:, :width], rate)
+        self.step("b", rows, found[:, width], rate)
+        g_hidden = self.Q.take(target, axis=0)
+        g_hidden *= g_target[:, None]
+        g_hidden -= (against @ noise_q).reshape(-1, width).take(place, axis=0)
+        return g_hidden
 
     def parts(self) -> dict[str, np.ndarray]:
         return {name: getattr(self, name) for name in self.NAMES}
@@ -233,36 +280,45 @@ def parents(size: int, bounds: np.ndarray | None) -> tuple[np.ndarray, np.ndarra
 
 
 class Sums:
-    """Scores of some symbols after each hidden vector, and the logarithms of their exponentials' sums."""
+    """Logarithms of the sums of some symbols' exponentials after hidden vectors, and scores of these symbols."""
 
     FAR = 80.0  # exp() of 32-bit floats holds on both sides of it
 
     def __init__(self, Q: np.ndarray, b: np.ndarray):
-        self.weights = np.ascontiguousarray(np.concatenate([Q, b[:, None]], axis=1).T)
-        self.ones = np.ones(len(b), np.float32)
+        self.weights = np.ascontiguousarray((Q * LOG2E).T)  # powers of two are found faster
+        self.b = b
         self.reach = float(np.sqrt((Q * Q).sum(axis=1).max()))
-        self.most = float(b.max())
+        self.least, self.most = float(b.min()), float(b.max())
+        with np.errstate(over="ignore"):
+            self.scale = np.exp(b)
 
-    def of(self, hidden: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Of each row (a hidden vector and a one behind it): the logarithm, and the score of its ``own`` symbol."""
+    def near(self, length: float) -> bool:
+        """Whether no exponential is too large, and the largest of each row not too small, after vectors no longer than that."""
+        reach = self.reach * length
+        return reach < self.FAR and self.most + reach < self.FAR and self.most - reach > -self.FAR
+
+    def of(self, hidden: np.ndarray, near: bool, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+        """Of each hidden vector: the logarithm, and the score of its ``own`` symbol."""
         scores = hidden @ self.weights
-        picked = None if own is None else scores[np.arange(len(own)), own]
-        vectors = hidden[:, :-1]
-        reach = self.reach * float(np.sqrt(np.einsum("ij,ij->i", vectors, vectors).max()))
-        if self.most + reach < self.FAR and self.most - reach > -self.FAR:
-            # No exponential is too large, and the largest of each row is not too small.
-            return np.log(np.exp(scores, out=scores) @ self.ones), picked
+        picked = None if own is None else scores[np.arange(len(own)), own] / LOG2E + self.b.take(own)
+        if near:
+            return np.log(np.exp2(scores, out=scores) @ self.scale), picked
+        scores += self.b * LOG2E
         most = scores.max(axis=1)
         scores -= most[:, None]
-        return most + np.log(np.exp(scores, out=scores) @ self.ones), picked
+        return (most + np.log2(np.exp2(scores, out=scores).sum(axis=1))) / LOG2E, picked
 
 
 class Scorer:
-    """Normalised log10 probabilities; the normaliser of each context is computed once a call."""
+    """Normalised log10 probabilities; the normaliser of each context is computed once a call.
+
+    Those of all pairs of the symbols given as ``often`` are computed once: an exponential of a sum of two
+    vectors' scores is a product, so they are a product of two matrices.
+    """
 
     ROWS = 512  # hidden vectors in one product
 
-    def __init__(self, parts: dict[str, np.ndarray], bounds: np.ndarray | None = None):
+    def __init__(self, parts: dict[str, np.ndarray], bounds: np.ndarray | None = None, often: np.ndarray | None = None):
         self.R, self.Q, self.b, self.c = (parts[name] for name in BilinearModel.NAMES)
         self.size = len(self.b)
         self.bounds, self.parent = parents(self.size, bounds)
@@ -270,34 +326,57 @@ class Scorer:
         # The beginning is never a next symbol.
         self.upper = Sums(self.Q[1 : self.top], self.b[1 : self.top])
         self.classes = [Sums(self.Q[lo:hi], self.b[lo:hi]) for lo, hi in zip(self.bounds, self.bounds[1:])]
+        self.place = self.pairs = None
+        if often is not None and len(often):
+            near, far = (self.R.take(often, axis=0) * c for c in self.c)
+            if self.upper.near(self.length(near) + self.length(far)):
+                near, far = (np.exp2(side @ self.upper.weights) for side in (near, far))
+                self.pairs = np.log((near * self.upper.scale) @ far.T)
+                self.place = np.full(self.size, -1, np.int32)
+                self.place[often] = np.arange(len(often))
+
+    @staticmethod
+    def length(vectors: np.ndarray) -> float:
+        return float(np.sqrt(np.einsum("ij,ij->i", vectors, vectors).max(initial=0)))
 
     def log10(self, target, near, far) -> np.ndarray:
         found, at = np.unique(near.astype(np.int64) * self.size + far, return_inverse=True)
-        hidden = np.ones((len(found), self.R.shape[1] + 1), np.float32)
-        hidden[:, :-1] = self.R[found // self.size] * self.c[0] + self.R[found % self.size] * self.c[1]
+        near, far = np.divmod(found, self.size)
+        hidden = self.R.take(near, axis=0) * self.c[0]
+        hidden += self.R.take(far, axis=0) * self.c[1]
+        length = self.length(hidden)
         norm = np.empty(len(found), np.float32)
-        for first in range(0, len(found), self.ROWS):
-            s = slice(first, first + self.ROWS)
-            norm[s] = self.upper.of(hidden[s])[0]
+        left = np.arange(len(found))
+        if self.pairs is not None:
+            row, column = self.place.take(near), self.place.take(far)
+            kept = (row >= 0) & (column >= 0)
+            norm[kept] = self.pairs[row[kept], column[kept]]
+            left = np.flatnonzero(~kept)
+        safe = self.upper.near(length)
+        for first in range(0, len(left), self.ROWS):
+            some = left[first : first + self.ROWS]
+            norm[some] = self.upper.of(hidden.take(some, axis=0), safe)[0]
         out = np.empty(len(target))
-        for first in range(0, len(target), 1 << 16):
-            s = slice(first, first + (1 << 16))
-            upper = self.parent[target[s]]
-            out[s] = np.einsum("ij,ij->i", hidden[at[s], :-1], self.Q[upper]) + self.b[upper] - norm[at[s]]
+        for first in range(0, len(target), 1 << 15):
+            s = slice(first, first + (1 << 15))
+            upper = self.parent.take(target[s])
+            own = np.einsum("ij,ij->i", hidden.take(at[s], axis=0), self.Q.take(upper, axis=0))
+            out[s] = own + self.b.take(upper) - norm.take(at[s])
         below = np.flatnonzero(target >= self.top)
-        below = below[np.argsort(target[below], kind="stable")]
-        cuts = np.searchsorted(target[below], self.bounds)
-        for sums, lo, first, last in zip(self.classes, self.bounds, cuts, cuts[1:]):
+        below = below[np.argsort(target[below])]
+        cuts = np.searchsorted(target[below], self.bounds).tolist()
+        for sums, lo, first, last in zip(self.classes, self.bounds.tolist(), cuts, cuts[1:]):
+            safe = sums.near(length)
             for begin in range(first, last, self.ROWS):
                 places = below[begin : min(begin + self.ROWS, last)]
-                norms, own = sums.of(hidden[at[places]], target[places] - lo)
+                norms, own = sums.of(hidden.take(at.take(places), axis=0), safe, target.take(places) - lo)
                 out[places] += own - norms
         return out / np.log(10)
 
 
 def _slices(batches) -> Iterator[pa.Array]:
     for batch in batches:
-        for part in sliced(batch, text_at=0):
+        for part in sliced(batch, SLICE_BYTES, text_at=0):
             yield part.column(0)
 
 
@@ -307,25 +386,25 @@ def word_counts(texts: DataFrame) -> DataFrame:
     Tasks add up their own words and hand them on ``FLUSH`` at a time.
     """
 
-    def count(batches):
-        held = Counter()
-
-        def out():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"]
-            )
+    def merged(held):
+        return pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"]).combine_chunks()
 
+    def count(batches):
+        held, ends = [], 0
         for part in _slices(batches):
-            words, index, counts = coded(part)
-            held.update(dict(zip(words, np.bincount(index, minlength=len(words)).tolist())))
-            held[END] += len(counts)
-            if len(held) > FLUSH:
-                yield out()
-                held.clear()
-        if held:
-            yield out()
-
-    parts = texts.mapInArrow(count, "word binary, n bigint").filter("n > 0")
+            ends += len(part)
+            found = pc.value_counts(pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(part, ""))).flatten())
+            words = found.field("values").cast(pa.binary())
+            held.append(pa.table({"word": words, "n": found.field("counts")}).filter(pc.greater(pc.binary_length(words), 0)))
+            if sum(t.num_rows for t in held) > 2 * FLUSH:
+                held = [merged(held)]
+                if held[0].num_rows > FLUSH:
+                    yield from held.pop().to_batches()
+        if ends:
+            end = pa.table({"word": pa.array([END], pa.binary()), "n": pa.array([ends], pa.int64())})
+            yield from merged([*held, end]).to_batches()
+
+    parts = texts.mapInArrow(count, "word binary, n bigint")
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -364,8 +443,8 @@ def rest_totals(counts: DataFrame, symbols: Symbols) -> tuple[np.ndarray, np.nda
         place = {number: g for g, number in enumerate(symbols.rest)}
         n, words = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
         for batch in batches:
-            at = (place.get(symbols.of(w), -1) for w in batch.column(0).to_pylist())
-            at = np.fromiter(at, np.int64, batch.num_rows)
+            numbers = symbols.of_all(batch.column(0).to_pylist()).tolist()
+            at = np.fromiter(map(place.get, numbers, repeat(-1)), np.int64, batch.num_rows)
             np.add.at(n, at[at >= 0], batch.column(1).to_numpy()[at >= 0])
             np.add.at(words, at[at >= 0], 1)
         at = np.flatnonzero(words)
@@ -382,12 +461,15 @@ def rest_totals(counts: DataFrame, symbols: Symbols) -> tuple[np.ndarray, np.nda
 def train_model(texts: DataFrame, symbols: Symbols, counts: np.ndarray, width: int, batch_tokens: int) -> dict[str, np.ndarray]:
     """Every task trains on all its texts from one beginning; the mean of their models is kept.
 
-    A task's weight is its number of tokens. The tasks' models (their size is the
-    model's, not the data's) are stored once and averaged in a tree.
+    There are as many tasks as the cluster has cores, however many partitions the texts have, since each has a whole
+    model to hand on. A task's weight is its number of tokens. The models (their size is not the data's) are cut
+    into parts, and a part of all models is averaged at one place.
     """
     spark = texts.sparkSession
     name = uuid.uuid4().hex
     shared = spark.sparkContext.broadcast((symbols.words, symbols.head, len(symbols.rest), counts))
+    tasks = max(1, spark.sparkContext.defaultParallelism)
+    cuts = max(PARTS, tasks)
 
     def train(batches):
         *made, counts = shared.value
@@ -398,40 +480,31 @@ def train_model(texts: DataFrame, symbols: Symbols, counts: np.ndarray, width: i
         for part in _slices(batches):
             model = model or BilinearModel(symbols.size, width, counts, bounds=symbols.bounds)
             words, index, sizes = coded(part)
-            number = np.fromiter(map(symbols.of, words), np.int32, len(words))
-            target, starts = sequences(number[index], sizes, np.int32(1))
+            target, starts = sequences(symbols.of_all(words)[index], sizes, np.int32(1))
             near, far = contexts(target, starts)
             seen += len(target)
             for at in range(0, len(target), batch_tokens):
                 s = slice(at, at + batch_tokens)
                 model.train(target[s], near[s], far[s])
         if seen:
-            flat = model.packed().tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([flat], pa.binary())], names=["n", "mean"])
+            for k, flat in enumerate(np.array_split(model.packed(), cuts)):
+                yield pa.RecordBatch.from_pydict({"part": [k], "n": [seen], "mean": [flat.tobytes()]}, pa_kind)
 
-    def averaged(rows):
+    def average(table):
         n, total = 0, 0.0
-        for seen, flat in rows:
+        for seen, flat in zip(table["n"].to_pylist(), table["mean"].to_pylist()):
             n, total = n + seen, total + np.frombuffer(flat, "<f4") * float(seen)
-        return n, total / max(n, 1)
-
-    def average(batches):
-        rows = ((b.column(0)[k].as_py(), b.column(1)[k].as_py()) for b in batches for k in range(b.num_rows))
-        n, mean = averaged(rows)
-        if n:
-            flat = mean.astype("<f4").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([flat], pa.binary())], names=["n", "mean"])
-
-    kind = "n bigint, mean binary"
-    parts = staged(texts.mapInArrow(train, kind), "models")
-    left = parts.count()
-    while left > TREE:
-        left = -(-left // TREE)
-        parts = parts.repartition(left).mapInArrow(average, kind)
-    n, mean = averaged((r["n"], r["mean"]) for r in parts.toLocalIterator())
-    if not n:
+        flat = (total / n).astype("<f4").tobytes()
+        return pa.Table.from_pydict({"part": table["part"][:1], "n": [n], "mean": [flat]}, pa_kind)
+
+    kind = "part int, n bigint, mean binary"
+    pa_kind = pa.schema([("part", pa.int32()), ("n", pa.int64()), ("mean", pa.binary())])
+    models = texts.coalesce(tasks).mapInArrow(train, kind)
+    means = {r["part"]: r["mean"] for r in models.groupBy("part").applyInArrow(average, kind).toLocalIterator()}
+    if not means:
         return BilinearModel(symbols.size, width, counts, bounds=symbols.bounds).parts()
-    return unpacked(mean.astype(np.float32), symbols.size, width)
+    mean = np.concatenate([np.frombuffer(means[k], "<f4") for k in range(cuts)])
+    return unpacked(mean, symbols.size, width)
 
 
 def score_documents(
@@ -486,37 +559,37 @@ def score_documents(
         name, made, tokens, totals, model, others = shared.value
         one_thread()
         symbols = kept_by_worker("symbols", name, lambda: Symbols(*made))
-        scorer = kept_by_worker("scorer", name, lambda: Scorer(model, symbols.bounds))
+        scorer = kept_by_worker("scorer", name, lambda: Scorer(model, symbols.bounds, np.argsort(-tokens)[:OFTEN]))
         others = kept_by_worker("others", name, lambda: dict(zip(others[0].to_pylist(), others[1].tolist())))
         log_total = np.full(symbols.size, np.nan)
         log_total[symbols.rest] = np.log10(totals)
         end = int(tokens[1])
         for batch in batches:
-            for part in sliced(batch, text_at=2):
+            for part in sliced(batch, SLICE_BYTES, text_at=2):
                 words, index, sizes = coded(part.column(2))
-                number = np.fromiter(map(symbols.of, words), np.int32, len(words))
+                number = symbols.of_all(words)
                 in_rest = ~np.isnan(log_total[number])
                 n = tokens[number].astype(np.int64)
-                n[in_rest] = [others.get(words[k], -1) for k in np.flatnonzero(in_rest)]
+                n[in_rest] = [others.get(words[k], -1) for k in np.flatnonzero(in_rest).tolist()]
                 log_n = np.where(n < 0, 0.0, np.log10(n.clip(0) + 0.5))
                 share = np.where(in_rest, log_n - log_total[number], 0.0)
                 target, starts = sequences(number[index], sizes, np.int32(1))
                 own = scorer.log10(target, *contexts(target, starts))
-                base, _ = sequences(log_n[index], sizes, np.log10(end + 0.5))
-                share, _ = sequences(share[index], sizes, 0.0)
-                is_known, _ = sequences((n[index] > 0).astype(np.int64), sizes, int(end > 0))
-                rare = np.flatnonzero(n[index] < 0)
-                row_of = np.repeat(np.arange(len(sizes)), sizes)[rare]
-                bounds = np.searchsorted(row_of, np.arange(len(sizes) + 1)).astype(np.int32)
+                row_of = np.repeat(np.arange(len(sizes)), sizes)
+                base, share, is_known = (
+                    np.bincount(row_of, of_word.take(index), len(sizes)) for of_word in (log_n, share, (n > 0).astype(np.float64))
+                )
+                rare = np.flatnonzero((n < 0).take(index))
+                bounds = np.searchsorted(row_of[rare], np.arange(len(sizes) + 1)).astype(np.int32)
                 rare_words = pa.array(words, pa.binary()).take(pa.array(index[rare]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         part.column(1),
                         pa.array(sizes + 1, pa.int64()),
-                        pa.array(np.add.reduceat(is_known, starts), pa.int64()),
-                        pa.array(np.add.reduceat(base, starts)),
-                        pa.array(np.add.reduceat(own + share, starts)),
+                        pa.array(is_known.astype(np.int64) + (end > 0), pa.int64()),
+                        pa.array(base + np.log10(end + 0.5)),
+                        pa.array(np.add.reduceat(own, starts) + share),
                         pa.ListArray.from_arrays(pa.array(bounds), rare_words),
                     ],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"],

@@ -103,6 +103,45 @@ def test_probabilities_within_classes_sum_to_one():
     assert (10**found).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_pairs_of_frequent_symbols():
+    """Normalisers looked up in the table of pairs are those computed one by one, also where exponentials overflow."""
+    symbols = Symbols(pa.array([f"w{i}".encode() for i in range(300)]), head=10)
+    model = BilinearModel(symbols.size, 8, np.arange(float(symbols.size)), bounds=symbols.bounds)
+    draw = np.random.default_rng(0)
+    targets = np.setdiff1d(np.arange(1, symbols.size), np.arange(12, symbols.top))
+    target, near, far = (draw.choice(targets, 4000) for _ in range(3))
+    often = draw.choice(targets, 100, replace=False)
+    for times in (1, 1000):
+        parts = model.parts() | {"R": model.R * times}
+        scorer = Scorer(parts, symbols.bounds, often)
+        assert (scorer.pairs is not None) == (times == 1)
+        found = scorer.log10(target, near, far)
+        assert found == pytest.approx(Scorer(parts, symbols.bounds).log10(target, near, far), abs=1e-4)
+        scores = lambda at, h: h @ parts["Q"][at].T.astype(float) + parts["b"][at]
+        for k in range(0, 4000, 97):
+            h = (parts["R"][near[k]] * model.c[0] + parts["R"][far[k]] * model.c[1]).astype(float)
+            upper = model.parent[target[k]]
+            plain = scores(np.array([upper]), h)[0] - np.logaddexp.reduce(scores(np.arange(1, symbols.top), h))
+            if upper != target[k]:
+                own = np.flatnonzero(model.parent == upper)
+                own = own[own >= symbols.top]
+                plain += scores(target[k : k + 1], h)[0] - np.logaddexp.reduce(scores(own, h))
+            assert found[k] == pytest.approx(plain / np.log(10), rel=1e-4, abs=1e-4)
+
+
+def test_stored_bytes_do_not_follow_partitions(spark, tmp_path):
+    """A partition does not leave a model of its own."""
+    texts = [prose(i, 60, [f"w{i * 40 + k}x" for k in range(60)]) for i in range(64)]
+    stored = {}
+    for partitions in (2, 64):
+        place = tmp_path / str(partitions)
+        spark.sparkContext.setCheckpointDir(str(place))
+        rows = score_documents(documents(spark, texts).repartition(partitions), F.col("doc_id") % 5 == 1, coverage=1.0).collect()
+        check_base(rows, dict(enumerate(texts)), lambda i: i % 5 == 1)
+        stored[partitions] = sum(f.stat().st_size for f in place.rglob("*") if f.is_file())
+    assert stored[64] < 2 * stored[2] + 300_000
+
+
 def test_words_of_a_batch():
     words, index, counts = coded(pa.array([" A b\x0ba ", None, "", "\x85x é"]))
     assert [words[i] for i in index] == [b"a", b"b", b"a", b"\xc2\x85x", "é".encode()] and counts.tolist() == [3, 0, 0, 2]
