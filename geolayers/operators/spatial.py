@@ -3,6 +3,7 @@
 import heapq
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from geolayers.functions.boxes import BOX_TYPE, bbox_meets, bbox_within, make_box
@@ -28,6 +29,8 @@ COVER_BITS = 6
 # The cover is worth a job of its own if the larger side has so many rows, and that many times those of the smaller one.
 COVER_ROWS = 1_000_000
 COVER_TIMES = 4
+# Computed boxes are stored if the sides have so many rows together.
+STORED_ROWS = 10_000
 
 
 def encode_points(df: DataFrame, x, y, name: str = "geom", srid: int | None = None) -> DataFrame:
@@ -118,6 +121,17 @@ def _finest(side: Column, cell: float) -> Column:
     return F.floor(F.least(F.greatest(side / F.lit(cell), -last), last)).cast("bigint")
 
 
+def _is_stored(df: DataFrame, box: str) -> bool:
+    """Whether the files of ``df`` hold a column of the box's name. Only the speed of the join depends on it."""
+    files = df.inputFiles()
+    if not files or not files[0].endswith(".parquet"):
+        return False
+    try:
+        return box in df.sparkSession.read.parquet(files[0]).columns
+    except AnalysisException:  # a path that cannot be read by its URI
+        return False
+
+
 def _boxed(df: DataFrame, geom: str, side: str, drop: set[str]) -> DataFrame:
     """Add the box (``_l`` / ``_r``); without what the join drops.
 
@@ -129,6 +143,28 @@ def _boxed(df: DataFrame, geom: str, side: str, drop: set[str]) -> DataFrame:
     return staged(df, "boxes") if computed else df
 
 
+def _is_stored(df: DataFrame, box: str) -> bool:
+    """Whether the files of ``df`` hold a column of the box's name. Only the speed of the join depends on it."""
+    files = df.inputFiles()
+    if not files or not files[0].endswith(".parquet"):
+        return False
+    try:
+        return box in df.sparkSession.read.parquet(files[0]).columns
+    except AnalysisException:  # a path that cannot be read by its URI
+        return False
+
+
+def _dealt(boxed: DataFrame, df: DataFrame, geom: str) -> DataFrame:
+    """A side whose boxes lie in files, its own or new ones.
+
+    Each comparison of a pushed-down filter would compute an expression's box anew. The rows of new files are dealt
+    evenly, so a layer of one file is joined on all cores.
+    """
+    if box_name(geom) not in df.columns or _is_stored(df, box_name(geom)):
+        return boxed
+    return staged(boxed.repartition(2 * boxed.sparkSession.sparkContext.defaultParallelism), "boxes")
+
+
 def _placed(df: DataFrame, cell: float, side: str) -> DataFrame:
     """Add the level of the box."""
     box = F.col(f"_{side}")
@@ -405,6 +441,8 @@ def bbox_join(
     sides = _measured(boxed, cell)
     if not sides["l"].rows or not sides["r"].rows:
         return nothing
+    if sides["l"].rows + sides["r"].rows >= STORED_ROWS:
+        boxed = {"l": _dealt(boxed["l"], left, left_geom), "r": _dealt(boxed["r"], right, right_geom)}
     coarser = _cell_size(boxed, cell, _common(sides["l"].extent, sides["r"].extent))
     # Boxes far from all of the other side meet nothing; only what is left counts.
     boxed, fewer = _narrowed(boxed, sides, cover_rows)

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of
 from geolayers import LayerError, bbox_join, make_box
+from geolayers.functions.boxes import bbox_meets
 from geolayers.operators import spatial
 from geolayers.operators.spatial import encode_boxes, quadtree_cover
 from geolayers.sources.layers import write_layer
@@ -177,6 +179,22 @@ def test_boxes_without_bounds(spark, conf, limit):
         assert sorted(map(tuple, found)) == plain_join(left, right)
 
 
+def test_computed_boxes_are_read_from_files(spark):
+    """Boxes of expressions are computed once and dealt evenly, from however few partitions they come."""
+    x, y = (F.col("id") * 7919 % 3600 / 10 - 180), (F.col("id") * 104729 % 1800 / 10 - 90)
+    sides = []
+    for rows, fid, geom, side in ((12_000, "p", "gp", 0.5), (300, "q", "gq", 4.0)):
+        df = spark.range(0, rows, 1, 1).select(F.col("id").alias(fid), x.alias("x"), y.alias("y"))
+        sides.append(encode_boxes(df, "x", "y", F.col("x") + side, F.col("y") + side, geom).select(fid, f"{geom}_bbox"))
+    left, right = sides
+    joined = bbox_join(left, right, "gp", "gq", cover_rows=0).select("p", "q")
+    files = [re.search("/(boxes-[^/]*)/", f) for f in joined.inputFiles()]
+    assert all(files) and len({f[1] for f in files}) == 2 and len(files) >= 8
+    meets = bbox_meets(F.col("gp_bbox"), F.col("gq_bbox"))
+    found, plain = joined.collect(), left.join(right, meets).select("p", "q").collect()
+    assert sorted(found) == sorted(plain) and len(plain) > 300
+
+
 def test_cover_holds_all_cells():
     draw = random.Random(2)
     for _ in range(50):
