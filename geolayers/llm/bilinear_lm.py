@@ -27,6 +27,7 @@ END = b"\n"  # no word holds white space, so this stands for the end of a text
 CONTEXT = 2
 FLUSH = 300_000  # different words that a task holds before it hands their counts on
 PARTS = 16  # parts of a model that are averaged apart, at least
+LEARNED = 50  # tokens a symbol from which a model learns, where there are more than a model for each core
 SLICE_BYTES = 5 << 19  # texts whose words are numbered at once
 OFTEN = 2048  # symbols whose pairs' normalisers are kept
 BLOCK = 8  # targets of a class in one small product
@@ -461,14 +462,14 @@ def rest_totals(counts: DataFrame, symbols: Symbols) -> tuple[np.ndarray, np.nda
 def train_model(texts: DataFrame, symbols: Symbols, counts: np.ndarray, width: int, batch_tokens: int) -> dict[str, np.ndarray]:
     """Every task trains on all its texts from one beginning; the mean of their models is kept.
 
-    There are as many tasks as the cluster has cores, however many partitions the texts have, since each has a whole
-    model to hand on. A task's weight is its number of tokens. The models (their size is not the data's) are cut
-    into parts, and a part of all models is averaged at one place.
+    Each task has a whole model to hand on. So there are as many tasks as the cluster has cores, or one for so many
+    tokens that the models are small beside the texts, but not one for each partition. A task's weight is its number of
+    tokens. The models are cut into parts, and a part of all models is averaged at one place.
     """
     spark = texts.sparkSession
     name = uuid.uuid4().hex
     shared = spark.sparkContext.broadcast((symbols.words, symbols.head, len(symbols.rest), counts))
-    tasks = max(1, spark.sparkContext.defaultParallelism)
+    tasks = max(1, spark.sparkContext.defaultParallelism, int(counts.sum()) // (LEARNED * symbols.size))
     cuts = max(PARTS, tasks)
 
     def train(batches):
