@@ -28,10 +28,10 @@ CONTEXT = 2
 FLUSH = 300_000  # different words that a task holds before it hands their counts on
 PARTS = 16  # parts of a model that are averaged apart, at least
 LEARNED = 50  # tokens a symbol from which a model learns, where there are more than a model for each core
-SLICE_BYTES = 5 << 19  # texts whose words are numbered at once
+SLICE_BYTES = 1 << 22  # texts whose words are numbered at once
 OFTEN = 2048  # symbols whose pairs' normalisers are kept
 BLOCK = 8  # targets of a class in one small product
-LOG2E = np.float32(np.log2(np.e))
+CELLS = 96_000  # scores of a product that is normalised at once, so that they stay in a core's cache
 
 
 class Symbols:
@@ -59,17 +59,46 @@ class Symbols:
         self.number = {w: i + 2 for i, w in enumerate(words)} | {END: 1}
         for g, (first, last) in enumerate(zip(cuts, cuts[1:])):
             self.number.update((w[::-1], self.rest[g] + 1 + i) for i, w in enumerate(tail[first:last]))
+        self.listed = pa.array([*self.number], pa.binary())
+        self.numbers = np.fromiter([*self.number.values(), 0], np.int32, len(self.number) + 1)
 
     def of(self, word: bytes) -> int:
         return self.number.get(word) or self.rest[bisect_right(self.least, word[::-1])]
 
     def of_all(self, words: list[bytes]) -> np.ndarray:
         found = np.fromiter(map(self.number.get, words, repeat(0)), np.int32, len(words))
-        rest, least = self.rest, self.least
         rare = np.flatnonzero(found == 0)
-        found[rare] = [rest[bisect_right(least, words[k][::-1])] for k in rare.tolist()]
+        found[rare] = self.of_rare([words[k] for k in rare.tolist()])
         return found
 
+    def of_rare(self, words: list[bytes]) -> np.ndarray:
+        """The symbols of words without one of their own."""
+        rest, least = self.rest, self.least
+        return np.array([rest[bisect_right(least, w[::-1])] for w in words], np.int32)
+
+    def of_tokens(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """Each word's symbol; where those without a symbol of their own are, which they are, and the number of each among them."""
+        place = pc.fill_null(pc.index_in(words, self.listed), -1).to_numpy()
+        found = self.numbers.take(place, mode="wrap")
+        rare = np.flatnonzero(place < 0)
+        names = words.take(pa.array(rare)).dictionary_encode()
+        index, names = names.indices.to_numpy(), names.dictionary.to_pylist()
+        found[rare] = self.of_rare(names).take(index)
+        return found, rare, names, index
+
+
+def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All texts' words in a row (ASCII lower-cased), and words per text."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+    words = split.flatten().cast(pa.binary())
+    filled = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+    if not filled.all():  # white space at the ends of a text
+        ends = np.cumsum(counts)
+        before = np.concatenate([[0], np.cumsum(filled)])
+        words, counts = words.filter(pa.array(filled)), before[ends] - before[ends - counts]
+    return words, counts
+
 
 def coded(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Different words (ASCII lower-cased), each word's number among them, words per text."""
@@ -105,13 +134,37 @@ def contexts(target: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return near, far
 
 
-def logistic(x: np.ndarray) -> np.ndarray:
-    """1 / (1 + exp(-x)), in place."""
-    np.multiply(x, -LOG2E, out=x)
-    with np.errstate(over="ignore"):  # one over infinity is the right zero
-        np.exp2(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+def powers() -> tuple[np.ufunc, np.float32]:
+    """The faster of numpy's exponentials of 32-bit floats here, and what a natural logarithm is multiplied by for it.
+
+    Those to the base of two have vector instructions only on processors with AVX-512; the others on all with AVX2.
+    """
+    found = np.show_config(mode="dicts").get("SIMD Extensions", {}).get("found", [])
+    return (np.exp2, np.float32(np.log2(np.e))) if {"AVX512_SKX", "X86_V4"} & set(found) else (np.exp, np.float32(1))
+
+
+def ordered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of whole numbers from zero on in ascending order, the first of equal ones first, and these numbers.
+
+    Number and place are sorted as one number where they fit one, which is faster than to sort places.
+    """
+    bits = len(values).bit_length()
+    if int(values.max(initial=0)).bit_length() + bits > 63:
+        order = np.argsort(values, kind="stable")
+        return order, values.take(order)
+    keys = values.astype(np.int64) << bits
+    keys |= np.arange(len(values))
+    keys.sort()
+    return keys & ((1 << bits) - 1), keys >> bits
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Different whole numbers, ascending; each value's place among them; the order of all values; where each number starts in it."""
+    order, values = ordered(values)
+    starts = np.flatnonzero(np.diff(values, prepend=-1))
+    place = np.empty(len(values), np.int64)
+    place[order] = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(values)))
+    return values.take(starts), place, order, starts
 
 
 def added(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -121,14 +174,6 @@ def added(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values.view(np.complex64), starts, axis=0).view(np.float32)
 
 
-def summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different rows, ascending, and the sums of their values."""
-    order = np.argsort(rows)
-    rows = rows.take(order)
-    starts = np.flatnonzero(np.diff(rows, prepend=-1))
-    return rows.take(starts), added(values.take(order, axis=0), starts)
-
-
 class BilinearModel:
     """Scores of a next symbol: (c1 * R[near] + c2 * R[far]) . Q[symbol] + b[symbol].
 
@@ -158,9 +203,17 @@ class BilinearModel:
         self.prior = self.b.copy()
         self.sums = {name: np.full_like(getattr(self, name), 1e-6) for name in self.NAMES}
         self.draw = draw
+        self.power, self.unit = powers()
+
+    def logistic(self, x: np.ndarray) -> np.ndarray:
+        """1 / (1 + exp(-y)), in place, where ``x`` is y times minus the unit."""
+        with np.errstate(over="ignore"):  # one over infinity is the right zero
+            self.power(x, out=x)
+        x += 1
+        return np.reciprocal(x, out=x)
 
-    def step(self, name: str, rows, gradient: np.ndarray, rate: float):
-        """AdaGrad ascent of some rows, each given once; all rows if ``rows`` is None."""
+    def step(self, name: str, rows, gradient: np.ndarray, rate: float, old: np.ndarray | None = None) -> np.ndarray:
+        """AdaGrad ascent of some rows, each given once, with their ``old`` values; all rows if ``rows`` is None. The new values."""
         part, sums = getattr(self, name), self.sums[name]
         found = gradient * gradient
         found += sums[: len(gradient)] if rows is None else sums.take(rows, axis=0)
@@ -168,36 +221,40 @@ class BilinearModel:
         if rows is None:
             sums[: len(gradient)] = found
             part[: len(gradient)] += np.divide(change, np.sqrt(found, out=found), out=change)
-        else:
-            sums[rows] = found
-            change = np.divide(change, np.sqrt(found, out=found), out=change)
-            part[rows] = np.add(change, part.take(rows, axis=0), out=change)
+            return part
+        sums[rows] = found
+        np.divide(change, np.sqrt(found, out=found), out=change)
+        change += old
+        part[rows] = change
+        return change
 
     def train(self, target, near, far, noise_words: int = 64, rate: float = 0.05):
         """One step of noise-contrastive estimation; the noise is shared by the batch."""
         n = len(target)
         k = noise_words
-        order = np.argsort(target)  # so the targets of a class lie together
-        target, near, far = target.take(order), near.take(order), far.take(order)
+        order, target = ordered(target)  # so the targets of a class lie together
         upper = self.parent.take(target)
         other = np.searchsorted(self.cumulated, self.draw.random(k)).clip(1, self.top - 1)
-        near_v, far_v = self.R.take(near, axis=0), self.R.take(far, axis=0)
+        # Each context's row is fetched once: the tables are larger than a core's cache.
+        rows, place, by_row, row_starts = distinct(np.concatenate([near.take(order), far.take(order)]))
+        context = self.R.take(rows, axis=0)
+        sides = context.take(place, axis=0)
+        near_v, far_v = sides[:n], sides[n:]
         hidden = near_v * self.c[0]
         hidden += far_v * self.c[1]
         # Each target against k noise words: odds are model over k times noise.
-        shift = self.b[: self.top] - self.prior[: self.top] - np.float32(np.log(k))
+        shift = self.prior[: self.top] - self.b[: self.top] + np.float32(np.log(k))
         target_q, noise_q = self.Q.take(upper, axis=0), self.Q.take(other, axis=0)
-        g_target = logistic(-(np.einsum("ij,ij->i", hidden, target_q) + shift.take(upper)))
-        against = hidden @ noise_q.T
-        against += shift.take(other)
-        against = logistic(against)
+        g_target = self.logistic((np.einsum("ij,ij->i", hidden, target_q) - shift.take(upper)) * self.unit)
+        against = hidden @ (noise_q * -self.unit).T
+        against += shift.take(other) * self.unit
+        against = self.logistic(against)
         g_hidden = np.multiply(target_q, g_target[:, None], out=target_q)
         g_hidden -= against @ noise_q
         starts = np.flatnonzero(np.diff(upper, prepend=-1))  # no class's symbol is a target, so these ascend as well
         g_q = np.zeros((self.top, hidden.shape[1]), np.float32)
         g_q[upper.take(starts)] = added(hidden * g_target[:, None], starts)
-        rows, found = summed(other, against.T @ hidden)
-        g_q[rows] -= found
+        np.subtract.at(g_q, other, against.T @ hidden)
         ones = np.ones(n, np.float32)
         g_b = np.bincount(upper, g_target, self.top) - np.bincount(other, ones @ against, self.top)
         g_b = g_b.astype(np.float32)
@@ -205,12 +262,11 @@ class BilinearModel:
         if first < n:
             g_hidden[first:] += self.train_classes(target[first:], hidden[first:], n, rate)
         g_c = np.stack([ones @ np.multiply(g_hidden, side, out=side) for side in (near_v, far_v)])
-        values = np.empty((2 * n, hidden.shape[1]), np.float32)
-        for part, weights in zip((values[:n], values[n:]), self.c):
+        for part, weights in zip((near_v, far_v), self.c):
             np.multiply(g_hidden, weights, out=part)
-        rows, g_r = summed(np.concatenate([near, far]), values)
-        for name, at, gradient in zip(self.NAMES, (rows, None, None, None), (g_r, g_q, g_b, g_c)):
-            self.step(name, at, np.divide(gradient, np.float32(n), out=gradient), rate)
+        g_r = added(sides.take(by_row, axis=0), row_starts)
+        for name, at, gradient, old in zip(self.NAMES, (rows, None, None, None), (g_r, g_q, g_b, g_c), (context, None, None, None)):
+            self.step(name, at, np.divide(gradient, np.float32(n), out=gradient), rate, old)
 
     def train_classes(self, target, hidden, n: int, rate: float, noise_words: int = 8) -> np.ndarray:
         """The same within classes: ascending targets against noise of their own class; the gradient of ``hidden``.
@@ -232,28 +288,32 @@ class BilinearModel:
         blocked = np.zeros((int(blocks.sum()) * BLOCK, width), np.float32)
         blocked[place] = hidden
         blocked = blocked.reshape(-1, BLOCK, width)
-        shift = np.float32(-np.log(k)) - self.prior
-        shift += self.b
-        g_target = logistic(-(np.einsum("ij,ij->i", hidden, self.Q.take(target, axis=0)) + shift.take(target)))
-        noise_q = np.repeat(self.Q.take(other, axis=0), blocks, axis=0)
-        against = blocked @ noise_q.transpose(0, 2, 1)
-        against += np.repeat(shift.take(other), blocks, axis=0)[:, None, :]
-        against = logistic(against)
+        # Each symbol's row is fetched once, as above.
+        m = len(target)
+        rows, at, by_row, row_starts = distinct(np.concatenate([target, other.ravel()]))
+        old_q, old_b = self.Q.take(rows, axis=0), self.b.take(rows)
+        shift = self.prior.take(rows) - old_b + np.float32(np.log(k))
+        scores = np.einsum("ij,ij->i", hidden, old_q.take(at[:m], axis=0)) - shift.take(at[:m])
+        g_target = self.logistic(scores * self.unit)
+        drawn_at = at[m:].reshape(other.shape)
+        noise_q = np.repeat(old_q.take(drawn_at, axis=0), blocks, axis=0)
+        against = blocked @ (noise_q * -self.unit).transpose(0, 2, 1)
+        against += np.repeat(shift.take(drawn_at) * self.unit, blocks, axis=0)[:, None, :]
+        against = self.logistic(against)
         filled = np.zeros(len(blocked) * BLOCK, np.float32)
         filled[place] = 1
         against *= filled.reshape(-1, BLOCK, 1)
         g_q = added((against.transpose(0, 2, 1) @ blocked).reshape(len(blocked), -1), first)
         g_b = added(against.sum(axis=1), first)
-        values = np.zeros((len(target) + other.size, width + 2), np.float32)
-        np.multiply(hidden, g_target[:, None], out=values[: len(target), :width])
-        values[: len(target), width] = g_target
-        np.negative(g_q.reshape(-1, width), out=values[len(target) :, :width])
-        np.negative(g_b.ravel(), out=values[len(target) :, width])
-        rows, found = summed(np.concatenate([target, other.ravel()]), values)
+        values = np.zeros((m + other.size, width + 2), np.float32)
+        np.multiply(hidden, g_target[:, None], out=values[:m, :width])
+        values[:m, width] = g_target
+        np.negative(g_q.reshape(-1, width), out=values[m:, :width])
+        np.negative(g_b.ravel(), out=values[m:, width])
+        found = added(values.take(by_row, axis=0), row_starts)
         found /= np.float32(n)
-        self.step("Q", rows, found[:, :width], rate)
-        self.step("b", rows, found[:, width], rate)
-        g_hidden = self.Q.take(target, axis=0)
+        g_hidden = self.step("Q", rows, found[:, :width], rate, old_q).take(at[:m], axis=0)
+        self.step("b", rows, found[:, width], rate, old_b)
         g_hidden *= g_target[:, None]
         g_hidden -= (against @ noise_q).reshape(-1, width).take(place, axis=0)
         return g_hidden
@@ -286,8 +346,10 @@ class Sums:
     FAR = 80.0  # exp() of 32-bit floats holds on both sides of it
 
     def __init__(self, Q: np.ndarray, b: np.ndarray):
-        self.weights = np.ascontiguousarray((Q * LOG2E).T)  # powers of two are found faster
+        self.power, self.unit = powers()
+        self.weights = np.ascontiguousarray((Q * self.unit).T)
         self.b = b
+        self.rows = max(1, CELLS // len(b))  # hidden vectors in one product
         self.reach = float(np.sqrt((Q * Q).sum(axis=1).max()))
         self.least, self.most = float(b.min()), float(b.max())
         with np.errstate(over="ignore"):
@@ -298,27 +360,26 @@ class Sums:
         reach = self.reach * length
         return reach < self.FAR and self.most + reach < self.FAR and self.most - reach > -self.FAR
 
-    def of(self, hidden: np.ndarray, near: bool, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Of each hidden vector: the logarithm, and the score of its ``own`` symbol."""
+    def of(self, hidden: np.ndarray, near: bool, at: np.ndarray | None = None, own: np.ndarray | None = None):
+        """Of each hidden vector the logarithm, and the scores of the symbols ``own`` after the vectors ``at``."""
         scores = hidden @ self.weights
-        picked = None if own is None else scores[np.arange(len(own)), own] / LOG2E + self.b.take(own)
+        picked = None if own is None else scores[at, own] / self.unit + self.b.take(own)
         if near:
-            return np.log(np.exp2(scores, out=scores) @ self.scale), picked
-        scores += self.b * LOG2E
+            return np.log(self.power(scores, out=scores) @ self.scale), picked
+        scores += self.b * self.unit
         most = scores.max(axis=1)
         scores -= most[:, None]
-        return (most + np.log2(np.exp2(scores, out=scores).sum(axis=1))) / LOG2E, picked
+        return most / self.unit + np.log(self.power(scores, out=scores).sum(axis=1)), picked
 
 
 class Scorer:
     """Normalised log10 probabilities; the normaliser of each context is computed once a call.
 
     Those of all pairs of the symbols given as ``often`` are computed once: an exponential of a sum of two
-    vectors' scores is a product, so they are a product of two matrices.
+    vectors' scores is a product, so they are a product of two matrices. A pair with one of them needs the exponentials
+    of its other symbol only, once for all such pairs.
     """
 
-    ROWS = 512  # hidden vectors in one product
-
     def __init__(self, parts: dict[str, np.ndarray], bounds: np.ndarray | None = None, often: np.ndarray | None = None):
         self.R, self.Q, self.b, self.c = (parts[name] for name in BilinearModel.NAMES)
         self.size = len(self.b)
@@ -330,9 +391,13 @@ class Scorer:
         self.place = self.pairs = None
         if often is not None and len(often):
             near, far = (self.R.take(often, axis=0) * c for c in self.c)
+            self.bounded = self.upper.near(sum(self.length(self.R * c) for c in self.c))
             if self.upper.near(self.length(near) + self.length(far)):
-                near, far = (np.exp2(side @ self.upper.weights) for side in (near, far))
-                self.pairs = np.log((near * self.upper.scale) @ far.T)
+                self.factors = tuple(self.upper.power(side @ self.upper.weights) for side in (near, far))
+                near, far = self.factors
+                near *= self.upper.scale
+                self.pairs = np.log(near @ far.T)
+                far *= self.upper.scale
                 self.place = np.full(self.size, -1, np.int32)
                 self.place[often] = np.arange(len(often))
 
@@ -340,8 +405,19 @@ class Scorer:
     def length(vectors: np.ndarray) -> float:
         return float(np.sqrt(np.einsum("ij,ij->i", vectors, vectors).max(initial=0)))
 
+    def beside(self, often: np.ndarray, other: np.ndarray, side: int) -> np.ndarray:
+        """Logarithms of the upper sums after pairs of an ``often`` symbol, by its place, and any ``other``, ascending, on that side."""
+        out = np.empty(len(other), np.float32)
+        for first in range(0, len(other), self.upper.rows):
+            s = slice(first, first + self.upper.rows)
+            new = np.diff(other[s], prepend=-1) != 0
+            mine = self.upper.power((self.R.take(other[s][new], axis=0) * self.c[side]) @ self.upper.weights)
+            mine = mine.take(np.cumsum(new) - 1, axis=0)
+            out[s] = np.vecdot(mine, self.factors[1 - side].take(often[s], axis=0))
+        return np.log(out, out=out)
+
     def log10(self, target, near, far) -> np.ndarray:
-        found, at = np.unique(near.astype(np.int64) * self.size + far, return_inverse=True)
+        found, at, *_ = distinct(near.astype(np.int64) * self.size + far)
         near, far = np.divmod(found, self.size)
         hidden = self.R.take(near, axis=0) * self.c[0]
         hidden += self.R.take(far, axis=0) * self.c[1]
@@ -352,10 +428,18 @@ class Scorer:
             row, column = self.place.take(near), self.place.take(far)
             kept = (row >= 0) & (column >= 0)
             norm[kept] = self.pairs[row[kept], column[kept]]
+            if self.bounded:
+                some = np.flatnonzero((row < 0) & (column >= 0))
+                norm[some] = self.beside(column.take(some), near.take(some), 0)
+                some = np.flatnonzero((row >= 0) & (column < 0))
+                order, other = ordered(far.take(some))
+                some = some.take(order)
+                norm[some] = self.beside(row.take(some), other, 1)
+                kept = (row >= 0) | (column >= 0)
             left = np.flatnonzero(~kept)
         safe = self.upper.near(length)
-        for first in range(0, len(left), self.ROWS):
-            some = left[first : first + self.ROWS]
+        for first in range(0, len(left), self.upper.rows):
+            some = left[first : first + self.upper.rows]
             norm[some] = self.upper.of(hidden.take(some, axis=0), safe)[0]
         out = np.empty(len(target))
         for first in range(0, len(target), 1 << 15):
@@ -364,14 +448,24 @@ class Scorer:
             own = np.einsum("ij,ij->i", hidden.take(at[s], axis=0), self.Q.take(upper, axis=0))
             out[s] = own + self.b.take(upper) - norm.take(at[s])
         below = np.flatnonzero(target >= self.top)
-        below = below[np.argsort(target[below])]
-        cuts = np.searchsorted(target[below], self.bounds).tolist()
+        if not len(below):
+            return out / np.log(10)
+        # A class's normaliser after a context is computed once as well.
+        target, at = target.take(below), at.take(below)
+        classes = self.parent.take(target) - (self.top - len(self.classes))
+        pairs, _, order, starts = distinct(classes.astype(np.int64) * len(found) + at)
+        below, target = below.take(order), target.take(order)
+        classes, contexts = np.divmod(pairs, len(found))
+        starts = np.append(starts, len(target))
+        cuts = np.searchsorted(classes, np.arange(len(self.classes) + 1)).tolist()
         for sums, lo, first, last in zip(self.classes, self.bounds.tolist(), cuts, cuts[1:]):
             safe = sums.near(length)
-            for begin in range(first, last, self.ROWS):
-                places = below[begin : min(begin + self.ROWS, last)]
-                norms, own = sums.of(hidden.take(at.take(places), axis=0), safe, target.take(places) - lo)
-                out[places] += own - norms
+            for begin in range(first, last, sums.rows):
+                end = min(begin + sums.rows, last)
+                s = slice(starts[begin], starts[end])
+                row = np.repeat(np.arange(end - begin), np.diff(starts[begin : end + 1]))
+                norms, own = sums.of(hidden.take(contexts[begin:end], axis=0), safe, row, target[s] - lo)
+                out[below[s]] += own - norms.take(row)
         return out / np.log(10)
 
 
@@ -480,8 +574,8 @@ def train_model(texts: DataFrame, symbols: Symbols, counts: np.ndarray, width: i
         seen = 0
         for part in _slices(batches):
             model = model or BilinearModel(symbols.size, width, counts, bounds=symbols.bounds)
-            words, index, sizes = coded(part)
-            target, starts = sequences(symbols.of_all(words)[index], sizes, np.int32(1))
+            words, sizes = tokens_of(part)
+            target, starts = sequences(symbols.of_tokens(words)[0], sizes, np.int32(1))
             near, far = contexts(target, starts)
             seen += len(target)
             for at in range(0, len(target), batch_tokens):
@@ -562,27 +656,27 @@ def score_documents(
         symbols = kept_by_worker("symbols", name, lambda: Symbols(*made))
         scorer = kept_by_worker("scorer", name, lambda: Scorer(model, symbols.bounds, np.argsort(-tokens)[:OFTEN]))
         others = kept_by_worker("others", name, lambda: dict(zip(others[0].to_pylist(), others[1].tolist())))
-        log_total = np.full(symbols.size, np.nan)
+        log_total = np.zeros(symbols.size)
         log_total[symbols.rest] = np.log10(totals)
+        log_tokens, is_learned = np.log10(tokens + 0.5), (tokens > 0).astype(np.float64)
         end = int(tokens[1])
         for batch in batches:
             for part in sliced(batch, SLICE_BYTES, text_at=2):
-                words, index, sizes = coded(part.column(2))
-                number = symbols.of_all(words)
-                in_rest = ~np.isnan(log_total[number])
-                n = tokens[number].astype(np.int64)
-                n[in_rest] = [others.get(words[k], -1) for k in np.flatnonzero(in_rest).tolist()]
-                log_n = np.where(n < 0, 0.0, np.log10(n.clip(0) + 0.5))
-                share = np.where(in_rest, log_n - log_total[number], 0.0)
-                target, starts = sequences(number[index], sizes, np.int32(1))
+                words, sizes = tokens_of(part.column(2))
+                number, rare, names, index = symbols.of_tokens(words)
+                n = np.fromiter(map(others.get, names, repeat(-1)), np.int64, len(names)).take(index)
+                log_n, is_known = log_tokens.take(number), is_learned.take(number)
+                log_n[rare] = np.where(n < 0, 0.0, np.log10(n.clip(0) + 0.5))
+                is_known[rare] = n > 0
+                share = log_n.take(rare) - log_total.take(number.take(rare))
+                target, starts = sequences(number, sizes, np.int32(1))
                 own = scorer.log10(target, *contexts(target, starts))
                 row_of = np.repeat(np.arange(len(sizes)), sizes)
-                base, share, is_known = (
-                    np.bincount(row_of, of_word.take(index), len(sizes)) for of_word in (log_n, share, (n > 0).astype(np.float64))
-                )
-                rare = np.flatnonzero((n < 0).take(index))
+                base, is_known = (np.bincount(row_of, of_word, len(sizes)) for of_word in (log_n, is_known))
+                share = np.bincount(row_of.take(rare), share, len(sizes))
+                rare = rare[n < 0]
                 bounds = np.searchsorted(row_of[rare], np.arange(len(sizes) + 1)).astype(np.int32)
-                rare_words = pa.array(words, pa.binary()).take(pa.array(index[rare]))
+                rare_words = words.take(pa.array(rare))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),

@@ -131,6 +131,47 @@ def test_pairs_of_frequent_symbols():
             assert found[k] == pytest.approx(plain / np.log(10), rel=1e-4, abs=1e-4)
 
 
+def test_normalisers_are_computed_once(monkeypatch):
+    """Repeated targets and contexts cost no exponentials of their own, nor do pairs with a frequent symbol cost a whole row."""
+    symbols = Symbols(pa.array([f"w{i}".encode() for i in range(300)]), head=10)
+    model = BilinearModel(symbols.size, 8, np.arange(float(symbols.size)), bounds=symbols.bounds)
+    draw = np.random.default_rng(0)
+    targets = np.setdiff1d(np.arange(1, symbols.size), np.arange(12, symbols.top))
+    target, near, far = (draw.choice(targets, 200) for _ in range(3))
+    plain = Scorer(model.parts(), symbols.bounds).log10(target, near, far)
+    rows, of = [], bilinear_lm.Sums.of
+    monkeypatch.setattr(bilinear_lm.Sums, "of", lambda self, hidden, *more: rows.append(len(hidden)) or of(self, hidden, *more))
+    often = targets[:100]
+    times = draw.permutation(np.repeat(np.arange(200), 20))
+    found = Scorer(model.parts(), symbols.bounds, often).log10(target[times], near[times], far[times])
+    assert found == pytest.approx(plain[times], abs=1e-4)
+    rare = {(a, b) for a, b in zip(near.tolist(), far.tolist()) if a not in often and b not in often}
+    below = {(a, b, model.parent[t]) for t, a, b in zip(target.tolist(), near.tolist(), far.tolist()) if t >= symbols.top}
+    assert sum(rows) == len(rare) + len(below)
+
+
+def test_orders_of_whole_numbers():
+    draw = np.random.default_rng(0)
+    for most in (1, 5, 10**6, 2**62):  # the last ones leave no room for a place beside them
+        values = draw.integers(0, most, 3000)
+        order, found = bilinear_lm.ordered(values)
+        assert order.tolist() == np.argsort(values, kind="stable").tolist() and (found == values[order]).all()
+        numbers, place, order, starts = bilinear_lm.distinct(values)
+        assert (numbers[place] == values).all() and numbers.tolist() == sorted(set(values.tolist()))
+        assert (values[order[starts]] == numbers).all()
+    assert [len(x) for x in bilinear_lm.distinct(np.zeros(0, np.int64))] == [0, 0, 0, 0]
+
+
+def test_symbols_of_tokens():
+    symbols = Symbols(pa.array([b"a", b"b", "é".encode(), b"cab", b"dab"]), head=2, classes=2)
+    words, sizes = bilinear_lm.tokens_of(pa.array([" A x\x0bcab ", None, "", "x \x85y\n", "É b"]))
+    assert words.to_pylist() == [b"a", b"x", b"cab", b"x", b"\xc2\x85y", "É".encode(), b"b"] and sizes.tolist() == [3, 0, 0, 2, 2]
+    found, rare, names, index = symbols.of_tokens(words)
+    assert found.tolist() == [symbols.of(w) for w in words.to_pylist()]
+    assert rare.tolist() == [1, 3, 4, 5] and [names[k] for k in index] == [b"x", b"x", b"\xc2\x85y", "É".encode()]
+    assert [len(x) for x in symbols.of_tokens(words.slice(0, 0))] == [0, 0, 0, 0]
+
+
 def test_stored_bytes_do_not_follow_partitions(spark, monkeypatch):
     """A partition does not leave a model of its own."""
     texts = [prose(i, 60, [f"w{i * 40 + k}x" for k in range(60)]) for i in range(64)]
