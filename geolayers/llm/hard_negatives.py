@@ -29,7 +29,7 @@ BLOCK = (
     "block bigint, dim int, n int, label_min bigint, label_max bigint, low binary, high binary,"
     " ids binary, labels binary, asked binary, kind string, vectors binary"
 )
-GROUP = "group bigint, dim int, size int, slots int, aids binary, alabels binary, avectors binary, lows binary, highs binary"
+GROUP = "group bigint, dim int, size int, slots int, aids binary, alabels binary, akind string, avectors binary, lows binary, highs binary"
 
 
 def _matrix(batch: pa.RecordBatch, name: str = "v") -> tuple[np.ndarray, np.ndarray]:
@@ -53,6 +53,12 @@ def _record(values: list, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([v], kinds[k]) for v, (_, k) in zip(values, fields)], names=[n for n, _ in fields])
 
 
+def _kind(low: np.ndarray, high: np.ndarray) -> str:
+    """The narrowest type that holds numbers from ``low`` to ``high``."""
+    wide = max((abs(int(x)) for x in (low.min(), high.max())), default=0) if low.size else 0
+    return "<i2" if wide < 1 << 15 else "<i4" if wide < 1 << 31 else "<i8"
+
+
 def _spread(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each vector length its dimensions by falling variance, their means and standard deviations."""
 
@@ -108,8 +114,7 @@ def candidate_blocks(rows: DataFrame) -> DataFrame:
         def emit():
             ids, labels, asked, matrix = (np.concatenate(x) for x in zip(*held))
             low, high = (f(axis=0) if matrix.shape[1] else np.zeros(0, np.int64) for f in (matrix.min, matrix.max))
-            wide = max((abs(int(x)) for x in (low.min(), high.max())), default=0) if matrix.shape[1] else 0
-            kind = "<i2" if wide < 1 << 15 else "<i4" if wide < 1 << 31 else "<i8"
+            kind = _kind(low, high)
             sides = [x.astype("<i8").tobytes() for x in (low, high, ids, labels)]
             values = [first + number, matrix.shape[1], len(ids), int(labels.min()), int(labels.max()), *sides]
             return _record([*values, asked.astype("u1").tobytes(), kind, matrix.astype(kind).tobytes()], BLOCK)
@@ -157,7 +162,8 @@ class Group:
         cell = lambda name: batch.column(name)[at]
         self.dim, self.n, slots = (cell(c).as_py() for c in ("dim", "size", "slots"))
         read = lambda name: np.frombuffer(cell(name).as_buffer(), "<i8")
-        self.ids, self.labels, self.vectors = read("aids"), read("alabels"), read("avectors").reshape(self.n, self.dim)
+        self.ids, self.labels = read("aids"), read("alabels")
+        self.vectors = np.frombuffer(cell("avectors").as_buffer(), cell("akind").as_py()).reshape(self.n, self.dim).astype(np.int64)
         self.lows, self.highs = (read(c).reshape(self.n, slots) for c in ("lows", "highs"))
         self.above, self.below = np.maximum(self.vectors, 0), np.minimum(self.vectors, 0)
 
@@ -250,19 +256,27 @@ def _groups(anchors: DataFrame, slots: int) -> DataFrame:
         for k, row in enumerate(rows):
             lows[k, : len(row["lows"])], highs[k, : len(row["highs"])] = row["lows"], row["highs"]
         ids, labels = (np.array([row[c] for row in rows], "<i8").tobytes() for c in ("id", "label"))
-        vectors = b"".join(row["vector"] for row in rows)
-        return _record([number, rows[0]["dim"], len(rows), slots, ids, labels, vectors, lows.tobytes(), highs.tobytes()], GROUP)
+        vectors = np.frombuffer(b"".join(row["vector"] for row in rows), "<i8")
+        kind = _kind(vectors, vectors)
+        sides = [vectors.astype(kind).tobytes(), lows.tobytes(), highs.tobytes()]
+        return _record([number, rows[0]["dim"], len(rows), slots, ids, labels, kind, *sides], GROUP)
 
     return staged(dealt.mapInArrow(pack, GROUP), "anchors")
 
 
 def _meet(groups: DataFrame, others: DataFrame, key: str, rows: int) -> DataFrame:
-    """Every group with every row of ``others`` of its dimension: rows are dealt to lanes, groups go to each lane."""
-    wide = 2 * int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lanes = max(1, min(rows, wide))
+    """Every group with every row of ``others`` of its dimension: rows are dealt to lanes, groups go to each lane.
+
+    The copies of the groups are shuffled and never broadcast: the driver would hold those of all lanes, though their
+    files look small. There are no more copies than rows, unless each core needs them to get its lanes.
+    """
+    spark = groups.sparkSession
+    wide = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    even = max(2 * spark.sparkContext.defaultParallelism, rows // max(1, groups.count()))
+    lanes = max(1, min(rows, wide, even))
     lane = F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane")
     dealt = others.withColumn("lane", F.pmod(F.xxhash64(key), F.lit(lanes)).cast("int"))
-    return groups.select("*", lane).join(dealt, ["lane", "dim"])
+    return groups.select("*", lane).hint("merge").join(dealt, ["lane", "dim"])
 
 
 def wanted_blocks(blocks: DataFrame, groups: DataFrame, same: bool) -> DataFrame:

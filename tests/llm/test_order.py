@@ -21,6 +21,7 @@ from geolayers.llm.radix import counting_sort, radix_placed
 from geolayers.llm.resampling import resample, resampled
 from geolayers.llm.warc import read_archives, read_captures, write_archives
 from geolayers.session import staged
+from conftest import plan_of
 from llm_texts import ODD, documents, none, odd, prose, shared  # noqa: F401
 
 
@@ -215,6 +216,21 @@ def test_zone_maps_leave_blocks_out(spark, monkeypatch):
     assert read.value < 0.3 * 2 * read.total
 
 
+def test_copies_of_anchors_are_never_broadcast(spark, conf, monkeypatch):
+    """Their files look small, but the driver would hold the copies of all lanes."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "1g")
+    met, plans = hard_negatives._meet, []
+
+    def seen(*args):
+        plans.append(plan_of(found := met(*args)))
+        return found
+
+    monkeypatch.setattr(hard_negatives, "_meet", seen)
+    rows = [(i, [0.1 * i, 2e5 if i == 3 else 1.0], i % 2) for i in range(40)]  # 2e5: wider than two bytes
+    assert found_negatives(vectors(spark, rows)) == plain_negatives(rows, 4)
+    assert len(plans) == 4 and all("SortMergeJoin" in p and "Broadcast" not in p.split("SortMergeJoin")[0] for p in plans)
+
+
 def test_bounds_hold_all_scores(spark):
     draw = np.random.default_rng(5)
     matrix = draw.integers(-50, 50, (40, 9))
