@@ -15,7 +15,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from llm_texts import ODD, documents, none, odd, prose, shared  # noqa: F401
-from geolayers.llm import bilinear_lm, dart_minhash
+from geolayers.llm import bilinear_lm, dart_minhash, topk
 from geolayers.llm.bilinear_lm import END, BilinearModel, Scorer, Symbols, coded, frequent, score_documents
 from geolayers.llm.dart_minhash import duplicate_classes, near_duplicates, without_near_copies
 from geolayers.llm.html_text import extract_text, page_text
@@ -332,6 +332,51 @@ def test_bounds_settle_queries_before_the_lists_end(widths, latest):
     assert len(depths) == 40 and sum(d <= latest for d in depths) >= 20
 
 
+def test_what_other_blocks_gave_settles_queries_before_the_lists_end():
+    """Of evenly drawn vectors most queries need 0.8 of the lists, once a first block has given them k scores, and more before."""
+    draw = np.random.default_rng(5)
+    vectors = np.floor(draw.normal(size=(4 * 4096, 64)) * 8).astype(np.int64)
+    ids = draw.permutation(len(vectors))
+    asked = topk.Asked(ids[:300], vectors[:300], 20)
+    for first in range(0, len(vectors), 4096):
+        depths = []
+        topk.read_lists(asked, topk.Block(ids[first : first + 4096], vectors[first : first + 4096]), depths)
+        assert len(depths) == 300 and (sum(d <= 0.8 for d in depths) >= 200) == (first > 0)
+    scores = vectors[:300] @ vectors.T
+    for q in range(300):
+        order = [i for i in np.lexsort((ids, -scores[q])) if i != q][:20]
+        assert asked.found[q].tolist() == ids[order].tolist() and asked.scores[q].tolist() == scores[q][order].tolist()
+
+
+@pytest.mark.parametrize("lane, queries", [(2, 2), (1, 1), (16, 128)])
+def test_top_k_over_lanes_and_sets_of_queries(spark, monkeypatch, lane, queries):
+    for name, value in {"BLOCK_ROWS": 16, "QUERY_ROWS": 2, "LANE_BLOCKS": lane, "SET_BLOCKS": queries}.items():
+        monkeypatch.setattr(topk, name, value)
+    draw = random.Random(2)
+    parts = [(range(200), 6, 2), (range(200, 260), 3, 2), (range(400, 441), 2, 1e17)]
+    rows = [(i, [draw.randint(-2, 2) / 64 * high for _ in range(dim)]) for ids, dim, high in parts for i in ids]
+    rows += [(7, rows[7][1]), (500, [1.0, None]), (501, [float("inf")] * 6), (502, None), (None, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(5)
+    if lane == 1:  # beyond 64 bits: an error, as it was
+        with pytest.raises(Exception, match="scores beyond 64 bits"):
+            top_k(df, F.col("id") % 20 == 0).collect()
+    df = df.filter("vec_id < 400 or vec_id >= 500")
+    found = {tuple(r) for r in top_k(df, F.col("id") % 20 == 0).collect()}
+    sound = [[(i, [math.floor(64 * x) for x in v]) for i, v in rows if i in ids] for ids, _, _ in parts[:2]]
+    assert found == set().union(*(brute_top(*zip(*part)) for part in sound))
+
+
+def test_numbers_are_those_of_spark(spark):
+    """floor(scale * x) is computed in Arrow as Spark does it, to the last number of 64 bits."""
+    draw = random.Random(3)
+    odd = [0.0, -0.0, 1e308, -1e308, 2.0**57, -(2.0**57), 1.44e17, 1 / 3, -1 / 3, 5e-324, 144115188075855864.0]
+    rows = [(i, [draw.choice(odd) * draw.choice([1, -1, 0.999]) for _ in range(i % 5)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    plain = df.select("vec_id", F.transform("embedding", lambda x: F.floor(F.lit(64.0) * x).cast("bigint")))
+    whole = topk.quantised(df, "vec_id", "embedding").mapInArrow(lambda b: topk._whole(b, 64.0), "id bigint, v array<bigint>")
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, plain.collect()))
+
+
 # --- pieces
 
 
